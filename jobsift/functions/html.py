@@ -1,0 +1,95 @@
+"""Field extraction from stored web pages, as Column expressions over the raw HTML.
+
+Semantics (fixed here, checked against SQL): script/style/comments are removed
+first; an element's text is the text between its start tag and the next start
+or end tag of the same family (p and li close each other, as HTML does); text
+nodes are stripped of ASCII whitespace and joined without separator; a small
+set of entities is decoded.
+"""
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+_WS = r"[ \t\n\r\f]"
+
+# FIXED VALUES: entities decoded in extracted text (&amp; last)
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+            ("&nbsp;", " "), ("&amp;", "&")]
+
+
+def _c(col):
+    return F.col(col) if isinstance(col, str) else col
+
+
+def strip_noise(html: Column | str) -> Column:
+    """Remove <script>, <style> blocks and comments."""
+    return F.regexp_replace(_c(html), r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", "")
+
+
+def decode_entities(col: Column) -> Column:
+    out = col
+    for ent, ch in ENTITIES:
+        out = F.replace(out, F.lit(ent), F.lit(ch))
+    return out
+
+
+def node_text(fragment: Column) -> Column:
+    """Text of an HTML fragment: text nodes stripped and joined with ''."""
+    nodes = F.split(fragment, "<[^>]*>")
+    stripped = F.transform(nodes, lambda t: F.regexp_replace(decode_entities(t), f"^{_WS}+|{_WS}+$", ""))
+    return F.array_join(F.filter(stripped, lambda t: t != F.lit("")), "")
+
+
+def first_h1(html: Column | str) -> Column:
+    """Text of the first <h1>, '' when absent."""
+    inner = F.regexp_extract(strip_noise(html), r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1>", 1)
+    return node_text(inner)
+
+
+def link_targets(html: Column | str, fragment: str) -> Column:
+    """All double-quoted href values of <a> tags containing ``fragment``, in page order."""
+    hrefs = F.regexp_extract_all(strip_noise(html), F.lit(r'(?is)<a\s[^>]*href="([^"]*)"'), 1)
+    return F.filter(hrefs, lambda h: h.contains(fragment) & (h != F.lit("")))
+
+
+def absolute_url(href: Column, base: Column) -> Column:
+    """Absolute as is; otherwise base + href."""
+    return F.when(href.startswith("http"), href).otherwise(F.concat(base, href))
+
+
+def url_origin(url: Column | str) -> Column:
+    """scheme://host of a URL."""
+    return F.regexp_extract(_c(url), r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
+
+
+def block_texts(html: Column | str) -> Column:
+    """Texts of every <p> and <li> element, in page order."""
+    body = strip_noise(html)
+    pieces = F.split(body, r"(?i)<(?:p|li)(?:\s[^>]*)?>")
+    contents = F.transform(F.slice(pieces, 2, 1 << 30),
+                           lambda p: F.element_at(F.split(p, r"(?i)</(?:p|li)>|<(?:ul|ol)(?:\s[^>]*)?>|</(?:ul|ol)>"), 1))
+    return F.transform(contents, node_text)
+
+
+def body_text(html: Column | str, min_chars: int = 30, max_blocks: int = 50, exclude: str = "cookie") -> Column:
+    """Blocks longer than ``min_chars`` that do not mention ``exclude``; first
+    ``max_blocks`` of them, newline-joined."""
+    keep = F.filter(block_texts(html),
+                    lambda t: (F.length(t) > min_chars) & ~F.lower(t).contains(exclude))
+    return F.array_join(F.slice(keep, 1, max_blocks), "\n")
+
+
+def first_match_text(html: Column | str, pattern: str) -> Column:
+    """First text node (tags removed) matching ``pattern``, stripped; '' if none."""
+    nodes = F.split(strip_noise(html), "<[^>]*>")
+    stripped = F.transform(nodes, lambda t: F.regexp_replace(decode_entities(t), f"^{_WS}+|{_WS}+$", ""))
+    hit = F.filter(stripped, lambda t: t.rlike(pattern))
+    return F.coalesce(F.element_at(hit, 1), F.lit(""))
+
+
+def anchor_text(html: Column | str, fragment: str) -> Column:
+    """Text of the first <a> whose href contains ``fragment``; '' if none."""
+    anchors = F.regexp_extract_all(strip_noise(html), F.lit(r'(?is)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'), 0)
+    hit = F.filter(anchors, lambda a: F.regexp_extract(a, r'href="([^"]*)"', 1).contains(fragment))
+    return F.coalesce(node_text(F.regexp_extract(F.element_at(hit, 1), r"(?is)^<a[^>]*>(.*)</a>$", 1)), F.lit(""))
