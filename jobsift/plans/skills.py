@@ -32,7 +32,7 @@ def skills_kpis(df: DataFrame, word_a: str = "python", word_b: str = "sql",
                    pct(has_word("_blob", word_b)).alias("pct_b"),
                    pct(has_any_keyword("_blob", cloud)).alias("pct_cloud"),
                    pct(has_any_keyword("_blob", genai)).alias("pct_genai"))
-    distinct = (df.select(F.explode(split_skills("tech_stack")).alias("s")).groupBy("s").agg()
+    distinct = (df.select(F.explode(split_skills("tech_stack")).alias("s")).distinct()
                   .agg(F.count(F.lit(1)).alias("n_distinct_skills")))
     return shares.select(distinct.scalar().alias("n_distinct_skills"), "*")
 
@@ -94,7 +94,8 @@ def skills_by_contract(df: DataFrame, top: int = 10,
     b = _blob(df).withColumn("label", contract_label_substr("contract_type", rules))
     top_list = (skill_counts(df).orderBy(F.desc("n"), F.asc("skill")).limit(top)
                 .agg(F.collect_list("skill").alias("top"))).scalar()
-    hits = (b.select("label", F.explode(F.filter(top_list, lambda s: F.col("_blob").contains(F.lower(s)))).alias("skill"))
+    hits = (b.withColumn("_top", top_list)
+             .select("label", F.explode(F.filter("_top", lambda s: F.col("_blob").contains(F.lower(s)))).alias("skill"))
              .groupBy("skill", "label").agg(F.count(F.lit(1)).alias("n")))
     grid = b.select("label").distinct().select("label", F.explode(top_list).alias("skill"))
     return (grid.join(hits, ["skill", "label"], "left")

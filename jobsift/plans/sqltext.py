@@ -40,7 +40,7 @@ def pct(cond: str) -> str:
 
 def title_case(x: str) -> str:
     return (f"array_to_string(list_transform(regexp_extract_all(lower({x}), '(\\p{{L}}+|[^\\p{{L}}]+)'), "
-            f"t -> upper(t[1]) || t[2:]), '')")
+            f"lambda t: upper(t[1]) || t[2:]), '')")
 
 
 def has_word(x: str, term: str) -> str:
@@ -64,12 +64,12 @@ def extract_skills_text(x: str, skills: Sequence[str]) -> str:
 
 def extract_skills_list(x: str, skills: Sequence[str]) -> str:
     parts = ", ".join(f"CASE WHEN {has_word(f'COALESCE({x}, {q(str())})', s)} THEN {q(s)} END" for s in skills)
-    return f"list_filter([{parts}], s -> s IS NOT NULL)"
+    return f"list_filter([{parts}], lambda s: s IS NOT NULL)"
 
 
 def split_skills(x: str, lower: bool = False) -> str:
     item = "lower(trim(s))" if lower else "trim(s)"
-    return f"list_filter(list_transform(string_split(COALESCE({x}, ''), ','), s -> {item}), s -> s <> '')"
+    return f"list_filter(list_transform(string_split(COALESCE({x}, ''), ','), lambda s: {item}), lambda s: s <> '')"
 
 
 def blob(desc: str = "description", stack: str = "tech_stack") -> str:
@@ -134,9 +134,9 @@ def parse_salary_parts(raw: str) -> tuple[str, str, str]:
     pat = q(r"(\d[\d\s]*\.?\d*)\s*K?")
     full = f"regexp_extract_all({t}, {pat}, 0)"
     g1 = f"regexp_extract_all({t}, {pat}, 1)"
-    val = (f"list_filter(list_transform({full}, (m, i) -> CASE WHEN contains(m, 'K') AND "
+    val = (f"list_filter(list_transform({full}, lambda m, i: CASE WHEN contains(m, 'K') AND "
            f"TRY_CAST(replace({g1}[i], ' ', '') AS DOUBLE) < 1000 THEN TRY_CAST(replace({g1}[i], ' ', '') AS DOUBLE) * 1000 "
-           f"ELSE TRY_CAST(replace({g1}[i], ' ', '') AS DOUBLE) END), v -> v IS NOT NULL)")
+           f"ELSE TRY_CAST(replace({g1}[i], ' ', '') AS DOUBLE) END), lambda v: v IS NOT NULL)")
     blank = f"({raw} IS NULL OR trim({raw}) = '')"
     a = f"{val}[1]"
     b = f"(CASE WHEN len({val}) >= 2 THEN {val}[2] ELSE {val}[1] END)"
