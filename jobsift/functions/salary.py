@@ -35,7 +35,7 @@ def salary_numbers(raw: Column | str) -> Column:
     digits = F.regexp_extract_all(t, F.lit(_NUMBER), 1)
 
     def value(m, i):
-        v = F.try_cast(F.replace(F.element_at(digits, i + 1), F.lit(" "), F.lit("")), "double")
+        v = F.replace(F.element_at(digits, i + 1), F.lit(" "), F.lit("")).try_cast("double")
         return F.when(m.contains("K") & (v < 1000), v * 1000).otherwise(v)
 
     return F.filter(F.transform(full, value), lambda v: v.isNotNull())

@@ -128,8 +128,8 @@ def normalize(df: DataFrame, source: str, as_of=None) -> DataFrame:
     collected = (normalize_date(F.col("_fetched_at")) if "_fetched_at" in df.columns
                  else (as_of_literal(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()))
     if source == "api":
-        smin = F.try_cast(g("salary_min").cast("string"), "double")
-        smax = F.try_cast(g("salary_max").cast("string"), "double")
+        smin = g("salary_min").cast("string").try_cast("double")
+        smax = g("salary_max").cast("string").try_cast("double")
         currency = F.lit("EUR")
     else:
         if "salary_raw" in df.columns:
@@ -252,7 +252,7 @@ def cast_types(df: DataFrame, types: Mapping[str, str] = TARGET_TYPES) -> DataFr
         t = types.get(c)
         col = F.col(f"`{c}`")
         if t == "double":
-            out.append(F.try_cast(col.cast("string"), "double").alias(c) if dict(df.dtypes)[c] == "string"
+            out.append(col.cast("string").try_cast("double").alias(c) if dict(df.dtypes)[c] == "string"
                        else col.cast("double").alias(c))
         elif t == "timestamp":
             dt = dict(df.dtypes)[c]

@@ -11,10 +11,10 @@ from jobsift.functions.text import truncate_text
 
 
 def missing_profile(df: DataFrame, nonzero_only: bool = True) -> DataFrame:
-    """(column, missing_pct) for every column, one aggregation pass, ascending."""
+    """(column_name, missing_pct) for every column, one aggregation pass."""
     cols = df.columns
     wide = df.agg(*[(F.count_if(F.col(f"`{c}`").isNull()) * 100 / F.count(F.lit(1))).alias(c) for c in cols])
-    long = wide.unpivot([], [F.col(f"`{c}`") for c in cols], "column", "missing_pct")
+    long = wide.unpivot([], [F.col(f"`{c}`") for c in cols], "column_name", "missing_pct")
     if nonzero_only:
         long = long.filter(F.col("missing_pct") > 0)
     return long

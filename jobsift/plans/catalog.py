@@ -6,9 +6,6 @@ without SQL is checked by row count only (non-SQL operators).
 """
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsift import lexicon
@@ -16,36 +13,7 @@ from jobsift.plans import explore, geo, overview, quality, salary, skills, tempo
 from jobsift.plans import fixtures as fx
 from jobsift.plans import sqltext as S
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-P = fx.POSTINGS_SQL
-E = fx.EVENTS_SQL
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-    return deco
-
-
-def _p(spark, d):
-    return fx.postings_view(spark, d)
-
-
-def _e(spark, d):
-    return fx.event_postings_view(spark, d)
-
-
-def _d(spark, d):
-    return fx.doc_postings_view(spark, d)
-
-
-DOCS = fx.docs_sql()
-DOC_BLOB = S.blob("description", "tech_stack")
+from jobsift.plans.registry import DOC_BLOB, DOCS, QUERIES, SQL, E, P, _d, _e, _p, register  # noqa: F401
 
 # ---------------------------------------------------------------- overview page
 
