@@ -21,7 +21,7 @@ def _literal_map(mapping: Mapping[str, str]) -> Column:
 def normalize_contract(col: Column | str, mapping: Mapping[str, str] = lexicon.CONTRACT_MAP) -> Column:
     """lower(trim(x)) mapped to a label; unmapped values kept (lower/trimmed); null stays null."""
     k = F.lower(F.trim(_c(col)))
-    return F.coalesce(F.element_at(_literal_map(mapping), k), k)
+    return F.coalesce(F.try_element_at(_literal_map(mapping), k), k)
 
 
 def _words_pattern(words: Sequence[str]) -> str:
@@ -55,7 +55,7 @@ def contract_label_exact(col: Column | str, mapping: Mapping[str, str] = lexicon
     for k, label in mapping.items():
         cond = raw.contains(k)
         chain = F.when(cond, F.lit(label)) if chain is None else chain.when(cond, F.lit(label))
-    return F.coalesce(F.element_at(_literal_map(mapping), raw), chain.otherwise(F.lit(other)))
+    return F.coalesce(F.try_element_at(_literal_map(mapping), raw), chain.otherwise(F.lit(other)))
 
 
 def contract_label_substr(col: Column | str,

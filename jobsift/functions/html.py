@@ -68,7 +68,7 @@ def block_texts(html: Column | str) -> Column:
     body = strip_noise(html)
     pieces = F.split(body, r"(?i)<(?:p|li)(?:\s[^>]*)?>")
     contents = F.transform(F.slice(pieces, 2, 1 << 30),
-                           lambda p: F.element_at(F.split(p, r"(?i)</(?:p|li)>|<(?:ul|ol)(?:\s[^>]*)?>|</(?:ul|ol)>"), 1))
+                           lambda p: F.try_element_at(F.split(p, r"(?i)</(?:p|li)>|<(?:ul|ol)(?:\s[^>]*)?>|</(?:ul|ol)>"), F.lit(1)))
     return F.transform(contents, node_text)
 
 
@@ -85,11 +85,11 @@ def first_match_text(html: Column | str, pattern: str) -> Column:
     nodes = F.split(strip_noise(html), "<[^>]*>")
     stripped = F.transform(nodes, lambda t: F.regexp_replace(decode_entities(t), f"^{_WS}+|{_WS}+$", ""))
     hit = F.filter(stripped, lambda t: t.rlike(pattern))
-    return F.coalesce(F.element_at(hit, 1), F.lit(""))
+    return F.coalesce(F.try_element_at(hit, F.lit(1)), F.lit(""))
 
 
 def anchor_text(html: Column | str, fragment: str) -> Column:
     """Text of the first <a> whose href contains ``fragment``; '' if none."""
     anchors = F.regexp_extract_all(strip_noise(html), F.lit(r'(?is)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'), 0)
     hit = F.filter(anchors, lambda a: F.regexp_extract(a, r'href="([^"]*)"', 1).contains(fragment))
-    return F.coalesce(node_text(F.regexp_extract(F.element_at(hit, 1), r"(?is)^<a[^>]*>(.*)</a>$", 1)), F.lit(""))
+    return F.coalesce(node_text(F.regexp_extract(F.try_element_at(hit, F.lit(1)), r"(?is)^<a[^>]*>(.*)</a>$", 1)), F.lit(""))

@@ -25,7 +25,7 @@ def normalize_city(col: Column | str, aliases: Mapping[str, str] = lexicon.CITY_
     otherwise the text before the first comma. Null -> unknown."""
     c = _c(col)
     t = title_case(F.trim(c))
-    alias = F.element_at(F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv]), t)
+    alias = F.try_element_at(F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv]), t)
     step = F.when(is_junk_place(t), F.lit(unknown)).otherwise(F.coalesce(alias, t))
     step = F.when(step.rlike(lexicon.PARIS_DISTRICT_PATTERN), F.lit("Paris")).otherwise(step)
     step = F.when(step.contains(","), F.trim(F.split_part(step, F.lit(","), F.lit(1)))).otherwise(step)
@@ -35,7 +35,7 @@ def normalize_city(col: Column | str, aliases: Mapping[str, str] = lexicon.CITY_
 def normalize_city_explore(col: Column | str, aliases: Mapping[str, str] = lexicon.EXPLORE_CITY_ALIASES) -> Column:
     """Exploration rule: trim + title case + three Paris aliases; null stays null."""
     t = title_case(F.trim(_c(col)))
-    alias = F.element_at(F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv]), t)
+    alias = F.try_element_at(F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv]), t)
     return F.coalesce(alias, t)
 
 

@@ -51,8 +51,8 @@ def parse_salary(raw: Column | str) -> Column:
     blank = c.isNull() | (F.trim(c) == F.lit(""))
     nums = salary_numbers(c)
     n = F.size(nums)
-    a = F.element_at(nums, 1)
-    b = F.when(n >= 2, F.element_at(nums, 2)).otherwise(a)
+    a = F.try_element_at(nums, F.lit(1))
+    b = F.when(n >= 2, F.try_element_at(nums, F.lit(2))).otherwise(a)
     lo = F.when(~blank & (n >= 1), F.least(a, b))
     hi = F.when(~blank & (n >= 1), F.greatest(a, b))
     cur = F.when(blank, F.lit("EUR")).otherwise(detect_currency(c))

@@ -133,7 +133,7 @@ def extract_skills(col: Column | str, skills: Sequence[str] = lexicon.TECH_SKILL
         hits = F.regexp_extract_all(text, F.lit(pattern), 1)
         found = hits if found is None else F.concat(found, hits)
     idx = F.array_sort(F.array_distinct(F.filter(
-        F.transform(found, lambda m: F.element_at(pos, F.lower(m))), lambda i: i.isNotNull())))
+        F.transform(found, lambda m: F.try_element_at(pos, F.lower(m))), lambda i: i.isNotNull())))
     return F.transform(idx, lambda i: F.element_at(canon, i + 1))
 
 
