@@ -25,7 +25,8 @@ def normalize_contract(col: Column | str, mapping: Mapping[str, str] = lexicon.C
 
 
 def _words_pattern(words: Sequence[str]) -> str:
-    return f"(?iU){_WORD_BEFORE}(?:{'|'.join(quote_literal(w) for w in words)}){_WORD_AFTER}"
+    """Whole-word alternation of lower-cased words, applied to lower-cased text."""
+    return f"{_WORD_BEFORE}(?:{'|'.join(quote_literal(w.lower()) for w in words)}){_WORD_AFTER}"
 
 
 def infer_contract(contract: Column | str = "contract_type", title: Column | str = "title",
@@ -34,7 +35,7 @@ def infer_contract(contract: Column | str = "contract_type", title: Column | str
                    alternance_words: Sequence[str] = lexicon.ALTERNANCE_WORDS) -> Column:
     """Missing, CDI or CDD contracts become Alternance (priority) or Stage when the
     title+description mention them as whole words; others are kept."""
-    text = F.concat(F.coalesce(_c(title), F.lit("")), F.lit(" "), F.coalesce(_c(description), F.lit("")))
+    text = F.lower(F.concat(F.coalesce(_c(title), F.lit("")), F.lit(" "), F.coalesce(_c(description), F.lit(""))))
     is_alt = text.rlike(_words_pattern(alternance_words))
     is_stage = text.rlike(_words_pattern(stage_words))
     c = _c(contract)

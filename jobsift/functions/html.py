@@ -23,7 +23,8 @@ def _c(col):
 
 
 def strip_noise(html: Column | str) -> Column:
-    """Remove <script>, <style> blocks and comments."""
+    """Remove <script>, <style> blocks and comments. The other functions here take
+    HTML already passed through this, so a page is cleaned once per query."""
     return F.regexp_replace(_c(html), r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", "")
 
 
@@ -34,22 +35,31 @@ def decode_entities(col: Column) -> Column:
     return out
 
 
+def _strip_ws(t: Column) -> Column:
+    return F.regexp_replace(t, f"^{_WS}+|{_WS}+$", "")
+
+
 def node_text(fragment: Column) -> Column:
     """Text of an HTML fragment: text nodes stripped and joined with ''."""
     nodes = F.split(fragment, "<[^>]*>")
-    stripped = F.transform(nodes, lambda t: F.regexp_replace(decode_entities(t), f"^{_WS}+|{_WS}+$", ""))
+    stripped = F.transform(nodes, lambda t: _strip_ws(decode_entities(t)))
     return F.array_join(F.filter(stripped, lambda t: t != F.lit("")), "")
 
 
-def first_h1(html: Column | str) -> Column:
+def text_nodes(clean: Column | str) -> Column:
+    """Every text node of the page (tags removed, entities decoded, stripped), in order."""
+    return F.transform(F.split(_c(clean), "<[^>]*>"), lambda t: _strip_ws(decode_entities(t)))
+
+
+def first_h1(clean: Column | str) -> Column:
     """Text of the first <h1>, '' when absent."""
-    inner = F.regexp_extract(strip_noise(html), r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1>", 1)
+    inner = F.regexp_extract(_c(clean), r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1>", 1)
     return node_text(inner)
 
 
-def link_targets(html: Column | str, fragment: str) -> Column:
+def link_targets(clean: Column | str, fragment: str) -> Column:
     """All double-quoted href values of <a> tags containing ``fragment``, in page order."""
-    hrefs = F.regexp_extract_all(strip_noise(html), F.lit(r'(?is)<a\s[^>]*href="([^"]*)"'), 1)
+    hrefs = F.regexp_extract_all(_c(clean), F.lit(r'(?is)<a\s[^>]*href="([^"]*)"'), 1)
     return F.filter(hrefs, lambda h: h.contains(fragment) & (h != F.lit("")))
 
 
@@ -63,33 +73,36 @@ def url_origin(url: Column | str) -> Column:
     return F.regexp_extract(_c(url), r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
 
 
-def block_texts(html: Column | str) -> Column:
+def block_texts(clean: Column | str) -> Column:
     """Texts of every <p> and <li> element, in page order."""
-    body = strip_noise(html)
-    pieces = F.split(body, r"(?i)<(?:p|li)(?:\s[^>]*)?>")
+    pieces = F.split(_c(clean), r"(?i)<(?:p|li)(?:\s[^>]*)?>")
     contents = F.transform(F.slice(pieces, 2, 1 << 30),
                            lambda p: F.try_element_at(F.split(p, r"(?i)</(?:p|li)>|<(?:ul|ol)(?:\s[^>]*)?>|</(?:ul|ol)>"), F.lit(1)))
     return F.transform(contents, node_text)
 
 
-def body_text(html: Column | str, min_chars: int = 30, max_blocks: int = 50, exclude: str = "cookie") -> Column:
+def body_text(clean: Column | str, min_chars: int = 30, max_blocks: int = 50, exclude: str = "cookie") -> Column:
     """Blocks longer than ``min_chars`` that do not mention ``exclude``; first
     ``max_blocks`` of them, newline-joined."""
-    keep = F.filter(block_texts(html),
+    keep = F.filter(block_texts(clean),
                     lambda t: (F.length(t) > min_chars) & ~F.lower(t).contains(exclude))
     return F.array_join(F.slice(keep, 1, max_blocks), "\n")
 
 
-def first_match_text(html: Column | str, pattern: str) -> Column:
-    """First text node (tags removed) matching ``pattern``, stripped; '' if none."""
-    nodes = F.split(strip_noise(html), "<[^>]*>")
-    stripped = F.transform(nodes, lambda t: F.regexp_replace(decode_entities(t), f"^{_WS}+|{_WS}+$", ""))
-    hit = F.filter(stripped, lambda t: t.rlike(pattern))
+def first_match(nodes: Column | str, pattern: str) -> Column:
+    """First text node matching ``pattern``; '' if none."""
+    hit = F.filter(_c(nodes), lambda t: t.rlike(pattern))
     return F.coalesce(F.try_element_at(hit, F.lit(1)), F.lit(""))
 
 
-def anchor_text(html: Column | str, fragment: str) -> Column:
+def anchor_text(clean: Column | str, fragment: str) -> Column:
     """Text of the first <a> whose href contains ``fragment``; '' if none."""
-    anchors = F.regexp_extract_all(strip_noise(html), F.lit(r'(?is)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'), 0)
+    anchors = F.regexp_extract_all(_c(clean), F.lit(r'(?is)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'), 0)
     hit = F.filter(anchors, lambda a: F.regexp_extract(a, r'href="([^"]*)"', 1).contains(fragment))
     return F.coalesce(node_text(F.regexp_extract(F.try_element_at(hit, F.lit(1)), r"(?is)^<a[^>]*>(.*)</a>$", 1)), F.lit(""))
+
+
+def icon_label(clean: Column | str, alt: str) -> Column:
+    """Text right after an <img alt="..."> icon (the icon's label), stripped."""
+    raw = F.regexp_extract(_c(clean), f'(?is)<img[^>]*alt="{alt}"[^>]*>([^<]*)', 1)
+    return _strip_ws(decode_entities(raw))

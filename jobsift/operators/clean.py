@@ -264,6 +264,14 @@ def cast_types(df: DataFrame, types: Mapping[str, str] = TARGET_TYPES) -> DataFr
     return df.select(*out)
 
 
+def empty_postings(spark) -> DataFrame:
+    """An empty frame with the target schema (what reports get when nothing is loaded)."""
+    from pyspark.sql import types as _T
+    fields = [_T.StructField(c, {"string": _T.StringType(), "double": _T.DoubleType(),
+                                 "timestamp": _T.TimestampType()}[TARGET_TYPES[c]]) for c in lexicon.TARGET_COLUMNS]
+    return spark.createDataFrame([], _T.StructType(fields))
+
+
 def project_target(df: DataFrame, columns: Sequence[str] = lexicon.TARGET_COLUMNS) -> DataFrame:
     """The target columns in order; absent ones as typed nulls."""
     return df.select(*[F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(TARGET_TYPES.get(c, "string")).alias(c)

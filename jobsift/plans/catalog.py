@@ -462,3 +462,54 @@ FROM (SELECT unnest(skills) AS skill FROM s) GROUP BY skill ORDER BY n DESC, ski
 def q_top_skills_share(spark, d):
     docs = fx.load(spark, d, "documents").select("doc_id", "text")
     return explore.top_skills_share(explore.skills_array(docs, "text", fx.TEST_SKILLS))
+
+
+@register("join_keywords", S.with_(DOCS, _kw_values({"Hard Skill": fx.TEST_HARD}), _kw_counts_sql({"Hard Skill": fx.TEST_HARD})) + """
+SELECT family, keyword, position, n FROM counts""")
+def q_join_keywords(spark, d):
+    return skills.keyword_counts(_d(spark, d), {"Hard Skill": fx.TEST_HARD})
+
+
+FALLBACK_TEST = ["The", "Und", "Que", "License", "Zzzz"]
+
+
+@register("skill_premium_fallback", S.with_(DOCS, """
+sal AS (SELECT * FROM docs WHERE salary_avg IS NOT NULL)""", f"""
+g AS (SELECT {S.mean_money('salary_avg')} AS gm, COUNT(*) AS n_sal FROM sal)""", "fb(skill) AS (VALUES " + ", ".join(
+    f"({S.q(x)})" for x in FALLBACK_TEST) + ")", f"""
+per_skill AS (SELECT fb.skill, COUNT(*) AS n, {S.mean_money('salary_avg')} AS salary_mean
+              FROM sal JOIN fb ON contains({DOC_BLOB}, lower(fb.skill)) GROUP BY fb.skill)""") + """
+SELECT skill, n, salary_mean, (salary_mean - gm) / gm * 100 AS premium FROM per_skill, g WHERE n_sal >= 3
+ORDER BY premium DESC, skill LIMIT 15""")
+def q_skill_premium_fallback(spark, d):
+    # no listed skill reaches the (very high) row minimum, so the blob search runs
+    return salary.skill_premium(_d(spark, d), min_rows=10 ** 9, fallback=FALLBACK_TEST)
+
+
+_MATRIX_LABELS = ["EN", "FR", "DE", "Autre"]
+
+
+@register("skills_by_contract_matrix", S.with_(DOCS, f"""
+b AS (SELECT {S.contract_label_substr('contract_type', fx.TEST_CONTRACT_RULES)} AS label, {DOC_BLOB} AS blob FROM docs)""", f"""
+sc AS (SELECT skill, COUNT(*) AS n FROM (SELECT unnest({S.split_skills('tech_stack')}) AS skill FROM docs)
+       GROUP BY skill ORDER BY n DESC, skill LIMIT 10)""") + "SELECT sc.skill, " + ", ".join(
+    f"CAST(COUNT_IF(b.label = {S.q(lab)} AND contains(b.blob, lower(sc.skill))) AS BIGINT) AS {lab}" for lab in _MATRIX_LABELS)
+    + " FROM sc, b GROUP BY sc.skill")
+def q_skills_by_contract_matrix(spark, d):
+    from jobsift.plans.skills import skills_by_contract
+    long = skills_by_contract(_d(spark, d), 10, fx.TEST_CONTRACT_RULES)
+    return long.groupBy("skill").pivot("label", _MATRIX_LABELS).agg(F.sum("n").cast("bigint")).fillna(0)
+
+
+_CONTRACTS = ["CDI", "CDD", "Stage", "Alternance", "All"]
+
+
+@register("city_contract_matrix", S.with_(P, """
+k AS (SELECT city FROM postings WHERE city IS NOT NULL GROUP BY 1 ORDER BY COUNT(*) DESC, city LIMIT 10)""", """
+c AS (SELECT CASE WHEN GROUPING(city) = 1 THEN 'All' ELSE city END AS city,
+             CASE WHEN GROUPING(contract_type) = 1 THEN 'All' ELSE contract_type END AS contract_type, COUNT(*) AS n
+      FROM postings WHERE city IN (SELECT city FROM k) AND contract_type IS NOT NULL GROUP BY CUBE (city, contract_type))""")
+          + "SELECT city, " + ", ".join(f"CAST(COALESCE(SUM(CASE WHEN contract_type = {S.q(x)} THEN n END), 0) AS BIGINT) AS {x}"
+                                        for x in _CONTRACTS) + " FROM c GROUP BY city")
+def q_city_contract_matrix(spark, d):
+    return explore.city_contract_matrix(_p(spark, d), contracts=_CONTRACTS)

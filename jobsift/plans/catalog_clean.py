@@ -77,8 +77,13 @@ CLEAN_AS_OF = fx.ORDERS_AS_OF
 
 
 def raw_slices(spark, d) -> dict[str, DataFrame]:
-    """The postings view split by market segment into three sources, each in its own raw shape."""
-    p = _p(spark, d)
+    """The postings view split by market segment into three sources, each in its own raw shape.
+
+    The view is written once to the shared folder and the three sources scan it,
+    as three raw feeds would be scanned, instead of recomputing its joins three times.
+    """
+    from jobsift.session import materialize
+    p = materialize(_p(spark, d), "postings")
     k = lambda c: F.floor(F.col(c) / 1000).cast("string")
     api = p.filter(F.col("source").isin(*API_SOURCES)).select(
         "title", F.struct(F.col("company").alias("display_name")).alias("company"),
@@ -362,3 +367,27 @@ def q_salary_imputed_describe(spark, d):
     from jobsift.operators.aggs import money_mean
     imputed = explore.impute_group_median(_p(spark, d))
     return imputed.groupBy("title").agg(F.count(F.lit(1)).alias("n"), money_mean("salary_avg").alias("mean"))
+
+
+# ---------------------------------------------------------------- more shaping and lookups
+
+
+@register("cast_types", S.with_(P) + """
+SELECT posting_id, TRY_CAST(CASE WHEN posting_id % 11 = 0 THEN 'n/a' ELSE CAST(salary_avg AS VARCHAR) END AS DOUBLE) AS salary_avg,
+       TRY_CAST(CASE WHEN posting_id % 13 = 0 THEN 'soon' ELSE CAST(published_at AS VARCHAR) END AS TIMESTAMP) AS published_at,
+       CAST(title AS VARCHAR) AS title
+FROM postings""")
+def q_cast_types(spark, d):
+    p = _p(spark, d)
+    raw = p.select("posting_id",
+                   F.when(F.col("posting_id") % 11 == 0, F.lit("n/a")).otherwise(F.col("salary_avg").cast("string")).alias("salary_avg"),
+                   F.when(F.col("posting_id") % 13 == 0, F.lit("soon")).otherwise(F.col("published_at").cast("string")).alias("published_at"),
+                   "title")
+    return _ntz(clean.cast_types(raw))
+
+
+@register("semi_join_top_keys", S.with_(P, """
+t AS (SELECT city FROM postings WHERE city IS NOT NULL GROUP BY city ORDER BY COUNT(*) DESC, city LIMIT 5)""") + """
+SELECT posting_id, city FROM postings WHERE city IN (SELECT city FROM t)""")
+def q_semi_join_top_keys(spark, d):
+    return filters.filter_in_top(_p(spark, d), "city", 5).select("posting_id", "city")

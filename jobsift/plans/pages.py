@@ -18,10 +18,9 @@ CONTRACT_WORDS = ["CDI", "CDD", "Freelance", "Stage", "Alternance", "Intérim"]
 SALARY_HINT = r"\d+\s*[kK€]"
 
 
-def _icon_text(html, alt: str):
-    """Text right after an <img alt="..."> icon (the icon's label)."""
-    raw = F.regexp_extract(H.strip_noise(html), f'(?is)<img[^>]*alt="{alt}"[^>]*>([^<]*)', 1)
-    return F.regexp_replace(H.decode_entities(raw), f"^{H._WS}+|{H._WS}+$", "")
+def _cleaned(pages: DataFrame, cols: list[str], html: str) -> DataFrame:
+    """Pages with the HTML cleaned once (a separate projection, so every field reuses it)."""
+    return pages.select(*cols, H.strip_noise(html).alias("_clean"))
 
 
 def extract_links(pages: DataFrame, fragment: str = LISTING_LINK_FRAGMENT, html: str = "html", url: str = "url",
@@ -29,32 +28,40 @@ def extract_links(pages: DataFrame, fragment: str = LISTING_LINK_FRAGMENT, html:
     """(page, position, link): hrefs containing ``fragment``, made absolute against the
     page's origin, first occurrence kept, in page order."""
     base = H.url_origin(url)
-    links = F.transform(H.link_targets(html, fragment), lambda h: H.absolute_url(h, base))
+    links = F.transform(H.link_targets(H.strip_noise(html), fragment), lambda h: H.absolute_url(h, base))
     return pages.select(id_col, F.posexplode(F.array_distinct(links)).alias("position", "link"))
 
 
 def extract_page_fields(pages: DataFrame, html: str = "html", url: str = "url", id_col: str = "page_id") -> DataFrame:
     """title (h1), company (organisation link), location (icon label, else a
     'NNNNN ... France' text), remote (icon label), contract (first contract word),
-    salary (first salary-like text), url and description (body text)."""
-    word = "|".join(CONTRACT_WORDS)
-    contract_pat = f"(?iU)(?<![\\p{{L}}\\p{{N}}_])(?:{word})(?![\\p{{L}}\\p{{N}}_])"
-    location = F.coalesce(F.nullif(_icon_text(F.col(html), "location"), F.lit("")),
-                          H.first_match_text(html, LOCATION_FALLBACK))
-    return pages.select(
+    salary (first salary-like text), url and description (body text).
+
+    The page is cleaned and split into text nodes once, in a lower projection;
+    every field reads those.
+    """
+    word = "|".join(w.lower() for w in CONTRACT_WORDS)
+    contract_pat = f"(?<![\\p{{L}}\\p{{N}}_])(?:{word})(?![\\p{{L}}\\p{{N}}_])"
+    staged = _cleaned(pages, [id_col, url], html).withColumn("_nodes", H.text_nodes("_clean"))
+    location = F.coalesce(F.nullif(H.icon_label("_clean", "location"), F.lit("")),
+                          H.first_match("_nodes", LOCATION_FALLBACK))
+    contract = F.filter("_nodes", lambda t: F.lower(t).rlike(contract_pat))
+    return staged.select(
         id_col,
-        H.first_h1(html).alias("title"),
-        H.anchor_text(html, COMPANY_LINK_FRAGMENT).alias("company"),
+        H.first_h1("_clean").alias("title"),
+        H.anchor_text("_clean", COMPANY_LINK_FRAGMENT).alias("company"),
         location.alias("location"),
-        _icon_text(F.col(html), "remote").alias("remote"),
-        H.first_match_text(html, contract_pat).alias("contract_type"),
-        H.first_match_text(html, SALARY_HINT).alias("salary"),
+        H.icon_label("_clean", "remote").alias("remote"),
+        F.coalesce(F.try_element_at(contract, F.lit(1)), F.lit("")).alias("contract_type"),
+        H.first_match("_nodes", SALARY_HINT).alias("salary"),
         F.col(url).alias("url"),
-        H.body_text(html).alias("description"),
+        H.body_text("_clean").alias("description"),
     )
 
 
 def extract_body_text(pages: DataFrame, html: str = "html", id_col: str = "page_id") -> DataFrame:
-    """(page, description, n_blocks): the body text and how many blocks it holds."""
-    return pages.select(id_col, H.body_text(html).alias("description"),
-                        F.size(F.filter(H.block_texts(html), lambda t: F.length(t) > 30)).alias("n_long_blocks"))
+    """(page, description, n_long_blocks): the body text and how many blocks are long."""
+    staged = _cleaned(pages, [id_col], html).withColumn("_blocks", H.block_texts("_clean"))
+    keep = F.filter("_blocks", lambda t: (F.length(t) > 30) & ~F.lower(t).contains("cookie"))
+    return staged.select(id_col, F.array_join(F.slice(keep, 1, 50), "\n").alias("description"),
+                         F.size(F.filter("_blocks", lambda t: F.length(t) > 30)).alias("n_long_blocks"))

@@ -132,3 +132,10 @@ def test_json_docs_array_and_object(spark):
         json.dump({"title": "C"}, f, indent=2)
     df = files.scan_json_docs(spark, path, spark.createDataFrame([], "title string").schema)
     assert sorted(r[0] for r in df.collect()) == ["A", "B", "C"]
+
+
+def test_empty_postings_schema(spark):
+    from jobsift.operators.filters import filter_postings
+    df = clean.empty_postings(spark)
+    assert df.columns == clean.lexicon.TARGET_COLUMNS
+    assert filter_postings(df.withColumn("city_clean", F.col("city")), city="Paris", salary_range_k=(1, 2)).count() == 0
