@@ -72,20 +72,15 @@ def impute_group_median(df: DataFrame, col: str = "salary_avg", by: str = "title
               .withColumn(col, F.coalesce(F.col(col), F.col("_median"))).drop("_median"))
 
 
-def top_n_per_group(df: DataFrame, group: str, order: Sequence, n: int, salt_buckets: int = 64) -> DataFrame:
+def top_n_per_group(df: DataFrame, group: str, order: Sequence, n: int) -> DataFrame:
     """Top ``n`` rows per group, ranked 1..n.
 
-    Two phases so a hot group never sorts in one task: first the top ``n`` within
-    (group, salt) where salt is a hash of the whole row into ``salt_buckets``
-    buckets, then the top ``n`` of those (at most ``salt_buckets * n`` rows per
-    group). Same result as one window over the group.
+    ``row_number() <= n`` lets Spark plan a partial WindowGroupLimit before the
+    shuffle (a map-side top-n), so even a hot group sends at most ``n`` rows per
+    map partition to its final task.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salt_buckets))
-    w1 = Window.partitionBy(group, "_salt").orderBy(*order)
-    pre = (df.withColumn("_salt", salt).withColumn("_r", F.row_number().over(w1))
-             .filter(F.col("_r") <= n).drop("_r", "_salt"))
-    w2 = Window.partitionBy(group).orderBy(*order)
-    return pre.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= n)
+    w = Window.partitionBy(group).orderBy(*order)
+    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
 def skills_array(df: DataFrame, text_col: str = "description", skills: Sequence[str] = lexicon.EXPLORE_SKILLS) -> DataFrame:

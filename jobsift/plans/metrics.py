@@ -64,11 +64,15 @@ def counter_rate(samples: DataFrame, series: str = "user_id", ts: str = "ts", va
     inc = F.when(F.col("_prev_cents").isNull(), F.lit(None).cast("bigint")).when(
         F.col("cents") >= F.col("_prev_cents"), F.col("cents") - F.col("_prev_cents")).otherwise(F.col("cents"))
     rows = prev.select(id_col, series, "_us", "_chunk", inc.alias("_inc"))
-    # context: rows within the last window of a chunk also go to the next chunk
+    # each row belongs to its chunk; a row in the last window of its chunk is also
+    # emitted (as context) to the next chunk: one pass, at most two copies per row
     win = window_seconds * MICROS
     spill = F.floor((F.col("_us") + win) / (chunk_seconds * MICROS)).cast("bigint")
-    ctx = rows.filter(spill != F.col("_chunk")).withColumn("_chunk", spill).withColumn("_own", F.lit(False))
-    allrows = rows.withColumn("_own", F.lit(True)).unionByName(ctx)
+    copies = F.filter(F.array(F.struct(F.col("_chunk").alias("c"), F.lit(True).alias("own")),
+                              F.struct(spill.alias("c"), F.lit(False).alias("own"))),
+                      lambda x: x["own"] | (x["c"] != F.col("_chunk")))
+    allrows = (rows.select(id_col, series, "_us", "_inc", F.explode(copies).alias("_t"))
+                   .select(id_col, series, "_us", "_inc", F.col("_t.c").alias("_chunk"), F.col("_t.own").alias("_own")))
     w = Window.partitionBy(series, "_chunk").orderBy("_us").rangeBetween(-(win - 1), 0)
     num = F.coalesce(F.sum("_inc").over(w), F.lit(0)) - F.coalesce(F.first("_inc").over(w), F.lit(0))
     out = allrows.select(id_col, series, "_own", num.alias("rate_cents")).filter("_own")
