@@ -5,6 +5,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from jobsift import lexicon
+from jobsift.functions._let import let
 
 # A number possibly written with spaces ("45 000"), an optional decimal part,
 # then an optional K (thousands) after optional spaces.
@@ -45,18 +46,22 @@ def parse_salary(raw: Column | str) -> Column:
     """struct<salary_min double, salary_max double, currency string>.
 
     The first two numbers ordered (one number gives min = max); no number or a
-    null/blank text gives nulls. Blank or null text has currency EUR.
+    null/blank text gives nulls. Blank or null text has currency EUR. The number
+    list is extracted once per row (``let``).
     """
     c = _c(raw)
     blank = c.isNull() | (F.trim(c) == F.lit(""))
-    nums = salary_numbers(c)
-    n = F.size(nums)
-    a = F.try_element_at(nums, F.lit(1))
-    b = F.when(n >= 2, F.try_element_at(nums, F.lit(2))).otherwise(a)
-    lo = F.when(~blank & (n >= 1), F.least(a, b))
-    hi = F.when(~blank & (n >= 1), F.greatest(a, b))
     cur = F.when(blank, F.lit("EUR")).otherwise(detect_currency(c))
-    return F.struct(lo.alias("salary_min"), hi.alias("salary_max"), cur.alias("currency"))
+
+    def build(nums):
+        n = F.size(nums)
+        a = F.try_element_at(nums, F.lit(1))
+        b = F.when(n >= 2, F.try_element_at(nums, F.lit(2))).otherwise(a)
+        ok = ~blank & (n >= 1)
+        return F.struct(F.when(ok, F.least(a, b)).alias("salary_min"), F.when(ok, F.greatest(a, b)).alias("salary_max"),
+                        cur.alias("currency"))
+
+    return let(salary_numbers(c), build)
 
 
 def row_mean(a: Column | str, b: Column | str) -> Column:

@@ -155,13 +155,18 @@ def extract_skills_text(col: Column | str, skills: Sequence[str] = lexicon.TECH_
 def detect_work_mode(text: Column,
                      patterns: Sequence[tuple[str, str]] = lexicon.WORK_MODE_PATTERNS,
                      unknown: str = lexicon.WORK_MODE_UNKNOWN) -> Column:
-    """First label whose pattern matches (case-insensitive), else ``unknown``."""
-    t = F.lower(F.coalesce(text, F.lit("")))
-    out = None
-    for label, pat in patterns:
-        cond = t.rlike(f"(?U){pat.lower()}")
-        out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
-    return out.otherwise(F.lit(unknown))
+    """First label whose pattern matches (case-insensitive), else ``unknown``.
+    The text is lower-cased once (``let``) and each pattern runs without case folding."""
+    from jobsift.functions._let import let
+
+    def chain(t):
+        out = None
+        for label, pat in patterns:
+            cond = t.rlike(f"(?U){pat.lower()}")
+            out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
+        return out.otherwise(F.lit(unknown))
+
+    return let(F.lower(F.coalesce(text, F.lit(""))), chain)
 
 
 def work_mode_text(description: Column | str = "description", title: Column | str = "title") -> Column:

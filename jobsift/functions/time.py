@@ -25,9 +25,23 @@ def as_of_literal(as_of: str | _dt.datetime | Column) -> Column:
     return F.lit(as_of).cast("timestamp_ntz")
 
 
+EPOCH = "1970-01-01 00:00:00"
+_ZONED = r"\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*(?i:z|[+-]\d{2}(:?\d{2})?)$"
+
+
+def utc_wallclock(col: Column | str) -> Column:
+    """UTC wall clock (timestamp_ntz) of an instant (timestamp), whatever the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(col)), F.lit(EPOCH).cast("timestamp_ntz"))
+
+
 def normalize_date(col: Column | str) -> Column:
-    """Parse text to a timestamp; anything unparseable becomes null."""
-    return F.try_to_timestamp(_c(col).cast("string"))
+    """Parse text to a UTC wall-clock timestamp (timestamp_ntz); unparseable -> null.
+
+    Text with an explicit zone (Z, +02:00) is read as that instant; text without a
+    zone is taken as UTC. The result does not depend on the session time zone.
+    """
+    s = _c(col).cast("string")
+    return F.when(s.rlike(_ZONED), utc_wallclock(F.try_to_timestamp(s))).otherwise(s.try_cast("timestamp_ntz"))
 
 
 def publication_date(col: Column | str) -> Column:

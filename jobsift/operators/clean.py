@@ -18,14 +18,14 @@ from jobsift.functions.contract import infer_contract, normalize_contract
 from jobsift.functions.place import normalize_city
 from jobsift.functions.salary import parse_salary, salary_avg
 from jobsift.functions.text import dedup_key_part, extract_skills_text, norm_key
-from jobsift.functions.time import as_of_literal, normalize_date
+from jobsift.functions.time import as_of_literal, normalize_date, utc_wallclock
 
 TARGET_TYPES = {
     "title": "string", "company": "string", "city": "string", "contract_type": "string",
     "salary_min": "double", "salary_max": "double", "salary_avg": "double",
     "currency": "string", "description": "string", "category": "string",
-    "published_at": "timestamp", "url": "string", "source": "string",
-    "tech_stack": "string", "collected_at": "timestamp",
+    "published_at": "timestamp_ntz", "url": "string", "source": "string",
+    "tech_stack": "string", "collected_at": "timestamp_ntz",
 }
 
 SOURCE_MAPS = {
@@ -126,7 +126,7 @@ def normalize(df: DataFrame, source: str, as_of=None) -> DataFrame:
     g = lambda n, t="string": _col_or_null(df, n, t)
     published = normalize_date(g("published_at"))
     collected = (normalize_date(F.col("_fetched_at")) if "_fetched_at" in df.columns
-                 else (as_of_literal(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()))
+                 else (as_of_literal(as_of) if as_of is not None else utc_wallclock(F.current_timestamp())))
     if source == "api":
         smin = g("salary_min").cast("string").try_cast("double")
         smax = g("salary_max").cast("string").try_cast("double")
@@ -254,9 +254,10 @@ def cast_types(df: DataFrame, types: Mapping[str, str] = TARGET_TYPES) -> DataFr
         if t == "double":
             out.append(col.cast("string").try_cast("double").alias(c) if dict(df.dtypes)[c] == "string"
                        else col.cast("double").alias(c))
-        elif t == "timestamp":
+        elif t == "timestamp_ntz":
             dt = dict(df.dtypes)[c]
-            out.append((col if dt in ("timestamp", "timestamp_ntz") else normalize_date(col)).alias(c))
+            conv = col if dt == "timestamp_ntz" else (utc_wallclock(col) if dt == "timestamp" else normalize_date(col))
+            out.append(conv.alias(c))
         elif t == "string":
             out.append(col.cast("string").alias(c))
         else:
@@ -268,7 +269,7 @@ def empty_postings(spark) -> DataFrame:
     """An empty frame with the target schema (what reports get when nothing is loaded)."""
     from pyspark.sql import types as _T
     fields = [_T.StructField(c, {"string": _T.StringType(), "double": _T.DoubleType(),
-                                 "timestamp": _T.TimestampType()}[TARGET_TYPES[c]]) for c in lexicon.TARGET_COLUMNS]
+                                 "timestamp_ntz": _T.TimestampNTZType()}[TARGET_TYPES[c]]) for c in lexicon.TARGET_COLUMNS]
     return spark.createDataFrame([], _T.StructType(fields))
 
 

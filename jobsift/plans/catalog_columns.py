@@ -155,7 +155,9 @@ def q_contract_inference_counts(spark, d):
 SELECT event_id, raw_date, epoch_us(TRY_CAST(raw_date AS TIMESTAMPTZ)) AS published_us FROM dates""")
 def q_normalize_date(spark, d):
     t = fx.date_texts_view(spark, d)
-    return t.select("event_id", "raw_date", F.unix_micros(J.normalize_date("raw_date")).alias("published_us"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return t.select("event_id", "raw_date",
+                    F.timestamp_diff("MICROSECOND", epoch, J.normalize_date("raw_date")).alias("published_us"))
 
 
 _AS_OF = f"TIMESTAMP '{fx.TEST_AS_OF}'"

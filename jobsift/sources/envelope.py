@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobsift.functions.time import as_of_literal
+from jobsift.functions.time import as_of_literal, utc_wallclock
 from jobsift.operators.clean import flatten_struct, unwrap_envelope  # noqa: F401  (re-exported)
 
 FETCHED_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -14,7 +14,7 @@ def wrap_envelope(df: DataFrame, source: str, country: str = "fr", search_query:
                   page=1, fetched_at=None) -> DataFrame:
     """Nest each record under ``data`` with the envelope fields. ``fetched_at`` is the
     fetch instant (UTC); pass it explicitly for reproducible output."""
-    ts = as_of_literal(fetched_at) if fetched_at is not None else F.current_timestamp()
+    ts = as_of_literal(fetched_at) if fetched_at is not None else utc_wallclock(F.current_timestamp())
     page_col = page if not isinstance(page, int) else F.lit(page)
     return df.select(F.lit(source).alias("source"), F.lit(country).alias("country"),
                      F.lit(search_query).alias("search_query"), page_col.cast("int").alias("page"),
