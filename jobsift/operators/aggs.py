@@ -34,9 +34,14 @@ def money_median(col: Column | str, exact: bool = True) -> Column:
     return F.percentile_approx(to_cents(col), 0.5, 10000) / 100
 
 
-def money_quantiles(col: Column | str, qs: Sequence[float] = (0.0, 0.25, 0.5, 0.75, 1.0)) -> Column:
-    """Linearly interpolated quantiles at cent precision, as array<double>."""
-    arr = F.percentile(to_cents(col), F.array(*[F.lit(float(q)) for q in qs]))
+def money_quantiles(col: Column | str, qs: Sequence[float] = (0.0, 0.25, 0.5, 0.75, 1.0),
+                    exact: bool = True) -> Column:
+    """Linearly interpolated quantiles at cent precision, as array<double>.
+
+    Exact quantiles keep a count per distinct value of the group; ``exact=False``
+    uses the mergeable ``percentile_approx`` sketch (bounded memory per group)."""
+    probs = F.array(*[F.lit(float(q)) for q in qs])
+    arr = F.percentile(to_cents(col), probs) if exact else F.percentile_approx(to_cents(col), probs, 10000)
     return F.transform(arr, lambda v: v / 100)
 
 

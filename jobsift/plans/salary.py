@@ -62,10 +62,10 @@ def skill_premium(df: DataFrame, top: int = 20, min_rows: int = 2, show: int = 1
     return primary.orderBy(F.desc("premium"), F.asc("skill")).limit(show)
 
 
-def salary_by_source(df: DataFrame) -> DataFrame:
+def salary_by_source(df: DataFrame, exact: bool = True) -> DataFrame:
     """Per source (rows with salary): mean, median, rows."""
     return _salaried(df).groupBy("source").agg(money_mean("salary_avg").alias("salary_mean"),
-                                                money_median("salary_avg").alias("salary_median"),
+                                                money_median("salary_avg", exact).alias("salary_median"),
                                                 F.count(F.lit(1)).alias("n"))
 
 
@@ -76,9 +76,10 @@ def salary_by_city(df: DataFrame, min_rows: int = 3, top: int = 10) -> DataFrame
     return g.filter(F.col("n") >= min_rows).orderBy(F.desc("salary_mean"), F.asc("city_clean")).limit(top)
 
 
-def box_stats(df: DataFrame, by: str, col: str = "salary_avg") -> DataFrame:
-    """Per group: rows, min, q1, median, q3, max and the 1.5 x IQR fences (linear interpolation)."""
-    q = money_quantiles(col)
+def box_stats(df: DataFrame, by: str, col: str = "salary_avg", exact: bool = True) -> DataFrame:
+    """Per group: rows, min, q1, median, q3, max and the 1.5 x IQR fences (linear
+    interpolation; ``exact=False`` for the bounded-memory sketch on huge groups)."""
+    q = money_quantiles(col, exact=exact)
     g = df.filter(F.col(col).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("n"), q.alias("_q"))
     q1, q3 = F.col("_q")[1], F.col("_q")[3]
     return g.select(by, "n", F.col("_q")[0].alias("min"), q1.alias("q1"), F.col("_q")[2].alias("median"),

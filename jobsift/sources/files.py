@@ -22,12 +22,13 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
 
 
 def scan_jsonl(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-               glob: str | None = None, keep_corrupt: bool = False) -> DataFrame:
+               glob: str | None = None, keep_corrupt: bool = False, skip_unreadable: bool = False) -> DataFrame:
     """Every JSON-lines file under ``path`` (recursively). Blank lines are skipped;
     malformed lines are dropped unless ``keep_corrupt`` (then ``_corrupt`` holds the
     line). ``_file`` is the source file of each row."""
     r = (spark.read.schema(_with_corrupt(schema)).option("mode", "PERMISSIVE")
-         .option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", "true"))
+         .option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", "true")
+         .option("ignoreCorruptFiles", str(skip_unreadable).lower()))
     if glob:
         r = r.option("pathGlobFilter", glob)
     df = r.json(path if isinstance(path, str) else list(path))
@@ -52,20 +53,20 @@ def rejects_report(spark: SparkSession, path: str | Sequence[str], glob: str | N
 
 
 def scan_json_docs(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-                   glob: str | None = None) -> DataFrame:
+                   glob: str | None = None, skip_unreadable: bool = False) -> DataFrame:
     """Whole-file JSON documents: each file is one object or an array of objects."""
     r = (spark.read.schema(schema).option("multiLine", "true").option("recursiveFileLookup", "true")
-         .option("mode", "DROPMALFORMED"))
+         .option("mode", "DROPMALFORMED").option("ignoreCorruptFiles", str(skip_unreadable).lower()))
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.json(path if isinstance(path, str) else list(path))
 
 
 def scan_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
-             glob: str | None = None) -> DataFrame:
+             glob: str | None = None, skip_unreadable: bool = False) -> DataFrame:
     """Headered UTF-8 CSV; an explicit schema, or all columns as text when none is given."""
     r = (spark.read.option("header", "true").option("encoding", "UTF-8").option("recursiveFileLookup", "true")
-         .option("mode", "PERMISSIVE"))
+         .option("mode", "PERMISSIVE").option("ignoreCorruptFiles", str(skip_unreadable).lower()))
     if schema is not None:
         r = r.schema(schema)
     if glob:
@@ -83,14 +84,13 @@ def scan_mixed_dir(spark: SparkSession, path: str, schema: T.StructType,
                    csv_schema: T.StructType | None = None) -> DataFrame:
     """Dispatch files by extension (JSON lines, JSON documents, CSV), ignore others,
     and union the results by column name. Unreadable files are skipped."""
-    spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
     parts = []
     if _has_files(spark, path, lines_glob):
-        parts.append(scan_jsonl(spark, path, schema, glob=lines_glob).drop("_file"))
+        parts.append(scan_jsonl(spark, path, schema, glob=lines_glob, skip_unreadable=True).drop("_file"))
     if _has_files(spark, path, doc_glob):
-        parts.append(scan_json_docs(spark, path, schema, glob=doc_glob))
+        parts.append(scan_json_docs(spark, path, schema, glob=doc_glob, skip_unreadable=True))
     if _has_files(spark, path, csv_glob):
-        parts.append(scan_csv(spark, path, csv_schema, glob=csv_glob))
+        parts.append(scan_csv(spark, path, csv_schema, glob=csv_glob, skip_unreadable=True))
     if not parts:
         return spark.createDataFrame([], schema)
     out = parts[0]
