@@ -63,6 +63,45 @@ SCRAPED_COLUMN_MAP = {
     "remote": "remote",
 }
 
+# --- FIXED VALUES: exploration (notebook) column names ----------------------
+EXPLORE_API_RENAME = {
+    "title": "intitule_poste",
+    "description": "description",
+    "company.display_name": "entreprise",
+    "location.display_name": "ville",
+    "location.area": "region_list",
+    "category.label": "categorie",
+    "contract_type": "type_contrat",
+    "contract_time": "temps_contrat",
+    "salary_min": "salaire_min",
+    "salary_max": "salaire_max",
+    "created": "date_publication",
+    "redirect_url": "url",
+    "latitude": "latitude",
+    "longitude": "longitude",
+    "id": "id_offre",
+    "_source": "source",
+    "_fetched_at": "date_collecte",
+}
+
+EXPLORE_THIRD_RENAME = {
+    "title": "intitule_poste",
+    "company_name": "entreprise",
+    "location": "ville",
+    "description": "description",
+    "contract_type": "type_contrat",
+    "salary": "salaire_brut",
+    "published_at": "date_publication",
+    "url": "url",
+    "_source": "source",
+}
+
+EXPLORE_EXPORT_COLUMNS = [
+    "intitule_poste", "entreprise", "ville", "type_contrat",
+    "salaire_min", "salaire_max", "salaire_moyen",
+    "description", "categorie", "date_publication", "source", "url",
+]
+
 # --- FIXED VALUES: skills searched in descriptions (cleaning) ---------------
 TECH_SKILLS = [
     "Python", "SQL", "R", "Scala", "Java", "Julia", "Go",

@@ -46,3 +46,25 @@ def truncate_for_export(df: DataFrame, text_cols=("description",), n: int = lexi
         if c in out.columns:
             out = out.withColumn(c, F.col(c).cast("string"))
     return out
+
+
+def explore_rename(df: DataFrame, mapping: Mapping[str, str], source: str | None = None) -> DataFrame:
+    """Exploration shaping: the mapped columns present (dotted paths allowed), renamed,
+    in map order; ``source`` fills the '_source' entry when given."""
+    from jobsift.operators.clean import _has_path, _path_col
+    cols = []
+    for raw, name in mapping.items():
+        if raw == "_source" and source is not None:
+            cols.append(F.lit(source).alias(name))
+        elif raw in df.columns:
+            cols.append(F.col(f"`{raw}`").alias(name))
+        elif "." in raw and _has_path(df, raw):
+            cols.append(_path_col(raw).alias(name))
+    return df.select(*cols)
+
+
+def explore_export(df: DataFrame, columns=lexicon.EXPLORE_EXPORT_COLUMNS, n: int = lexicon.DESCRIPTION_MAX_CHARS) -> DataFrame:
+    """Export table of the exploration: the listed columns present, dates as text,
+    descriptions cut to ``n`` characters."""
+    out = df.select(*[c for c in columns if c in df.columns])
+    return truncate_for_export(out, text_cols=("description",), n=n, date_cols=("date_publication",))

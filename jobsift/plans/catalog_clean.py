@@ -391,3 +391,19 @@ t AS (SELECT city FROM postings WHERE city IS NOT NULL GROUP BY city ORDER BY CO
 SELECT posting_id, city FROM postings WHERE city IN (SELECT city FROM t)""")
 def q_semi_join_top_keys(spark, d):
     return filters.filter_in_top(_p(spark, d), "city", 5).select("posting_id", "city")
+
+
+
+@register("explore_export", S.with_(P) + f"""
+SELECT title AS intitule_poste, company AS entreprise, city AS ville, contract_type AS type_contrat,
+       salary_min AS salaire_min, salary_max AS salaire_max,
+       CASE WHEN (salary_min + salary_max) / 2 >= 1000 AND (salary_min + salary_max) / 2 <= 200000
+            THEN (salary_min + salary_max) / 2 END AS salaire_moyen,
+       substring(tech_stack, 1, 5000) AS description, CAST(published_at AS VARCHAR) AS date_publication,
+       'adzuna' AS source, url
+FROM postings WHERE source IN {_in(API_SOURCES)}""")
+def q_explore_export(spark, d):
+    api = raw_slices(spark, d)["api"]
+    renamed = profile.explore_rename(api, lexicon.EXPLORE_API_RENAME, source="adzuna")
+    with_avg = renamed.withColumn("salaire_moyen", J.salary_avg_explore("salaire_min", "salaire_max"))
+    return profile.explore_export(with_avg)
