@@ -21,11 +21,11 @@ from jobsift.plans.registry import DOC_BLOB, DOCS, QUERIES, SQL, E, P, _d, _e, _
 @register("overview_kpis", S.with_(P) + f"""
 SELECT COUNT(*) AS n_rows, {S.mean_money('salary_avg')} AS salary_mean, {S.median_money('salary_avg')} AS salary_median,
        MIN(salary_min) AS salary_min, MAX(salary_max) AS salary_max,
-       COUNT_IF(contract_type = 'CDI') AS n_cdi, {S.pct("contract_type = 'CDI'")} AS pct_cdi,
-       COUNT_IF(contract_type = 'Stage') AS n_stage, {S.pct("contract_type = 'Stage'")} AS pct_stage,
-       COUNT_IF(contract_type = 'Alternance') AS n_alternance, {S.pct("contract_type = 'Alternance'")} AS pct_alternance,
+       CAST(COUNT_IF(contract_type = 'CDI') AS BIGINT) AS n_cdi, {S.pct("contract_type = 'CDI'")} AS pct_cdi,
+       CAST(COUNT_IF(contract_type = 'Stage') AS BIGINT) AS n_stage, {S.pct("contract_type = 'Stage'")} AS pct_stage,
+       CAST(COUNT_IF(contract_type = 'Alternance') AS BIGINT) AS n_alternance, {S.pct("contract_type = 'Alternance'")} AS pct_alternance,
        COUNT(DISTINCT company) AS n_companies, COUNT(DISTINCT city_clean) AS n_cities,
-       COUNT_IF(COALESCE(tech_stack, '') <> '') AS n_with_skills
+       CAST(COUNT_IF(COALESCE(tech_stack, '') <> '') AS BIGINT) AS n_with_skills
 FROM postings""")
 def q_overview_kpis(spark, d):
     return overview.overview_kpis(_p(spark, d))
@@ -116,7 +116,7 @@ def _kw_values(families: dict) -> str:
 def _kw_counts_sql(families: dict) -> str:
     return f"""
 counts AS (SELECT family, keyword, CAST(position AS INTEGER) AS position,
-                  COUNT_IF(regexp_matches(b.blob, kw.pattern)) AS n
+                  CAST(COUNT_IF(regexp_matches(b.blob, kw.pattern)) AS BIGINT) AS n
            FROM kw, (SELECT {DOC_BLOB} AS blob FROM docs) b GROUP BY family, keyword, position)"""
 
 
@@ -142,7 +142,7 @@ def q_hard_vs_soft(spark, d):
 
 
 @register("cloud_providers", S.with_(DOCS, f"b AS (SELECT {DOC_BLOB} AS blob FROM docs)") + " UNION ALL ".join(
-    f"SELECT {S.q(p)} AS provider, COUNT_IF({S.has_any('blob', kws)}) AS n FROM b"
+    f"SELECT {S.q(p)} AS provider, CAST(COUNT_IF({S.has_any('blob', kws)}) AS BIGINT) AS n FROM b"
     for p, kws in fx.TEST_PROVIDERS.items()))
 def q_cloud_providers(spark, d):
     return skills.cloud_providers(_d(spark, d), fx.TEST_PROVIDERS)

@@ -139,8 +139,8 @@ def q_infer_contract(spark, d):
 d AS (SELECT doc_id, lang AS title, text AS description,
              {S.normalize_contract(f"CAST({fx._sql_list(_DOC_CONTRACTS)} AS VARCHAR[])[doc_id % 5 + 1]")} AS c FROM documents)""", f"""
 i AS (SELECT {_infer_sql('c', "COALESCE(title, '') || ' ' || COALESCE(description, '')")} AS contract_type FROM d)""") + """
-SELECT COUNT_IF(contract_type = 'Stage') AS n_stage, COUNT_IF(contract_type = 'Alternance') AS n_alternance,
-       COUNT_IF(contract_type IS NULL) AS n_missing FROM i""")
+SELECT CAST(COUNT_IF(contract_type = 'Stage') AS BIGINT) AS n_stage, CAST(COUNT_IF(contract_type = 'Alternance') AS BIGINT) AS n_alternance,
+       CAST(COUNT_IF(contract_type IS NULL) AS BIGINT) AS n_missing FROM i""")
 def q_contract_inference_counts(spark, d):
     inferred = q_infer_contract(spark, d)
     ct = F.col("contract_type")
@@ -199,7 +199,7 @@ def q_extract_skills_text(spark, d):
 
 
 @register("text_search", S.with_(DOCS) + f"""
-SELECT posting_id, length({S.blob()}) AS blob_chars, {S.has_any(S.blob(), fx.TEST_GENAI)} AS has_any_keyword,
+SELECT posting_id, CAST(length({S.blob()}) AS INTEGER) AS blob_chars, {S.has_any(S.blob(), fx.TEST_GENAI)} AS has_any_keyword,
        {S.has_word(S.blob(), 'the')} AS has_word_the, {S.has_words(S.blob(), ['und', 'que'])} AS has_any_word
 FROM docs""")
 def q_text_search(spark, d):
@@ -239,7 +239,7 @@ def q_is_filled_norm_key(spark, d):
 
 
 @register("truncate_text", """
-SELECT doc_id, length(substring(text, 1, 5000)) AS n_chars_kept, substring(text, 1, 5000) = text AS whole FROM documents""")
+SELECT doc_id, CAST(length(substring(text, 1, 5000)) AS INTEGER) AS n_chars_kept, substring(text, 1, 5000) = text AS whole FROM documents""")
 def q_truncate_text(spark, d):
     docs = fx.load(spark, d, "documents")
     t = J.truncate_text("text")
@@ -247,7 +247,7 @@ def q_truncate_text(spark, d):
 
 
 @register("enrich_coverage", S.with_(DOCS) + """
-SELECT COUNT(*) AS n_rows, COUNT_IF(tech_stack <> '') AS n_with_skills, COUNT_IF(tech_stack <> '') * 100 / COUNT(*) AS pct
+SELECT COUNT(*) AS n_rows, CAST(COUNT_IF(tech_stack <> '') AS BIGINT) AS n_with_skills, COUNT_IF(tech_stack <> '') * 100 / COUNT(*) AS pct
 FROM docs""")
 def q_enrich_coverage(spark, d):
     from jobsift.operators.aggs import pct

@@ -61,7 +61,7 @@ def q_scan_jsonl(spark, d):
 
 
 @register("rejects_report", """
-SELECT COUNT_IF(event_type <> 'error') AS n_good, COUNT_IF(event_type = 'error') AS n_bad FROM events""")
+SELECT CAST(COUNT_IF(event_type <> 'error') AS BIGINT) AS n_good, CAST(COUNT_IF(event_type = 'error') AS BIGINT) AS n_bad FROM events""")
 def q_rejects_report(spark, d):
     path, _ = _write_event_lines(spark, d, damaged=True)
     per_file = files.rejects_report(spark, path)

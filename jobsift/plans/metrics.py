@@ -87,10 +87,19 @@ def rate_by_label(rates: DataFrame, labels: DataFrame, label: str, id_col: str =
                                  / (F.count(F.lit(1)) * window_seconds * 100)).alias("mean_rate"))
 
 
+STEP_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def step_start(ts: str, step: str) -> Column:
+    """Start of the fixed-length step containing ``ts`` (zone-free wall clock)."""
+    size = STEP_SECONDS[step] * MICROS
+    return F.timestamp_add("MICROSECOND", F.floor(_micros(ts) / size) * size, F.lit(EPOCH).cast("timestamp_ntz"))
+
+
 def usage_ratio(samples: DataFrame, available: str, total: str, series: str = "user_id", ts: str = "ts",
                 name: str = "event_type", value: str = "value", step: str = "minute") -> DataFrame:
     """(1 - available / total) * 100 from two gauges sampled in the same step."""
-    t = F.date_trunc(step, F.col(ts))
+    t = step_start(ts, step)
     g = samples.groupBy(series, t.alias("step_start")).agg(
         F.max(F.when(F.col(name) == available, F.col(value))).alias("available"),
         F.max(F.when(F.col(name) == total, F.col(value))).alias("total"))
