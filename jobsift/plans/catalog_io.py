@@ -183,3 +183,25 @@ def q_stream_clean(spark, d):
     back = _ntz(spark.read.parquet(out))
     return back.select("title", "company", "city", "contract_type", "salary_min", "salary_max", "salary_avg", "currency",
                        "description", "published_at", "url", "source", "collected_at", "source_id")
+
+
+@register("clean_job", cc.BUILD_CLEAN_SQL)
+def q_clean_job(spark, d):
+    """The whole batch job from files: raw feeds written from the postings view
+    (API and scraped feeds as envelope JSON lines, the third feed as CSV), then
+    scanned, cleaned and written to the parquet store, which is returned."""
+    from jobsift.plans import job
+    slices = cc.raw_slices(spark, d)
+    fetched = fx.ORDERS_AS_OF[:10] + "T" + fx.ORDERS_AS_OF[11:] + "Z"
+    root = scratch_path(spark, "feeds")
+    feeds = {}
+    for kind in ("api", "scraped"):
+        raw = slices[kind]
+        env = raw.select(F.lit(kind).alias("source"), F.lit(fetched).alias("fetched_at"), F.struct(*raw.columns).alias("data"))
+        env.write.json(f"{root}/{kind}")
+        feeds[kind] = job.load_feed(spark, f"{root}/{kind}", env.schema)
+    third = slices["third"]
+    writers.write_csv(third, f"{root}/third")
+    feeds["third"] = job.load_feed(spark, f"{root}/third", third.schema, kind="mixed", csv_schema=third.schema)
+    table = job.run_clean_job(spark, feeds, scratch_path(spark, "clean_out"), as_of=cc.CLEAN_AS_OF, skills=cc.PART_SKILLS)
+    return _ntz(table)
