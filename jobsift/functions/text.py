@@ -75,11 +75,13 @@ def keyword_pattern(keywords: Sequence[str], match: str = "substring") -> str:
     return f"(?:{alt})"
 
 
-def has_any_keyword(col: Column | str, keywords: Sequence[str], match: str = "substring") -> Column:
+def has_any_keyword(col: Column | str, keywords: Sequence[str], match: str = "substring",
+                    assume_lower: bool = False) -> Column:
     """True when any keyword occurs, case-insensitively (substring by default, as the
-    reports count). The text is lower-cased once; substrings use a plain string search,
-    whole words one regex without case folding (much cheaper than ``(?i)``)."""
-    low = F.lower(_c(col))
+    reports count). The text is lower-cased once (not at all with ``assume_lower``,
+    e.g. for a text blob); substrings use a plain string search, whole words one
+    regex without case folding (much cheaper than ``(?i)``)."""
+    low = _c(col) if assume_lower else F.lower(_c(col))
     if match == "word":
         return F.coalesce(low.rlike(keyword_pattern(keywords, "word")), F.lit(False))
     cond = None
@@ -89,9 +91,9 @@ def has_any_keyword(col: Column | str, keywords: Sequence[str], match: str = "su
     return F.coalesce(cond, F.lit(False))
 
 
-def has_word(col: Column | str, term: str) -> Column:
+def has_word(col: Column | str, term: str, assume_lower: bool = False) -> Column:
     """Whole-word, case-insensitive match of one term."""
-    return has_any_keyword(col, [term], match="word")
+    return has_any_keyword(col, [term], match="word", assume_lower=assume_lower)
 
 
 def split_skills(col: Column | str, lower: bool = False) -> Column:
@@ -102,48 +104,38 @@ def split_skills(col: Column | str, lower: bool = False) -> Column:
     return F.filter(items, lambda s: s != F.lit(""))
 
 
-def _prefix_layers(terms: Sequence[str]) -> list[list[int]]:
-    """Split term indices into layers in which no term is a whole-word prefix of
-    another (only such terms can match at the same start position)."""
-    layers: list[list[int]] = []
-    low = [t.lower() for t in terms]
-
-    def conflict(a: str, b: str) -> bool:
-        short, long_ = (a, b) if len(a) <= len(b) else (b, a)
-        return long_ == short or (long_.startswith(short) and not re.match(r"\w", long_[len(short)]))
-
-    for i, t in enumerate(low):
-        for layer in layers:
-            if not any(conflict(t, low[j]) for j in layer):
-                layer.append(i)
-                break
-        else:
-            layers.append([i])
-    return layers
+def _is_single_word(term: str) -> bool:
+    return re.fullmatch(r"[^\W]+", term) is not None
 
 
 def extract_skills(col: Column | str, skills: Sequence[str] = lexicon.TECH_SKILLS) -> Column:
     """Skills found as whole words (case-insensitive), distinct, in list order.
 
-    The text is lower-cased once; one zero-width lookahead pass over it reports, at
-    every word start, the skill that matches there, so overlapping mentions are
-    all seen (one regex pass instead of one per skill, and no per-character case
-    folding). Skills that are word-prefixes of each other go to separate passes.
-    A match is mapped back to its list position by a literal map; the result is
-    ordered by that position.
+    The text is lower-cased once. Skills made only of word characters ("python",
+    "r") are found by splitting the text into words once and intersecting with the
+    skill set (a hash lookup per word; whole-word match and word equality are the
+    same thing). Skills with other characters ("power bi", "ci/cd") are first looked
+    for as plain substrings, and only where present checked with their word-bounded
+    pattern. A match is mapped back to its list position by a literal map; the
+    result is ordered by that position. No regex pass per skill over every text.
     """
     skills = list(skills)
-    pos = F.create_map(*[x for i, s in enumerate(skills) for x in (F.lit(s.lower()), F.lit(i))])
+    low_skills = [x.lower() for x in skills]
+    pos = F.create_map(*[x for i, s in enumerate(low_skills) for x in (F.lit(s), F.lit(i))])
     canon = F.array(*[F.lit(s) for s in skills])
     text = F.lower(F.coalesce(_c(col), F.lit("")))
-    found = None
-    for layer in _prefix_layers(skills):
-        alt = "|".join(quote_literal(skills[i].lower()) for i in layer)
-        pattern = f"{_WORD_BEFORE}(?=({alt}){_WORD_AFTER})"
-        hits = F.regexp_extract_all(text, F.lit(pattern), 1)
-        found = hits if found is None else F.concat(found, hits)
-    idx = F.array_sort(F.array_distinct(F.filter(
-        F.transform(found, lambda m: F.try_element_at(pos, m)), lambda i: i.isNotNull())))
+    single = sorted({s for s in low_skills if _is_single_word(s)})
+    multi = [s for s in dict.fromkeys(low_skills) if not _is_single_word(s)]
+    parts = []
+    if single:
+        words = F.split(text, r"[^\p{L}\p{N}_]+")
+        parts.append(F.array_intersect(words, F.array(*[F.lit(s) for s in single])))
+    if multi:
+        hits = [F.when(text.contains(s) & text.rlike(f"{_WORD_BEFORE}{quote_literal(s)}{_WORD_AFTER}"), F.lit(s))
+                for s in multi]
+        parts.append(F.filter(F.array(*hits), lambda x: x.isNotNull()))
+    found = parts[0] if len(parts) == 1 else F.concat(*parts)
+    idx = F.array_sort(F.array_distinct(F.transform(found, lambda m: F.try_element_at(pos, m))))
     return F.transform(idx, lambda i: F.element_at(canon, i + 1))
 
 

@@ -18,6 +18,7 @@ from jobsift.plans.overview import skill_counts
 
 
 def _blob(df: DataFrame) -> DataFrame:
+    """Add ``_blob``: lower(description || ' ' || tech_stack), computed once per row."""
     desc = F.col("description") if "description" in df.columns else F.lit(None).cast("string")
     stack = F.col("tech_stack") if "tech_stack" in df.columns else F.lit(None).cast("string")
     return df.withColumn("_blob", text_blob(desc, stack))
@@ -28,10 +29,10 @@ def skills_kpis(df: DataFrame, word_a: str = "python", word_b: str = "sql",
                 genai: Sequence[str] = lexicon.GENAI_KEYWORDS) -> DataFrame:
     """Distinct skills; % of rows with word_a, word_b (whole word), cloud and gen-AI (substring)."""
     b = _blob(df)
-    shares = b.agg(pct(has_word("_blob", word_a)).alias("pct_a"),
-                   pct(has_word("_blob", word_b)).alias("pct_b"),
-                   pct(has_any_keyword("_blob", cloud)).alias("pct_cloud"),
-                   pct(has_any_keyword("_blob", genai)).alias("pct_genai"))
+    shares = b.agg(pct(has_word("_blob", word_a, assume_lower=True)).alias("pct_a"),
+                   pct(has_word("_blob", word_b, assume_lower=True)).alias("pct_b"),
+                   pct(has_any_keyword("_blob", cloud, assume_lower=True)).alias("pct_cloud"),
+                   pct(has_any_keyword("_blob", genai, assume_lower=True)).alias("pct_genai"))
     distinct = (df.select(F.explode(split_skills("tech_stack")).alias("s")).distinct()
                   .agg(F.count(F.lit(1)).alias("n_distinct_skills")))
     return shares.select(distinct.scalar().alias("n_distinct_skills"), "*")
@@ -41,7 +42,8 @@ def power_trio(df: DataFrame, word_a: str = "python", word_b: str = "sql",
                cloud: Sequence[str] = lexicon.CLOUD_KEYWORDS) -> DataFrame:
     """% of rows with a & b & cloud, and each pair; one row per combination."""
     b = _blob(df)
-    a, s, c = has_word("_blob", word_a), has_word("_blob", word_b), has_any_keyword("_blob", cloud)
+    a, s, c = (has_word("_blob", word_a, True), has_word("_blob", word_b, True),
+               has_any_keyword("_blob", cloud, assume_lower=True))
     wide = b.agg(pct(a & s & c).alias("trio"), pct(a & s).alias("a_b"),
                  pct(a & c).alias("a_cloud"), pct(s & c).alias("b_cloud"))
     return wide.unpivot([], ["trio", "a_b", "a_cloud", "b_cloud"], "combo", "pct")
@@ -51,7 +53,7 @@ def keyword_counts(df: DataFrame, families: Mapping[str, Sequence[str]], match:
     """(family, keyword, position, n): rows mentioning each keyword, one pass."""
     b = _blob(df)
     specs = [(fam, i, kw) for fam, kws in families.items() for i, kw in enumerate(kws)]
-    wide = b.agg(*[F.count_if(has_any_keyword("_blob", [kw], match)).alias(f"k{j}")
+    wide = b.agg(*[F.count_if(has_any_keyword("_blob", [kw], match, assume_lower=True)).alias(f"k{j}")
                    for j, (_, _, kw) in enumerate(specs)])
     stack = ", ".join(f"'{fam.replace(chr(39), chr(39) * 2)}', '{kw.replace(chr(39), chr(39) * 2)}', {i}, k{j}"
                       for j, (fam, i, kw) in enumerate(specs))
@@ -79,7 +81,8 @@ def cloud_providers(df: DataFrame, providers: Mapping[str, Sequence[str]] = lexi
     """Rows mentioning any keyword of each provider."""
     b = _blob(df)
     names = list(providers)
-    wide = b.agg(*[F.count_if(has_any_keyword("_blob", providers[p])).alias(f"p{i}") for i, p in enumerate(names)])
+    wide = b.agg(*[F.count_if(has_any_keyword("_blob", providers[p], assume_lower=True)).alias(f"p{i}")
+                   for i, p in enumerate(names)])
     return wide.unpivot([], [F.col(f"p{i}").alias(p) for i, p in enumerate(names)], "provider", "n")
 
 
