@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_WS = r"[ \t\n\r\f]"
 
 # FIXED VALUES: entities decoded in extracted text (&amp; last)
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
@@ -36,7 +35,8 @@ def decode_entities(col: Column) -> Column:
 
 
 def _strip_ws(t: Column) -> Column:
-    return F.regexp_replace(t, f"^{_WS}+|{_WS}+$", "")
+    """Strip ASCII whitespace (space, tab, newline, return, form feed) at both ends."""
+    return F.btrim(t, F.lit(" \t\n\r\f"))
 
 
 def node_text(fragment: Column) -> Column:

@@ -153,7 +153,6 @@ def docs_sql(skills=TEST_SKILLS) -> str:
 
 # --- derived text columns for the scalar functions ---------------------------
 
-PLACE_TEMPLATES_NOTE = "raw place text chosen by c_custkey % 10 among ten shapes"
 
 
 def places_view(spark: SparkSession, sf_dir: str) -> DataFrame:

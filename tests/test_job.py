@@ -3,7 +3,6 @@ import datetime as dt
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from jobsift.operators import profile
 from jobsift.plans import job, metrics

@@ -2,12 +2,10 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from jobsift.operators import filters
 from jobsift.plans import geo, overview, quality, salary, skills, temporal
 
-UTC = dt.timezone.utc
 SCHEMA = ("title string, company string, city string, city_clean string, contract_type string, salary_avg double, "
           "salary_min double, salary_max double, tech_stack string, published_at timestamp_ntz, description string, "
           "source string, lat double, lon double")
