@@ -190,7 +190,10 @@ per_skill AS (SELECT skill, COUNT(*) AS n, {S.mean_money('salary_avg')} AS salar
 SELECT {S.title_case('skill')} AS skill, n, salary_mean, (salary_mean - gm) / gm * 100 AS premium
 FROM per_skill, g WHERE n_sal >= 3 ORDER BY premium DESC, skill LIMIT 15""")
 def q_skill_premium(spark, d):
-    return salary.skill_premium(_p(spark, d))
+    # five passes over the postings (three scalar subqueries, the fallback check, the
+    # result): they read the view once written, as they would read the served table
+    from jobsift.session import materialize
+    return salary.skill_premium(materialize(_p(spark, d), "postings"))
 
 
 @register("salary_by_source", S.with_(P) + f"""
