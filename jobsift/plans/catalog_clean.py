@@ -400,10 +400,10 @@ SELECT title AS intitule_poste, company AS entreprise, city AS ville, contract_t
        CASE WHEN (salary_min + salary_max) / 2 >= 1000 AND (salary_min + salary_max) / 2 <= 200000
             THEN (salary_min + salary_max) / 2 END AS salaire_moyen,
        substring(tech_stack, 1, 5000) AS description, CAST(published_at AS VARCHAR) AS date_publication,
-       'adzuna' AS source, url
+       'api' AS source, url
 FROM postings WHERE source IN {_in(API_SOURCES)}""")
 def q_explore_export(spark, d):
     api = raw_slices(spark, d)["api"]
-    renamed = profile.explore_rename(api, lexicon.EXPLORE_API_RENAME, source="adzuna")
+    renamed = profile.explore_rename(api, lexicon.EXPLORE_API_RENAME, source="api")
     with_avg = renamed.withColumn("salaire_moyen", J.salary_avg_explore("salaire_min", "salaire_max"))
     return profile.explore_export(with_avg)

@@ -88,7 +88,7 @@ def test_scraped_record_shape(spark):
 
 
 def test_envelope_roundtrip_and_malformed_lines(spark):
-    records = [{"source": "adzuna", "country": "fr", "search_query": "data", "page": 2,
+    records = [{"source": "api", "country": "fr", "search_query": "data", "page": 2,
                 "fetched_at": "2026-03-15T12:00:00Z", "data": {"title": "A", "id": "1"}},
                {"title": "B", "id": "2"}]
     path = scratch_path(spark, "test_jsonl")
@@ -112,8 +112,8 @@ def test_wrap_envelope(spark):
 def test_batch_path_format():
     import datetime as dt
     when = dt.datetime(2026, 3, 15, 12, 30, 5)
-    assert batch_path("raw/adzuna", 7, when) == "raw/adzuna/2026/03/15/20260315_123005_batch_0007"
-    assert batch_path("raw/adzuna/", 42, when).endswith("_batch_0042")
+    assert batch_path("raw/api", 7, when) == "raw/api/2026/03/15/20260315_123005_batch_0007"
+    assert batch_path("raw/api/", 42, when).endswith("_batch_0042")
 
 
 def test_flatten_struct(spark):

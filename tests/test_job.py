@@ -19,13 +19,13 @@ def _write_lines(path, records):
 
 def test_clean_job_from_raw_files(spark):
     root = scratch_path(spark, "job_test")
-    api = [{"source": "adzuna", "fetched_at": "2026-03-15T12:00:00Z",
+    api = [{"source": "api", "fetched_at": "2026-03-15T12:00:00Z",
             "data": {"title": "Data Scientist", "company": {"display_name": "TechCorp"},
                      "location": {"display_name": "Paris, France"}, "description": "Python et SQL",
                      "salary_min": 50000, "salary_max": 60000, "created": "2026-03-14T09:00:00Z",
                      "redirect_url": "https://x/1", "id": "1"}},
            None,
-           {"source": "adzuna", "fetched_at": "2026-03-15T12:00:00Z",
+           {"source": "api", "fetched_at": "2026-03-15T12:00:00Z",
             "data": {"title": "data scientist ", "company": {"display_name": "techcorp"},
                      "location": {"display_name": "paris"}, "description": None,
                      "salary_min": None, "salary_max": None, "created": "bad", "redirect_url": "https://x/2", "id": "2"}}]
@@ -49,11 +49,11 @@ def test_explore_rename_and_export(spark):
     df = spark.createDataFrame([("T", ("Acme",), 40000.0, 50000.0, "x" * 6000, "2026-01-01")],
                                "title string, company struct<display_name string>, salary_min double, salary_max double, "
                                "description string, created string")
-    renamed = profile.explore_rename(df, profile.lexicon.EXPLORE_API_RENAME, source="adzuna")
+    renamed = profile.explore_rename(df, profile.lexicon.EXPLORE_API_RENAME, source="api")
     assert renamed.columns == ["intitule_poste", "description", "entreprise", "salaire_min", "salaire_max",
                                "date_publication", "source"]
     out = profile.explore_export(renamed).first()
-    assert len(out["description"]) == 5000 and out["entreprise"] == "Acme" and out["source"] == "adzuna"
+    assert len(out["description"]) == 5000 and out["entreprise"] == "Acme" and out["source"] == "api"
 
 
 def test_step_start_is_zone_free(spark):
