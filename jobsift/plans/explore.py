@@ -13,14 +13,14 @@ from jobsift.operators.aggs import money_mean, money_median, money_std
 
 
 def salary_describe_by_title(df: DataFrame, col: str = "salary_avg", by: str = "title",
-                             preferred_min: int = 5, fallback_min: int = 3) -> DataFrame:
+                             preferred_min: int = 5, fallback_min: int = 3, exact: bool = True) -> DataFrame:
     """count, mean, median, sample std, min, max per title over rows with a salary.
 
     Minimum group size: ``preferred_min`` if at least ``preferred_min`` groups reach
     it, else ``fallback_min`` (decided by a scalar subquery over the grouped rows).
     """
     g = (df.filter(F.col(col).isNotNull() & F.col(by).isNotNull()).groupBy(by)
-           .agg(F.count(F.lit(1)).alias("n"), money_mean(col).alias("mean"), money_median(col).alias("median"),
+           .agg(F.count(F.lit(1)).alias("n"), money_mean(col).alias("mean"), money_median(col, exact).alias("median"),
                 money_std(col).alias("std"), F.min(col).alias("min"), F.max(col).alias("max")))
     n_big = g.agg(F.count_if(F.col("n") >= preferred_min)).scalar()
     threshold = F.when(n_big >= preferred_min, F.lit(preferred_min)).otherwise(F.lit(fallback_min))

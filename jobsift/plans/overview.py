@@ -11,13 +11,14 @@ from jobsift.functions.text import split_skills
 from jobsift.operators.aggs import money_mean, money_median, pct
 
 
-def overview_kpis(df: DataFrame) -> DataFrame:
+def overview_kpis(df: DataFrame, exact: bool = True) -> DataFrame:
     """One row: rows, salary mean/median/min/max, CDI/Stage/Alternance counts and
-    shares, distinct companies and cities, rows with a skill list."""
+    shares, distinct companies and cities, rows with a skill list. ``exact=False``
+    takes the median from the mergeable sketch (bounded memory on huge tables)."""
     ct = F.col("contract_type")
     aggs = [F.count(F.lit(1)).alias("n_rows"),
             money_mean("salary_avg").alias("salary_mean"),
-            money_median("salary_avg").alias("salary_median"),
+            money_median("salary_avg", exact).alias("salary_median"),
             F.min("salary_min").alias("salary_min"),
             F.max("salary_max").alias("salary_max")]
     for label, name in (("CDI", "cdi"), ("Stage", "stage"), ("Alternance", "alternance")):

@@ -17,13 +17,13 @@ def _salaried(df: DataFrame) -> DataFrame:
     return df.filter(F.col("salary_avg").isNotNull())
 
 
-def salary_kpis(df: DataFrame) -> DataFrame:
+def salary_kpis(df: DataFrame, exact: bool = True) -> DataFrame:
     """Over rows with a salary: mean, min(salary_min), max(salary_max), median; and % of rows with one."""
     has = F.col("salary_avg").isNotNull()
     return df.agg(money_mean("salary_avg").alias("salary_mean"),
                   F.min(F.when(has, F.col("salary_min"))).alias("salary_min"),
                   F.max(F.when(has, F.col("salary_max"))).alias("salary_max"),
-                  money_median("salary_avg").alias("salary_median"),
+                  money_median("salary_avg", exact).alias("salary_median"),
                   F.try_divide(F.count("salary_avg") * 100, F.count(F.lit(1))).alias("pct_with_salary"))
 
 
