@@ -68,12 +68,23 @@ def q_rejects_report(spark, d):
     return per_file.agg(F.sum("n_good").cast("bigint").alias("n_good"), F.sum("n_bad").cast("bigint").alias("n_bad"))
 
 
-@register("scan_json_docs", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def _write_json_documents(df: DataFrame, path: str, per_file: int = 100) -> None:
+    """Whole-file JSON documents: each file holds one array of at most ``per_file``
+    records (groups of consecutive keys), so the number of files grows with the
+    data while every group stays bounded."""
+    key = df.columns[0]
+    docs = (df.groupBy(F.floor(F.col(key) / per_file).alias("_g"))
+              .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list(F.to_json(F.struct(*df.columns)))), F.lit("]"))
+                   .alias("value")))
+    docs.select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+
+@register("scan_json_docs", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def q_scan_json_docs(spark, d):
-    nation = fx.load(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    cust = fx.load(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     path = scratch_path(spark, "docs")
-    nation.write.option("maxRecordsPerFile", 1).json(path)
-    return files.scan_json_docs(spark, path, nation.schema, glob="*.json")
+    _write_json_documents(cust, path)
+    return files.scan_json_docs(spark, path, cust.schema, glob="*.txt")
 
 
 @register("scan_csv", "SELECT * FROM customer")
@@ -86,21 +97,20 @@ def q_scan_csv(spark, d):
 _KEYED = T.StructType([T.StructField("key", T.LongType()), T.StructField("name", T.StringType())])
 
 
-@register("scan_mixed_dir", """
-SELECT c_custkey AS key, c_name AS name FROM customer
-UNION ALL SELECT n_nationkey AS key, n_name AS name FROM nation""")
+@register("scan_mixed_dir", "SELECT c_custkey AS key, c_name AS name FROM customer")
 def q_scan_mixed_dir(spark, d):
+    """Customers split over three file kinds in one folder, dispatched by extension:
+    CSV (.csv), gzipped JSON lines (.txt.gz) and whole-file JSON documents (.txt)."""
     cust = fx.load(spark, d, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
                                                   "c_mktsegment")
-    nation = fx.load(spark, d, "nation").select(F.col("n_nationkey").cast("bigint").alias("key"),
-                                                F.col("n_name").alias("name"))
     root = scratch_path(spark, "mixed")
-    csv_part = cust.filter(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING")).drop("c_mktsegment")
-    lines_part = cust.filter(~F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING")).drop("c_mktsegment")
-    writers.write_csv(csv_part, f"{root}/csv")
-    nation.write.option("maxRecordsPerFile", 1).json(f"{root}/docs")
-    envelope.to_json_lines(lines_part).write.text(f"{root}/lines")
-    return files.scan_mixed_dir(spark, root, _KEYED, lines_glob="*.txt", csv_schema=_KEYED).select("key", "name")
+    seg = F.col("c_mktsegment")
+    writers.write_csv(cust.filter(seg.isin("AUTOMOBILE", "BUILDING")).drop("c_mktsegment"), f"{root}/csv")
+    (envelope.to_json_lines(cust.filter(seg.isin("FURNITURE", "HOUSEHOLD")).drop("c_mktsegment"))
+     .write.option("compression", "gzip").text(f"{root}/lines"))
+    _write_json_documents(cust.filter(seg == "MACHINERY").drop("c_mktsegment"), f"{root}/docs")
+    return files.scan_mixed_dir(spark, root, _KEYED, lines_glob="*.txt.gz", doc_glob="*.txt", csv_glob="*.csv",
+                                csv_schema=_KEYED)
 
 
 @register("list_files")
