@@ -62,8 +62,12 @@ def labels_dim(spark: SparkSession, name: str, labels: Sequence[str]) -> DataFra
 
 
 def zero_fill(counts: DataFrame, dim: DataFrame, key: str, count_col: str = "count") -> DataFrame:
-    """Every key of ``dim`` with its count, 0 where absent (dim is a small constant)."""
-    return (F.broadcast(dim).join(counts, key, "left")
+    """Every key of ``dim`` with its count, 0 where absent.
+
+    ``counts`` is grouped by a key of ``dim``'s small constant domain, so it has at
+    most as many rows as ``dim``: it is the broadcast (build) side of the left join.
+    """
+    return (dim.join(F.broadcast(counts), key, "left")
             .withColumn(count_col, F.coalesce(F.col(count_col), F.lit(0)).cast("bigint")))
 
 
