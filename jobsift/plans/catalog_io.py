@@ -215,3 +215,36 @@ def q_clean_job(spark, d):
     feeds["third"] = job.load_feed(spark, f"{root}/third", third.schema, kind="mixed", csv_schema=third.schema)
     table = job.run_clean_job(spark, feeds, scratch_path(spark, "clean_out"), as_of=cc.CLEAN_AS_OF, skills=cc.PART_SKILLS)
     return _ntz(table)
+
+
+ALERT_THRESHOLD, ALERT_FOR = 25.0, 300
+MICROS_JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}   # keep microseconds through JSON
+
+
+@register("sustained_threshold_stream", f"""
+WITH s AS (SELECT user_id, ts, CAST(value <= {ALERT_THRESHOLD} AS INTEGER) AS ok FROM events),
+r AS (SELECT *, SUM(ok) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run,
+             MAX(ts) FILTER (WHERE ok = 1) OVER (PARTITION BY user_id) AS last_ok FROM s)
+SELECT user_id AS series, MIN(ts) AS start, MAX(ts) AS "end", COUNT(*) AS n, 'critical' AS severity
+FROM r WHERE ok = 0 GROUP BY user_id, run
+HAVING epoch_us(MAX(ts)) - epoch_us(MIN(ts)) >= {ALERT_FOR * 1_000_000} AND MAX(ts) < ANY_VALUE(last_ok)""")
+def q_sustained_threshold_stream(spark, d):
+    """Events arrive as landing files in time order (five sequential time slices); the
+    stateful rule emits each run above the threshold once it closes."""
+    from jobsift.streaming.alerts import sustained_threshold_stream
+    ev = fx.load(spark, d, "events").select("user_id", "ts", "value")
+    landing = scratch_path(spark, "alert_landing")
+    bounds = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    span = (bounds["hi"] - bounds["lo"]) / 5
+    for i in range(5):              # five appends, oldest first: the file source reads them in that order
+        lo = bounds["lo"] + span * i
+        part = ev.filter((F.col("ts") >= F.lit(lo)) if i == 0 else (F.col("ts") > F.lit(lo)))
+        part = part.filter(F.col("ts") <= F.lit(bounds["lo"] + span * (i + 1)) if i < 4 else F.lit(True))
+        part.coalesce(1).write.mode("append").options(**MICROS_JSON).json(landing)
+    stream = ingest.scan_landing(spark, landing, ev.schema, files_per_batch=1, options=MICROS_JSON)
+    out, ckpt = scratch_path(spark, "alerts"), scratch_path(spark, "alerts_ckpt")
+    q = (sustained_threshold_stream(stream, ALERT_THRESHOLD, ALERT_FOR, "critical")
+         .writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema("series long, start timestamp_ntz, end timestamp_ntz, n long, severity string").parquet(out)

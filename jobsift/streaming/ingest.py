@@ -36,9 +36,10 @@ def scan_kafka(spark: SparkSession, bootstrap: str, topic: str, schema: T.Struct
     return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
 
 
-def scan_landing(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
-    """Streaming frame over JSON-lines files arriving in ``path``."""
-    r = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+def scan_landing(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None,
+                 options: dict[str, str] | None = None) -> DataFrame:
+    """Streaming frame over JSON-lines files arriving in ``path`` (oldest files first)."""
+    r = spark.readStream.schema(schema).option("recursiveFileLookup", "true").options(**(options or {}))
     if files_per_batch:
         r = r.option("maxFilesPerTrigger", str(files_per_batch))
     return r.json(path)

@@ -39,3 +39,31 @@ def test_kafka_options():
     opts = ingest.kafka_read_options("broker:9092", "job_api_raw")
     assert opts["startingOffsets"] == "earliest" and opts["maxOffsetsPerTrigger"] == "50"
     assert opts["maxTriggerDelay"] == "60s"
+
+
+def test_stateful_alerts_match_batch_rule(spark):
+    import datetime as dt
+
+    from jobsift.plans import metrics
+    from jobsift.streaming.alerts import sustained_threshold_stream
+    base = dt.datetime(2024, 1, 1)
+    vals = [30, 31, 10, 40, 41, 42, 5, 50, 50, 50, 50, 1, 60, 61]     # runs cross the file boundaries below
+    rows = [(1, base + dt.timedelta(minutes=3 * i), float(v)) for i, v in enumerate(vals)]
+    rows += [(2, base + dt.timedelta(minutes=10 * i), float(v)) for i, v in enumerate([90, 90, 90, 0])]
+    df = spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, value double")
+    landing = scratch_path(spark, "alerts_t")
+    fmt = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    for lo, hi in [(0, 4), (4, 9), (9, 99)]:
+        part = df.filter((F.col("ts") >= F.lit(base + dt.timedelta(minutes=3 * lo))) &
+                         (F.col("ts") < F.lit(base + dt.timedelta(minutes=3 * hi))))
+        part.coalesce(1).write.mode("append").options(**fmt).json(landing)
+    out, ckpt = scratch_path(spark, "alerts_out"), scratch_path(spark, "alerts_ck")
+    stream = ingest.scan_landing(spark, landing, df.schema, files_per_batch=1, options=fmt)
+    q = (sustained_threshold_stream(stream, 25.0, 300, "warning").writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(out).select("series", "start", "end", "n").collect())
+    batch = metrics.sustained_threshold(df, 25.0, 300, "warning").collect()
+    last_ok = {1: base + dt.timedelta(minutes=33), 2: base + dt.timedelta(minutes=30)}
+    want = sorted((r["user_id"], r["start"], r["end"], r["n"]) for r in batch if r["end"] < last_ok[r["user_id"]])
+    assert got == want and len(got) == 3
