@@ -213,21 +213,27 @@ def q_salary_by_city(spark, d):
 
 def _box_sql(by_expr: str, by_name: str, source: str, where: str = "TRUE") -> str:
     return f"""
-SELECT {by_name}, n, qs[1] / 100 AS min, qs[2] / 100 AS q1, qs[3] / 100 AS median, qs[4] / 100 AS q3, qs[5] / 100 AS max,
-       qs[2] / 100 - (qs[4] / 100 - qs[2] / 100) * 1.5 AS lower_fence, qs[4] / 100 + (qs[4] / 100 - qs[2] / 100) * 1.5 AS upper_fence
-FROM (SELECT {by_expr} AS {by_name}, COUNT(*) AS n,
-             quantile_cont(CAST(ROUND(salary_avg * 100) AS BIGINT), [0.0, 0.25, 0.5, 0.75, 1.0]) AS qs
-      FROM {source} WHERE salary_avg IS NOT NULL AND {where} GROUP BY 1)"""
-
-
-@register("salary_box", S.with_(P) + _box_sql(S.contract_label_substr("contract_type"), "contract_label", "postings"))
+bx_src AS (SELECT {by_expr} AS {by_name}, salary_avg FROM {source} WHERE salary_avg IS NOT NULL AND {where}),
+bx_q AS (SELECT {by_name}, COUNT(*) AS n,
+                quantile_cont(CAST(ROUND(salary_avg * 100) AS BIGINT), [0.0, 0.25, 0.5, 0.75, 1.0]) AS qs
+         FROM bx_src GROUP BY 1),
+bx AS (SELECT {by_name}, n, qs[1] / 100 AS min, qs[2] / 100 AS q1, qs[3] / 100 AS median, qs[4] / 100 AS q3,
+              qs[5] / 100 AS max, qs[2] / 100 - (qs[4] / 100 - qs[2] / 100) * 1.5 AS lower_fence,
+              qs[4] / 100 + (qs[4] / 100 - qs[2] / 100) * 1.5 AS upper_fence FROM bx_q),
+bx_w AS (SELECT s.{by_name}, MIN(s.salary_avg) AS whisker_low, MAX(s.salary_avg) AS whisker_high
+         FROM bx_src s JOIN bx ON s.{by_name} = bx.{by_name}
+         WHERE s.salary_avg BETWEEN bx.lower_fence AND bx.upper_fence GROUP BY 1)
+SELECT bx.*, bx_w.whisker_low, bx_w.whisker_high FROM bx LEFT JOIN bx_w ON bx.{by_name} = bx_w.{by_name}"""
+
+
+@register("salary_box", "WITH " + P.strip() + "," + _box_sql(S.contract_label_substr("contract_type"), "contract_label", "postings"))
 def q_salary_box(spark, d):
     return salary.salary_box(_p(spark, d))
 
 
 @register("salary_box_by_title", S.with_(P, """
 t AS (SELECT title FROM postings WHERE salary_avg IS NOT NULL AND title IS NOT NULL GROUP BY title
-      HAVING COUNT(*) >= 3 ORDER BY COUNT(*) DESC, title LIMIT 12)""")
+      HAVING COUNT(*) >= 3 ORDER BY COUNT(*) DESC, title LIMIT 12)""").rstrip() + ","
           + _box_sql("title", "title", "postings", "title IN (SELECT title FROM t)"))
 def q_salary_box_by_title(spark, d):
     return salary.salary_box_by_title(_p(spark, d))

@@ -77,14 +77,24 @@ def salary_by_city(df: DataFrame, min_rows: int = 3, top: int = 10) -> DataFrame
 
 
 def box_stats(df: DataFrame, by: str, col: str = "salary_avg", exact: bool = True) -> DataFrame:
-    """Per group: rows, min, q1, median, q3, max and the 1.5 x IQR fences (linear
-    interpolation; ``exact=False`` for the bounded-memory sketch on huge groups)."""
+    """Per group: rows, min, q1, median, q3, max, the 1.5 x IQR fences (linear
+    interpolation; ``exact=False`` for the bounded-memory sketch on huge groups) and
+    the whisker ends (most extreme values inside the fences).
+
+    The whiskers need the fences first: one more aggregation over the rows joined
+    with the per-group table (one row per group, broadcast when small).
+    """
+    vals = df.filter(F.col(col).isNotNull())
     q = money_quantiles(col, exact=exact)
-    g = df.filter(F.col(col).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("n"), q.alias("_q"))
+    g = vals.groupBy(by).agg(F.count(F.lit(1)).alias("n"), q.alias("_q"))
     q1, q3 = F.col("_q")[1], F.col("_q")[3]
-    return g.select(by, "n", F.col("_q")[0].alias("min"), q1.alias("q1"), F.col("_q")[2].alias("median"),
-                    q3.alias("q3"), F.col("_q")[4].alias("max"),
-                    (q1 - (q3 - q1) * 1.5).alias("lower_fence"), (q3 + (q3 - q1) * 1.5).alias("upper_fence"))
+    stats = g.select(by, "n", F.col("_q")[0].alias("min"), q1.alias("q1"), F.col("_q")[2].alias("median"),
+                     q3.alias("q3"), F.col("_q")[4].alias("max"),
+                     (q1 - (q3 - q1) * 1.5).alias("lower_fence"), (q3 + (q3 - q1) * 1.5).alias("upper_fence"))
+    inside = (vals.join(stats.select(by, "lower_fence", "upper_fence"), by)
+                  .filter(F.col(col).between(F.col("lower_fence"), F.col("upper_fence")))
+                  .groupBy(by).agg(F.min(col).alias("whisker_low"), F.max(col).alias("whisker_high")))
+    return stats.join(inside, by, "left")
 
 
 def salary_box(df: DataFrame) -> DataFrame:

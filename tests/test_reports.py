@@ -55,6 +55,7 @@ def test_salary_reports(frame):
     assert k["pct_with_salary"] == 75.0 and k["salary_median"] == 45000.0
     box = {r["contract_label"]: r for r in salary.salary_box(frame).collect()}
     assert box["CDI"]["median"] == 50000.0 and box["CDI"]["n"] == 1
+    assert (box["CDI"]["whisker_low"], box["CDI"]["whisker_high"]) == (50000.0, 50000.0)
     by_city = salary.salary_by_city(frame, min_rows=1).collect()
     assert [r["city_clean"] for r in by_city] == ["Paris", "Lyon", "Toulouse"]
 
