@@ -60,3 +60,17 @@ def test_step_start_is_zone_free(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 10, 59, 59),)], "ts timestamp_ntz")
     got = df.select(metrics.step_start("ts", "hour").alias("h"), metrics.step_start("ts", "day").alias("d")).first()
     assert (got["h"], got["d"]) == (dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1))
+
+
+def test_command_line_clean_and_report(spark, capsys):
+    from jobsift.__main__ import main
+    root = scratch_path(spark, "cli")
+    _write_lines(f"{root}/api", [{"source": "api", "fetched_at": "2026-03-15T12:00:00Z",
+                                  "data": {"title": "Data Scientist", "company": {"display_name": "TechCorp"},
+                                           "location": {"display_name": "Lyon"}, "description": "Python, full remote",
+                                           "salary_min": 50000, "salary_max": 60000, "created": "2026-03-14T09:00:00Z",
+                                           "redirect_url": "https://x/1", "id": "1"}}])
+    assert main(["clean", "--api", f"{root}/api", "--out", f"{root}/store", "--as-of", "2026-03-16 00:00:00"]) == 0
+    assert main(["report", "--store", f"{root}/store/clean_parquet", "--page", "overview"]) == 0
+    out = capsys.readouterr().out
+    assert "cleaned rows: 1" in out and "== kpis" in out
