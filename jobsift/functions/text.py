@@ -1,7 +1,9 @@
 """Text Column functions: title case, keys, keyword and skill search, work mode.
 
-All of them are compositions of built-in expressions (regexp, higher-order
-array functions), so they stay inside whole-stage code generation.
+All of them are compositions of built-in expressions (regexp, string and
+higher-order array functions): they run in the JVM inside whole-stage-codegen
+stages (higher-order functions evaluate their lambdas on their interpreted path
+within the generated code), with no Python worker.
 """
 from __future__ import annotations
 
