@@ -29,6 +29,39 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def cluster_conf(total_cores: int, input_tb: float = 100.0) -> dict[str, str]:
+    """Settings for a large cluster (e.g. 1000 executors reading ~100 TB).
+
+    Shuffles start wide (about 3 partitions per core, at least one per ~256 MB of
+    input) and AQE coalesces them to ~256 MB at run time; scan splits are 256 MB;
+    skewed partitions over 5x the median and 512 MB are split; broadcasts stay
+    under a fixed, checked size (small dimensions only).
+    """
+    by_size = int(input_tb * 1024 * 1024 / 256)
+    shuffle = max(total_cores * 3, min(by_size, 200_000))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.parquet.filterPushdown": "true",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> SparkSession:
+    """Set SQL settings on a running session (those that can change at run time)."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 

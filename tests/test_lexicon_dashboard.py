@@ -33,3 +33,10 @@ def test_page_reports(spark):
             df.collect()
     kpis = dashboard.page_reports(served, "overview", city="Paris")["kpis"].first()
     assert kpis["n_rows"] == 1
+
+
+def test_cluster_conf():
+    from jobsift.session import cluster_conf
+    c = cluster_conf(8000, 100)
+    assert int(c["spark.sql.shuffle.partitions"]) >= 24000
+    assert c["spark.sql.adaptive.enabled"] == "true" and c["spark.sql.files.maxPartitionBytes"] == "256m"
