@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobsift.functions.text import dedup_key_part
 from jobsift.operators.clean import normalize, unwrap_envelope
 from jobsift.sinks.writers import batch_path
 
@@ -75,10 +76,21 @@ def stream_ingest(stream: DataFrame, prefix: str, checkpoint: str, time_col: str
 
 
 def stream_clean(stream: DataFrame, source: str, out_path: str, checkpoint: str, as_of=None,
-                 available_now: bool = True):
+                 available_now: bool = True, dedup_within: str | None = None):
     """Continuous cleaning of one source: envelope unwrapped and normalised record by
-    record (both stateless), appended as parquet. Dedup stays a batch step."""
+    record (both stateless), appended as parquet. The keep-most-complete dedup stays
+    a batch step; ``dedup_within`` (e.g. "1 day") optionally drops, on the stream,
+    repeats of a (company, title, city) key seen within that much collection time
+    (``dropDuplicatesWithinWatermark``: state is bounded by the watermark)."""
     cleaned = normalize(unwrap_envelope(stream), source, as_of)
+    if dedup_within:
+        keys = {"_k_company": dedup_key_part("company"), "_k_title": dedup_key_part("title"),
+                "_k_city": dedup_key_part("city")}
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        event_time = F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col("collected_at")))
+        cleaned = (cleaned.withColumns(keys).withColumn("_event_time", event_time)
+                   .withWatermark("_event_time", dedup_within)
+                   .dropDuplicatesWithinWatermark(list(keys)).drop(*keys, "_event_time"))
     w = (cleaned.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .option("path", out_path).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=BATCH_MAX_DELAY)

@@ -67,3 +67,22 @@ def test_stateful_alerts_match_batch_rule(spark):
     last_ok = {1: base + dt.timedelta(minutes=33), 2: base + dt.timedelta(minutes=30)}
     want = sorted((r["user_id"], r["start"], r["end"], r["n"]) for r in batch if r["end"] < last_ok[r["user_id"]])
     assert got == want and len(got) == 3
+
+
+def test_stream_clean_drops_repeats_within_watermark(spark):
+    import json
+    import os
+    landing, out, ckpt = (scratch_path(spark, x) for x in ("cl_land", "cl_out", "cl_ckpt"))
+    rec = lambda t, c: {"source": "api", "fetched_at": "2026-03-15T12:00:00Z",
+                        "data": {"title": t, "company": {"display_name": c}, "location": {"display_name": "Paris"},
+                                 "created": "2026-03-14T09:00:00Z", "redirect_url": "https://x", "id": "1"}}
+    local = landing.replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    with open(f"{local}/a.json", "w") as f:
+        for r in [rec("Data Scientist", "Acme"), rec("data scientist ", "ACME"), rec("Data Engineer", "Acme")]:
+            f.write(json.dumps(r) + "\n")
+    from jobsift.schema import RAW_API
+    stream = ingest.scan_landing(spark, landing, RAW_API)
+    ingest.stream_clean(stream, "api", out, ckpt, dedup_within="1 day").awaitTermination()
+    titles = sorted(r[0] for r in spark.read.parquet(out).select("title").collect())
+    assert len(titles) == 2 and "Data Engineer" in titles
