@@ -86,3 +86,20 @@ def test_stream_clean_drops_repeats_within_watermark(spark):
     ingest.stream_clean(stream, "api", out, ckpt, dedup_within="1 day").awaitTermination()
     titles = sorted(r[0] for r in spark.read.parquet(out).select("title").collect())
     assert len(titles) == 2 and "Data Engineer" in titles
+
+
+def test_command_line_ingest(spark):
+    import json
+    import os
+
+    from jobsift.__main__ import main
+    landing, out, ckpt = (scratch_path(spark, x) for x in ("cli_land", "cli_raw", "cli_ckpt"))
+    local = landing.replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    with open(f"{local}/a.json", "w") as f:
+        for i in range(3):
+            f.write(json.dumps({"source": "api", "page": 1, "fetched_at": "2026-03-15T12:00:00Z",
+                                "data": {"id": str(i), "title": f"T{i}"}}) + "\n")
+    assert main(["ingest", "--landing", landing, "--out", out, "--checkpoint", ckpt]) == 0
+    back = spark.read.option("recursiveFileLookup", "true").json(out)
+    assert sorted(r[0] for r in back.select("data.id").collect()) == ["0", "1", "2"]
