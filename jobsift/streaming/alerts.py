@@ -20,9 +20,28 @@ ALERT_SCHEMA = "series long, start timestamp_ntz, end timestamp_ntz, n long, sev
 STATE_SCHEMA = "start_us long, last_us long, n long"
 
 
+def _emit(key, out, severity):
+    return pd.DataFrame({"series": [int(key[0])] * len(out),
+                         "start": [pd.Timestamp(a) for a, _, _ in out],
+                         "end": [pd.Timestamp(b) for _, b, _ in out],
+                         "n": [int(c) for _, _, c in out],
+                         "severity": [severity] * len(out)})
+
+
 def _runs(key, pdfs: Iterator[pd.DataFrame], state, threshold: float, for_seconds: float, severity: str,
-          ts: str, value: str):
-    batch = pd.concat(list(pdfs), ignore_index=True).sort_values(ts, kind="stable")
+          ts: str, value: str, stale_seconds: float | None = None):
+    if state.hasTimedOut:                     # no sample for stale_seconds: the open run ends at its last sample
+        s_start, s_last, s_n = state.get
+        state.remove()
+        out = [] if (s_last - s_start) < for_seconds * 1e6 else [
+            (np.datetime64(int(s_start), "us"), np.datetime64(int(s_last), "us"), int(s_n))]
+        yield _emit(key, out, severity)
+        return
+    frames = list(pdfs)
+    if not frames:
+        yield _emit(key, [], severity)
+        return
+    batch = pd.concat(frames, ignore_index=True).sort_values(ts, kind="stable")
     times = batch[ts].to_numpy(dtype="datetime64[us]")
     above = batch[value].to_numpy() > threshold
     open_start = open_last = None
@@ -60,22 +79,34 @@ def _runs(key, pdfs: Iterator[pd.DataFrame], state, threshold: float, for_second
                     elif times[g[-1]] - times[g[0]] >= np.timedelta64(int(for_seconds * 1e6), "us"):
                         out.append((times[g[0]], times[g[-1]], len(g)))
     if open_start is not None:
-        state.update((int(open_start.astype("int64")), int(open_last.astype("int64")), int(open_n)))
+        last_us = int(open_last.astype("int64"))
+        state.update((int(open_start.astype("int64")), last_us, int(open_n)))
+        if stale_seconds is not None:
+            state.setTimeoutTimestamp(last_us // 1000 + int(stale_seconds * 1000))
     elif state.exists:
         state.remove()
-    yield pd.DataFrame({"series": [int(key[0])] * len(out),
-                        "start": [pd.Timestamp(a) for a, _, _ in out],
-                        "end": [pd.Timestamp(b) for _, b, _ in out],
-                        "n": [int(c) for _, _, c in out],
-                        "severity": [severity] * len(out)})
+    yield _emit(key, out, severity)
 
 
 def sustained_threshold_stream(stream: DataFrame, threshold: float, for_seconds: float, severity: str,
-                               series: str = "user_id", ts: str = "ts", value: str = "value") -> DataFrame:
-    """Streaming frame of closed alert runs (series, start, end, n, severity)."""
+                               series: str = "user_id", ts: str = "ts", value: str = "value",
+                               stale_seconds: float | None = None) -> DataFrame:
+    """Streaming frame of closed alert runs (series, start, end, n, severity).
+
+    With ``stale_seconds``, a run also closes when its series sends nothing for that
+    long in event time (watermark on ``ts``, event-time state timeout), so runs at
+    the end of a series are reported once the stream has moved past them.
+    """
+    from pyspark.sql import functions as F
 
     def fn(key, pdfs, state):
-        return _runs(key, pdfs, state, threshold, for_seconds, severity, ts, value)
+        return _runs(key, pdfs, state, threshold, for_seconds, severity, ts, value, stale_seconds)
 
-    return (stream.select(series, ts, value).groupBy(series)
-            .applyInPandasWithState(fn, ALERT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout))
+    src = stream.select(series, ts, value)
+    timeout = GroupStateTimeout.NoTimeout
+    if stale_seconds is not None:
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        src = (src.withColumn("_event_time", F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(ts))))
+                  .withWatermark("_event_time", f"{int(stale_seconds)} seconds"))
+        timeout = GroupStateTimeout.EventTimeTimeout
+    return src.groupBy(series).applyInPandasWithState(fn, ALERT_SCHEMA, STATE_SCHEMA, "append", timeout)

@@ -103,3 +103,24 @@ def test_command_line_ingest(spark):
     assert main(["ingest", "--landing", landing, "--out", out, "--checkpoint", ckpt]) == 0
     back = spark.read.option("recursiveFileLookup", "true").json(out)
     assert sorted(r[0] for r in back.select("data.id").collect()) == ["0", "1", "2"]
+
+
+def test_stale_run_closes_by_watermark(spark):
+    import datetime as dt
+
+    from jobsift.streaming.alerts import sustained_threshold_stream
+    base = dt.datetime(2024, 1, 1)
+    fmt = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    schema = "user_id long, ts timestamp_ntz, value double"
+    landing = scratch_path(spark, "stale_land")
+    first = [(1, base + dt.timedelta(minutes=m), 50.0) for m in (0, 3, 6, 9)]      # run never closed by a sample
+    later = [(2, base + dt.timedelta(minutes=m), 1.0) for m in (30, 60, 90)]       # moves event time forward
+    for rows in (first, later):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").options(**fmt).json(landing)
+    out, ckpt = scratch_path(spark, "stale_out"), scratch_path(spark, "stale_ck")
+    stream = ingest.scan_landing(spark, landing, spark.createDataFrame([], schema).schema, files_per_batch=1, options=fmt)
+    q = (sustained_threshold_stream(stream, 25.0, 300, "warning", stale_seconds=600).writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = [tuple(r) for r in spark.read.parquet(out).collect()]
+    assert got == [(1, base, base + dt.timedelta(minutes=9), 4, "warning")]
