@@ -20,3 +20,49 @@ def _query(fn):
 def op2_simhash_dedup(spark, sf_dir):
     from jobsift.llm.simhash import simhash_groups
     return simhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@_query
+def op4_binary_packing(spark, sf_dir):
+    from jobsift.llm.packing import pack
+    return pack(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+@_query
+def op3_source_mixing(spark, sf_dir):
+    from jobsift.llm.mixing import mix
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@_query
+def op1_rp_forest(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from jobsift.llm.ann import ann_search
+    return ann_search(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 100 == 0)
+
+
+@_query
+def op9_mtree_topk(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from jobsift.llm.mtree import topk_inner_product
+    return topk_inner_product(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("id") % 50 == 0)
+
+
+SQL["op9_mtree_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
+
+
+@_query
+def op6_secret_automaton(spark, sf_dir):
+    from jobsift.llm import secrets
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *secrets.digest(found))
