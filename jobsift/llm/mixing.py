@@ -102,23 +102,28 @@ def settle(size: np.ndarray, p: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Whole decisions for the last fractions, sorted by falling size.
 
     Each document trades words with all smaller ones taken together, as one
-    partner; these share the trade evenly. It is taken with its probability if
-    the smaller ones can make up for either outcome, else as they can, or
-    nearly can: then the words come first and the probability second.
+    partner; each of these gives or takes in proportion to its distance from a
+    whole decision, so every expectation stays. Where that is not enough for
+    either outcome, they give all they can: the words come first there and the
+    probability second.
     """
     p, size = p.copy(), size.astype(np.float64)
     for i in range(len(p)):
         rest_p, rest_s = p[i + 1:], size[i + 1:]
-        have, room = float(rest_p @ rest_s), float((1 - rest_p) @ rest_s)
         up, down = (1 - p[i]) * size[i], p[i] * size[i]
-        if up <= have and down <= room:
+        bend = np.minimum(rest_p, 1 - rest_p)
+        able = float(bend @ rest_s)
+        if max(up, down) <= able:
             take = u[i] < p[i]
+            rest_p += bend * ((-up if take else down) / able if able else 0.0)
         else:
-            take = up - have < down - room
-        if take:
-            rest_p *= 1 - min(1.0, up / have) if have else 1.0
-        else:
-            rest_p += (1 - rest_p) * (min(1.0, down / room) if room else 0.0)
+            have, room = float(rest_p @ rest_s), float((1 - rest_p) @ rest_s)
+            take = u[i] < p[i] if up <= have and down <= room else up - have < down - room
+            if take:
+                rest_p *= 1 - min(1.0, up / have) if have else 1.0
+            else:
+                rest_p += (1 - rest_p) * (min(1.0, down / room) if room else 0.0)
+        np.clip(rest_p, 0.0, 1.0, out=rest_p)
         p[i] = float(take)
     return np.round(p)
 
