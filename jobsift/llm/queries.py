@@ -66,3 +66,9 @@ def op6_secret_automaton(spark, sf_dir):
     from jobsift.llm import secrets
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *secrets.digest(found))
+
+
+@_query
+def op7_cover_anchor_dedup(spark, sf_dir):
+    from jobsift.llm.substring import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
