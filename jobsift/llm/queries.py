@@ -72,3 +72,20 @@ def op6_secret_automaton(spark, sf_dir):
 def op7_cover_anchor_dedup(spark, sf_dir):
     from jobsift.llm.substring import remove_repeats
     return remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
+@_query
+def op5_ftrl_langid(spark, sf_dir):
+    from jobsift.llm import langid
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
+@_query
+def op10_bayes_quality(spark, sf_dir):
+    """The documents that stay; a document's host is its source, its path the language section there."""
+    from pyspark.sql import functions as F
+
+    from jobsift.llm.quality import classify
+    scored = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+    return scored.where("keep").select("doc_id", "host", "path", "evidence", "site_prior", "quality")
