@@ -7,36 +7,36 @@ needs padding. Nothing is shuffled: each document is cut where it is read.
 """
 from __future__ import annotations
 
+import re
 import zlib
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_LENGTH, END_ID = 4096, 2
 TOKENIZER = "word_bpe_49k.json"
-#: Most cached chunks and words of a Python worker; the cache is emptied beyond that.
-CACHE_ENTRIES = 300_000
+#: Words of a generation of a Python worker's cache; it holds at most two.
+CACHE_WORDS = 250_000
 #: Characters that are tokenized together, so that memory stays bounded.
 SLICE_CHARS = 2_000_000
 
-# FIXED VALUE: the tokenizer file's own split pattern.
-PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Chunks whose normal form Python and the tokenizer agree on: composed Latin letters, no special token.
-SIMPLE = regex.compile(r"[\x21-\x7e\xa1-įı-ɏ]+")
-WORDS = regex.compile(r"[\p{L}]+")
+# FIXED VALUE: the tokenizer file's split pattern, for lower-cased texts in SIMPLE characters.
+PRETOKEN = re.compile(r"[a-zªµºß-öø-ɏ]+|'(?:s|t|re|ve|m|ll|d)|[0-9²³¹¼½¾]|[^\t-\r a-zªµºß-öø-ɏ0-9²³¹¼½¾]+")
+#: Texts on whose normal form Python and the tokenizer agree: composed Latin letters and no control characters.
+NOT_SIMPLE = re.compile(r"[^\t-\r -~¡-įı-ɏ]")
 
 
 class Encoder:
-    """Token ids of texts, as the tokenizer gives them, with a cache of chunks between ASCII white space.
+    """Token ids of texts, as the tokenizer gives them, with a cache of words.
 
-    The tokenizer drops white space and never merges across it, so a text's ids
-    are its chunks' ids in order. Unknown simple chunks are split by the
-    tokenizer's pattern, and their new words are encoded many at a time: only a
-    word's last token carries the end-of-word mark, which tells them apart again.
+    The tokenizer splits at white space and by a fixed pattern and merges inside
+    a piece only, so a text's ids are its pieces' ids in order. Unknown words are
+    encoded many at a time: only a word's last token carries the end-of-word mark,
+    which tells them apart again. A chunk between white space with other
+    characters, or with what may be a special token, goes to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -45,53 +45,55 @@ class Encoder:
         vocab = self.tok.get_vocab()
         self.is_end = np.zeros(max(vocab.values()) + 1, bool)
         self.is_end[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _direct(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn_pieces(self, new: list[str]) -> None:
-        words = [p for p in new if WORDS.fullmatch(p)]
-        for at in range(0, len(words), 512):
-            part = words[at:at + 512]
+    def _learn(self, new: set[str]) -> None:
+        older = new & self.older.keys()
+        self.known.update((p, self.older[p]) for p in older)
+        new = new - older
+        words = [p for p in new if p.isalpha() and not NOT_SIMPLE.search(p)]
+        for at in range(0, len(words), 64):
+            part = words[at:at + 64]
             ids = np.asarray(self.tok.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
             ends = np.flatnonzero(self.is_end[ids]) + 1
             if len(ends) == len(part):
                 raw, last = ids.tobytes(), 0
                 for w, end in zip(part, (ends * 4).tolist()):
-                    self.pieces[w], last = raw[last:end], end
+                    self.known[w], last = raw[last:end], end
         for p in new:
-            if p not in self.pieces:
-                self.pieces[p] = self._direct(p)
-
-    def _learn(self, new: set[str]) -> None:
-        cut = {c: PRETOKEN.findall(c.lower()) for c in new if SIMPLE.fullmatch(c) and "<|" not in c}
-        self._learn_pieces(list({p for ps in cut.values() for p in ps} - self.pieces.keys()))
-        for c in new:
-            ps = cut.get(c)
-            self.chunks[c] = b"".join(map(self.pieces.__getitem__, ps)) if ps is not None else self._direct(c)
+            if p not in self.known:
+                self.known[p] = self._direct(p)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
-        if len(self.chunks) > CACHE_ENTRIES or len(self.pieces) > CACHE_ENTRIES:
-            self.chunks.clear()
-            self.pieces.clear()
-        cut = [ascii_split(t) for t in texts]
-        new = set().union(*cut) - self.chunks.keys()
+        if len(self.known) > CACHE_WORDS:
+            self.older, self.known = self.known, {}
+        cut = [pieces(t) for t in texts]
+        new = set().union(*cut) - self.known.keys()
         if new:
             self._learn(new)
-        return [b"".join(map(self.chunks.__getitem__, c)) for c in cut]
+        return [b"".join(map(self.known.__getitem__, c)) for c in cut]
 
 
-_WHITE = str.maketrans(dict.fromkeys("\t\n\x0b\x0c\r", " "))
+def is_simple(text: str) -> bool:
+    return "<|" not in text and not NOT_SIMPLE.search(text)
+
+
+def pieces(text: str) -> list[str]:
+    """Pieces that are tokenized by themselves."""
+    if is_simple(text):
+        return PRETOKEN.findall(text.lower())
+    out = []
+    for chunk in ASCII_WHITE.split(text):
+        out += PRETOKEN.findall(chunk.lower()) if is_simple(chunk) else [chunk]
+    return out
 
 
-def ascii_split(text: str) -> list[str]:
-    """Chunks between ASCII white space; other white space stays inside a chunk."""
-    if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return text.split()
-    return [c for c in text.translate(_WHITE).split(" ") if c]
+ASCII_WHITE = re.compile(r"[\t-\r ]+")
 
 
 _ENCODERS: dict[str, Encoder] = {}
