@@ -89,3 +89,9 @@ def op10_bayes_quality(spark, sf_dir):
     from jobsift.llm.quality import classify
     scored = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
     return scored.where("keep").select("doc_id", "host", "path", "evidence", "site_prior", "quality")
+
+
+@_query
+def op8_boosted_pii(spark, sf_dir):
+    from jobsift.llm import pii
+    return pii.find_personal_data(table(spark, sf_dir, "documents")).select("doc_id", *pii.digest())
