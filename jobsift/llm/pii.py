@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobsift.functions._let import let
 from jobsift.llm.common import stored
 
 # FIXED VALUES: the base kinds' patterns, written so that the regex engine needs neither backtracking over a run
@@ -53,17 +54,20 @@ def matches(text: Column, pattern: str, gate: Column | None = None) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     if gate is not None:
         found = F.when(gate, found).otherwise(F.array().cast("array<string>"))
-    between = F.split(text, pattern, -1)
 
-    def placed(hits: Column, gaps: Column) -> Column:
+    def ends(hits, gaps):
         sizes = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.length(g) + F.length(h))
-        ends = F.aggregate(sizes, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
-        return F.transform(F.sequence(F.lit(0), F.size(hits) - 1), lambda i: F.struct(
-            (ends[i + 1] - F.length(hits[i])).cast("long").alias("start"), ends[i + 1].cast("long").alias("end"), hits[i].alias("value"),
+        return F.aggregate(sizes, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+
+    def placed(hits, gaps, at):
+        return F.transform(hits, lambda h, i: F.struct(
+            (at[i + 1] - F.length(h)).cast("long").alias("start"), at[i + 1].cast("long").alias("end"), h.alias("value"),
             F.right(gaps[i], F.lit(40)).alias("before"), F.left(gaps[i + 1], F.lit(8)).alias("after")))
 
+    # Each step is bound once: the engine would evaluate a repeated expression for every match again.
     none = F.array().cast("array<struct<start:long,end:long,value:string,before:string,after:string>>")
-    return F.when(F.size(found) > 0, placed(found, between)).otherwise(none)
+    return let(found, lambda hits: F.when(F.size(hits) > 0, let(F.split(text, pattern, -1), lambda gaps: let(
+        ends(hits, gaps), lambda at: placed(hits, gaps, at)))).otherwise(none))
 
 
 def luhn(digits: Column) -> Column:
