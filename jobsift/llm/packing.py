@@ -126,7 +126,7 @@ def slices(texts: list[str]):
 def pack(docs: DataFrame, tokenizer_path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
          longest: int = MAX_LENGTH, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
     """One row per piece, which is a whole sequence: doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
-    offset (always 0), bucket (log2 of the length) and, if asked for, ids (array<int>).
+    offset (always 0), bucket (log2 of the length) and, if asked for, ids (little-endian unsigned 32-bit numbers).
 
     A null or empty text is the end token alone. Null and repeated ids keep their
     rows, each packed by itself; an empty table gives no rows; other columns are
