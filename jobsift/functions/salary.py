@@ -84,6 +84,6 @@ def salary_avg_explore(salary_min: Column | str, salary_max: Column | str,
     return F.when((m >= low) & (m <= high), m)
 
 
-def to_cents(col: Column | str) -> Column:
-    """Money as whole cents (bigint), so sums and quantiles are exact and order-free."""
-    return F.round(_c(col) * 100).cast("bigint")
+def to_cents(col: Column | str, scale: int = 2) -> Column:
+    """Money as whole cents (bigint; units of 10^-``scale``), so sums and quantiles are exact and order-free."""
+    return F.round(_c(col) * 10 ** scale).cast("bigint")

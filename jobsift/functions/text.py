@@ -149,18 +149,18 @@ def extract_skills_text(col: Column | str, skills: Sequence[str] = lexicon.TECH_
 def detect_work_mode(text: Column,
                      patterns: Sequence[tuple[str, str]] = lexicon.WORK_MODE_PATTERNS,
                      unknown: str = lexicon.WORK_MODE_UNKNOWN) -> Column:
-    """First label whose pattern matches (case-insensitive), else ``unknown``.
-    The text is lower-cased once (``let``) and each pattern runs without case folding."""
+    """First label whose pattern matches (without regard to case), else ``unknown``.
+    The text is bound once (``let``); the pattern itself is never changed."""
     from jobsift.functions._let import let
 
     def chain(t):
         out = None
         for label, pat in patterns:
-            cond = t.rlike(f"(?U){pat.lower()}")
+            cond = t.rlike(f"(?iU){pat}")
             out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
         return out.otherwise(F.lit(unknown))
 
-    return let(F.lower(F.coalesce(text, F.lit(""))), chain)
+    return let(F.coalesce(text, F.lit("")), chain)
 
 
 def work_mode_text(description: Column | str = "description", title: Column | str = "title") -> Column:
@@ -168,6 +168,6 @@ def work_mode_text(description: Column | str = "description", title: Column | st
     return F.concat(F.coalesce(_c(description), F.lit("")), F.lit(" "), F.coalesce(_c(title), F.lit("")))
 
 
-def truncate_text(col: Column | str, n: int = lexicon.DESCRIPTION_MAX_CHARS) -> Column:
+def truncate_text(col: Column | str, n: int) -> Column:
     """First ``n`` characters."""
     return F.substring(_c(col), 1, n)

@@ -279,10 +279,14 @@ def project_target(df: DataFrame, columns: Sequence[str] = lexicon.TARGET_COLUMN
                        for c in columns])
 
 
-def build_clean(frames: Mapping[str, DataFrame], as_of=None, skills: Sequence[str] = lexicon.TECH_SKILLS) -> DataFrame:
-    """The whole cleaning job over raw frames keyed by source kind."""
+def build_clean(frames: Mapping[str, DataFrame], as_of=None, skills: Sequence[str] = lexicon.TECH_SKILLS,
+                on_step=lambda name, df: df) -> DataFrame:
+    """The whole cleaning job over raw frames keyed by source kind.
+
+    ``on_step(name, df)`` may wrap the frame after the union and after the dedup, e.g. to observe row counts.
+    """
     normalised = [normalize(df, kind, as_of) for kind, df in frames.items()]
-    unioned = union_sources(normalised)
-    deduped = dedup_keep_most_complete(unioned)
+    unioned = on_step("union", union_sources(normalised))
+    deduped = on_step("dedup", dedup_keep_most_complete(unioned))
     enriched = enrich(deduped, skills)
     return project_target(cast_types(enriched))

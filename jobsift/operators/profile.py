@@ -35,12 +35,12 @@ def fill_constants(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     return df.fillna(present) if present else df
 
 
-def truncate_for_export(df: DataFrame, text_cols=("description",), n: int = lexicon.DESCRIPTION_MAX_CHARS,
+def truncate_for_export(df: DataFrame, text_cols=("description",), n: int | None = None,
                         date_cols=("published_at", "collected_at")) -> DataFrame:
-    """Text cut to ``n`` characters, dates as text, for a narrow export table."""
+    """Dates as text and, if ``n`` is given, texts cut to ``n`` characters, for an export table."""
     out = df
     for c in text_cols:
-        if c in out.columns:
+        if c in out.columns and n is not None:
             out = out.withColumn(c, truncate_text(c, n))
     for c in date_cols:
         if c in out.columns:
@@ -63,8 +63,8 @@ def explore_rename(df: DataFrame, mapping: Mapping[str, str], source: str | None
     return df.select(*cols)
 
 
-def explore_export(df: DataFrame, columns=lexicon.EXPLORE_EXPORT_COLUMNS, n: int = lexicon.DESCRIPTION_MAX_CHARS) -> DataFrame:
+def explore_export(df: DataFrame, columns=lexicon.EXPLORE_EXPORT_COLUMNS, n: int | None = None) -> DataFrame:
     """Export table of the exploration: the listed columns present, dates as text,
-    descriptions cut to ``n`` characters."""
+    descriptions whole unless ``n`` is given."""
     out = df.select(*[c for c in columns if c in df.columns])
     return truncate_for_export(out, text_cols=("description",), n=n, date_cols=("date_publication",))

@@ -358,6 +358,11 @@ def q_cumulative_count(spark, d):
 
 # ---------------------------------------------------------------- quality page
 
+def _qkey_whole(key):
+    """The key with whole titles."""
+    return key.replace("substring(lower(trim(COALESCE(title, ''))), 1, 40)", "lower(trim(COALESCE(title, '')))")
+
+
 _QKEY = ("concat_ws('|', lower(trim(COALESCE(company, ''))), substring(lower(trim(COALESCE(title, ''))), 1, 40), "
          "lower(trim(COALESCE(city_clean, ''))))")
 
@@ -368,6 +373,11 @@ SELECT COUNT(*) AS n_rows,
        COUNT(*) - COUNT(DISTINCT {_QKEY}) AS n_duplicates, COUNT(DISTINCT source) AS n_sources
 FROM postings""")
 def q_quality_kpis(spark, d):
+    return quality.quality_kpis(_p(spark, d), title_chars=lexicon.QUALITY_TITLE_CHARS)
+
+
+@register("quality_kpis_whole_title", _qkey_whole(SQL["quality_kpis"]))
+def q_quality_kpis_whole_title(spark, d):
     return quality.quality_kpis(_p(spark, d))
 
 
@@ -395,6 +405,11 @@ SELECT 'source' AS kind, COALESCE(source, 'Inconnue') AS label, COUNT(*) AS n FR
 UNION ALL SELECT 'dedup', 'Uniques', COUNT(DISTINCT {_QKEY}) FROM postings
 UNION ALL SELECT 'dedup', 'Doublons potentiels', COUNT(*) - COUNT(DISTINCT {_QKEY}) FROM postings""")
 def q_source_and_duplicates(spark, d):
+    return quality.source_and_duplicates(_p(spark, d), title_chars=lexicon.QUALITY_TITLE_CHARS)
+
+
+@register("source_and_duplicates_whole_title", _qkey_whole(SQL["source_and_duplicates"]))
+def q_source_and_duplicates_whole_title(spark, d):
     return quality.source_and_duplicates(_p(spark, d))
 
 

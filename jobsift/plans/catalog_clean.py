@@ -8,7 +8,7 @@ from jobsift import lexicon
 from jobsift import functions as J
 from jobsift.operators import clean, filters, governance, lookups, profile
 from jobsift.plans import explore, fixtures as fx, sqltext as S
-from jobsift.plans.registry import E, P, _e, _p, register
+from jobsift.plans.registry import SQL, E, P, _e, _p, register
 
 POSTING_COLS = ["posting_id", "title", "company", "city", "contract_type", "salary_min", "salary_max", "salary_avg",
                 "currency", "description", "category", "published_at", "url", "source", "tech_stack", "collected_at",
@@ -76,6 +76,15 @@ SCRAPED_SOURCES = ("MACHINERY",)
 CLEAN_AS_OF = fx.ORDERS_AS_OF
 
 
+def api_shape(p: DataFrame) -> DataFrame:
+    """Postings as the API's raw records."""
+    return p.select(
+        "title", F.struct(F.col("company").alias("display_name")).alias("company"),
+        F.struct(F.col("city").alias("display_name")).alias("location"), "contract_type", "salary_min", "salary_max",
+        F.col("tech_stack").alias("description"), F.col("published_at").cast("string").alias("created"),
+        F.col("url").alias("redirect_url"), F.col("posting_id").cast("string").alias("id"))
+
+
 def raw_slices(spark, d) -> dict[str, DataFrame]:
     """The postings view split by market segment into three sources, each in its own raw shape.
 
@@ -85,11 +94,7 @@ def raw_slices(spark, d) -> dict[str, DataFrame]:
     from jobsift.session import materialize
     p = materialize(_p(spark, d), "postings")
     k = lambda c: F.floor(F.col(c) / 1000).cast("string")
-    api = p.filter(F.col("source").isin(*API_SOURCES)).select(
-        "title", F.struct(F.col("company").alias("display_name")).alias("company"),
-        F.struct(F.col("city").alias("display_name")).alias("location"), "contract_type", "salary_min", "salary_max",
-        F.col("tech_stack").alias("description"), F.col("published_at").cast("string").alias("created"),
-        F.col("url").alias("redirect_url"), F.col("posting_id").cast("string").alias("id"))
+    api = api_shape(p.filter(F.col("source").isin(*API_SOURCES)))
     third = p.filter(F.col("source").isin(*THIRD_SOURCES)).select(
         F.col("title").alias("job_title"), F.col("company").alias("entreprise"), F.col("city").alias("ville"),
         F.col("contract_type").alias("type_contrat"),
@@ -183,9 +188,9 @@ def q_union_sources(spark, d):
 
 @register("flatten_struct", S.with_(P) + f"""
 SELECT title, company AS "company.display_name", city AS "location.display_name", posting_id
-FROM postings WHERE source IN {_in(API_SOURCES)}""")
+FROM postings""")
 def q_flatten_struct(spark, d):
-    p = _p(spark, d).filter(F.col("source").isin(*API_SOURCES))
+    p = _p(spark, d)
     nested = p.select("title", F.struct(F.col("company").alias("display_name")).alias("company"),
                       F.struct(F.col("city").alias("display_name")).alias("location"), "posting_id")
     return clean.flatten_struct(nested)
@@ -264,13 +269,13 @@ def q_join_city_population(spark, d):
 
 
 @register("join_calendar_zero_fill", S.with_(E, """
-c AS (SELECT CAST(hour(published_at) AS INTEGER) AS hour, COUNT(*) AS n FROM eposts WHERE source = 'signup' GROUP BY 1)""", """
-dim AS (SELECT CAST(range AS INTEGER) AS hour FROM range(24))""") + """
+c AS (SELECT CAST(hour(published_at) AS INTEGER) AS hour, COUNT(*) AS n FROM eposts GROUP BY 1)""", """
+dim AS (SELECT CAST(range AS INTEGER) AS hour FROM range(48))""") + """
 SELECT dim.hour, CAST(COALESCE(c.n, 0) AS BIGINT) AS n FROM dim LEFT JOIN c ON dim.hour = c.hour""")
 def q_join_calendar_zero_fill(spark, d):
-    e = _e(spark, d).filter(F.col("source") == "signup")
+    e = _e(spark, d)                      # the domain is wider than a day: its second half has no row
     counts = e.groupBy(J.publication_hour("published_at").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
-    return lookups.zero_fill(counts, lookups.calendar_dim(spark, "hour", 24), "hour", "n")
+    return lookups.zero_fill(counts, lookups.calendar_dim(spark, "hour", 48), "hour", "n")
 
 
 @register("join_global_scalar", S.with_(P, f"""
@@ -401,9 +406,16 @@ SELECT title AS intitule_poste, company AS entreprise, city AS ville, contract_t
             THEN (salary_min + salary_max) / 2 END AS salaire_moyen,
        substring(tech_stack, 1, 5000) AS description, CAST(published_at AS VARCHAR) AS date_publication,
        'api' AS source, url
-FROM postings WHERE source IN {_in(API_SOURCES)}""")
+FROM postings""")
 def q_explore_export(spark, d):
-    api = raw_slices(spark, d)["api"]
-    renamed = profile.explore_rename(api, lexicon.EXPLORE_API_RENAME, source="api")
-    with_avg = renamed.withColumn("salaire_moyen", J.salary_avg_explore("salaire_min", "salaire_max"))
-    return profile.explore_export(with_avg)
+    return profile.explore_export(_explored(spark, d), n=lexicon.DESCRIPTION_MAX_CHARS)
+
+
+def _explored(spark, d):
+    renamed = profile.explore_rename(api_shape(_p(spark, d)), lexicon.EXPLORE_API_RENAME, source="api")
+    return renamed.withColumn("salaire_moyen", J.salary_avg_explore("salaire_min", "salaire_max"))
+
+
+@register("explore_export_whole", SQL["explore_export"].replace("substring(tech_stack, 1, 5000)", "tech_stack"))
+def q_explore_export_whole(spark, d):
+    return profile.explore_export(_explored(spark, d))

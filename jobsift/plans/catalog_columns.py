@@ -242,7 +242,7 @@ def q_is_filled_norm_key(spark, d):
 SELECT doc_id, CAST(length(substring(text, 1, 5000)) AS INTEGER) AS n_chars_kept, substring(text, 1, 5000) = text AS whole FROM documents""")
 def q_truncate_text(spark, d):
     docs = fx.load(spark, d, "documents")
-    t = J.truncate_text("text")
+    t = J.truncate_text("text", lexicon.DESCRIPTION_MAX_CHARS)
     return docs.select("doc_id", F.length(t).alias("n_chars_kept"), (t == F.col("text")).alias("whole"))
 
 

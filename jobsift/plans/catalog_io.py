@@ -52,6 +52,43 @@ def _write_event_lines(spark, d, damaged: bool) -> tuple[str, T.StructType]:
 _EVENT_COLS = "event_id, event_type, value, user_id"
 
 
+def _loose_lines(spark, d) -> tuple[str, T.StructType]:
+    """Events as plain JSON lines whose fields change their JSON type from row to row, with fields no schema knows;
+    every seventh line is broken."""
+    ev = fx.load(spark, d, "events")
+    k = F.col("event_id") % 4
+    number, text = F.col("event_id").cast("string"), F.concat(F.lit('"'), F.col("event_id").cast("string"), F.lit('"'))
+    tags = F.when(k == 0, F.format_string('["%s","x"]', "event_type")).when(k == 1, F.format_string('"%s"', "event_type")).otherwise(F.lit("null"))
+    line = F.concat(F.lit('{"event_id":'), F.when(k == 2, text).otherwise(number), F.lit(',"user_id":'), F.col("user_id").cast("string"),
+                    F.lit(',"label":'), F.when(k == 3, F.lit("17")).otherwise(F.format_string('"%s"', "event_type")),
+                    F.lit(',"tags":'), tags, F.lit(',"unknown":{"a":['), number, F.lit(']}}'))
+    line = F.when(F.col("event_id") % 7 == 0, F.expr("concat('{broken ', event_id)")).otherwise(line)
+    path = scratch_path(spark, "loose")
+    ev.select(line.alias("value")).write.text(path)
+    return path, T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.StringType()),
+                               T.StructField("label", T.StringType()), T.StructField("tags", T.ArrayType(T.StringType()))])
+
+
+@register("scan_jsonl_mistyped", """
+SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, CASE WHEN event_id % 4 = 3 THEN '17' ELSE event_type END AS label,
+       CASE event_id % 4 WHEN 0 THEN event_type || ',x' WHEN 1 THEN event_type END AS tags
+FROM events WHERE event_id % 7 <> 0""")
+def q_scan_jsonl_mistyped(spark, d):
+    """Every valid record comes through, whatever the JSON types of its fields."""
+    path, schema = _loose_lines(spark, d)
+    return files.scan_jsonl(spark, path, schema).select("event_id", "user_id", "label", F.array_join("tags", ",").alias("tags"))
+
+
+@register("rejects_are_lines_minus_records", """
+SELECT COUNT(*) AS n_lines, COUNT(*) FILTER (WHERE event_id % 7 <> 0) AS n_records, COUNT(*) FILTER (WHERE event_id % 7 = 0) AS n_rejected FROM events""")
+def q_rejects_are_lines_minus_records(spark, d):
+    path, schema = _loose_lines(spark, d)
+    report = files.rejects_report(spark, path).agg(F.sum("n_bad").alias("n_rejected"))
+    lines = spark.read.text(path).agg(F.count(F.lit(1)).alias("n_lines"))
+    records = files.scan_jsonl(spark, path, schema).agg(F.count(F.lit(1)).alias("n_records"))
+    return lines.select("n_lines", records.scalar().alias("n_records"), report.scalar().cast("long").alias("n_rejected"))
+
+
 @register("scan_jsonl", f"""
 SELECT {_EVENT_COLS}, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS _fetched_at FROM events WHERE event_type <> 'error'""")
 def q_scan_jsonl(spark, d):
@@ -94,6 +131,22 @@ def q_scan_csv(spark, d):
     return files.scan_csv(spark, path, cust.schema)
 
 
+_NOTE = "c_name || ' said \"hé, \"\"ça\"\"\"' || chr(10) || '  then, ' || c_mktsegment || chr(10)"
+
+
+@register("scan_csv_by_header", f"""
+SELECT c_custkey, {_NOTE} AS note, CASE WHEN c_custkey % 3 <> 2 THEN c_acctbal END AS c_acctbal,
+       CASE WHEN c_custkey % 3 = 0 THEN c_name END AS c_name FROM customer""")
+def q_scan_csv_by_header(spark, d):
+    """Three kinds of files in one folder, with columns in another order, a column missing, and quoted text over several lines."""
+    c = fx.load(spark, d, "customer").withColumn("note", F.expr(_NOTE.replace("chr(10)", "char(10)")))
+    root = scratch_path(spark, "csv_kinds")
+    for i, cols in enumerate((["c_custkey", "note", "c_acctbal", "c_name"], ["c_acctbal", "c_custkey", "note"], ["note", "c_custkey"])):
+        writers.write_csv(c.where(F.col("c_custkey") % 3 == i).select(*cols), f"{root}/{i}")
+    wanted = T.StructType([c.schema["c_custkey"], T.StructField("note", T.StringType()), c.schema["c_acctbal"], c.schema["c_name"]])
+    return files.scan_csv(spark, root, wanted)
+
+
 _KEYED = T.StructType([T.StructField("key", T.LongType()), T.StructField("name", T.StringType())])
 
 
@@ -113,11 +166,15 @@ def q_scan_mixed_dir(spark, d):
                                 csv_schema=_KEYED)
 
 
-@register("list_files")
+@register("list_files", "SELECT CAST(c_nationkey AS VARCHAR) AS folder, COUNT(DISTINCT c_nationkey) AS n_files, TRUE AS all_filled FROM customer GROUP BY 1")
 def q_list_files(spark, d):
+    """One file in a folder of each nation; the listing gives them with their lengths."""
     cust = fx.load(spark, d, "customer")
-    path = writers.write_csv(cust.repartition(4), scratch_path(spark, "listed"))
-    return files.list_files(spark, path, glob="*.csv")
+    path = scratch_path(spark, "listed")
+    cust.repartition("c_nationkey").write.partitionBy("c_nationkey").option("header", "true").csv(path)
+    listed = files.list_files(spark, path, glob="*.csv")
+    folder = F.regexp_extract("path", r"c_nationkey=(\d+)/", 1).alias("folder")
+    return listed.groupBy(folder).agg(F.count(F.lit(1)).alias("n_files"), F.bool_and(F.col("length") > 0).alias("all_filled"))
 
 
 @register("wrap_envelope", f"""
@@ -153,22 +210,36 @@ def q_write_partitioned_jsonl(spark, d):
 @register("verify_row_count", S.with_(P) + "SELECT COUNT(*) AS n_written, COUNT(*) AS n_read FROM postings")
 def q_verify_row_count(spark, d):
     df = _p(spark, d)
-    path = writers.write_parquet(df, scratch_path(spark, "served"))
-    return writers.verify_row_count(df, spark.read.parquet(path))
+    path = scratch_path(spark, "served")
+    n = writers.write_counted(df, lambda rows: writers.write_parquet(rows, path))
+    return writers.verify_row_count(n, spark.read.parquet(path))
 
 
 @register("stream_ingest", f"SELECT {_EVENT_COLS}, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS fetched_at FROM events")
 def q_stream_ingest(spark, d):
     landing, schema = _write_event_lines(spark, d, damaged=False)
     out, ckpt = scratch_path(spark, "raw"), scratch_path(spark, "ingest_ckpt")
-    q = ingest.stream_ingest(ingest.scan_landing(spark, landing, schema, files_per_batch=2), out, ckpt)
+    q = ingest.stream_ingest(ingest.scan_landing(spark, landing, files_per_batch=2), out, ckpt)
     q.awaitTermination()
     back = spark.read.schema(schema).option("recursiveFileLookup", "true").json(out)
     return back.select("data.*", "fetched_at")
 
 
+_RAW_LINE = """CASE WHEN event_id % 7 = 0 THEN '{broken ' || event_id
+  ELSE '{"event_id":' || event_id || ',"extra" : {"a": [' || user_id || ']},  "kind":"' || event_type || '"}' END"""
+
+
+@register("stream_ingest_unchanged", f"SELECT {_RAW_LINE} AS value FROM events")
+def q_stream_ingest_unchanged(spark, d):
+    """The raw zone holds the landed lines byte for byte, with fields no schema knows and broken lines."""
+    landing, out, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "raw"), scratch_path(spark, "ingest_ckpt")
+    fx.load(spark, d, "events").select(F.expr(_RAW_LINE).alias("value")).write.text(landing)
+    ingest.stream_ingest(ingest.scan_landing(spark, landing, files_per_batch=2), out, ckpt).awaitTermination()
+    return spark.read.option("recursiveFileLookup", "true").text(out).select("value")
+
+
 def _api_envelopes(spark, d) -> DataFrame:
-    api = cc.raw_slices(spark, d)["api"]
+    api = cc.api_shape(_p(spark, d))
     return api.select(F.lit("api").alias("source"), F.lit(fx.ORDERS_AS_OF[:10] + "T" + fx.ORDERS_AS_OF[11:] + "Z").alias("fetched_at"),
                       F.struct(*api.columns).alias("data"))
 
@@ -176,7 +247,7 @@ def _api_envelopes(spark, d) -> DataFrame:
 STREAM_CLEAN_SQL = S.with_(P, f"""
 n_api AS ({cc._norm_sql('api', 'title', 'company', 'city', 'contract_type', 'salary_min', 'salary_max', "'EUR'",
                         'tech_stack', 'CAST(published_at AS VARCHAR)', 'url', 'CAST(posting_id AS VARCHAR)')}
-          FROM postings WHERE source IN {cc._in(cc.API_SOURCES)})""") + """
+          FROM postings)""") + """
 SELECT title, company, city, contract_type, salary_min, salary_max, salary_avg, currency, description,
        published_at, url, source, collected_at, source_id FROM n_api"""
 
@@ -187,8 +258,8 @@ def q_stream_clean(spark, d):
     landing = scratch_path(spark, "api_landing")
     env.write.json(landing)
     out, ckpt = scratch_path(spark, "clean_stream"), scratch_path(spark, "clean_ckpt")
-    q = ingest.stream_clean(ingest.scan_landing(spark, landing, env.schema, files_per_batch=2), "api", out, ckpt,
-                            as_of=fx.ORDERS_AS_OF)
+    stream = ingest.parsed(ingest.scan_landing(spark, landing, files_per_batch=2), env.schema)
+    q = ingest.stream_clean(stream, "api", out, ckpt, as_of=fx.ORDERS_AS_OF)
     q.awaitTermination()
     back = _ntz(spark.read.parquet(out))
     return back.select("title", "company", "city", "contract_type", "salary_min", "salary_max", "salary_avg", "currency",
@@ -223,28 +294,22 @@ MICROS_JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}   # keep mi
 
 @register("sustained_threshold_stream", f"""
 WITH s AS (SELECT user_id, ts, CAST(value <= {ALERT_THRESHOLD} AS INTEGER) AS ok FROM events),
-r AS (SELECT *, SUM(ok) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run,
-             MAX(ts) FILTER (WHERE ok = 1) OVER (PARTITION BY user_id) AS last_ok FROM s)
-SELECT user_id AS series, MIN(ts) AS start, MAX(ts) AS "end", COUNT(*) AS n, 'critical' AS severity
-FROM r WHERE ok = 0 GROUP BY user_id, run
-HAVING epoch_us(MAX(ts)) - epoch_us(MIN(ts)) >= {ALERT_FOR * 1_000_000} AND MAX(ts) < ANY_VALUE(last_ok)""")
+r AS (SELECT *, SUM(ok) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM s),
+g AS (SELECT user_id, run, ts, MIN(ts) OVER (PARTITION BY user_id, run) AS start FROM r WHERE ok = 0)
+SELECT 'host-' || user_id AS series, start, MIN(ts) AS fired_at, 'critical' AS severity
+FROM g WHERE epoch_us(ts) - epoch_us(start) >= {ALERT_FOR * 1_000_000} GROUP BY user_id, run, start""")
 def q_sustained_threshold_stream(spark, d):
-    """Events arrive as landing files in time order (five sequential time slices); the
-    stateful rule emits each run above the threshold once it closes."""
-    from jobsift.streaming.alerts import sustained_threshold_stream
-    ev = fx.load(spark, d, "events").select("user_id", "ts", "value")
-    landing = scratch_path(spark, "alert_landing")
+    """Events arrive in three time slices, one bounded run of the query after each; a rule fires when its time is
+    reached, whether or not the run above the threshold has ended."""
+    from jobsift.streaming.alerts import read_alerts, start_threshold_alerts
+    ev = fx.load(spark, d, "events").select(F.concat(F.lit("host-"), "user_id").alias("host"), "ts", "value")
+    landing, out, ckpt = scratch_path(spark, "alert_landing"), scratch_path(spark, "alerts"), scratch_path(spark, "alerts_ckpt")
     bounds = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    span = (bounds["hi"] - bounds["lo"]) / 5
-    for i in range(5):              # five appends, oldest first: the file source reads them in that order
-        lo = bounds["lo"] + span * i
-        part = ev.filter((F.col("ts") >= F.lit(lo)) if i == 0 else (F.col("ts") > F.lit(lo)))
-        part = part.filter(F.col("ts") <= F.lit(bounds["lo"] + span * (i + 1)) if i < 4 else F.lit(True))
-        part.coalesce(1).write.mode("append").options(**MICROS_JSON).json(landing)
-    stream = ingest.scan_landing(spark, landing, ev.schema, files_per_batch=1, options=MICROS_JSON)
-    out, ckpt = scratch_path(spark, "alerts"), scratch_path(spark, "alerts_ckpt")
-    q = (sustained_threshold_stream(stream, ALERT_THRESHOLD, ALERT_FOR, "critical")
-         .writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.schema("series long, start timestamp_ntz, end timestamp_ntz, n long, severity string").parquet(out)
+    cuts = [bounds["lo"] + (bounds["hi"] - bounds["lo"]) * i / 3 for i in (1, 2)]
+    for i in range(3):
+        part = ev.where(F.col("ts") >= F.lit(cuts[i - 1])) if i else ev
+        part = part.where(F.col("ts") < F.lit(cuts[i])) if i < 2 else part
+        part.write.mode("append").options(**MICROS_JSON).json(landing)
+        stream = ingest.parsed(ingest.scan_landing(spark, landing), ev.schema)
+        start_threshold_alerts(stream, out, ckpt, ALERT_THRESHOLD, ALERT_FOR, "critical", series="host").awaitTermination()
+    return read_alerts(spark, out)

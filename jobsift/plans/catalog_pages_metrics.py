@@ -15,7 +15,7 @@ CLEAN = r"""regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>
 
 
 def _decode(x: str) -> str:
-    from jobsift.functions.html import ENTITIES
+    from jobsift.plans.sqltext import ENTITIES
     out = x
     for ent, ch in ENTITIES:
         out = f"replace({out}, {S.q(ent)}, {S.q(ch)})"
@@ -38,13 +38,13 @@ def _first_match(pattern: str) -> str:
 
 def _blocks() -> str:
     contents = (f"list_transform(regexp_split_to_array({CLEAN}, '(?i)<(?:p|li)(?:\\s[^>]*)?>')[2:], "
-                f"lambda p: regexp_split_to_array(p, '(?i)</(?:p|li)>|<(?:ul|ol)(?:\\s[^>]*)?>|</(?:ul|ol)>')[1])")
+                f"lambda p: regexp_split_to_array(p, '(?i)</(?:p|li|article)>|<(?:ul|ol)(?:\\s[^>]*)?>|</(?:ul|ol)>')[1])")
     return f"list_transform({contents}, lambda c: {_node_text('c')})"
 
 
-def _body() -> str:
+def _body(blocks: str = "[1:50]") -> str:
     keep = f"list_filter({_blocks()}, lambda t: length(t) > 30 AND NOT contains(lower(t), 'cookie'))"
-    return f"array_to_string({keep}[1:50], chr(10))"
+    return f"array_to_string({keep}{blocks}, chr(10))"
 
 
 def _icon(alt: str) -> str:
@@ -79,16 +79,47 @@ SELECT page_id, {_node_text(f"regexp_extract({CLEAN}, '(?is)<h1(?:\\s[^>]*)?>(.*
        {_first_match(pages.SALARY_HINT)} AS salary, url, {_body()} AS description
 FROM pages""")
 def q_extract_page_fields(spark, d):
-    return pages.extract_page_fields(fx.load(spark, d, "pages"))
+    return pages.extract_page_fields(fx.load(spark, d, "pages"), max_blocks=pages.REFERENCE_BLOCKS)
 
 
 @register("extract_body_text", f"""
 SELECT page_id, {_body()} AS description, CAST(len(list_filter({_blocks()}, lambda t: length(t) > 30)) AS INTEGER) AS n_long_blocks
 FROM pages""")
 def q_extract_body_text(spark, d):
+    return pages.extract_body_text(fx.load(spark, d, "pages"), max_blocks=pages.REFERENCE_BLOCKS)
+
+
+@register("extract_body_text_whole", f"""
+SELECT page_id, {_body("")} AS description, CAST(len(list_filter({_blocks()}, lambda t: length(t) > 30)) AS INTEGER) AS n_long_blocks
+FROM pages""")
+def q_extract_body_text_whole(spark, d):
     return pages.extract_body_text(fx.load(spark, d, "pages"))
 
 
+_KNOWN = ("SELECT c_custkey AS page_id, c_name AS title, 'Ets ' || c_name || ' &Fils' AS company, c_custkey % 90000 + 10000 || ' Ville, France' AS location, "
+          "'Télétravail ' || c_mktsegment AS remote, 'Contrat : CDI' AS contract_type, c_custkey % 90 + 10 || ' k€ par an' AS salary, "
+          "'https://board.example/fr/job/' || c_custkey AS url, "
+          "'Description « ' || c_name || ' » assez longue pour compter.' || chr(10) || 'Deuxième bloc du segment ' || c_mktsegment || ', sans paragraphe.' AS description")
+
+
+@register("extract_page_fields_known", _KNOWN + " FROM customer")
+def q_extract_page_fields_known(spark, d):
+    """Pages written from known fields, with what real pages do: text in an element beside the icon, a contract word in
+    the page title, all kinds of quotes, numeric and named entities, paragraphs that are never closed."""
+    c = fx.load(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    html = F.format_string(
+        "<html><head><title>Offre Stage | Board</title></head><body><h1>%1$s</h1><a class=x href='/organization/%2$s'>Ets %1$s &amp; <b>Fils</b></a>"
+        "<div><img src=a.png alt='location'><span>%3$s Ville, France</span></div><p><img alt=remote><i>T&eacute;l&#233;travail %4$s</i></p>"
+        "<span>Contrat&nbsp;: CDI</span><em>%5$s k&euro; par an</em><p>Description &laquo; %1$s &raquo; assez longue pour compter."
+        "<ul><li>court<li>Deuxi&#xe8;me bloc du segment %4$s, sans paragraphe.</ul><p>Nous utilisons des cookies sur ce site de test.</p></body></html>",
+        F.col("c_name"), F.col("c_custkey").cast("string"), (F.col("c_custkey") % 90000 + 10000).cast("string"), F.col("c_mktsegment"),
+        (F.col("c_custkey") % 90 + 10).cast("string"))
+    rows = c.select(F.col("c_custkey").alias("page_id"), F.concat(F.lit("https://board.example/fr/job/"), "c_custkey").alias("url"), html.alias("html"))
+    out = pages.extract_page_fields(rows)
+    plain = lambda n: F.translate(n, "\u00a0", " ").alias(n)
+    return out.select("page_id", "title", "company", "location", "remote", plain("contract_type"), "salary", "url", "description")
+
+
 # ---------------------------------------------------------------- metrics on events
 
 _INC = """
@@ -104,7 +135,7 @@ SELECT event_id, user_id, CAST(rate_cents AS BIGINT) AS rate_cents, rate_cents /
   FROM i WINDOW w AS {_RATE_WIN})""")
 def q_counter_rate(spark, d):
     ev = fx.load(spark, d, "events")
-    return metrics.counter_rate(ev)
+    return metrics.counter_rate(ev, scale=2)
 
 
 @register("counter_rate_by_label", "WITH " + _INC.strip() + f""",
@@ -113,7 +144,19 @@ r AS (SELECT event_type, COALESCE(SUM(inc) OVER w, 0) - COALESCE(FIRST_VALUE(inc
 SELECT event_type, CAST(SUM(rate_cents) AS DOUBLE) / (COUNT(*) * 30000) AS mean_rate FROM r GROUP BY event_type""")
 def q_counter_rate_by_label(spark, d):
     ev = fx.load(spark, d, "events")
-    return metrics.rate_by_label(metrics.counter_rate(ev), ev, "event_type")
+    return metrics.rate_by_label(metrics.counter_rate(ev, carry=("event_type",), scale=2), "event_type", scale=2)
+
+
+@register("counter_rate_by_label_over_time", "WITH " + _INC.strip() + f""",
+r AS (SELECT event_type, us, COALESCE(SUM(inc) OVER w, 0) - COALESCE(FIRST_VALUE(inc) OVER w, 0) AS rate_cents
+      FROM i WINDOW w AS {_RATE_WIN})
+SELECT event_type, date_trunc('hour', make_timestamp(us)) AS step_start, CAST(SUM(rate_cents) AS DOUBLE) / (COUNT(*) * 30000) AS mean_rate
+FROM r GROUP BY 1, 2""")
+def q_counter_rate_by_label_over_time(spark, d):
+    """One rate per label and hour, from short chunks: the window reaches over several of them."""
+    ev = fx.load(spark, d, "events")
+    rates = metrics.counter_rate(ev, carry=("event_type", "ts"), scale=2, chunk_seconds=60)
+    return metrics.rate_by_label_over_time(rates, "event_type", scale=2)
 
 
 @register("usage_ratio", """
@@ -126,6 +169,7 @@ def q_usage_ratio(spark, d):
 
 
 THRESHOLD, FOR_SECONDS = 25.0, 300
+MAX_GAP = 3600
 
 
 @register("sustained_threshold", f"""
@@ -137,13 +181,54 @@ def q_sustained_threshold(spark, d):
     return metrics.sustained_threshold(fx.load(spark, d, "events"), THRESHOLD, FOR_SECONDS, "critical")
 
 
+@register("sustained_threshold_gap", f"""
+WITH s AS (SELECT user_id, ts, value <= {THRESHOLD} AS ok, LAG(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events),
+b AS (SELECT *, CAST(ok OR COALESCE(epoch_us(ts) - epoch_us(prev) > {MAX_GAP * 1_000_000}, FALSE) AS INTEGER) AS brk FROM s),
+r AS (SELECT *, SUM(brk) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM b)
+SELECT user_id, MIN(ts) AS start, MAX(ts) AS "end", COUNT(*) AS n, 'critical' AS severity FROM r WHERE NOT ok
+GROUP BY user_id, run HAVING epoch_us(MAX(ts)) - epoch_us(MIN(ts)) >= {FOR_SECONDS * 1_000_000}""")
+def q_sustained_threshold_gap(spark, d):
+    return metrics.sustained_threshold(fx.load(spark, d, "events"), THRESHOLD, FOR_SECONDS, "critical", max_gap_seconds=MAX_GAP)
+
+
+# The rule chain "rate of an idle counter -> 100 - x -> above a limit for some time -> severity".
+BUSY_LIMIT, BUSY_FOR = 90.0, 300
+
+
+@register("alert_rule_cpu", "WITH " + _INC.strip() + f""",
+q AS (SELECT user_id, us, COALESCE(SUM(inc) OVER w, 0) - COALESCE(FIRST_VALUE(inc) OVER w, 0) AS rate_cents FROM i WINDOW w AS {_RATE_WIN}),
+s AS (SELECT user_id, us, CAST(100.0 - (rate_cents / 30000) * 100 <= {BUSY_LIMIT} AS INTEGER) AS ok FROM q),
+r AS (SELECT *, SUM(ok) OVER (PARTITION BY user_id ORDER BY us ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM s),
+g AS (SELECT user_id, run, us, MIN(us) OVER (PARTITION BY user_id, run) AS start_us FROM r WHERE ok = 0)
+SELECT CAST(user_id AS VARCHAR) AS series, make_timestamp(start_us) AS start, make_timestamp(MIN(us)) AS fired_at, 'critical' AS severity
+FROM g WHERE us - start_us >= {BUSY_FOR * 1_000_000} GROUP BY user_id, run, start_us""")
+def q_alert_rule_cpu(spark, d):
+    ev = fx.load(spark, d, "events")
+    busy = metrics.busy_percent(metrics.counter_rate(ev, carry=("ts",), scale=2))
+    return metrics.fired_alerts(busy, BUSY_LIMIT, BUSY_FOR, "critical", value="busy_pct")
+
+
+@register("alert_rule_memory", f"""
+WITH u AS (SELECT user_id, step_start, (1 - available / total) * 100 AS pct FROM (
+  SELECT user_id, date_trunc('day', ts) AS step_start, MAX(CASE WHEN event_type = 'view' THEN value END) AS available,
+         MAX(CASE WHEN event_type = 'click' THEN value END) AS total FROM events GROUP BY 1, 2) WHERE available IS NOT NULL AND total > 0),
+r AS (SELECT *, SUM(CAST(pct <= 50 AS INTEGER)) OVER (PARTITION BY user_id ORDER BY step_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM u),
+g AS (SELECT user_id, run, step_start, MIN(step_start) OVER (PARTITION BY user_id, run) AS start FROM r WHERE pct > 50)
+SELECT CAST(user_id AS VARCHAR) AS series, start, MIN(step_start) AS fired_at, 'warning' AS severity
+FROM g WHERE epoch_us(step_start) - epoch_us(start) >= 86400000000 GROUP BY user_id, run, start""")
+def q_alert_rule_memory(spark, d):
+    """The memory and disk rules: a usage ratio above its limit for some time (here above half for a day of daily steps)."""
+    use = metrics.usage_ratio(fx.load(spark, d, "events"), "view", "click", step="day")
+    return metrics.fired_alerts(use, 50.0, 86400, "warning", ts="step_start", value="usage_pct")
+
+
 @register("delta_percent", "WITH " + _INC.strip() + """
 SELECT event_id, user_id, CASE WHEN pus IS NOT NULL AND us - pus > 0 AND c - pc >= 0
        THEN ((c - pc) * 1000000 * CAST(json_extract_string(props, '$.k') AS BIGINT)) / (us - pus) ELSE 0.0 END AS cpu_pct
 FROM i""")
 def q_delta_percent(spark, d):
     ev = fx.load(spark, d, "events")
-    return metrics.delta_percent(ev, cpus=F.get_json_object("props", "$.k"))
+    return metrics.delta_percent(ev, cpus=F.get_json_object("props", "$.k"), scale=2)
 
 
 @register("usage_percent", """

@@ -1,8 +1,8 @@
 """The interactive entry point: one filter selection -> every report of a page.
 
-The served table is filtered once (lazy); when a page asks for several reports the
-filtered frame is cached so they share one scan. Each report stays a DataFrame:
-the caller collects only the small result tables it draws.
+The served table is filtered lazily: each report scans the columns it needs of the
+stored table. Each report stays a DataFrame: the caller collects only the small
+result tables it draws. A caller that knows the selection to be small may cache it.
 """
 from __future__ import annotations
 
@@ -35,7 +35,7 @@ NEEDS_AS_OF = {"time_kpis", "freshness_buckets", "source_freshness"}
 
 def page_reports(served: DataFrame, page: str, city: str = "ALL", contract: str = "ALL",
                  salary_range_k: tuple[float, float] | None = None, as_of=None,
-                 cache: bool = True) -> dict[str, DataFrame]:
+                 cache: bool = False) -> dict[str, DataFrame]:
     """All report frames of ``page`` for one filter selection (``served`` must carry
     ``city_clean``, see ``lookups.with_dashboard_columns``)."""
     view = filter_postings(served, city, contract, salary_range_k)

@@ -7,8 +7,10 @@ request per file); exports are parallel writes, one file per partition.
 from __future__ import annotations
 
 import logging
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobsift.operators.clean import build_clean, unwrap_envelope
@@ -26,23 +28,39 @@ def load_feed(spark: SparkSession, path: str, schema: T.StructType, kind: str =
     return files.scan_mixed_dir(spark, path, schema, csv_schema=csv_schema)
 
 
+def _step(df: DataFrame, name: str, seen: dict[str, Observation]) -> DataFrame:
+    """``df``, counted by an Observation on the way through."""
+    seen[name] = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+    return df.observe(seen[name], F.count(F.lit(1)).alias("n"))
+
+
 def run_clean_job(spark: SparkSession, feeds: dict[str, DataFrame], out_dir: str, as_of=None, skills=None,
-                  jdbc_url: str | None = None, jdbc_table: str = "offres_emploi_clean",
-                  jdbc_properties: dict | None = None) -> DataFrame:
+                  jdbc_url: str | None = None, jdbc_table: str | None = None,
+                  jdbc_properties: dict | None = None, counts: dict[str, int] | None = None) -> DataFrame:
     """Clean ``feeds`` ({'api'|'third'|'scraped': raw frame}) and write the result.
 
     The parquet store is the table of record and is returned (read back, so later
-    steps do not recompute the cleaning); the CSV copy keeps empty strings empty.
-    A JDBC failure is logged and leaves the files in place.
+    steps do not recompute the cleaning). Each step's rows (every feed, after the
+    union, after the dedup) are counted by Observations on the write itself, logged,
+    and put into ``counts``. Feeds that are all empty raise before anything is
+    overwritten. A JDBC failure is logged and leaves the files in place.
     """
     if not feeds:
         raise ValueError("no feed to clean")
-    kw = {"as_of": as_of}
-    if skills is not None:
-        kw["skills"] = skills
-    cleaned = build_clean(feeds, **kw)
+    if jdbc_url and not jdbc_table:
+        raise ValueError("name the JDBC table")
+    if all(df.isEmpty() for df in feeds.values()):
+        raise ValueError("all feeds are empty")
+    seen: dict[str, Observation] = {}
+    kw = {} if skills is None else {"skills": skills}
+    watched = {kind: _step(df, kind, seen) for kind, df in feeds.items()}
+    cleaned = build_clean(watched, as_of=as_of, on_step=lambda name, df: _step(df, name, seen), **kw)
     store = f"{out_dir.rstrip('/')}/clean_parquet"
     writers.write_parquet(cleaned, store)
+    found = {name: int(o.get["n"]) for name, o in seen.items()}
+    log.info("rows by step: %s", found)
+    if counts is not None:
+        counts.update(found)
     table = spark.read.parquet(store)
     writers.write_csv(table, f"{out_dir.rstrip('/')}/clean_csv")
     if jdbc_url:

@@ -52,39 +52,46 @@ def with_previous(samples: DataFrame, series: str, ts: str, cols: list[str], chu
 
 
 def counter_rate(samples: DataFrame, series: str = "user_id", ts: str = "ts", value: str = "value",
-                 window_seconds: int = 300, chunk_seconds: int = 3600, id_col: str = "event_id") -> DataFrame:
+                 window_seconds: int = 300, chunk_seconds: int = 3600, id_col: str = "event_id",
+                 carry: tuple[str, ...] = (), scale: int = 6) -> DataFrame:
     """Per-second increase of a counter over the trailing window (ts - window, ts],
     counting only increases between samples that are both inside the window; a drop
     is a reset (the new value is the increase). No extrapolation to window edges.
 
-    Returns (id, series, rate, rate_cents_sum) where rate = cents / (100 * window).
+    Returns (id, series, carry.., rate_cents, rate): the summed increase in units of
+    10^-scale (millionths by default; scale 2 is cents)
+    and rate = increase / window. ``carry`` columns come along.
     """
-    base = samples.select(id_col, series, ts, to_cents(value).alias("cents"))
+    base = samples.select(id_col, series, ts, *carry, to_cents(value, scale).alias("cents"))
     prev = with_previous(base, series, ts, ["cents"], chunk_seconds)
     inc = F.when(F.col("_prev_cents").isNull(), F.lit(None).cast("bigint")).when(
         F.col("cents") >= F.col("_prev_cents"), F.col("cents") - F.col("_prev_cents")).otherwise(F.col("cents"))
-    rows = prev.select(id_col, series, "_us", "_chunk", inc.alias("_inc"))
-    # each row belongs to its chunk; a row in the last window of its chunk is also
-    # emitted (as context) to the next chunk: one pass, at most two copies per row
+    rows = prev.select(id_col, series, *carry, "_us", "_chunk", inc.alias("_inc"))
+    # each row belongs to its chunk; it is also context for every later chunk that its
+    # window reaches, however short the chunks are
     win = window_seconds * MICROS
-    spill = F.floor((F.col("_us") + win) / (chunk_seconds * MICROS)).cast("bigint")
-    copies = F.filter(F.array(F.struct(F.col("_chunk").alias("c"), F.lit(True).alias("own")),
-                              F.struct(spill.alias("c"), F.lit(False).alias("own"))),
-                      lambda x: x["own"] | (x["c"] != F.col("_chunk")))
-    allrows = (rows.select(id_col, series, "_us", "_inc", F.explode(copies).alias("_t"))
-                   .select(id_col, series, "_us", "_inc", F.col("_t.c").alias("_chunk"), F.col("_t.own").alias("_own")))
+    spill = F.floor((F.col("_us") + win - 1) / (chunk_seconds * MICROS)).cast("bigint")
+    copies = F.transform(F.sequence(F.col("_chunk"), spill), lambda c: F.struct(c.alias("c"), (c == F.col("_chunk")).alias("own")))
+    allrows = (rows.select(id_col, series, *carry, "_us", "_inc", F.explode(copies).alias("_t"))
+                   .select(id_col, series, *carry, "_us", "_inc", F.col("_t.c").alias("_chunk"), F.col("_t.own").alias("_own")))
     w = Window.partitionBy(series, "_chunk").orderBy("_us").rangeBetween(-(win - 1), 0)
     num = F.coalesce(F.sum("_inc").over(w), F.lit(0)) - F.coalesce(F.first("_inc").over(w), F.lit(0))
-    out = allrows.select(id_col, series, "_own", num.alias("rate_cents")).filter("_own")
-    return out.select(id_col, series, "rate_cents", (F.col("rate_cents") / (window_seconds * 100)).alias("rate"))
+    out = allrows.select(id_col, series, *carry, "_us", "_own", num.alias("rate_cents")).filter("_own")
+    return out.select(id_col, series, *carry, "rate_cents", (F.col("rate_cents") / (window_seconds * 10 ** scale)).alias("rate"))
 
 
-def rate_by_label(rates: DataFrame, labels: DataFrame, label: str, id_col: str = "event_id",
-                  window_seconds: int = 300) -> DataFrame:
-    """Mean rate per label (``avg by (label)``), exact."""
-    j = rates.join(labels.select(id_col, label), id_col)
-    return j.groupBy(label).agg((F.sum(F.col("rate_cents").cast("decimal(38,0)")).cast("double")
-                                 / (F.count(F.lit(1)) * window_seconds * 100)).alias("mean_rate"))
+def rate_by_label(rates: DataFrame, label: str, window_seconds: int = 300, scale: int = 6) -> DataFrame:
+    """Mean rate per label (``avg by (label)``) over all samples, exact. The label is carried by ``counter_rate``."""
+    return rates.groupBy(label).agg((F.sum(F.col("rate_cents").cast("decimal(38,0)")).cast("double")
+                                     / (F.count(F.lit(1)) * window_seconds * 10 ** scale)).alias("mean_rate"))
+
+
+def rate_by_label_over_time(rates: DataFrame, label: str, ts: str = "ts", step: str = "hour", window_seconds: int = 300,
+                            scale: int = 6) -> DataFrame:
+    """(label, step_start, mean_rate): ``avg by (label)`` as a series of steps; label and ``ts`` are carried by ``counter_rate``."""
+    return (rates.groupBy(label, step_start(ts, step).alias("step_start"))
+            .agg((F.sum(F.col("rate_cents").cast("decimal(38,0)")).cast("double")
+                  / (F.count(F.lit(1)) * window_seconds * 10 ** scale)).alias("mean_rate")))
 
 
 STEP_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
@@ -107,41 +114,90 @@ def usage_ratio(samples: DataFrame, available: str, total: str, series: str = "u
              .select(series, "step_start", ((F.lit(1) - F.col("available") / F.col("total")) * 100).alias("usage_pct")))
 
 
+def _numbered(df: DataFrame, series: str, broken: Column) -> DataFrame:
+    """``_run``: how many breaks the series has had up to and with a row; a chunk's own count plus those of earlier chunks."""
+    df = df.withColumn("_broken", broken.cast("int"))
+    per_chunk = df.groupBy(series, "_chunk").agg(F.sum("_broken").alias("_n"))
+    w_chunks = Window.partitionBy(series).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_chunk.select(series, "_chunk", F.coalesce(F.sum("_n").over(w_chunks), F.lit(0)).alias("_off"))
+    w = Window.partitionBy(series, "_chunk").orderBy("_us").rowsBetween(Window.unboundedPreceding, 0)
+    return df.join(offsets, [series, "_chunk"]).withColumn("_run", F.col("_off") + F.sum("_broken").over(w))
+
+
+def _gap(max_gap_seconds: float | None) -> Column:
+    if max_gap_seconds is None:
+        return F.lit(False)
+    return F.coalesce(F.col("_us") - F.col("_prev_us") > int(max_gap_seconds * MICROS), F.lit(False))
+
+
 def sustained_threshold(samples: DataFrame, threshold: float, for_seconds: int, severity: str,
                         series: str = "user_id", ts: str = "ts", value: str = "value",
-                        chunk_seconds: int = 86400) -> DataFrame:
+                        chunk_seconds: int = 3600, max_gap_seconds: float | None = None) -> DataFrame:
     """Runs of consecutive samples above ``threshold`` lasting at least ``for_seconds``
     (first to last sample of the run): (series, start, end, n, severity).
 
-    A run id is the number of non-breaching samples seen so far in the series:
-    a chunk-local running count plus the counts of earlier chunks.
+    Two samples more than ``max_gap_seconds`` apart (the source's staleness) are of
+    different runs. A run id is the number of breaks seen so far in the series: a
+    chunk-local running count plus the counts of earlier chunks.
     """
-    df = _prepare(samples.select(series, ts, value), series, ts, chunk_seconds)
-    ok = (F.col(value) <= threshold).cast("int")
-    df = df.withColumn("_ok", ok)
-    per_chunk = df.groupBy(series, "_chunk").agg(F.sum("_ok").alias("_n_ok"))
-    w_chunks = Window.partitionBy(series).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_chunk.select(series, "_chunk", F.coalesce(F.sum("_n_ok").over(w_chunks), F.lit(0)).alias("_off"))
-    w = Window.partitionBy(series, "_chunk").orderBy("_us").rowsBetween(Window.unboundedPreceding, 0)
-    runs = (df.join(offsets, [series, "_chunk"]).withColumn("_run", F.col("_off") + F.sum("_ok").over(w))
-              .filter(F.col("_ok") == 0))
+    base = samples.select(series, ts, value)
+    df = (with_previous(base, series, ts, [value], chunk_seconds) if max_gap_seconds is not None
+          else _prepare(base, series, ts, chunk_seconds))
+    ok = F.col(value) <= threshold
+    runs = _numbered(df, series, ok | _gap(max_gap_seconds)).filter(~ok)
     g = runs.groupBy(series, "_run").agg(F.min(ts).alias("start"), F.max(ts).alias("end"),
                                          F.count(F.lit(1)).alias("n"), (F.max("_us") - F.min("_us")).alias("_dur"))
     return (g.filter(F.col("_dur") >= for_seconds * MICROS)
              .select(series, "start", "end", "n", F.lit(severity).alias("severity")))
 
 
+def threshold_runs(rows: DataFrame, for_seconds: float, max_gap_seconds: float | None = None, chunk_seconds: int = 3600) -> DataFrame:
+    """Runs of rows (series, us, above, start_us, n, fired): one row (series, start_us, last_us, n, fired, fired_us, is_open) each.
+
+    fired_us is the time of the first sample at which the run has lasted
+    ``for_seconds``, null if it has not; is_open tells that no sample of the series
+    follows. A row may stand for an earlier part of a run, which began at its start_us.
+    """
+    timed = rows.withColumn("_ts", F.timestamp_add("MICROSECOND", F.col("us"), F.lit(EPOCH).cast("timestamp_ntz")))
+    df = with_previous(timed, "series", "_ts", ["above"], chunk_seconds)
+    above = _numbered(df, "series", ~F.col("above") | _gap(max_gap_seconds)).filter("above")
+    runs = above.groupBy("series", "_run").agg(F.min("start_us").alias("start_us"), F.max("us").alias("last_us"), F.sum("n").alias("n"),
+                                               F.max("fired").alias("fired"))
+    long = runs.where(F.col("last_us") - F.col("start_us") >= int(for_seconds * MICROS)).select("series", "_run", F.col("start_us").alias("_start"))
+    fired = (above.join(long, ["series", "_run"]).where(F.col("us") - F.col("_start") >= int(for_seconds * MICROS))
+             .groupBy("series", "_run").agg(F.min("us").alias("fired_us")))
+    newest = rows.groupBy("series").agg(F.max("us").alias("_newest"))
+    return (runs.join(fired, ["series", "_run"], "left").join(newest, "series")
+            .select("series", "start_us", "last_us", "n", "fired", "fired_us", (F.col("last_us") == F.col("_newest")).alias("is_open")))
+
+
+def fired_alerts(samples: DataFrame, threshold: float, for_seconds: float, severity: str, series: str = "user_id", ts: str = "ts",
+                 value: str = "value", max_gap_seconds: float | None = None, chunk_seconds: int = 3600) -> DataFrame:
+    """(series, start, fired_at, severity): when the rule fires, over a table of samples. Series are text."""
+    rows = samples.select(F.col(series).cast("string").alias("series"), _micros(ts).alias("us"), F.col(value).cast("double").alias("v")).dropna()
+    rows = rows.select("series", "us", (F.col("v") > threshold).alias("above"), F.col("us").alias("start_us"), F.lit(1).cast("long").alias("n"), F.lit(False).alias("fired"))
+    epoch = F.lit(EPOCH).cast("timestamp_ntz")
+    return (threshold_runs(rows, for_seconds, max_gap_seconds, chunk_seconds).where("fired_us is not null")
+            .select("series", F.timestamp_add("MICROSECOND", F.col("start_us"), epoch).alias("start"),
+                    F.timestamp_add("MICROSECOND", F.col("fired_us"), epoch).alias("fired_at"), F.lit(severity).alias("severity")))
+
+
+def busy_percent(rates: DataFrame, rate: str = "rate") -> DataFrame:
+    """``100 - rate * 100`` of an idle counter, as column ``busy_pct``."""
+    return rates.withColumn("busy_pct", F.lit(100.0) - F.col(rate) * 100)
+
+
 def delta_percent(samples: DataFrame, series: str = "user_id", ts: str = "ts", value: str = "value",
-                  cpus: Column | None = None, id_col: str = "event_id", chunk_seconds: int = 3600) -> DataFrame:
+                  cpus: Column | None = None, id_col: str = "event_id", chunk_seconds: int = 3600, scale: int = 6) -> DataFrame:
     """Two-sample CPU %: delta(value) / delta(seconds) * cpus * 100 when both deltas
     allow it (time advanced, value did not drop), else 0."""
-    base = samples.select(id_col, series, ts, to_cents(value).alias("cents"),
+    base = samples.select(id_col, series, ts, to_cents(value, scale).alias("cents"),
                           (cpus if cpus is not None else F.lit(1)).cast("bigint").alias("_cpus"))
     prev = with_previous(base, series, ts, ["cents"], chunk_seconds)
     dc = F.col("cents") - F.col("_prev_cents")
     dt = F.col("_us") - F.col("_prev_us")
     pct = F.when(F.col("_prev_us").isNotNull() & (dt > 0) & (dc >= 0),
-                 (dc * MICROS * F.col("_cpus")) / dt).otherwise(F.lit(0.0))
+                 (dc * MICROS * F.col("_cpus")) / dt / 10 ** (scale - 2)).otherwise(F.lit(0.0))
     return prev.select(id_col, series, pct.alias("cpu_pct"))
 
 

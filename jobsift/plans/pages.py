@@ -1,67 +1,92 @@
 """Field extraction from a stored table of raw web pages (one row per page).
 
-Every field is a Column expression over the page's HTML, so pages are processed
-in parallel, one task per split of the table; no page is ever collected.
+Pages are parsed where they are read, in Arrow batches; no page is collected and
+nothing is shuffled.
 """
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobsift.functions import html as H
+from jobsift.functions.htmltree import Page
 
 # FIXED VALUES: page markers of the job board's detail pages
 COMPANY_LINK_FRAGMENT = "/organization/"
 LISTING_LINK_FRAGMENT = "/fr/job/"
 LOCATION_FALLBACK = r"\d{5}.*France"
 CONTRACT_WORDS = ["CDI", "CDD", "Freelance", "Stage", "Alternance", "Intérim"]
+CONTRACT_PARENTS = ("span", "div", "li", "p", "a")
 SALARY_HINT = r"\d+\s*[kK€]"
+MIN_BLOCK_CHARS, EXCLUDED_BLOCK = 30, "cookie"
+REFERENCE_BLOCKS = 50
+
+_ORIGIN = re.compile(r"[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*")
+_LOCATION, _SALARY = re.compile(LOCATION_FALLBACK), re.compile(SALARY_HINT)
+_CONTRACT = re.compile(rf"\b(?:{'|'.join(CONTRACT_WORDS)})\b", re.I)
+
+
+def _per_page(pages: DataFrame, cols: dict[str, str], row, schema: str) -> DataFrame:
+    """``row(page, url)`` of each page as columns beside the id."""
+    narrow = pages.select(F.col(cols["id"]).alias("__id"), *([F.col(cols["url"]).alias("__url")] if "url" in cols else [F.lit(None).cast("string").alias("__url")]),
+                          F.col(cols["html"]).cast("string").alias("__html"))
+    names = [c.strip().split(" ")[0] for c in re.split(r",\s*(?![^<]*>)", schema)]
+
+    def run(batches):
+        for b in batches:
+            found = [row(Page(h), u or "") for h, u in zip(b.column("__html").to_pylist(), b.column("__url").to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column("__id"), *(pa.array([f[i] for f in found], _TYPES[t]) for i, t in enumerate(types))], names=["__id", *names])
+
+    types = [c.strip().split(" ")[1] for c in re.split(r",\s*(?![^<]*>)", schema)]
+    out = narrow.mapInArrow(run, f"__id {pages.schema[cols['id']].dataType.simpleString()}, {schema}")
+    return out.withColumnRenamed("__id", cols["id"])
+
+
+_TYPES = {"string": pa.string(), "int": pa.int32(), "array<string>": pa.list_(pa.string())}
 
 
-def _cleaned(pages: DataFrame, cols: list[str], html: str) -> DataFrame:
-    """Pages with the HTML cleaned once (a separate projection, so every field reuses it)."""
-    return pages.select(*cols, H.strip_noise(html).alias("_clean"))
+def _links(page: Page, url: str, fragment: str) -> list[str]:
+    origin = _ORIGIN.match(url)
+    base = origin[0] if origin else ""
+    return list(dict.fromkeys(h if h.startswith("http") else base + h for _, h in page.links(fragment) if h))
+
+
+def body_text(blocks: list[str], max_blocks: int | None) -> str:
+    keep = [t for t in blocks if len(t) > MIN_BLOCK_CHARS and EXCLUDED_BLOCK not in t.lower()]
+    return "\n".join(keep[:max_blocks])
 
 
 def extract_links(pages: DataFrame, fragment: str = LISTING_LINK_FRAGMENT, html: str = "html", url: str = "url",
                   id_col: str = "page_id") -> DataFrame:
     """(page, position, link): hrefs containing ``fragment``, made absolute against the
     page's origin, first occurrence kept, in page order."""
-    base = H.url_origin(url)
-    links = F.transform(H.link_targets(H.strip_noise(html), fragment), lambda h: H.absolute_url(h, base))
-    return pages.select(id_col, F.posexplode(F.array_distinct(links)).alias("position", "link"))
-
-
-def extract_page_fields(pages: DataFrame, html: str = "html", url: str = "url", id_col: str = "page_id") -> DataFrame:
-    """title (h1), company (organisation link), location (icon label, else a
-    'NNNNN ... France' text), remote (icon label), contract (first contract word),
-    salary (first salary-like text), url and description (body text).
-
-    The page is cleaned and split into text nodes once, in a lower projection;
-    every field reads those.
-    """
-    word = "|".join(w.lower() for w in CONTRACT_WORDS)
-    contract_pat = f"(?<![\\p{{L}}\\p{{N}}_])(?:{word})(?![\\p{{L}}\\p{{N}}_])"
-    staged = _cleaned(pages, [id_col, url], html).withColumn("_nodes", H.text_nodes("_clean"))
-    location = F.coalesce(F.nullif(H.icon_label("_clean", "location"), F.lit("")),
-                          H.first_match("_nodes", LOCATION_FALLBACK))
-    contract = F.filter("_nodes", lambda t: F.lower(t).rlike(contract_pat))
-    return staged.select(
-        id_col,
-        H.first_h1("_clean").alias("title"),
-        H.anchor_text("_clean", COMPANY_LINK_FRAGMENT).alias("company"),
-        location.alias("location"),
-        H.icon_label("_clean", "remote").alias("remote"),
-        F.coalesce(F.try_element_at(contract, F.lit(1)), F.lit("")).alias("contract_type"),
-        H.first_match("_nodes", SALARY_HINT).alias("salary"),
-        F.col(url).alias("url"),
-        H.body_text("_clean").alias("description"),
-    )
-
-
-def extract_body_text(pages: DataFrame, html: str = "html", id_col: str = "page_id") -> DataFrame:
+    out = _per_page(pages, {"id": id_col, "url": url, "html": html}, lambda p, u: (_links(p, u, fragment),), "links array<string>")
+    return out.select(id_col, F.posexplode("links").alias("position", "link"))
+
+
+def extract_page_fields(pages: DataFrame, html: str = "html", url: str = "url", id_col: str = "page_id",
+                        max_blocks: int | None = None) -> DataFrame:
+    """title (first h1), company (organisation link), location (text around its icon,
+    else the first 'NNNNN ... France' text), remote (text around its icon), contract
+    (first text with a contract word directly in a span, div, li, p or a), salary
+    (first salary-like text), url and description (body text). Missing fields are ''."""
+    def fields(page: Page, link: str):
+        heading, company = next(page.elements("h1"), None), page.links(COMPANY_LINK_FRAGMENT)
+        return ("" if heading is None else page.text(heading), page.text(company[0][0]) if company else "",
+                page.beside_image("location") or page.first_text_like(_LOCATION), page.beside_image("remote"),
+                page.first_text_like(_CONTRACT, CONTRACT_PARENTS), page.first_text_like(_SALARY), body_text(page.blocks(), max_blocks), link)
+
+    out = _per_page(pages, {"id": id_col, "url": url, "html": html}, fields,
+                    "title string, company string, location string, remote string, contract_type string, salary string, description string, link string")
+    return out.select(id_col, "title", "company", "location", "remote", "contract_type", "salary", F.col("link").alias(url), "description")
+
+
+def extract_body_text(pages: DataFrame, html: str = "html", id_col: str = "page_id", max_blocks: int | None = None) -> DataFrame:
     """(page, description, n_long_blocks): the body text and how many blocks are long."""
-    staged = _cleaned(pages, [id_col], html).withColumn("_blocks", H.block_texts("_clean"))
-    keep = F.filter("_blocks", lambda t: (F.length(t) > 30) & ~F.lower(t).contains("cookie"))
-    return staged.select(id_col, F.array_join(F.slice(keep, 1, 50), "\n").alias("description"),
-                         F.size(F.filter("_blocks", lambda t: F.length(t) > 30)).alias("n_long_blocks"))
+    def body(page: Page, _):
+        blocks = page.blocks()
+        return body_text(blocks, max_blocks), sum(len(t) > MIN_BLOCK_CHARS for t in blocks)
+
+    return _per_page(pages, {"id": id_col, "html": html}, body, "description string, n_long_blocks int")

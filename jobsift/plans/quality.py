@@ -12,21 +12,22 @@ from jobsift.operators.aggs import pct
 from jobsift.plans.temporal import source_age
 
 
-def quality_key(df: DataFrame, title_chars: int = lexicon.QUALITY_TITLE_CHARS) -> Column:
-    """company | first 40 chars of title | city_clean, each lower/trimmed, null as ''."""
+def quality_key(df: DataFrame, title_chars: int | None = None) -> Column:
+    """company | title (its first ``title_chars`` characters, if given) | city_clean, each lower/trimmed, null as ''."""
     def part(c):
         return F.lower(F.trim(F.coalesce(F.col(c), F.lit("")))) if c in df.columns else F.lit("")
-    return F.concat_ws("|", part("company"), F.substring(part("title"), 1, title_chars), part("city_clean"))
+    title = part("title") if title_chars is None else F.substring(part("title"), 1, title_chars)
+    return F.concat_ws("|", part("company"), title, part("city_clean"))
 
 
-def quality_kpis(df: DataFrame, fields: Sequence[str] = lexicon.QUALITY_FIELDS) -> DataFrame:
+def quality_kpis(df: DataFrame, fields: Sequence[str] = lexicon.QUALITY_FIELDS, title_chars: int | None = None) -> DataFrame:
     """Rows, mean completeness over the present fields, potential duplicates, distinct sources."""
     present = [c for c in fields if c in df.columns]
     rates = [pct(is_filled(c)) for c in present]
     mean_rate = (sum(rates[1:], rates[0]) / len(rates)) if rates else F.lit(0.0)
     n_sources = F.count_distinct("source") if "source" in df.columns else F.lit(1).cast("bigint")
     return df.agg(F.count(F.lit(1)).alias("n_rows"), mean_rate.alias("completeness_mean"),
-                  (F.count(F.lit(1)) - F.count_distinct(quality_key(df))).alias("n_duplicates"),
+                  (F.count(F.lit(1)) - F.count_distinct(quality_key(df, title_chars))).alias("n_duplicates"),
                   n_sources.alias("n_sources"))
 
 
@@ -52,11 +53,11 @@ def missing_by_field(df: DataFrame, fields: Sequence[str] = lexicon.MISSING_FIEL
                 .select("column_name", (F.lit(100.0) - F.col("pct_missing")).alias("pct_filled"), "pct_missing"))
 
 
-def source_and_duplicates(df: DataFrame, unknown: str = "Inconnue") -> DataFrame:
+def source_and_duplicates(df: DataFrame, unknown: str = "Inconnue", title_chars: int | None = None) -> DataFrame:
     """(kind, label, n): rows per source (null as ``unknown``), then unique vs duplicate keys."""
     per_source = (df.groupBy(F.coalesce(F.col("source"), F.lit(unknown)).alias("label"))
                     .agg(F.count(F.lit(1)).alias("n")).select(F.lit("source").alias("kind"), "label", "n"))
-    totals = df.agg(F.count(F.lit(1)).alias("total"), F.count_distinct(quality_key(df)).alias("uniq"))
+    totals = df.agg(F.count(F.lit(1)).alias("total"), F.count_distinct(quality_key(df, title_chars)).alias("uniq"))
     dedup = totals.selectExpr("stack(2, 'Uniques', uniq, 'Doublons potentiels', total - uniq) as (label, n)") \
                   .select(F.lit("dedup").alias("kind"), "label", "n")
     return per_source.unionByName(dedup)

@@ -151,3 +151,8 @@ def parse_salary_parts(raw: str) -> tuple[str, str, str]:
 def salary_avg(lo: str, hi: str) -> str:
     m = f"((COALESCE({lo}, {hi}) + COALESCE({hi}, {lo})) / 2)"
     return f"(CASE WHEN {m} > {lexicon.SALARY_OUTLIER_LOW} AND {m} < {lexicon.SALARY_OUTLIER_HIGH} THEN {m} END)"
+
+
+# Entities that the test pages hold, decoded in the SQL restatement (&amp; last).
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+            ("&nbsp;", " "), ("&amp;", "&")]

@@ -1,29 +1,36 @@
 """Session helpers: building a session for tests/bench and locating shared scratch space."""
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "jobsift") -> SparkSession:
-    """Session with the settings the library assumes (UTC, AQE on)."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
+def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "jobsift",
+                  driver_memory: str | None = None) -> SparkSession:
+    """Session with what the library assumes (UTC, AQE on).
+
+    Master, memory and partition counts come from spark-submit or the cluster's
+    defaults; they are set here only when asked for, since settings in code beat
+    those of the command line.
+    """
     builder = (
-        SparkSession.builder.master(master or f"local[{cpus}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
+        SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -62,10 +69,17 @@ def apply_conf(spark: SparkSession, conf: dict[str, str]) -> SparkSession:
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Driver and executors are one process, so they share its folders."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (a bare local test session) is a local one set.
+    Without it a cluster session raises: a machine-local folder would be a
+    different one on every executor. A local session takes a temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -73,19 +87,41 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="jobsift-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
+    """A fresh, unique path under the shared folder; ``clear_scratch`` removes it."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/jobsift-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/jobsift-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def scratch_mark() -> int:
+    """How many scratch folders have been asked for so far."""
+    return len(_SCRATCH)
+
+
+def clear_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete the scratch folders asked for after the mark ``since``; frames read from them end here. Returns how many went."""
+    jvm, gone = spark.sparkContext._jvm, 0
+    for path in _SCRATCH[since:]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+    del _SCRATCH[since:]
+    return gone
 
 
 def materialize(df, name: str):
-    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+    """Write ``df`` as parquet under the shared folder and read it back.
 
     Cuts the lineage (a lost executor re-reads the files instead of recomputing the
     plan) and lets several consumers scan the result instead of recomputing it.

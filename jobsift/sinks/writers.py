@@ -5,17 +5,19 @@ Writers run one task per partition; nothing is gathered on the driver.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from jobsift.sources.envelope import to_json_lines
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Headered UTF-8 CSV; empty strings stay empty (they do not become null on load)."""
-    (df.write.mode(mode).option("header", "true").option("encoding", "UTF-8").option("emptyValue", "")
-       .csv(path))
+    """Headered UTF-8 CSV that ``scan_csv`` reads back exactly: quotes doubled, line ends inside quotes, spaces
+    kept, empty strings quoted (a null is an empty cell)."""
+    (df.write.mode(mode).option("header", "true").option("encoding", "UTF-8").option("quote", '"').option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
     return path
 
 
@@ -28,8 +30,10 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
 
 
 def batch_path(prefix: str, batch_id: int, when: _dt.datetime | None = None) -> str:
-    """``prefix/YYYY/MM/DD/<yyyymmdd_hhmmss>_batch_<id:04d>`` for a micro-batch, UTC write time."""
-    when = when or _dt.datetime.now(_dt.timezone.utc)
+    """``prefix/YYYY/MM/DD/<yyyymmdd_hhmmss>_batch_<id:04d>`` for a batch of a known time, else ``prefix/batch_<id:04d>``:
+    never the clock, so a replayed batch gets its own folder again."""
+    if when is None:
+        return f"{prefix.rstrip('/')}/batch_{batch_id:04d}"
     return f"{prefix.rstrip('/')}/{when:%Y/%m/%d}/{when:%Y%m%d_%H%M%S}_batch_{batch_id:04d}"
 
 
@@ -38,8 +42,8 @@ def write_partitioned_jsonl(df: DataFrame, prefix: str, ts_col: str | None = Non
     """JSON lines under date folders.
 
     With ``ts_col``: Hive-style ``year=/month=/day=`` folders from that (event)
-    time column, so readers prune partitions by date. Without it: one batch folder
-    under the write date, as the ingest layout.
+    time column, so readers prune partitions by date. Without it: one batch folder,
+    under the date of ``when`` if given, as the ingest layout.
     """
     if ts_col:
         out = (df.withColumn("year", F.year(ts_col)).withColumn("month", F.month(ts_col))
@@ -53,7 +57,7 @@ def write_partitioned_jsonl(df: DataFrame, prefix: str, ts_col: str | None = Non
 
 def kafka_write_options(bootstrap: str, topic: str, acks: str = "all", linger_ms: int = 100,
                         batch_size: int = 32768) -> dict[str, str]:
-    """Producer options for the Kafka sink (acks, linger and batch size passed through)."""
+    """Producer options for the Kafka sink. The default acks, linger and batch size are FIXED VALUES of the producer."""
     return {"kafka.bootstrap.servers": bootstrap, "topic": topic, "kafka.acks": acks,
             "kafka.linger.ms": str(linger_ms), "kafka.batch.size": str(batch_size)}
 
@@ -82,7 +86,13 @@ def write_jdbc_replace(df: DataFrame, url: str, table: str, properties: dict | N
     df.write.mode("overwrite").jdbc(url, table, properties=props)
 
 
-def verify_row_count(written: DataFrame, read_back: DataFrame) -> DataFrame:
-    """Counts on both sides as one row (the read-back count is a scalar subquery)."""
-    n_read = read_back.agg(F.count(F.lit(1))).scalar()
-    return written.agg(F.count(F.lit(1)).alias("n_written")).select("n_written", n_read.alias("n_read"))
+def write_counted(df: DataFrame, write) -> int:
+    """Run ``write(df)`` and return how many rows it wrote, observed on the write itself."""
+    seen = Observation(f"written-{uuid.uuid4().hex[:12]}")
+    write(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return int(seen.get["n"])
+
+
+def verify_row_count(n_written: int, read_back: DataFrame) -> DataFrame:
+    """One row with the rows written, as ``write_counted`` observed them, and the rows that are there."""
+    return read_back.agg(F.count(F.lit(1)).alias("n_read")).select(F.lit(n_written).cast("long").alias("n_written"), "n_read")

@@ -1,77 +1,130 @@
 """File sources: JSON lines, whole-file JSON, CSV, mixed directories, file listings.
 
-All are Spark readers with an explicit schema (no inference pass over the data),
-recursive lookup, and permissive parsing: a malformed line becomes a row with
-only ``_corrupt`` set instead of failing the job.
+Every valid record comes through: JSON is read as text and coerced field by field
+(``sources.lenient``), CSV columns go by their header's names. What cannot be a
+record is reported by file, never dropped in silence.
 """
 from __future__ import annotations
 
+import csv
+import logging
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobsift.sources import lenient
+
 CORRUPT = "_corrupt"
+_NO_TEXT = "\ufdd0"   # a non-character: with it as the null mark, only an unquoted empty cell reads as null
+log = logging.getLogger("jobsift.sources")
 
 
-def _with_corrupt(schema: T.StructType) -> T.StructType:
-    if CORRUPT in schema.fieldNames():
-        return schema
-    return T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
+def _paths(path: str | Sequence[str]) -> str | list[str]:
+    return path if isinstance(path, str) else list(path)
 
 
-def scan_jsonl(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-               glob: str | None = None, keep_corrupt: bool = False, skip_unreadable: bool = False) -> DataFrame:
-    """Every JSON-lines file under ``path`` (recursively). Blank lines are skipped;
-    malformed lines are dropped unless ``keep_corrupt`` (then ``_corrupt`` holds the
-    line). ``_file`` is the source file of each row."""
-    r = (spark.read.schema(_with_corrupt(schema)).option("mode", "PERMISSIVE")
-         .option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", "true")
+def _text(spark: SparkSession, path: str | Sequence[str], glob: str | None, skip_unreadable: bool, whole: bool = False) -> DataFrame:
+    r = (spark.read.option("recursiveFileLookup", "true")
          .option("ignoreCorruptFiles", str(skip_unreadable).lower()))
     if glob:
         r = r.option("pathGlobFilter", glob)
-    df = r.json(path if isinstance(path, str) else list(path))
-    df = df.withColumn("_file", F.col("_metadata.file_path"))
+    return r.text(_paths(path), wholetext=whole).select("value", F.col("_metadata.file_path").alias("_file")).where(F.trim("value") != "")
+
+
+def scan_jsonl(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
+               glob: str | None = None, keep_corrupt: bool = False, skip_unreadable: bool = False) -> DataFrame:
+    """Every JSON-lines file under ``path`` (recursively). Blank lines are skipped.
+
+    A valid record stays whatever the types of its fields: numbers are read from
+    text, text from any value, a single value as a list of one; what cannot be
+    coerced is null. Lines that are no JSON object are dropped unless
+    ``keep_corrupt`` (then ``_corrupt`` holds the line); ``rejects_report`` counts
+    them. ``_file`` is the source file of each row.
+    """
+    df = lenient.records(_text(spark, path, glob, skip_unreadable), schema, corrupt=CORRUPT)
     return df if keep_corrupt else df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def rejects_report(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
-    """Good and malformed JSON lines per file (blank lines ignored).
+    """Records and rejected lines per file (blank lines ignored); they add up to the file's lines.
 
-    A line is malformed when it is not valid JSON; each line is checked with
-    ``try_parse_json`` over a plain text read, one pass, no schema needed.
+    A line is rejected exactly when ``scan_jsonl`` drops it: it is no JSON object.
     """
-    r = spark.read.option("recursiveFileLookup", "true")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    lines = r.text(path if isinstance(path, str) else list(path)).select(
-        "value", F.col("_metadata.file_path").alias("_file"))
-    lines = lines.filter(F.trim("value") != "")
-    bad = F.try_parse_json("value").isNull()
+    lines = lenient.records(_text(spark, path, glob, False), T.StructType([]), corrupt=CORRUPT)
+    bad = F.col(CORRUPT).isNotNull()
     return lines.groupBy("_file").agg(F.count_if(~bad).alias("n_good"), F.count_if(bad).alias("n_bad"))
 
 
-def scan_json_docs(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-                   glob: str | None = None, skip_unreadable: bool = False) -> DataFrame:
-    """Whole-file JSON documents: each file is one object or an array of objects."""
-    r = (spark.read.schema(schema).option("multiLine", "true").option("recursiveFileLookup", "true")
-         .option("mode", "DROPMALFORMED").option("ignoreCorruptFiles", str(skip_unreadable).lower()))
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    return r.json(path if isinstance(path, str) else list(path))
+def scan_json_docs(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, glob: str | None = None,
+                   skip_unreadable: bool = False, keep_corrupt: bool = False) -> DataFrame:
+    """Whole-file JSON documents: each file is one object or an array of objects, coerced as in ``scan_jsonl``.
+
+    A file that is no JSON, or an entry that is no object, is dropped unless
+    ``keep_corrupt``; ``docs_report`` counts them by file. One file is read by one task.
+    """
+    df = _documents(_text(spark, path, glob, skip_unreadable, whole=True), schema)
+    return (df if keep_corrupt else df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)).drop("_file")
+
+
+def _documents(files: DataFrame, schema: T.StructType) -> DataFrame:
+    parsed = files.withColumn("__v", F.try_parse_json("value"))
+    many = F.try_variant_get("__v", "$", "array<variant>")
+    entries = parsed.select("_file", F.when(F.col("__v").isNull(), F.col("value")).alias("__bad"),
+                            F.explode(F.coalesce(many, F.array("__v"))).alias("__v"))
+    bad = F.col("__v").isNull() | ~lenient.is_object(F.col("__v"))
+    return entries.select(*[lenient.field(F.col("__v"), f.dataType, "$" + lenient._step(f.name)).alias(f.name) for f in schema.fields],
+                          F.when(bad, F.coalesce("__bad", F.to_json("__v"))).alias(CORRUPT), "_file")
+
+
+def docs_report(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
+    """Records and rejected entries per whole-file JSON document."""
+    bad = F.col(CORRUPT).isNotNull()
+    return (_documents(_text(spark, path, glob, False, whole=True), T.StructType([])).groupBy("_file")
+            .agg(F.count_if(~bad).alias("n_good"), F.count_if(bad).alias("n_bad")))
+
+
+def _headers(spark: SparkSession, path: str | Sequence[str], glob: str | None, skip_unreadable: bool) -> dict[str, list[str]]:
+    """Files by their header line. Only one line per file comes to the driver, which lists the files anyway."""
+    first = (_text(spark, path, glob, skip_unreadable).withColumn("_at", F.monotonically_increasing_id())
+             .groupBy("_file").agg(F.min_by("value", "_at").alias("head")).orderBy("_file").collect())
+    out: dict[str, list[str]] = {}
+    for r in first:
+        out.setdefault(r["head"].lstrip("\ufeff").rstrip("\r"), []).append(unquote(r["_file"]))
+    return out
 
 
 def scan_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
              glob: str | None = None, skip_unreadable: bool = False) -> DataFrame:
-    """Headered UTF-8 CSV; an explicit schema, or all columns as text when none is given."""
-    r = (spark.read.option("header", "true").option("encoding", "UTF-8").option("recursiveFileLookup", "true")
-         .option("mode", "PERMISSIVE").option("ignoreCorruptFiles", str(skip_unreadable).lower()))
-    if schema is not None:
-        r = r.schema(schema)
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    return r.csv(path if isinstance(path, str) else list(path))
+    """Headered UTF-8 CSV, columns by the names of each file's own header.
+
+    With a schema its columns are taken by name and cast one by one (a value that
+    cannot be cast is null, a column that a file lacks is null); without one, all
+    columns come as text. Quotes are doubled and quoted text may hold line ends,
+    so one file is read by one task: keep the files many. The header is one line.
+    """
+    parts = []
+    for head, files in _headers(spark, path, glob, skip_unreadable).items():
+        names: list[str] = []
+        for i, n in enumerate(next(csv.reader([head]))):
+            names.append(n if n and n not in names else f"_c{i}")
+        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        df = (spark.read.schema(text).option("header", "true").option("enforceSchema", "true").option("encoding", "UTF-8")
+              .option("multiLine", "true").option("nullValue", _NO_TEXT).option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+              .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").option("maxCharsPerColumn", "-1")
+              .option("ignoreCorruptFiles", str(skip_unreadable).lower()).csv(files))
+        if schema is not None:
+            df = df.select(*[(F.col(f"`{f.name}`") if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`").try_cast(f.dataType)).alias(f.name)
+                             if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+        parts.append(df)
+    if not parts:
+        return spark.createDataFrame([], schema or T.StructType([]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
 
 
 def _has_files(spark: SparkSession, path: str, glob: str) -> bool:
@@ -81,24 +134,46 @@ def _has_files(spark: SparkSession, path: str, glob: str) -> bool:
 
 def scan_mixed_dir(spark: SparkSession, path: str, schema: T.StructType,
                    lines_glob: str = "*.jsonl", doc_glob: str = "*.json", csv_glob: str = "*.csv",
-                   csv_schema: T.StructType | None = None) -> DataFrame:
+                   csv_schema: T.StructType | None = None, skip_unreadable: bool = False) -> DataFrame:
     """Dispatch files by extension (JSON lines, JSON documents, CSV), ignore others,
-    and union the results by column name. Unreadable files are skipped."""
+    and union the results by column name.
+
+    A damaged file fails the read; with ``skip_unreadable`` what can be read of it
+    is taken and ``files_report`` tells which files gave how many records.
+    """
     parts = []
     if _has_files(spark, path, lines_glob):
-        parts.append(scan_jsonl(spark, path, schema, glob=lines_glob, skip_unreadable=True).drop("_file"))
+        parts.append(scan_jsonl(spark, path, schema, glob=lines_glob, skip_unreadable=skip_unreadable).drop("_file"))
     if _has_files(spark, path, doc_glob):
-        parts.append(scan_json_docs(spark, path, schema, glob=doc_glob, skip_unreadable=True))
+        parts.append(scan_json_docs(spark, path, schema, glob=doc_glob, skip_unreadable=skip_unreadable))
     if _has_files(spark, path, csv_glob):
-        parts.append(scan_csv(spark, path, csv_schema, glob=csv_glob, skip_unreadable=True))
+        parts.append(scan_csv(spark, path, csv_schema, glob=csv_glob, skip_unreadable=skip_unreadable))
     if not parts:
         return spark.createDataFrame([], schema)
+    if skip_unreadable:
+        log.warning("damaged files under %s are skipped; files_report lists what each file gave", path)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     return out
 
 
+def files_report(spark: SparkSession, path: str, lines_glob: str = "*.jsonl", doc_glob: str = "*.json") -> DataFrame:
+    """Every listed JSON file with its records and rejects; both null for a file of which nothing could be read."""
+    found = None
+    for glob, whole in ((lines_glob, False), (doc_glob, True)):
+        if not _has_files(spark, path, glob):
+            continue
+        text = _text(spark, path, glob, True, whole=whole)
+        rows = _documents(text, T.StructType([])) if whole else lenient.records(text, T.StructType([]), corrupt=CORRUPT)
+        bad = F.col(CORRUPT).isNotNull()
+        counts = rows.groupBy("_file").agg(F.count_if(~bad).alias("n_good"), F.count_if(bad).alias("n_bad"))
+        listed = list_files(spark, path, glob).select(F.col("path").alias("_file"), "length")
+        one = listed.join(counts, "_file", "left")
+        found = one if found is None else found.unionByName(one)
+    return found if found is not None else spark.createDataFrame([], "_file string, length long, n_good long, n_bad long")
+
+
 def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Non-empty files under ``path`` with size and modification time, newest first.
     Only file metadata is read (the content column is pruned)."""
@@ -124,6 +199,7 @@ def read_served_table(spark: SparkSession, url: str, table: str, properties: dic
                 df = spark.read.jdbc(url, table, column=partition_column, lowerBound=bounds[0],
                                      upperBound=bounds[1], numPartitions=num_partitions, properties=props)
             else:
+                log.warning("reading %s in one task: give partition_column and bounds to read it in parallel", table)
                 df = spark.read.jdbc(url, table, properties=props)
             df.schema  # noqa: B018  (forces the connection)
             return df

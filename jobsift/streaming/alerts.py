@@ -1,112 +1,71 @@
-"""Sustained-threshold alerts on a stream (the "expr > X for: D" rule), with per-series state.
-
-State per series is one row (start, last, n) of the run of samples currently above
-the threshold. Each micro-batch's samples of a series are handled vectorised
-(numpy) after the carried-in run; an alert is emitted when a run closes (a sample
-at or below the threshold arrives) and the run lasted at least ``for_seconds``
-from its first to its last sample. Samples must arrive in time order across
-micro-batches (a landing folder filled in order, or a topic per series).
+"""Sustained-threshold alerts on a stream (the "expr > X for: D" rule).
+
+An alert fires as soon as a run of samples above the threshold has lasted D,
+whether or not the run has ended. Every micro-batch goes through the same
+DataFrame rule as a table of samples (``plans.metrics.threshold_runs``), whose
+windows split a series by time, so a hot series is not one task. Between batches
+the open runs are kept: one row per series, written under the checkpoint by batch
+id, so a replayed batch reads and writes the same state. Samples of a series
+arrive in time order across micro-batches; inside one they may come in any order.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-ALERT_SCHEMA = "series long, start timestamp_ntz, end timestamp_ntz, n long, severity string"
-STATE_SCHEMA = "start_us long, last_us long, n long"
-
-
-def _emit(key, out, severity):
-    return pd.DataFrame({"series": [int(key[0])] * len(out),
-                         "start": [pd.Timestamp(a) for a, _, _ in out],
-                         "end": [pd.Timestamp(b) for _, b, _ in out],
-                         "n": [int(c) for _, _, c in out],
-                         "severity": [severity] * len(out)})
-
-
-def _runs(key, pdfs: Iterator[pd.DataFrame], state, threshold: float, for_seconds: float, severity: str,
-          ts: str, value: str, stale_seconds: float | None = None):
-    if state.hasTimedOut:                     # no sample for stale_seconds: the open run ends at its last sample
-        s_start, s_last, s_n = state.get
-        state.remove()
-        out = [] if (s_last - s_start) < for_seconds * 1e6 else [
-            (np.datetime64(int(s_start), "us"), np.datetime64(int(s_last), "us"), int(s_n))]
-        yield _emit(key, out, severity)
-        return
-    frames = list(pdfs)
-    if not frames:
-        yield _emit(key, [], severity)
-        return
-    batch = pd.concat(frames, ignore_index=True).sort_values(ts, kind="stable")
-    times = batch[ts].to_numpy(dtype="datetime64[us]")
-    above = batch[value].to_numpy() > threshold
-    open_start = open_last = None
-    open_n = 0
-    if state.exists:
-        s_start, s_last, s_n = state.get
-        open_start, open_last, open_n = np.datetime64(int(s_start), "us"), np.datetime64(int(s_last), "us"), int(s_n)
-    # run boundaries: a run is a maximal block of consecutive "above" samples
-    out = []
-    idx = np.flatnonzero(above)
-    if len(above):
-        breaks = np.flatnonzero(~above)
-        # samples above the threshold before the first break extend the carried-in run
-        first_break = breaks[0] if len(breaks) else len(above)
-        head = idx[idx < first_break]
-        if len(head):
-            if open_start is None:
-                open_start, open_n = times[head[0]], 0
-            open_last, open_n = times[head[-1]], open_n + len(head)
-        if len(breaks):
-            if open_start is not None and open_last - open_start >= np.timedelta64(int(for_seconds * 1e6), "us"):
-                out.append((open_start, open_last, open_n))
-            open_start, open_last, open_n = None, None, 0
-            # complete runs between breaks, then the run left open at the end of the batch
-            run_id = np.cumsum(~above)
-            tail = idx[idx > breaks[0]]
-            if len(tail):
-                ids = run_id[tail]
-                cut = np.flatnonzero(np.diff(ids)) + 1
-                groups = np.split(tail, cut)
-                last_break = breaks[-1]
-                for g in groups:
-                    if g[0] > last_break:                 # still open at the end of the batch
-                        open_start, open_last, open_n = times[g[0]], times[g[-1]], len(g)
-                    elif times[g[-1]] - times[g[0]] >= np.timedelta64(int(for_seconds * 1e6), "us"):
-                        out.append((times[g[0]], times[g[-1]], len(g)))
-    if open_start is not None:
-        last_us = int(open_last.astype("int64"))
-        state.update((int(open_start.astype("int64")), last_us, int(open_n)))
-        if stale_seconds is not None:
-            state.setTimeoutTimestamp(last_us // 1000 + int(stale_seconds * 1000))
-    elif state.exists:
-        state.remove()
-    yield _emit(key, out, severity)
-
-
-def sustained_threshold_stream(stream: DataFrame, threshold: float, for_seconds: float, severity: str,
-                               series: str = "user_id", ts: str = "ts", value: str = "value",
-                               stale_seconds: float | None = None) -> DataFrame:
-    """Streaming frame of closed alert runs (series, start, end, n, severity).
-
-    With ``stale_seconds``, a run also closes when its series sends nothing for that
-    long in event time (watermark on ``ts``, event-time state timeout), so runs at
-    the end of a series are reported once the stream has moved past them.
-    """
-    from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from jobsift.plans.metrics import EPOCH, MICROS, _micros, threshold_runs
+
+STATE_SCHEMA = "series string, start_us long, last_us long, n long, fired boolean"
+ALERT_SCHEMA = "series string, start timestamp_ntz, fired_at timestamp_ntz, severity string"
 
-    def fn(key, pdfs, state):
-        return _runs(key, pdfs, state, threshold, for_seconds, severity, ts, value, stale_seconds)
 
-    src = stream.select(series, ts, value)
-    timeout = GroupStateTimeout.NoTimeout
+def _time(us: str):
+    return F.timestamp_add("MICROSECOND", F.col(us), F.lit(EPOCH).cast("timestamp_ntz"))
+
+
+def advance(spark: SparkSession, samples: DataFrame, state: DataFrame, threshold: float, for_seconds: float, severity: str,
+            max_gap_seconds: float | None = None, stale_seconds: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """(alerts, new state) of one micro-batch of (series, us, value) samples after the open runs in ``state``.
+
+    A run that was open comes in as one sample at its last time that carries its
+    start. With ``stale_seconds``, open runs whose last sample is that much older
+    than the newest one are given up, which bounds the state.
+    """
+    rows = samples.select("series", "us", (F.col("value") > threshold).alias("above"), F.col("us").alias("start_us"), F.lit(1).cast("long").alias("n"),
+                          F.lit(False).alias("fired"))
+    carried = state.select("series", F.col("last_us").alias("us"), F.lit(True).alias("above"), "start_us", "n", "fired")
+    runs = threshold_runs(rows.unionByName(carried), for_seconds, max_gap_seconds)
+    alerts = (runs.where("fired_us is not null and not fired")
+              .select("series", _time("start_us").alias("start"), _time("fired_us").alias("fired_at"), F.lit(severity).alias("severity")))
+    still = runs.where("is_open").select("series", "start_us", "last_us", "n", (F.col("fired") | F.col("fired_us").isNotNull()).alias("fired"))
     if stale_seconds is not None:
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        src = (src.withColumn("_event_time", F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(ts))))
-                  .withWatermark("_event_time", f"{int(stale_seconds)} seconds"))
-        timeout = GroupStateTimeout.EventTimeTimeout
-    return src.groupBy(series).applyInPandasWithState(fn, ALERT_SCHEMA, STATE_SCHEMA, "append", timeout)
+        newest = samples.agg(F.max("us")).scalar()
+        still = still.where(F.col("last_us") >= F.coalesce(newest, F.col("last_us")) - F.lit(int(stale_seconds * MICROS)))
+    return alerts, still
+
+
+def start_threshold_alerts(stream: DataFrame, out_path: str, checkpoint: str, threshold: float, for_seconds: float, severity: str,
+                           series: str = "user_id", ts: str = "ts", value: str = "value", max_gap_seconds: float | None = None,
+                           stale_seconds: float | None = None, available_now: bool = True, processing_time: str = "60s"):
+    """Start the rule on a stream of samples; alerts are appended as parquet, one folder per batch. Returns the StreamingQuery.
+
+    A run breaks at a sample at or below the threshold, and at a gap of more than
+    ``max_gap_seconds``. Series are text: a number, a host or a container name.
+    Null series, times or values take no part.
+    """
+    spark = stream.sparkSession
+    root = f"{checkpoint.rstrip('/')}/open_runs"
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        samples = batch.select(F.col(series).cast("string").alias("series"), _micros(ts).alias("us"), F.col(value).cast("double").alias("value")).dropna()
+        state = spark.read.schema(STATE_SCHEMA).parquet(f"{root}/{batch_id - 1}") if batch_id else spark.createDataFrame([], STATE_SCHEMA)
+        alerts, still = advance(spark, samples, state, threshold, for_seconds, severity, max_gap_seconds, stale_seconds)
+        alerts.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
+        still.write.mode("overwrite").parquet(f"{root}/{batch_id}")
+
+    w = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)).start()
+
+
+def read_alerts(spark: SparkSession, out_path: str) -> DataFrame:
+    return spark.read.schema(ALERT_SCHEMA).option("recursiveFileLookup", "true").parquet(out_path)

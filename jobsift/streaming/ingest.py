@@ -1,7 +1,7 @@
-"""Structured Streaming ingest: topic or landing folder -> date-foldered JSON-lines batches.
+"""Structured Streaming ingest: topic or landing folder -> date-foldered JSON-lines batches, unchanged.
 
 The reference flushes every 50 records or 60 s and commits offsets after the
-upload. Here the source's trigger options bound each micro-batch, the
+upload. Here the source's trigger options time each micro-batch, the
 checkpoint records progress only after ``foreachBatch`` returns, and each batch
 folder is derived from the batch id and the batch's own data, so a replayed batch
 overwrites the same folder instead of duplicating it.
@@ -17,58 +17,67 @@ from pyspark.sql import types as T
 from jobsift.functions.text import dedup_key_part
 from jobsift.operators.clean import normalize, unwrap_envelope
 from jobsift.sinks.writers import batch_path
+from jobsift.sources import lenient
 
 BATCH_RECORDS = 50        # FIXED VALUE: flush size of the ingest consumer
 BATCH_MAX_DELAY = "60s"   # FIXED VALUE: flush timeout of the ingest consumer
 
 
-def kafka_read_options(bootstrap: str, topic: str, starting: str = "earliest",
-                       batch_records: int = BATCH_RECORDS, max_delay: str = BATCH_MAX_DELAY) -> dict[str, str]:
-    """Kafka source options: from the earliest offset, micro-batches of about
-    ``batch_records`` records, or whatever arrived after ``max_delay``."""
-    return {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting,
-            "minOffsetsPerTrigger": str(batch_records), "maxOffsetsPerTrigger": str(batch_records),
-            "maxTriggerDelay": max_delay, "failOnDataLoss": "false"}
+def kafka_read_options(bootstrap: str, topic: str, starting: str = "earliest", batch_records: int = BATCH_RECORDS,
+                       max_delay: str = BATCH_MAX_DELAY, most_records: int | None = None,
+                       fail_on_data_loss: bool = True) -> dict[str, str]:
+    """Kafka source options: from the earliest offset, a micro-batch once ``batch_records``
+    are there or ``max_delay`` has passed. A backlog goes in one batch unless
+    ``most_records`` bounds it. Offsets that have aged out stop the query."""
+    out = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting,
+           "minOffsetsPerTrigger": str(batch_records), "maxTriggerDelay": max_delay,
+           "failOnDataLoss": str(fail_on_data_loss).lower()}
+    if most_records:
+        out["maxOffsetsPerTrigger"] = str(most_records)
+    return out
 
 
-def scan_kafka(spark: SparkSession, bootstrap: str, topic: str, schema: T.StructType, **kw) -> DataFrame:
-    """Streaming frame of the topic's JSON values parsed with ``schema`` (needs the Kafka connector)."""
+def scan_kafka(spark: SparkSession, bootstrap: str, topic: str, **kw) -> DataFrame:
+    """Streaming frame of the topic's messages as text, one column ``value`` (needs the Kafka connector)."""
     raw = spark.readStream.format("kafka").options(**kafka_read_options(bootstrap, topic, **kw)).load()
-    return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
+    return raw.select(F.col("value").cast("string").alias("value"))
 
 
-def scan_landing(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None,
-                 options: dict[str, str] | None = None) -> DataFrame:
-    """Streaming frame over JSON-lines files arriving in ``path`` (oldest files first)."""
-    r = spark.readStream.schema(schema).option("recursiveFileLookup", "true").options(**(options or {}))
+def scan_landing(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """Streaming frame of the lines of files arriving in ``path`` (oldest files first), one column ``value``, unparsed."""
+    r = spark.readStream.option("recursiveFileLookup", "true")
     if files_per_batch:
         r = r.option("maxFilesPerTrigger", str(files_per_batch))
-    return r.json(path)
+    return r.text(path)
 
 
-def _batch_time(batch: DataFrame, time_col: str | None) -> _dt.datetime:
-    """Latest ``time_col`` value of the batch (data-derived, so a replay gets the
-    same folder); the current time when the batch has none."""
-    if time_col and time_col in batch.columns:
-        latest = batch.agg(F.max(F.col(time_col).cast("string"))).first()[0]
-        for fmt in ("%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%d %H:%M:%S"):
-            try:
-                return _dt.datetime.strptime(latest or "", fmt)
-            except ValueError:
-                continue
-    return _dt.datetime.now(_dt.timezone.utc)
+def parsed(stream: DataFrame, schema: T.StructType) -> DataFrame:
+    """The lines' records, each field coerced by itself; lines that are no JSON object are left out
+    (they stay in the raw zone, where ``rejects_report`` counts them)."""
+    return lenient.records(stream.select("value"), schema).where("_corrupt is null").drop("_corrupt")
+
+
+def _batch_time(latest: str | None) -> _dt.datetime | None:
+    for fmt in ("%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%d %H:%M:%S"):
+        try:
+            return _dt.datetime.strptime(latest or "", fmt)
+        except ValueError:
+            continue
+    return None
 
 
 def stream_ingest(stream: DataFrame, prefix: str, checkpoint: str, time_col: str | None = "fetched_at",
                   available_now: bool = True, processing_time: str | None = None):
-    """Start the ingest query: every micro-batch becomes one JSON-lines folder
-    ``prefix/YYYY/MM/DD/<ts>_batch_<id:04d>``. Returns the StreamingQuery."""
+    """Start the ingest query: every micro-batch's lines, unchanged, become one folder
+    ``prefix/YYYY/MM/DD/<ts>_batch_<id:04d>`` after the latest ``time_col`` in it (without any,
+    ``prefix/batch_<id:04d>``). Folder names follow from the batch alone, so a replayed
+    batch overwrites its folder. Returns the StreamingQuery."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        path = batch_path(prefix, batch_id, _batch_time(batch, time_col))
-        batch.write.mode("overwrite").json(path)
+        latest = F.max(F.get_json_object("value", f"$.{time_col}")) if time_col else F.lit(None).cast("string")
+        n, last = batch.agg(F.count(F.lit(1)), latest).first()      # one light pass, then the write
+        if n:
+            batch.select("value").write.mode("overwrite").text(batch_path(prefix, batch_id, _batch_time(last)))
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or BATCH_MAX_DELAY)

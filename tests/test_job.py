@@ -3,6 +3,8 @@ import datetime as dt
 import json
 import os
 
+import pytest
+
 
 from jobsift.operators import profile
 from jobsift.plans import job, metrics
@@ -35,7 +37,11 @@ def test_clean_job_from_raw_files(spark):
                                        "description string, salary_min double, salary_max double, created string, "
                                        "redirect_url string, id string>").schema
     feeds = {"api": job.load_feed(spark, f"{root}/api", schema)}
-    table = job.run_clean_job(spark, feeds, f"{root}/out", as_of="2026-03-16 00:00:00")
+    counts = {}
+    table = job.run_clean_job(spark, feeds, f"{root}/out", as_of="2026-03-16 00:00:00", counts=counts)
+    assert counts == {"api": 2, "union": 2, "dedup": 1}
+    with pytest.raises(ValueError, match="empty"):
+        job.run_clean_job(spark, {"api": feeds["api"].where("false")}, f"{root}/out")
     rows = table.collect()
     assert len(rows) == 1                      # same (company, title, city) after normalisation; malformed line skipped
     r = rows[0]
@@ -52,7 +58,8 @@ def test_explore_rename_and_export(spark):
     renamed = profile.explore_rename(df, profile.lexicon.EXPLORE_API_RENAME, source="api")
     assert renamed.columns == ["intitule_poste", "description", "entreprise", "salaire_min", "salaire_max",
                                "date_publication", "source"]
-    out = profile.explore_export(renamed).first()
+    assert len(profile.explore_export(renamed).first()["description"]) == 6000
+    out = profile.explore_export(renamed, n=5000).first()
     assert len(out["description"]) == 5000 and out["entreprise"] == "Acme" and out["source"] == "api"
 
 
@@ -71,6 +78,7 @@ def test_command_line_clean_and_report(spark, capsys):
                                            "salary_min": 50000, "salary_max": 60000, "created": "2026-03-14T09:00:00Z",
                                            "redirect_url": "https://x/1", "id": "1"}}])
     assert main(["clean", "--api", f"{root}/api", "--out", f"{root}/store", "--as-of", "2026-03-16 00:00:00"]) == 0
-    assert main(["report", "--store", f"{root}/store/clean_parquet", "--page", "overview"]) == 0
+    assert main(["report", "--store", f"{root}/store/clean_parquet", "--page", "overview", "--out", f"{root}/reports"]) == 0
+    assert spark.read.parquet(f"{root}/reports/kpis").count() == 1
     out = capsys.readouterr().out
     assert "cleaned rows: 1" in out and "== kpis" in out

@@ -38,10 +38,30 @@ def brute_rates(rows, window=300):
 @pytest.mark.parametrize("chunk", [600, 3600])
 def test_counter_rate_matches_brute_force(spark, chunk):
     df, rows = make_samples(spark)
-    got = {r["event_id"]: r["rate_cents"] for r in metrics.counter_rate(df, chunk_seconds=chunk).collect()}
+    got = {r["event_id"]: r["rate_cents"] for r in metrics.counter_rate(df, chunk_seconds=chunk, scale=2).collect()}
     assert got == brute_rates(rows)
 
 
+def test_rates_do_not_depend_on_chunks_or_lose_decimals(spark):
+    df, rows = make_samples(spark)
+    for chunk in (60, 3600, 86400):
+        got = {r["event_id"]: r["rate_cents"] for r in metrics.counter_rate(df, window_seconds=9000, chunk_seconds=chunk, scale=2).collect()}
+        assert got == brute_rates(rows, window=9000)
+    fine = spark.createDataFrame([(i, 1, r[2], i * 0.001) for i, r in enumerate(rows[:5])], df.schema)
+    last = metrics.counter_rate(fine, window_seconds=10**6).orderBy("event_id").collect()[-1]
+    assert abs(last["rate"] * 10**6 - 0.004) < 1e-12
+
+
+def test_gap_breaks_a_run(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(i, 1, t0 + dt.timedelta(minutes=m), 99.0) for i, m in enumerate((0, 3, 6, 186, 187))],
+                               "event_id long, user_id long, ts timestamp_ntz, value double")
+    assert [r["n"] for r in metrics.sustained_threshold(df, 25.0, 300, "x").collect()] == [5]
+    for chunk in (120, 3600):
+        got = metrics.sustained_threshold(df, 25.0, 300, "x", max_gap_seconds=600, chunk_seconds=chunk).collect()
+        assert [(r["n"], r["end"]) for r in got] == [(3, t0 + dt.timedelta(minutes=6))]
+
+
 def test_sustained_threshold_matches_brute_force(spark):
     df, rows = make_samples(spark)
     got = sorted((r["user_id"], r["start"], r["end"], r["n"])

@@ -16,11 +16,11 @@ def _land(spark, path, start, n):
 def test_ingest_restart_processes_only_new_files(spark):
     landing, out, ckpt = (scratch_path(spark, x) for x in ("land", "raw", "ckpt"))
     schema = _land(spark, landing, 0, 40)
-    ingest.stream_ingest(ingest.scan_landing(spark, landing, schema, files_per_batch=1), out, ckpt).awaitTermination()
+    ingest.stream_ingest(ingest.scan_landing(spark, landing, files_per_batch=1), out, ckpt).awaitTermination()
     first = spark.read.schema(schema).option("recursiveFileLookup", "true").json(out)
     assert first.count() == 40
     _land(spark, landing, 40, 20)
-    ingest.stream_ingest(ingest.scan_landing(spark, landing, schema, files_per_batch=1), out, ckpt).awaitTermination()
+    ingest.stream_ingest(ingest.scan_landing(spark, landing, files_per_batch=1), out, ckpt).awaitTermination()
     back = spark.read.schema(schema).option("recursiveFileLookup", "true").json(out)
     ids = [r[0] for r in back.select("event_id").collect()]
     assert sorted(ids) == list(range(60))
@@ -29,44 +29,60 @@ def test_ingest_restart_processes_only_new_files(spark):
 def test_batch_folders_follow_layout(spark):
     landing, out, ckpt = (scratch_path(spark, x) for x in ("land2", "raw2", "ckpt2"))
     schema = _land(spark, landing, 0, 10)
-    ingest.stream_ingest(ingest.scan_landing(spark, landing, schema, files_per_batch=1), out, ckpt).awaitTermination()
+    ingest.stream_ingest(ingest.scan_landing(spark, landing, files_per_batch=1), out, ckpt).awaitTermination()
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(out).select("path").collect()
-    paths = [r[0] for r in files if r[0].endswith(".json")]
+    paths = [r[0] for r in files if r[0].endswith(".txt")]
     assert paths and all("/2026/03/15/20260315_120000_batch_" in p for p in paths)
 
 
 def test_kafka_options():
     opts = ingest.kafka_read_options("broker:9092", "job_api_raw")
-    assert opts["startingOffsets"] == "earliest" and opts["maxOffsetsPerTrigger"] == "50"
+    assert opts["startingOffsets"] == "earliest" and opts["minOffsetsPerTrigger"] == "50"
+    assert "maxOffsetsPerTrigger" not in opts and opts["failOnDataLoss"] == "true"
+    assert ingest.kafka_read_options("broker:9092", "t", most_records=500)["maxOffsetsPerTrigger"] == "500"
     assert opts["maxTriggerDelay"] == "60s"
 
 
-def test_stateful_alerts_match_batch_rule(spark):
+def test_replay_without_a_time_overwrites_its_folder(spark):
+    from jobsift.sinks.writers import batch_path
+    assert batch_path("s3a://b/raw", 3) == "s3a://b/raw/batch_0003"
+    landing, out = scratch_path(spark, "land3"), scratch_path(spark, "raw3")
+    spark.createDataFrame([("{no json",), ('{"a":1}',), ("é\\u00e9",)], "value string").coalesce(1).write.text(landing)
+    for _ in range(2):                                       # a lost checkpoint: the batch comes again
+        ingest.stream_ingest(ingest.scan_landing(spark, landing), out, scratch_path(spark, "ckpt3")).awaitTermination()
+    back = spark.read.option("recursiveFileLookup", "true").text(out).collect()
+    assert sorted(r.value for r in back) == sorted(["{no json", '{"a":1}', "é\\u00e9"])
+
+
+def _alerts_over(spark, df, slices, **kw):
+    from jobsift.streaming.alerts import read_alerts, start_threshold_alerts
+    landing, out, ckpt = (scratch_path(spark, x) for x in ("alerts_t", "alerts_out", "alerts_ck"))
+    for part in slices:
+        part.write.mode("append").options(timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(landing)
+        stream = ingest.parsed(ingest.scan_landing(spark, landing), df.schema)
+        start_threshold_alerts(stream, out, ckpt, 25.0, 300, "warning", **kw).awaitTermination()
+    return sorted((r.series, r.start, r.fired_at) for r in read_alerts(spark, out).collect())
+
+
+def test_stream_alerts_match_batch_rule(spark):
     import datetime as dt
 
     from jobsift.plans import metrics
-    from jobsift.streaming.alerts import sustained_threshold_stream
     base = dt.datetime(2024, 1, 1)
-    vals = [30, 31, 10, 40, 41, 42, 5, 50, 50, 50, 50, 1, 60, 61]     # runs cross the file boundaries below
-    rows = [(1, base + dt.timedelta(minutes=3 * i), float(v)) for i, v in enumerate(vals)]
-    rows += [(2, base + dt.timedelta(minutes=10 * i), float(v)) for i, v in enumerate([90, 90, 90, 0])]
-    df = spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, value double")
-    landing = scratch_path(spark, "alerts_t")
-    fmt = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-    for lo, hi in [(0, 4), (4, 9), (9, 99)]:
-        part = df.filter((F.col("ts") >= F.lit(base + dt.timedelta(minutes=3 * lo))) &
-                         (F.col("ts") < F.lit(base + dt.timedelta(minutes=3 * hi))))
-        part.coalesce(1).write.mode("append").options(**fmt).json(landing)
-    out, ckpt = scratch_path(spark, "alerts_out"), scratch_path(spark, "alerts_ck")
-    stream = ingest.scan_landing(spark, landing, df.schema, files_per_batch=1, options=fmt)
-    q = (sustained_threshold_stream(stream, 25.0, 300, "warning").writeStream.format("parquet")
-         .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = sorted(tuple(r) for r in spark.read.parquet(out).select("series", "start", "end", "n").collect())
-    batch = metrics.sustained_threshold(df, 25.0, 300, "warning").collect()
-    last_ok = {1: base + dt.timedelta(minutes=33), 2: base + dt.timedelta(minutes=30)}
-    want = sorted((r["user_id"], r["start"], r["end"], r["n"]) for r in batch if r["end"] < last_ok[r["user_id"]])
-    assert got == want and len(got) == 3
+    vals = [30, 31, 10, 40, 41, 42, 5, 50, 50, 50, 50, 1, 60, 61]     # runs cross the slices below
+    rows = [("web-1", base + dt.timedelta(minutes=3 * i), float(v)) for i, v in enumerate(vals)]
+    rows += [("db", base + dt.timedelta(minutes=10 * i), float(v)) for i, v in enumerate([90, 90, 90, 0])]
+    rows += [("open", base + dt.timedelta(minutes=i), 99.0) for i in range(42)]                # still above at the end
+    df = spark.createDataFrame(rows, "user_id string, ts timestamp_ntz, value double")
+    cut = [F.lit(base + dt.timedelta(minutes=m)) for m in (12, 27)]
+    slices = [df.where(F.col("ts") < cut[0]), df.where((F.col("ts") >= cut[0]) & (F.col("ts") < cut[1])), df.where(F.col("ts") >= cut[1])]
+    for gap in (None, 240):
+        got = _alerts_over(spark, df, slices, max_gap_seconds=gap)
+        want = sorted((r.series, r.start, r.fired_at) for r in metrics.fired_alerts(df, 25.0, 300, "warning", max_gap_seconds=gap, chunk_seconds=600).collect())
+        assert got == want
+        assert ("open", base, base + dt.timedelta(minutes=5)) in got          # fired while the condition held
+        assert ("db" in {s for s, _, _ in got}) == (gap is None)              # ten minutes apart is a gap
+        assert len(got) == (4 if gap is None else 3)
 
 
 def test_stream_clean_drops_repeats_within_watermark(spark):
@@ -82,7 +98,7 @@ def test_stream_clean_drops_repeats_within_watermark(spark):
         for r in [rec("Data Scientist", "Acme"), rec("data scientist ", "ACME"), rec("Data Engineer", "Acme")]:
             f.write(json.dumps(r) + "\n")
     from jobsift.schema import RAW_API
-    stream = ingest.scan_landing(spark, landing, RAW_API)
+    stream = ingest.parsed(ingest.scan_landing(spark, landing), RAW_API)
     ingest.stream_clean(stream, "api", out, ckpt, dedup_within="1 day").awaitTermination()
     titles = sorted(r[0] for r in spark.read.parquet(out).select("title").collect())
     assert len(titles) == 2 and "Data Engineer" in titles
@@ -105,22 +121,9 @@ def test_command_line_ingest(spark):
     assert sorted(r[0] for r in back.select("data.id").collect()) == ["0", "1", "2"]
 
 
-def test_stale_run_closes_by_watermark(spark):
-    import datetime as dt
-
-    from jobsift.streaming.alerts import sustained_threshold_stream
-    base = dt.datetime(2024, 1, 1)
-    fmt = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-    schema = "user_id long, ts timestamp_ntz, value double"
-    landing = scratch_path(spark, "stale_land")
-    first = [(1, base + dt.timedelta(minutes=m), 50.0) for m in (0, 3, 6, 9)]      # run never closed by a sample
-    later = [(2, base + dt.timedelta(minutes=m), 1.0) for m in (30, 60, 90)]       # moves event time forward
-    for rows in (first, later):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").options(**fmt).json(landing)
-    out, ckpt = scratch_path(spark, "stale_out"), scratch_path(spark, "stale_ck")
-    stream = ingest.scan_landing(spark, landing, spark.createDataFrame([], schema).schema, files_per_batch=1, options=fmt)
-    q = (sustained_threshold_stream(stream, 25.0, 300, "warning", stale_seconds=600).writeStream.format("parquet")
-         .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = [tuple(r) for r in spark.read.parquet(out).collect()]
-    assert got == [(1, base, base + dt.timedelta(minutes=9), 4, "warning")]
+def test_stale_runs_leave_the_state(spark):
+    from jobsift.streaming.alerts import STATE_SCHEMA, advance
+    state = spark.createDataFrame([("old", 0, 10_000_000, 3, False), ("new", 0, 900_000_000, 3, True)], STATE_SCHEMA)
+    samples = spark.createDataFrame([("other", 1_000_000_000, 99.0)], "series string, us long, value double")
+    _, still = advance(spark, samples, state, 25.0, 300, "warning", stale_seconds=600)
+    assert sorted((r.series, r.fired) for r in still.collect()) == [("new", True), ("other", False)]
