@@ -320,7 +320,7 @@ def q_fill_constants(spark, d):
 SELECT doc_id, substring(text, 1, 5000) AS text, CAST(n_chars AS VARCHAR) AS n_chars FROM documents""")
 def q_truncate_for_export(spark, d):
     docs = fx.load(spark, d, "documents").select("doc_id", "text", "n_chars")
-    return profile.truncate_for_export(docs, text_cols=("text",), date_cols=("n_chars",))
+    return profile.truncate_for_export(docs, text_cols=("text",), n=lexicon.DESCRIPTION_MAX_CHARS, date_cols=("n_chars",))
 
 
 # ---------------------------------------------------------------- governance

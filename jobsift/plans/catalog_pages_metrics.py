@@ -197,8 +197,8 @@ BUSY_LIMIT, BUSY_FOR = 90.0, 300
 
 @register("alert_rule_cpu", "WITH " + _INC.strip() + f""",
 q AS (SELECT user_id, us, COALESCE(SUM(inc) OVER w, 0) - COALESCE(FIRST_VALUE(inc) OVER w, 0) AS rate_cents FROM i WINDOW w AS {_RATE_WIN}),
-s AS (SELECT user_id, us, CAST(100.0 - (rate_cents / 30000) * 100 <= {BUSY_LIMIT} AS INTEGER) AS ok FROM q),
-r AS (SELECT *, SUM(ok) OVER (PARTITION BY user_id ORDER BY us ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM s),
+bz AS (SELECT user_id, us, CAST(100.0 - (rate_cents / 30000) * 100 <= {BUSY_LIMIT} AS INTEGER) AS ok FROM q),
+r AS (SELECT *, SUM(ok) OVER (PARTITION BY user_id ORDER BY us ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM bz),
 g AS (SELECT user_id, run, us, MIN(us) OVER (PARTITION BY user_id, run) AS start_us FROM r WHERE ok = 0)
 SELECT CAST(user_id AS VARCHAR) AS series, make_timestamp(start_us) AS start, make_timestamp(MIN(us)) AS fired_at, 'critical' AS severity
 FROM g WHERE us - start_us >= {BUSY_FOR * 1_000_000} GROUP BY user_id, run, start_us""")
