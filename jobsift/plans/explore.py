@@ -9,19 +9,20 @@ from pyspark.sql import functions as F
 
 from jobsift import lexicon
 from jobsift.functions.text import extract_skills
-from jobsift.operators.aggs import money_mean, money_median, money_std
+from jobsift.operators.aggs import group_quantiles, money_mean, money_std
 
 
 def salary_describe_by_title(df: DataFrame, col: str = "salary_avg", by: str = "title",
-                             preferred_min: int = 5, fallback_min: int = 3, exact: bool = True) -> DataFrame:
+                             preferred_min: int = 5, fallback_min: int = 3) -> DataFrame:
     """count, mean, median, sample std, min, max per title over rows with a salary.
 
     Minimum group size: ``preferred_min`` if at least ``preferred_min`` groups reach
     it, else ``fallback_min`` (decided by a scalar subquery over the grouped rows).
     """
-    g = (df.filter(F.col(col).isNotNull() & F.col(by).isNotNull()).groupBy(by)
-           .agg(F.count(F.lit(1)).alias("n"), money_mean(col).alias("mean"), money_median(col, exact).alias("median"),
-                money_std(col).alias("std"), F.min(col).alias("min"), F.max(col).alias("max")))
+    rows = df.filter(F.col(col).isNotNull() & F.col(by).isNotNull())
+    medians = group_quantiles(rows, [by], col).select(by, F.col("q")[0].alias("median"))
+    g = (rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"), money_mean(col).alias("mean"),
+                              money_std(col).alias("std"), F.min(col).alias("min"), F.max(col).alias("max")).join(medians, by))
     n_big = g.agg(F.count_if(F.col("n") >= preferred_min)).scalar()
     threshold = F.when(n_big >= preferred_min, F.lit(preferred_min)).otherwise(F.lit(fallback_min))
     return g.filter(F.col("n") >= threshold)
@@ -43,11 +44,12 @@ def contract_distribution(df: DataFrame, col: str = "contract_type") -> DataFram
 def city_contract_crosstab(df: DataFrame, city: str = "city", contract: str = "contract_type",
                            top: int = 10, all_label: str = "All") -> DataFrame:
     """City x contract counts for the ``top`` cities, with row, column and grand totals
-    labelled ``all_label`` (one CUBE aggregation); long format."""
+    labelled ``all_label``; long format. Cells are counted first, the CUBE adds counts."""
     keep = (df.filter(F.col(city).isNotNull()).groupBy(city).agg(F.count(F.lit(1)).alias("n"))
               .orderBy(F.desc("n"), F.asc(city)).limit(top).agg(F.collect_list(city))).scalar()
     rows = df.filter(F.array_contains(keep, F.col(city)) & F.col(contract).isNotNull())
-    cube = rows.cube(city, contract).agg(F.count(F.lit(1)).alias("n"),
+    cells = rows.groupBy(city, contract).agg(F.count(F.lit(1)).alias("n"))
+    cube = cells.cube(city, contract).agg(F.sum("n").alias("n"),
                                          F.grouping(city).alias("_gc"), F.grouping(contract).alias("_gt"))
     return cube.select(F.when(F.col("_gc") == 1, F.lit(all_label)).otherwise(F.col(city)).alias(city),
                        F.when(F.col("_gt") == 1, F.lit(all_label)).otherwise(F.col(contract)).alias(contract), "n")
@@ -60,16 +62,16 @@ def city_contract_matrix(df: DataFrame, city: str = "city", contract: str = "con
     return long.groupBy(city).pivot(contract, list(contracts) if contracts else None).agg(F.sum("n")).fillna(0)
 
 
-def impute_group_median(df: DataFrame, col: str = "salary_avg", by: str = "title", exact: bool = True) -> DataFrame:
+def impute_group_median(df: DataFrame, col: str = "salary_avg", by: str = "title") -> DataFrame:
     """Null ``col`` filled with the median of its ``by`` group (null when the group key is null).
 
-    Medians are one aggregate per group joined back, not a window: a hot group is
-    combined map-side instead of being sorted in one task.
+    Medians are one aggregate per group. Only rows that need one, and have a group,
+    are joined with them; the others never move, so null keys meet nowhere.
     """
-    med = (df.filter(F.col(by).isNotNull()).groupBy(by)
-             .agg(money_median(col, exact).alias("_median")))
-    return (df.join(med, by, "left")
-              .withColumn(col, F.coalesce(F.col(col), F.col("_median"))).drop("_median"))
+    med = group_quantiles(df.filter(F.col(by).isNotNull()), [by], col).select(by, F.col("q")[0].alias("_median"))
+    needs = F.col(col).isNull() & F.col(by).isNotNull()
+    filled = df.where(needs).join(med, by, "left").withColumn(col, F.col("_median")).select(*df.columns)
+    return df.where(~needs).unionByName(filled)
 
 
 def top_n_per_group(df: DataFrame, group: str, order: Sequence, n: int) -> DataFrame:

@@ -8,25 +8,25 @@ from jobsift import lexicon
 from jobsift.functions.contract import contract_label_exact
 from jobsift.functions.salary import to_cents
 from jobsift.functions.text import split_skills
-from jobsift.operators.aggs import money_mean, money_median, pct
+from jobsift.operators.aggs import distinct_scalar, median_scalar, money_mean, pct
 
 
-def overview_kpis(df: DataFrame, exact: bool = True) -> DataFrame:
+def overview_kpis(df: DataFrame) -> DataFrame:
     """One row: rows, salary mean/median/min/max, CDI/Stage/Alternance counts and
-    shares, distinct companies and cities, rows with a skill list. ``exact=False``
-    takes the median from the mergeable sketch (bounded memory on huge tables)."""
+    shares, distinct companies and cities, rows with a skill list. The median and
+    the distinct counts are aggregations of their own column, so no row is copied
+    and none of them meets in one task."""
     ct = F.col("contract_type")
+    alone = {"salary_median": median_scalar(df, "salary_avg"), "n_companies": distinct_scalar(df, "company"),
+             "n_cities": distinct_scalar(df, "city_clean")}
     aggs = [F.count(F.lit(1)).alias("n_rows"),
             money_mean("salary_avg").alias("salary_mean"),
-            money_median("salary_avg", exact).alias("salary_median"),
             F.min("salary_min").alias("salary_min"),
             F.max("salary_max").alias("salary_max")]
     for label, name in (("CDI", "cdi"), ("Stage", "stage"), ("Alternance", "alternance")):
         aggs += [F.count_if(ct == label).alias(f"n_{name}"), pct(ct == label).alias(f"pct_{name}")]
-    aggs += [F.count_distinct("company").alias("n_companies"),
-             F.count_distinct("city_clean").alias("n_cities"),
-             F.count_if(F.coalesce(F.col("tech_stack"), F.lit("")) != "").alias("n_with_skills")]
-    return df.agg(*aggs)
+    aggs += [F.count_if(F.coalesce(F.col("tech_stack"), F.lit("")) != "").alias("n_with_skills")]
+    return df.agg(*aggs).withColumns(alone)
 
 
 def header_stats(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from jobsift import lexicon
 from jobsift.functions.contract import contract_label_substr
 from jobsift.functions.text import split_skills, text_blob, title_case
-from jobsift.operators.aggs import money_mean, money_median, money_quantiles
+from jobsift.operators.aggs import count_quantiles, group_quantiles, join_groups, median_scalar, money_mean, value_counts
 from jobsift.plans.overview import skill_counts
 
 
@@ -17,14 +17,14 @@ def _salaried(df: DataFrame) -> DataFrame:
     return df.filter(F.col("salary_avg").isNotNull())
 
 
-def salary_kpis(df: DataFrame, exact: bool = True) -> DataFrame:
+def salary_kpis(df: DataFrame) -> DataFrame:
     """Over rows with a salary: mean, min(salary_min), max(salary_max), median; and % of rows with one."""
     has = F.col("salary_avg").isNotNull()
+    median = median_scalar(df, "salary_avg")
     return df.agg(money_mean("salary_avg").alias("salary_mean"),
                   F.min(F.when(has, F.col("salary_min"))).alias("salary_min"),
                   F.max(F.when(has, F.col("salary_max"))).alias("salary_max"),
-                  money_median("salary_avg", exact).alias("salary_median"),
-                  F.try_divide(F.count("salary_avg") * 100, F.count(F.lit(1))).alias("pct_with_salary"))
+                  F.try_divide(F.count("salary_avg") * 100, F.count(F.lit(1))).alias("pct_with_salary")).withColumn("salary_median", median)
 
 
 def _premium(per_skill: DataFrame, global_mean) -> DataFrame:
@@ -37,36 +37,37 @@ def skill_premium(df: DataFrame, top: int = 20, min_rows: int = 2, show: int = 1
     (lower-cased, counted over all rows), for skills with >= ``min_rows`` salaried
     rows, and its premium (%) over the global mean; the ``show`` highest premiums.
 
-    When no skill qualifies, the ``fallback`` skills are searched in the text
-    blob with a minimum of one row (a one-number action decides the branch).
+    When no skill qualifies, the ``fallback`` skills are searched in the text blob
+    with a minimum of one row: both branches are one plan, and a scalar decides.
     Returns nothing when fewer than 3 rows have a salary.
     """
     sal = _salaried(df)
-    global_mean = sal.agg(money_mean("salary_avg")).scalar()
-    n_sal = sal.agg(F.count(F.lit(1))).scalar()
+    whole = sal.agg(F.struct(money_mean("salary_avg").alias("mean"), F.count(F.lit(1)).alias("n"))).scalar()
     top_list = (skill_counts(df, lower=True).orderBy(F.desc("n"), F.asc("skill")).limit(top)
                 .agg(F.collect_list("skill"))).scalar()
     per_row = sal.select("salary_avg", F.explode(F.array_intersect(F.array_distinct(split_skills("tech_stack", lower=True)),
                                                                     top_list)).alias("skill"))
-    per_skill = (per_row.groupBy("skill").agg(F.count(F.lit(1)).alias("n"), money_mean("salary_avg").alias("salary_mean"))
-                        .filter(F.col("n") >= min_rows)
-                        .select(title_case("skill").alias("skill"), "n", "salary_mean"))
-    primary = _premium(per_skill, global_mean).filter(n_sal >= 3)
-    if allow_fallback and primary.limit(1).count() == 0:
+    listed = (per_row.groupBy("skill").agg(F.count(F.lit(1)).alias("n"), money_mean("salary_avg").alias("salary_mean"))
+                     .filter(F.col("n") >= min_rows)
+                     .select(title_case("skill").alias("skill"), "n", "salary_mean"))
+    rows = listed
+    if allow_fallback:
         blob = text_blob(F.col("description") if "description" in df.columns else F.lit(None),
                          F.col("tech_stack") if "tech_stack" in df.columns else F.lit(None))
-        hits = sal.select("salary_avg", F.explode(F.filter(F.array(*[F.lit(s) for s in fallback]),
-                                                            lambda s: blob.contains(F.lower(s)))).alias("skill"))
-        per_skill = hits.groupBy("skill").agg(F.count(F.lit(1)).alias("n"), money_mean("salary_avg").alias("salary_mean"))
-        primary = _premium(per_skill, global_mean).filter(n_sal >= 3)
-    return primary.orderBy(F.desc("premium"), F.asc("skill")).limit(show)
+        none_listed = listed.agg(F.count(F.lit(1)) == 0).scalar()
+        hits = sal.where(none_listed).select("salary_avg", F.explode(F.filter(F.array(*[F.lit(s) for s in fallback]),
+                                                                               lambda s: blob.contains(F.lower(s)))).alias("skill"))
+        rows = listed.unionByName(hits.groupBy("skill").agg(F.count(F.lit(1)).alias("n"), money_mean("salary_avg").alias("salary_mean")))
+    return (_premium(rows, whole["mean"]).filter(whole["n"] >= 3)
+            .orderBy(F.desc("premium"), F.asc("skill")).limit(show))
 
 
-def salary_by_source(df: DataFrame, exact: bool = True) -> DataFrame:
+def salary_by_source(df: DataFrame) -> DataFrame:
     """Per source (rows with salary): mean, median, rows."""
-    return _salaried(df).groupBy("source").agg(money_mean("salary_avg").alias("salary_mean"),
-                                                money_median("salary_avg", exact).alias("salary_median"),
-                                                F.count(F.lit(1)).alias("n"))
+    sal = _salaried(df)
+    means = sal.groupBy("source").agg(money_mean("salary_avg").alias("salary_mean"))
+    medians = group_quantiles(sal, ["source"], "salary_avg").select("source", F.col("q")[0].alias("salary_median"), "n")
+    return join_groups(means, medians, ["source"])
 
 
 def salary_by_city(df: DataFrame, min_rows: int = 3, top: int = 10) -> DataFrame:
@@ -76,25 +77,23 @@ def salary_by_city(df: DataFrame, min_rows: int = 3, top: int = 10) -> DataFrame
     return g.filter(F.col("n") >= min_rows).orderBy(F.desc("salary_mean"), F.asc("city_clean")).limit(top)
 
 
-def box_stats(df: DataFrame, by: str, col: str = "salary_avg", exact: bool = True) -> DataFrame:
+def box_stats(df: DataFrame, by: str, col: str = "salary_avg") -> DataFrame:
     """Per group: rows, min, q1, median, q3, max, the 1.5 x IQR fences (linear
-    interpolation; ``exact=False`` for the bounded-memory sketch on huge groups) and
-    the whisker ends (most extreme values inside the fences).
+    interpolation) and the whisker ends (most extreme values inside the fences).
 
-    The whiskers need the fences first: one more aggregation over the rows joined
-    with the per-group table (one row per group, broadcast when small).
+    Everything comes from the counts per group and amount: the rows are read once.
     """
-    vals = df.filter(F.col(col).isNotNull())
-    q = money_quantiles(col, exact=exact)
-    g = vals.groupBy(by).agg(F.count(F.lit(1)).alias("n"), q.alias("_q"))
-    q1, q3 = F.col("_q")[1], F.col("_q")[3]
-    stats = g.select(by, "n", F.col("_q")[0].alias("min"), q1.alias("q1"), F.col("_q")[2].alias("median"),
-                     q3.alias("q3"), F.col("_q")[4].alias("max"),
+    counts = value_counts(df, [by], col)
+    g = count_quantiles(counts, [by], (0.0, 0.25, 0.5, 0.75, 1.0))
+    q1, q3 = F.col("q")[1], F.col("q")[3]
+    stats = g.select(by, "n", F.col("q")[0].alias("min"), q1.alias("q1"), F.col("q")[2].alias("median"),
+                     q3.alias("q3"), F.col("q")[4].alias("max"),
                      (q1 - (q3 - q1) * 1.5).alias("lower_fence"), (q3 + (q3 - q1) * 1.5).alias("upper_fence"))
-    inside = (vals.join(stats.select(by, "lower_fence", "upper_fence"), by)
-                  .filter(F.col(col).between(F.col("lower_fence"), F.col("upper_fence")))
-                  .groupBy(by).agg(F.min(col).alias("whisker_low"), F.max(col).alias("whisker_high")))
-    return stats.join(inside, by, "left")
+    amounts = counts.select(by, (F.col("_cents") / 100).alias("_v"))
+    inside = (join_groups(amounts, stats.select(by, "lower_fence", "upper_fence"), [by])
+              .filter(F.col("_v").between(F.col("lower_fence"), F.col("upper_fence")))
+              .groupBy(by).agg(F.min("_v").alias("whisker_low"), F.max("_v").alias("whisker_high")))
+    return join_groups(stats, inside, [by], "left")
 
 
 def salary_box(df: DataFrame) -> DataFrame:
