@@ -34,14 +34,32 @@ def utc_wallclock(col: Column | str) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(_c(col)), F.lit(EPOCH).cast("timestamp_ntz"))
 
 
-def normalize_date(col: Column | str) -> Column:
+#: Shapes beyond ISO 8601 that feeds write: day first, basic ISO, RFC 2822 (its weekday is skipped) and month names.
+COMMON_DATE_FORMATS = ("dd/MM/yyyy[ HH:mm[:ss]]", "yyyyMMdd", "d MMM yyyy HH:mm[:ss][ XX]", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy")
+WEEKDAY_EN = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
+_WEEKDAY = r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,\s*"
+
+
+def normalize_date(col: Column | str, formats: Sequence[str] = ()) -> Column:
     """Parse text to a UTC wall-clock timestamp (timestamp_ntz); unparseable -> null.
+    ``formats`` (datetime patterns, tried in order, e.g. COMMON_DATE_FORMATS) read what is not ISO 8601.
 
     Text with an explicit zone (Z, +02:00) is read as that instant; text without a
     zone is taken as UTC. The result does not depend on the session time zone.
     """
     s = _c(col).cast("string")
-    return F.when(s.rlike(_ZONED), utc_wallclock(F.try_to_timestamp(s))).otherwise(s.try_cast("timestamp_ntz"))
+    basic = s.rlike(r"^\d{8}$")                    # eight digits: a year to the engine, a date to people
+    iso = F.when(s.rlike(_ZONED), utc_wallclock(F.try_to_timestamp(s))).when(~basic if formats else F.lit(True), s.try_cast("timestamp_ntz"))
+    plain = F.regexp_replace(s, _WEEKDAY, "")
+
+    def read(f: str) -> Column:
+        if "X" in f:                               # a zone, if there is one, else UTC
+            zoned, bare = f.replace("[ XX]", " XX"), f.replace("[ XX]", "")
+            return F.coalesce(utc_wallclock(F.try_to_timestamp(F.regexp_replace(plain, r"GMT$", "+0000"), F.lit(zoned))),
+                              F.to_timestamp_ntz(F.when(F.try_to_timestamp(plain, F.lit(bare)).isNotNull(), plain), F.lit(bare)))
+        return F.to_timestamp_ntz(F.when(F.try_to_timestamp(plain, F.lit(f)).isNotNull(), plain), F.lit(f))
+
+    return F.coalesce(iso, *[read(f) for f in formats])
 
 
 def publication_date(col: Column | str) -> Column:

@@ -63,6 +63,22 @@ def explore_rename(df: DataFrame, mapping: Mapping[str, str], source: str | None
     return df.select(*cols)
 
 
+def exploration_job(raw: DataFrame, source: str, mapping: Mapping[str, str] = lexicon.EXPLORE_API_RENAME,
+                    threshold: float = lexicon.SPARSE_COLUMN_THRESHOLD, n: int | None = None) -> DataFrame:
+    """The exploration end to end, one plan: renamed columns, sparse ones dropped, mean salary (outliers nulled),
+    exact duplicates dropped, missing salaries imputed by title, one row per normalised posting, export table."""
+    from jobsift.functions.salary import salary_avg_explore
+    from jobsift.operators.clean import dedup_ignoring, distinct_rows
+    from jobsift.plans.explore import impute_group_median
+    df = drop_sparse_columns(explore_rename(raw, mapping, source), threshold)
+    if {"salaire_min", "salaire_max"} <= set(df.columns):
+        df = df.withColumn("salaire_moyen", salary_avg_explore("salaire_min", "salaire_max")).drop("salaire_min", "salaire_max")
+    df = distinct_rows(df)
+    if {"salaire_moyen", "intitule_poste"} <= set(df.columns):
+        df = impute_group_median(df, "salaire_moyen", "intitule_poste")
+    return explore_export(dedup_ignoring(df, ignore=(), keys=("intitule_poste", "entreprise", "ville")), n=n)
+
+
 def explore_export(df: DataFrame, columns=lexicon.EXPLORE_EXPORT_COLUMNS, n: int | None = None) -> DataFrame:
     """Export table of the exploration: the listed columns present, dates as text,
     descriptions whole unless ``n`` is given."""
