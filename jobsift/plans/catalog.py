@@ -87,13 +87,6 @@ def q_detail_table(spark, d):
 # ---------------------------------------------------------------- skills page (documents, test lexicon)
 
 
-def _d_stored(spark, d):
-    """The documents view written once (as the cleaned table would be stored), for
-    reports that read it in more than one pass."""
-    from jobsift.session import materialize
-    return materialize(_d(spark, d), "docs_view")
-
-
 @register("skills_kpis", S.with_(DOCS, f"""
 b AS (SELECT {DOC_BLOB} AS blob, tech_stack FROM docs)""") + f"""
 SELECT (SELECT COUNT(DISTINCT s) FROM (SELECT unnest({S.split_skills('tech_stack')}) AS s FROM docs)) AS n_distinct_skills,
@@ -101,7 +94,7 @@ SELECT (SELECT COUNT(DISTINCT s) FROM (SELECT unnest({S.split_skills('tech_stack
        {S.pct(S.has_any('blob', fx.TEST_CLOUD))} AS pct_cloud, {S.pct(S.has_any('blob', fx.TEST_GENAI))} AS pct_genai
 FROM b""")
 def q_skills_kpis(spark, d):
-    return skills.skills_kpis(_d_stored(spark, d), "the", "und", fx.TEST_CLOUD, fx.TEST_GENAI)
+    return skills.skills_kpis(_d(spark, d), "the", "und", fx.TEST_CLOUD, fx.TEST_GENAI)
 
 
 @register("power_trio", S.with_(DOCS, f"""
@@ -163,7 +156,7 @@ grid AS (SELECT sc.skill, l.label FROM sc, (SELECT DISTINCT label FROM b) l)""",
 hits AS (SELECT sc.skill, b.label, COUNT(*) AS n FROM b JOIN sc ON contains(b.blob, lower(sc.skill)) GROUP BY 1, 2)""") + """
 SELECT g.skill, g.label, CAST(COALESCE(h.n, 0) AS BIGINT) AS n FROM grid g LEFT JOIN hits h ON g.skill = h.skill AND g.label = h.label""")
 def q_skills_by_contract(spark, d):
-    return skills.skills_by_contract(_d_stored(spark, d), 10, fx.TEST_CONTRACT_RULES)
+    return skills.skills_by_contract(_d(spark, d), 10, fx.TEST_CONTRACT_RULES)
 
 
 # ---------------------------------------------------------------- salary page
@@ -190,10 +183,8 @@ per_skill AS (SELECT skill, COUNT(*) AS n, {S.mean_money('salary_avg')} AS salar
 SELECT {S.title_case('skill')} AS skill, n, salary_mean, (salary_mean - gm) / gm * 100 AS premium
 FROM per_skill, g WHERE n_sal >= 3 ORDER BY premium DESC, skill LIMIT 15""")
 def q_skill_premium(spark, d):
-    # five passes over the postings (three scalar subqueries, the fallback check, the
-    # result): they read the view once written, as they would read the served table
     from jobsift.session import materialize
-    return salary.skill_premium(materialize(_p(spark, d), "postings"))
+    return salary.skill_premium(materialize(_p(spark, d).select("salary_avg", "tech_stack"), "salaries"))   # two narrow columns, read by every pass
 
 
 @register("salary_by_source", S.with_(P) + f"""
@@ -514,7 +505,7 @@ SELECT skill, n, salary_mean, (salary_mean - gm) / gm * 100 AS premium FROM per_
 ORDER BY premium DESC, skill LIMIT 15""")
 def q_skill_premium_fallback(spark, d):
     # no listed skill reaches the (very high) row minimum, so the blob search runs
-    return salary.skill_premium(_d_stored(spark, d), min_rows=10 ** 9, fallback=FALLBACK_TEST)
+    return salary.skill_premium(_d(spark, d), min_rows=10 ** 9, fallback=FALLBACK_TEST)
 
 
 _MATRIX_LABELS = ["EN", "FR", "DE", "Autre"]
@@ -528,7 +519,7 @@ sc AS (SELECT skill, COUNT(*) AS n FROM (SELECT unnest({S.split_skills('tech_sta
     + " FROM sc, b GROUP BY sc.skill")
 def q_skills_by_contract_matrix(spark, d):
     from jobsift.plans.skills import skills_by_contract
-    long = skills_by_contract(_d_stored(spark, d), 10, fx.TEST_CONTRACT_RULES)
+    long = skills_by_contract(_d(spark, d), 10, fx.TEST_CONTRACT_RULES)
     return long.groupBy("skill").pivot("label", _MATRIX_LABELS).agg(F.sum("n").cast("bigint")).fillna(0)
 
 
