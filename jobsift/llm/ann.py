@@ -24,10 +24,10 @@ from jobsift.llm.common import blobs, distinct_vectors, matrix, stored, unblob,
 
 #: Most rows of the sample that thresholds are fitted on.
 SAMPLE_ROWS = 20_000
-TREES, LEAF_ROWS, MOST_DEPTH = 4, 512, 11
+TREES, LEAF_ROWS, MOST_DEPTH = 4, 256, 11
 #: Rows (counted once for each tree that holds them) that a query's leaves have together, as a share of all
 #: rows. Vectors without any structure need about as many for a recall of 0.9; clustered ones far fewer.
-SEARCH_SHARE = 1.2
+SEARCH_SHARE = 1.4
 #: Rows and queries of a block: a leaf, or a leaf's queries, beyond that are split.
 BLOCK_ROWS, BLOCK_QUERIES = 8192, 8192
 
@@ -77,7 +77,7 @@ def fit_forest(sample: np.ndarray, rows: int, trees: int = TREES, leaf_rows: int
     """Trees as deep as ``rows`` asks for, with at least 8 sample rows a leaf."""
     dim = sample.shape[1]
     by_rows, by_sample = np.log2(max(1, rows / leaf_rows)), np.log2(max(1, len(sample) / 8))
-    depth = int(max(0, min(np.ceil(by_rows), by_sample, MOST_DEPTH, dim)))
+    depth = int(max(0, min(by_rows, by_sample, MOST_DEPTH, dim)))
     directions, thresholds = np.zeros((trees, dim, depth)), np.zeros((trees, 1 << depth))
     for t in range(trees):
         rng = np.random.default_rng(seed + t)
