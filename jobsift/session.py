@@ -110,13 +110,14 @@ def scratch_mark() -> int:
     return len(_SCRATCH)
 
 
-def clear_scratch(spark: SparkSession, since: int = 0) -> int:
-    """Delete the scratch folders asked for after the mark ``since``; frames read from them end here. Returns how many went."""
+def clear_scratch(spark: SparkSession, since: int = 0, until: int | None = None) -> int:
+    """Delete the scratch folders asked for after the mark ``since`` (and before ``until``); frames read from
+    them end here. Returns how many went."""
     jvm, gone = spark.sparkContext._jvm, 0
-    for path in _SCRATCH[since:]:
+    for path in _SCRATCH[since:until]:
         p = jvm.org.apache.hadoop.fs.Path(path)
         gone += bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
-    del _SCRATCH[since:]
+    del _SCRATCH[since:until]
     return gone
 
 
