@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from jobsift import lexicon
 from jobsift.functions._let import let
 
-# A number possibly written with spaces ("45 000"), an optional decimal part,
+# FIXED VALUE: a number possibly written with spaces ("45 000"), an optional decimal part,
 # then an optional K (thousands) after optional spaces.
 _NUMBER = r"(?U)(\d[\d\s]*\.?\d*)\s*K?"
 

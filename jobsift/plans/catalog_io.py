@@ -19,6 +19,7 @@ from jobsift.sinks import writers
 from jobsift.sources import envelope, files
 from jobsift.streaming import ingest
 
+MICROS_JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}   # keep microseconds through JSON
 FETCHED = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
@@ -238,6 +239,17 @@ def q_stream_ingest_unchanged(spark, d):
     return spark.read.option("recursiveFileLookup", "true").text(out).select("value")
 
 
+_SNAP = ["posting_id", "title", "salary_avg", "published_at", "tech_stack"]
+
+
+@register("read_snapshot", S.with_(P) + f"SELECT {', '.join(_SNAP)} FROM postings")
+def q_read_snapshot(spark, d):
+    df = _p(spark, d).select(*_SNAP)
+    path = scratch_path(spark, "snapshot")
+    df.write.options(**MICROS_JSON).json(path)
+    return files.read_snapshot(spark, path, df.schema)
+
+
 def _api_envelopes(spark, d) -> DataFrame:
     api = cc.api_shape(_p(spark, d))
     return api.select(F.lit("api").alias("source"), F.lit(fx.ORDERS_AS_OF[:10] + "T" + fx.ORDERS_AS_OF[11:] + "Z").alias("fetched_at"),
@@ -289,7 +301,6 @@ def q_clean_job(spark, d):
 
 
 ALERT_THRESHOLD, ALERT_FOR = 25.0, 300
-MICROS_JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}   # keep microseconds through JSON
 
 
 @register("sustained_threshold_stream", f"""

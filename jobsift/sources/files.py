@@ -184,6 +184,13 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
              .orderBy(F.desc("modificationTime"), F.asc("path")))
 
 
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A JSON-lines snapshot of a table with its types back; an empty frame of the schema when there is none."""
+    if not _has_files(spark, path, "*.json*"):
+        return spark.createDataFrame([], schema)
+    return scan_jsonl(spark, path, schema, glob="*.json*").select(*schema.fieldNames())
+
+
 def read_served_table(spark: SparkSession, url: str, table: str, properties: dict | None = None,
                       schema: T.StructType | None = None, partition_column: str | None = None,
                       bounds: tuple[int, int] | None = None, num_partitions: int = 8, retries: int = 5,

@@ -70,6 +70,13 @@ def test_damaged_file_fails_or_is_reported(spark):
     assert files.files_report(spark, path, lines_glob="*.jsonl*").count() == 2
 
 
+def test_snapshot_or_empty_frame(spark):
+    empty = scratch_path(spark, "no_snapshot").replace("file:", "")
+    os.makedirs(empty)
+    got = files.read_snapshot(spark, empty, SCHEMA)
+    assert got.count() == 0 and got.schema == SCHEMA
+
+
 CHILD = """
 import sys
 from pyspark import SparkConf

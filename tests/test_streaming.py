@@ -36,7 +36,7 @@ def test_batch_folders_follow_layout(spark):
 
 
 def test_kafka_options():
-    opts = ingest.kafka_read_options("broker:9092", "job_api_raw")
+    opts = ingest.kafka_read_options("broker:9092", "jobs")
     assert opts["startingOffsets"] == "earliest" and opts["minOffsetsPerTrigger"] == "50"
     assert "maxOffsetsPerTrigger" not in opts and opts["failOnDataLoss"] == "true"
     assert ingest.kafka_read_options("broker:9092", "t", most_records=500)["maxOffsetsPerTrigger"] == "500"
