@@ -16,12 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobsift.llm.common import stored
+from jobsift.llm.common import bounded_batches, stored
 
 #: Hash buckets of n-grams.
 BUCKETS = 1 << 14
-#: Aimed-at training documents of a language (drawn by a hash of the id); the classifier's bound.
-TRAIN_ROWS_PER_LANGUAGE = 800
+#: Aimed-at training documents of a language, and of all (drawn by a hash of the id); the classifier's bounds.
+TRAIN_ROWS_PER_LANGUAGE, TRAIN_ROWS = 800, 8000
 EPOCHS, ALPHA, BETA, L1, L2 = 2, 0.5, 1.0, 0.02, 0.01
 UNDETERMINED = "und"
 #: Code points counted at a time.
@@ -162,21 +162,23 @@ def learnable(docs: DataFrame, id_col: str, lang_col: str) -> DataFrame:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        rows_per_language: int = TRAIN_ROWS_PER_LANGUAGE) -> Model:
+        rows_per_language: int = TRAIN_ROWS_PER_LANGUAGE, train_rows: int = TRAIN_ROWS) -> Model:
     """A model from the documents whose crc32 of the id leaves 0, 1 or 3 modulo 4 and whose language is known.
 
     Frequencies are counted over all of them. The classifier is fitted on about
-    ``rows_per_language`` of each language, drawn by a hash of the id, of which a
-    fifth only sets the temperature. Without any such document the model knows no language.
+    ``rows_per_language`` of each language, and ``train_rows`` in all, drawn by a
+    hash of the id, of which a fifth only sets the temperature. Without any such
+    document the model knows no language.
     """
-    learn = learnable(docs, id_col, lang_col)
+    learn = learnable(bounded_batches(docs), id_col, lang_col)
     sizes = {r[lang_col]: r["count"] for r in learn.groupBy(lang_col).count().collect()}     # one row a language
     languages = sorted(sizes)
     if not languages:
         return Model([], np.ones(BUCKETS), np.zeros((BUCKETS, 0)), 1.0)
     n, df = document_frequencies(learn, text_col)
     idf = np.log((1 + n) / (1 + df)) + 1
-    share = F.element_at(F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, rows_per_language / sizes[k]))]), F.col(lang_col))
+    aim = min(rows_per_language, train_rows / len(languages))
+    share = F.element_at(F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, aim / sizes[k]))]), F.col(lang_col))
     draw = F.pmod(F.xxhash64(F.lit(17), id_col), F.lit(1 << 20)) / F.lit(float(1 << 20))
 
     def features(batches):
@@ -218,7 +220,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                                               pa.array([f[1] for f in found], pa.float64())], names=[*(f"k{i}" for i in range(len(keys))), "p", "s"])
 
     fields = ", ".join(f"k{i} {docs.schema[k].dataType.simpleString()}" for i, k in enumerate(keys))
-    out = docs.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(text_col).cast("string").alias("__text")).mapInArrow(
+    out = bounded_batches(docs).select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(text_col).cast("string").alias("__text")).mapInArrow(
         run, f"{fields}, p string, s double")
     held = F.coalesce(F.pmod(F.crc32(F.col("k0").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
     return out.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], held.alias("held_out"), F.col("p").alias("lang_pred"), F.col("s").alias("score"))
@@ -228,7 +230,7 @@ def keep_identified(docs: DataFrame, model: Model, least_score: float = 0.5, id_
     """The rows of ``docs``, all columns unchanged, whose language is determined with at least ``least_score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     hidden = "__llm_text"
-    rows = docs.withColumn(hidden, F.col(text_col).cast("string"))
+    rows = bounded_batches(docs).withColumn(hidden, F.col(text_col).cast("string"))
 
     def run(batches):
         m = shared.value
