@@ -2,8 +2,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -11,30 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from jobsift.session import scratch_path
+
 #: ASCII white space; words are the runs between it. ``bytes.split()`` splits at exactly these.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local session (tests) may leave it unset; then a temporary folder is taken.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the shared folder and read back.
 
-    It cuts the lineage: a lost executor rereads files instead of recomputing the plan.
+    It cuts the lineage: a lost executor rereads files instead of recomputing the
+    plan. The folder is a scratch folder of the session, for ``clear_scratch``.
     """
-    path = f"{shared_dir(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -47,6 +34,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def bounded_batches(docs: DataFrame, rows: int = 1000) -> DataFrame:
+    """``docs``, whose session from now on sends Python workers at most ``rows`` rows at a time.
+
+    Texts are long: Spark's default of 10,000 rows a batch would hold tens of
+    megabytes, several times over, in every worker.
+    """
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", docs.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= rows:
+        conf.set(key, rows)
+    return docs
+
+
 def text_bytes(text_col: str):
     """The text as UTF-8 bytes (null: empty), which is what the byte scanners read."""
     return F.coalesce(F.col(text_col).cast("string").cast("binary"), F.lit(b""))

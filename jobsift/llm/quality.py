@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobsift.llm.common import stored
+from jobsift.llm.common import bounded_batches, stored
 
 #: Most labelled documents that the classifier is fitted on.
 TRAIN_ROWS = 20_000
@@ -103,7 +103,7 @@ def classify(docs: DataFrame, labels: DataFrame, host, path, id_col: str = "doc_
             yield pa.RecordBatch.from_arrays([b.column(c) for c in b.schema.names if c != "__text"] + [pa.array(x, pa.list_(pa.float64()))],
                                              names=[c for c in b.schema.names if c != "__text"] + ["x"])
 
-    narrow = docs.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], host.cast("string").alias("host"),
+    narrow = bounded_batches(docs).select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], host.cast("string").alias("host"),
                          path.cast("string").alias("path"), F.col(text_col).cast("string").alias("__text"))
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in narrow.schema if f.name != "__text")
     rows = stored(narrow.mapInArrow(measure, f"{fields}, x array<double>"), "statistics")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobsift.llm.automaton import Scanner, compile_rules, longest_match
-from jobsift.llm.common import text_bytes
+from jobsift.llm.common import bounded_batches, text_bytes
 
 #: Bytes of texts that are scanned at a time.
 BLOCK_BYTES = 4_000_000
@@ -145,7 +145,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))], names=["__id", "found"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(F.col(id_col).alias("__id"), text_bytes(text_col).alias("__bytes")).mapInArrow(
+    out = bounded_batches(docs).select(F.col(id_col).alias("__id"), text_bytes(text_col).alias("__bytes")).mapInArrow(
         run, f"__id {kind}, found array<struct<kind:string,start:long,end:long>>")
     return out.select(F.col("__id").alias(id_col), "found")
 

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobsift.llm.common import buffers, shuffle_partitions, text_bytes
+from jobsift.llm.common import bounded_batches, buffers, shuffle_partitions, text_bytes
 
 WINDOW, PERIOD = 35, 21
 #: Bytes of text after which a block ends.
@@ -250,7 +250,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     buckets = shuffle_partitions(spark)
     kind = docs.schema[id_col].dataType.simpleString()
-    narrow = docs.select(F.col(id_col).alias("__id"), text_bytes(text_col).alias("__bytes"))
+    narrow = bounded_batches(docs).select(F.col(id_col).alias("__id"), text_bytes(text_col).alias("__bytes"))
 
     def send_anchors(batches):
         def rows():
