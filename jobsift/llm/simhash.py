@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from jobsift.llm.common import stored, text_bytes
+from jobsift.llm.common import bounded_batches, shuffle_partitions, stored, text_bytes
 from jobsift.llm.components import connected_components
 
 SHINGLE_WORDS, RADIUS, SEED = 3, 2, 42
@@ -42,7 +42,7 @@ def fingerprint(text: bytes, n: int = SHINGLE_WORDS) -> int:
 
 def with_fingerprints(docs: DataFrame, keys: list[str], text_col: str = "text", n: int = SHINGLE_WORDS) -> DataFrame:
     """(keys, fp) of every row; a text without words, or null, has fingerprint zero."""
-    narrow = docs.select(*keys, text_bytes(text_col).alias("__bytes"))
+    narrow = bounded_batches(docs).select(*keys, text_bytes(text_col).alias("__bytes"))
     schema = StructType([docs.schema[k] for k in keys] + [StructField("fp", LongType())])
 
     def run(batches):
@@ -76,6 +76,9 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     if radius < 1:
         return fps.select(F.col("fp").alias("u"), F.col("fp").alias("v")).where("false")
     half = (radius + 1) // 2
+    # Each row becomes many, so few small partitions will not do; and by another key than the grouping
+    # below, or the planner would keep the partitions that it has merged.
+    fps = fps.repartition(shuffle_partitions(fps.sparkSession), F.xxhash64("fp"))
     near = fps.select("fp", F.explode(F.array(*[F.lit(m) for m in masks(half)])).alias("flip"))
     near = near.select(F.expr("fp ^ flip").alias("variant"), "fp", "flip")
     if radius == 2:
