@@ -136,4 +136,5 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     marked = simhash_groups(rows, id_col, text_col, n, radius, keys=[key])
     first = marked.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col), F.col(key))).alias("s"))
     kept = stored(first.select(F.col(f"s.{key}").alias(key)), "kept")
-    return rows.join(kept, key, "left_semi").drop(key)
+    # A shuffle of both sides at every size: the kept rows grow with the table, so they are never broadcast.
+    return rows.join(kept.hint("merge"), key, "left_semi").drop(key)
