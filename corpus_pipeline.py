@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from jobsift.llm import langid, mixing, packing, pii, simhash
 from jobsift.llm.common import stored, table
+from jobsift.session import clear_scratch, scratch_mark
 
 #: A document whose most likely language has a lower calibrated probability is rejected.
 LEAST_LANGUAGE_SCORE = 0.5
@@ -50,5 +51,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pipeline over the ``documents`` table."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
+        mark = scratch_mark()
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        clear_scratch(spark, mark, scratch_mark() - 1)      # what the stage has stored on the way, not its result
     return STAGES[-1][1](spark, docs, sf_dir)
