@@ -7,6 +7,7 @@ needs padding. Nothing is shuffled: each document is cut where it is read.
 """
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from itertools import islice
@@ -16,10 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobsift.llm.common import bounded_batches
+
 MAX_LENGTH, END_ID = 4096, 2
 TOKENIZER = "word_bpe_49k.json"
 #: Words of a generation of a Python worker's cache; it holds at most two.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 600_000
 #: Characters that are tokenized together, so that memory stays bounded.
 SLICE_CHARS = 2_000_000
 
@@ -52,21 +55,20 @@ class Encoder:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, new: set[str]) -> None:
-        older = new & self.older.keys()
-        self.known.update((p, self.older[p]) for p in older)
-        new = new - older
-        words = [p for p in new if p.isalpha() and not NOT_SIMPLE.search(p)]
-        for at in range(0, len(words), 64):
-            part = words[at:at + 64]
-            ids = np.asarray(self.tok.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+        older = [p for p in new if p in self.older]
+        self.known.update(zip(older, map(self.older.__getitem__, older)))
+        new.difference_update(older)
+        words = [p for p in new if p.isalpha()]
+        parts = [words[at:at + 64] for at in range(0, len(words), 64)]
+        for part, encoded in zip(parts, self.tok.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
+            ids = np.asarray(encoded.ids, "<u4")
             ends = np.flatnonzero(self.is_end[ids]) + 1
             if len(ends) == len(part):
                 raw, last = ids.tobytes(), 0
                 for w, end in zip(part, (ends * 4).tolist()):
                     self.known[w], last = raw[last:end], end
-        for p in new:
-            if p not in self.known:
-                self.known[p] = self._direct(p)
+        for p in [p for p in new if p not in self.known]:
+            self.known[p] = self._direct(p)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
@@ -101,6 +103,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")      # a Spark task has one core
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
@@ -166,7 +169,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, id_col: str = "doc_
                         part.append(pa.array(list(islice(ids, at, at + 20_000)), pa.binary()))
                     yield pa.RecordBatch.from_arrays(part, names=names + ["ids"] * with_ids)
 
-    pieces = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text")).mapInArrow(run, fields)
+    pieces = bounded_batches(docs).select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text")).mapInArrow(run, fields)
     out = pieces.select(F.col("__id").alias(id_col), "start", "length", "ids_crc32", "doc_tokens",
                         F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
                         F.round(F.log2("length")).cast("int").alias("bucket"), *(["ids"] if with_ids else []))
