@@ -26,6 +26,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with a row number ``key``, stored with the rows.
+
+    A number that is made again at each read holds only while all reads make the
+    same splits, and these follow the cores that are there when a read is planned.
+    """
+    return stored(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

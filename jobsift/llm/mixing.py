@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobsift.llm.common import WORD, shuffle_partitions, stored
+from jobsift.llm.common import WORD, numbered, shuffle_partitions, stored
 
 WEIGHTS, MOST_COPIES = (5, 2, 1), 3
 #: Documents of a block, undecided documents that a block leaves, and blocks that meet in a tree node.
@@ -184,11 +184,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, all columns unchanged.
 
-    Documents without words stay as they are. ``docs`` should be a stored table,
-    whose rows come in the same order when read twice.
+    Documents without words stay as they are. ``docs`` is read once: copies and
+    rows meet by a row number that is stored with the rows.
     """
     key = "__llm_row"
-    rows = docs.withColumn(key, F.monotonically_increasing_id())
+    rows = numbered(docs, key)
     taken = mix(rows, id_col, text_col, source_col, keys=[key], **options).select(
         key, F.when(F.col("size") > 0, F.col("copies")).otherwise(1).alias("__llm_copies")).where("__llm_copies > 0")
     many = rows.join(taken, key).withColumn("__llm_copy", F.explode(F.sequence(F.lit(1), F.col("__llm_copies"))))

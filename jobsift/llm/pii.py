@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsift.functions._let import let
-from jobsift.llm.common import stored
+from jobsift.llm.common import numbered, stored
 
 # FIXED VALUES: the base kinds' patterns, written so that the regex engine needs neither backtracking over a run
 # of characters nor recursion: possessive repeats, and starts only at a run's first character or behind a match.
@@ -322,11 +322,11 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     """``docs`` with personal data replaced in the text; all rows and columns stay.
 
     Where there is a column ``length_col`` it gets the length of a changed text.
-    A null text stays null. ``docs`` should be a stored table, whose rows come in
-    the same order when read twice.
+    A null text stays null. ``docs`` is read once: spans and rows meet by a row
+    number that is stored with the rows.
     """
     key = "__llm_row"
-    rows = docs.withColumn(key, F.monotonically_increasing_id())
+    rows = numbered(docs, key)
     found = find_personal_data(rows, id_col, text_col, keys=[key]).where(F.size("found") > 0).select(key, F.col("found").alias("__llm_found"))
     joined = rows.join(found, key, "left")
     text = F.col(text_col)

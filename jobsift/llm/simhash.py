@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from jobsift.llm.common import bounded_batches, shuffle_partitions, stored, text_bytes
+from jobsift.llm.common import bounded_batches, numbered, shuffle_partitions, stored, text_bytes
 from jobsift.llm.components import connected_components
 
 SHINGLE_WORDS, RADIUS, SEED = 3, 2, 42
@@ -128,11 +128,11 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """The rows of ``docs`` that stay when each near-duplicate group keeps one.
 
     The row with the smallest id stays (null ids last, then the first stored row).
-    All columns come through unchanged, whatever their names. ``docs`` should be
-    a stored table, whose rows come in the same order when read twice.
+    All columns come through unchanged, whatever their names. ``docs`` is read
+    once: decisions and rows meet by a row number that is stored with the rows.
     """
     key = "__llm_row"
-    rows = docs.withColumn(key, F.monotonically_increasing_id())
+    rows = numbered(docs, key)
     marked = simhash_groups(rows, id_col, text_col, n, radius, keys=[key])
     first = marked.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col), F.col(key))).alias("s"))
     kept = stored(first.select(F.col(f"s.{key}").alias(key)), "kept")

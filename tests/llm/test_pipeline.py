@@ -102,3 +102,26 @@ def test_empty_table(spark, stages):
     for _, stage in cp.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+@pytest.mark.parametrize("name", ["near_dedup", "personal_data", "source_mix"])
+def test_splits_of_a_later_read(spark, tmp_path, name):
+    """The stage's result is planned under other splits than its decisions were."""
+    texts = {"near_dedup": lambda i: f"group {i // 2} has number {i // 2 * 7919} and these words follow it {i // 2 * 104729}",
+             "personal_data": lambda i: f"write to user{i}@host{i}.com today" if i % 2 else f"nothing in row {i}",
+             "source_mix": lambda i: "w " * (i % 40 + 1)}
+    docs = spark.createDataFrame([(i, texts[name](i), f"s{i % 3}", 1) for i in range(120)], "doc_id long, text string, source string, n_chars int")
+    docs.repartition(6).write.parquet(str(tmp_path / "docs"))
+    stage, results = dict(cp.STAGES)[name], []
+    keys = ("spark.sql.leafNodeDefaultParallelism", "spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set(keys[1], 1)
+        for decided, joined in ((1, 1), (1, 6), (6, 1)):
+            spark.conf.set(keys[0], decided)
+            out = stage(spark, spark.read.parquet(str(tmp_path / "docs")), SF)
+            spark.conf.set(keys[0], joined)
+            results.append(sorted(out.collect()))
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    assert results[0] and results[1] == results[0] and results[2] == results[0]
