@@ -1,9 +1,10 @@
 """Personal data by candidate gradient boosting, in DataFrame operations only.
 
-Generators with high recall propose spans that may overlap. Spans that pass a
-base kind's own check are always kept. Boosted trees, trained here on binned
-format and context features, score the others; a threshold calibrated on
-held-out documents selects further spans. Trees are grown from grouped gradient
+Generators with high recall propose spans that may overlap. Spans that pass the
+check of their own generator are always kept: base kinds as such, the others as
+like_<generator>. Boosted trees, trained here on binned format and context
+features with these checks as labels, score the spans that fail; a threshold
+calibrated on held-out documents selects further ones. Trees are grown from grouped gradient
 sums: the candidates of all documents are first counted by feature vector, so
 training reads a small table, and the trees become one SQL expression.
 """
@@ -41,8 +42,14 @@ CONTEXT = {
     "ctx_number": r"\b(?:version|v|page|section|chapter|figure|isbn|order|no|nr|row|total|sum|year)\b",
 }
 
+#: A phone word, at most three more words and no digit, up to the span.
+PHONE_BEFORE = r"(?:^|[^\p{L}])(?:phone|telephone|tel|call|fax|mobile|cell|telefon|tél|téléphone|teléfono|móvil|handy)\p{L}*(?:[^\p{L}0-9]+\p{L}{1,12}){0,3}[^\p{L}0-9]*$"
+#: An area code in brackets, then a number in groups; and what is a date, a decimal number or an IP address instead.
+BRACKETED = r"^\(0?[1-9][0-9]{1,4}\) ?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}$"
+NOT_NATIONAL = r"^(?:(?:19|20)[0-9]{2}[-. ][01]?[0-9][-. ][0-3]?[0-9]|[0-3]?[0-9][-. ][01]?[0-9][-. ](?:19|20)[0-9]{2}|[0-9]+\.[0-9]+|[0-9]+(?:\.[0-9]+){3})$"
+
 ROUNDS, DEPTH, RATE, RIDGE = 8, 2, 0.4, 1.0
-#: Share of selected candidates, on held-out documents, that must look like checked personal data; and least number of them.
+#: Share of selected candidates, on held-out documents, that must pass a check; and least number of them.
 PRECISION, LEAST_HELD = 0.98, 30
 
 
@@ -89,6 +96,32 @@ def _passes(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _own_check(kind: str, value: Column, before: Column) -> Column:
+    """Whether a generator's span is what the generator looks for."""
+    if kind in BASE_KINDS:
+        return _passes(kind, value)
+    if kind == "address":
+        return value.rlike(r"^[\p{L}\p{N}._%+'-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,24}[.,;:!?)\]]*$")
+    if kind == "handle":
+        plain = F.regexp_replace(F.regexp_replace(value, r" ?[(\[]at[)\]] ?", "@"), r" ?(?:[(\[]dot[)\]]|\.) ?", ".")
+        return plain.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}$")
+    if kind == "iban":
+        return iban_ok(F.replace(value, F.lit(" "), F.lit("")))
+    size = F.length(F.regexp_replace(value, "[^0-9]", ""))
+    return size.between(7, 15) & ~value.rlike(NOT_NATIONAL) & (value.rlike(BRACKETED) | F.lower(before).rlike(PHONE_BEFORE))
+
+
+def iban_ok(compact: Column) -> Column:
+    """ISO 13616: 15 to 34 characters whose number, the first four moved to the end and letters as 10 to 35, is 1 modulo 97."""
+    moved = F.concat(F.substring(compact, F.lit(5), F.length(compact)), F.substring(compact, 1, 4))
+
+    def step(acc, c):
+        code = F.ascii(c)
+        return F.when(code >= 65, (acc * 100 + code - 55) % 97).otherwise((acc * 10 + code - 48) % 97)
+
+    return F.when(F.length(compact).between(15, 34), F.aggregate(F.split(moved, ""), F.lit(0), step) == 1).otherwise(False)
+
+
 def _gates(text: Column) -> dict[str, tuple[str, Column]]:
     """Pattern of each generator and a cheap test that its texts must pass."""
     at, digit = F.contains(text, F.lit("@")), text.rlike("[0-9]")
@@ -254,8 +287,9 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Spans are in code points, ends exclusive, by kind as listed, then start. A null
     or empty text has no spans; null and repeated ids keep their rows; an empty
-    table gives no rows; other columns are not read. Without candidates to learn
-    from, or without a threshold that reaches the precision, nothing is added.
+    table gives no rows; other columns are not read. A span that passes its
+    generator's check and overlaps no base span is always found, at every size of
+    input; the trees add spans that fail it, if a threshold reaches the precision.
     """
     keys = list(dict.fromkeys([id_col, *(keys or [])]))
     own = [f"k{i}" for i in range(len(keys))]
@@ -263,29 +297,31 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     generators = [*BASE_KINDS, "address", "handle", "iban", "number"]
     each = proposed.where(F.size("other") > 0).select("row", "base", F.pmod(F.xxhash64("k0", "row"), F.lit(5)).alias("fold"), F.explode("other").alias("s"))
     overlaps = F.exists("base", lambda b: (b["start"] < F.col("s.end")) & (F.col("s.start") < b["end"]))
+    check = F.lit(False)
+    for kind in generators:
+        check = F.when(F.col("s.kind") == kind, _own_check(kind, F.col("s.value"), F.col("s.before"))).otherwise(check)
     named = features(F.col("s.value"), F.col("s.before"), F.col("s.after"), F.col("s.kind"), generators)
     names = sorted(named)
     scored = stored(each.select("row", "fold", F.col("s.kind").alias("kind"), F.col("s.start").alias("start"), F.col("s.end").alias("end"),
-                                overlaps.cast("int").alias("positive"), *[c.cast("int").alias(k) for k, c in named.items()]), "pii-features")
+                                overlaps.alias("covered"), F.coalesce(check, F.lit(False)).cast("int").alias("positive"), *[c.cast("int").alias(k) for k, c in named.items()]), "pii-features")
     table = stored(scored.groupBy((F.col("fold") == 0).alias("held"), *names).agg(F.count("*").alias("n"), F.sum("positive").alias("positive")), "pii-vectors")
     model = boost(table.where("not held"), names)
     model.threshold = calibrate(model, table.where("held"))
     none = F.array().cast("array<struct<kind:string,start:long,end:long>>")
     rank = {g: i for i, g in enumerate(generators)}
-    if math.isinf(model.threshold):
-        rows = proposed.select("row", *own, "base", none.alias("more"))
-    else:
-        extra = (scored.where("positive = 0").withColumn("margin", model.margin()).where(F.col("margin") >= model.threshold)
-                 .groupBy("row").agg(F.collect_set(F.struct("margin", "kind", "start", "end")).alias("more")))
-        # Of overlapping spans the one with the best score stays, then the longest, the first, the first kind.
-        def better(a, b):
-            order = F.map_from_arrays(F.array(*[F.lit(k) for k in rank]), F.array(*[F.lit(v) for v in rank.values()]))
-            left = F.struct(a["margin"], a["end"] - a["start"], -a["start"], -order[a["kind"]])
-            right = F.struct(b["margin"], b["end"] - b["start"], -b["start"], -order[b["kind"]])
-            return left > right
-        kept = F.filter("more", lambda s: ~F.exists("more", lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]) & better(o, s)))
-        kept = F.transform(kept, lambda s: F.struct(F.concat(F.lit("like_"), s["kind"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-        rows = proposed.select("row", *own, "base").join(extra.select("row", kept.alias("more")), "row", "left").withColumn("more", F.coalesce("more", none))
+    sure = F.col("positive") == 1
+    chosen = sure if math.isinf(model.threshold) else sure | (model.margin() >= model.threshold)
+    extra = (scored.where(~F.col("covered")).where(chosen).withColumn("margin", model.margin())
+             .groupBy("row").agg(F.collect_set(F.struct("positive", "margin", "kind", "start", "end")).alias("more")))
+    # Of overlapping spans a checked one stays, then the one with the best score, then the longest, the first, the first kind.
+    def better(a, b):
+        order = F.map_from_arrays(F.array(*[F.lit(k) for k in rank]), F.array(*[F.lit(v) for v in rank.values()]))
+        left = F.struct(a["positive"], a["margin"], a["end"] - a["start"], -a["start"], -order[a["kind"]])
+        right = F.struct(b["positive"], b["margin"], b["end"] - b["start"], -b["start"], -order[b["kind"]])
+        return left > right
+    kept = F.filter("more", lambda s: ~F.exists("more", lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]) & better(o, s)))
+    kept = F.transform(kept, lambda s: F.struct(F.concat(F.lit("like_"), s["kind"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    rows = proposed.select("row", *own, "base").join(extra.select("row", kept.alias("more")), "row", "left").withColumn("more", F.coalesce("more", none))
     more = F.array_sort("more", lambda a, b: F.when((a["kind"] < b["kind"]) | ((a["kind"] == b["kind"]) & (a["start"] < b["start"])), -1)
                         .when((a["kind"] == b["kind"]) & (a["start"] == b["start"]), 0).otherwise(1))
     return rows.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], "base", F.concat("base", more).alias("found"))
