@@ -95,3 +95,9 @@ def op10_bayes_quality(spark, sf_dir):
 def op8_boosted_pii(spark, sf_dir):
     from jobsift.llm import pii
     return pii.find_personal_data(table(spark, sf_dir, "documents")).select("doc_id", *pii.digest())
+
+
+@_query
+def op11_conversation_repair(spark, sf_dir):
+    from jobsift.llm.conversations import repair_report
+    return repair_report(table(spark, sf_dir, "conversations"))
