@@ -106,6 +106,26 @@ def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
             .groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids")))
 
 
+#: Groups that hold more than one in so many of all rows are hot; there are never more hot groups than that.
+HOT_SHARE = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` (null keys aside) with the columns of ``groups``, which has one row and a number of rows (``count``) a key.
+
+    A key that holds many rows does not meet in one task: the groups with more than
+    one in HOT_SHARE of all rows, at most HOT_SHARE of them whatever the input, are
+    broadcast; the others go through a shuffle, where none is large.
+    """
+    total = groups.agg(F.sum(count)).head()[0] or 0
+    hot = groups.where(F.col(count) * HOT_SHARE > total)
+    rest = [c for c in groups.columns if c != key]
+    tried = rows.join(F.broadcast(hot.select(key, F.struct(*rest).alias("_hot"))), key, "left")
+    found = tried.where("_hot IS NOT NULL").select(*rows.columns, *[F.col(f"_hot.{c}").alias(c) for c in rest])
+    others = tried.where("_hot IS NULL").drop("_hot").join(groups.where(F.col(count) * HOT_SHARE <= total), key)
+    return found.unionByName(others.select(*found.columns))
+
+
 def matrix(column: pa.Array) -> np.ndarray:
     """A list<double> Arrow column of equal lengths as a 2-d array."""
     if isinstance(column, pa.ChunkedArray):

@@ -101,3 +101,9 @@ def op8_boosted_pii(spark, sf_dir):
 def op11_conversation_repair(spark, sf_dir):
     from jobsift.llm.conversations import repair_report
     return repair_report(table(spark, sf_dir, "conversations"))
+
+
+@_query
+def op12_whitening(spark, sf_dir):
+    from jobsift.llm.whitening import whitened_components
+    return whitened_components(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
