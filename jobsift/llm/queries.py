@@ -107,3 +107,9 @@ def op11_conversation_repair(spark, sf_dir):
 def op12_whitening(spark, sf_dir):
     from jobsift.llm.whitening import whitened_components
     return whitened_components(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+@_query
+def op13_warc(spark, sf_dir):
+    from jobsift.llm.warc import archived_pages
+    return archived_pages(table(spark, sf_dir, "pages"))
