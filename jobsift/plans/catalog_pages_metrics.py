@@ -153,9 +153,9 @@ r AS (SELECT event_type, us, COALESCE(SUM(inc) OVER w, 0) - COALESCE(FIRST_VALUE
 SELECT event_type, date_trunc('hour', make_timestamp(us)) AS step_start, CAST(SUM(rate_cents) AS DOUBLE) / (COUNT(*) * 30000) AS mean_rate
 FROM r GROUP BY 1, 2""")
 def q_counter_rate_by_label_over_time(spark, d):
-    """One rate per label and hour, from short chunks: the window reaches over several of them."""
+    """One rate per label and hour, from many ranges: windows reach over several of them."""
     ev = fx.load(spark, d, "events")
-    rates = metrics.counter_rate(ev, carry=("event_type", "ts"), scale=2, chunk_seconds=60)
+    rates = metrics.counter_rate(ev, carry=("event_type", "ts"), scale=2, ranges=61)
     return metrics.rate_by_label_over_time(rates, "event_type", scale=2)
 
 

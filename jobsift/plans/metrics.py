@@ -1,25 +1,20 @@
 """Metric queries over a table of samples (series, ts, value): counter rate,
 ratio of two gauges, sustained thresholds, two-sample CPU %, usage %.
 
-Per-series order matters for all of them. A naive ``Window.partitionBy(series)``
-puts a whole series in one task, so a series holding a third of the rows would
-stall the job. Instead rows are partitioned by (series, time chunk):
-
-* the predecessor of a chunk's first row comes from a per-(series, chunk)
-  aggregate (its last row), looked up through a window over chunk summaries,
-  whose size is the number of chunks, not rows;
-* trailing-window context is given by copying the last ``window`` seconds of
-  each chunk into the next chunk, and dropping the copies after the window;
-* running counts add an offset: the sum of earlier chunks' counts.
+Per-series order matters for all of them. Rows are sorted once over the cluster
+and cut into ranges by number (``operators.scan``), so neither a series that holds
+a third of all samples nor a minute that does is one task. Samples of a series at
+the same time are ordered by a tie column and then by value.
 
 All money-like values are whole cents, so sums are exact and order-free.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsift.functions.salary import to_cents
+from jobsift.operators.scan import prefix_scan
 
 MICROS = 1_000_000
 EPOCH = "1970-01-01 00:00:00"
@@ -30,54 +25,45 @@ def _micros(ts: str) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit(EPOCH).cast("timestamp_ntz"), F.col(ts).cast("timestamp_ntz"))
 
 
-def _prepare(samples: DataFrame, series: str, ts: str, chunk_seconds: int) -> DataFrame:
-    return (samples.withColumn("_us", _micros(ts))
-                   .withColumn("_chunk", F.floor(F.col("_us") / (chunk_seconds * MICROS)).cast("bigint")))
-
-
-def with_previous(samples: DataFrame, series: str, ts: str, cols: list[str], chunk_seconds: int = 3600) -> DataFrame:
-    """Add ``_prev_<c>`` (and ``_prev_us``): the series' previous sample, across chunk edges."""
-    df = _prepare(samples, series, ts, chunk_seconds)
-    last = (df.groupBy(series, "_chunk")
-              .agg(F.max_by(F.struct("_us", *cols), F.col("_us")).alias("_last")))
-    w_chunks = Window.partitionBy(series).orderBy("_chunk")          # one row per chunk
-    carry = last.select(series, "_chunk", F.lag("_last").over(w_chunks).alias("_carry"))
-    w = Window.partitionBy(series, "_chunk").orderBy("_us")
-    out = df.join(carry, [series, "_chunk"], "left")
-    first_in_chunk = F.row_number().over(w) == 1
-    out = out.withColumn("_prev_us", F.when(first_in_chunk, F.col("_carry._us")).otherwise(F.lag("_us").over(w)))
-    for c in cols:
-        out = out.withColumn(f"_prev_{c}", F.when(first_in_chunk, F.col(f"_carry.{c}")).otherwise(F.lag(c).over(w)))
-    return out.drop("_carry")
+def with_previous(samples: DataFrame, series: str, ts: str, cols: list[str], tie: tuple[str, ...] = (), ranges: int | None = None) -> DataFrame:
+    """Add ``_us``, ``_pos`` and ``_prev_<c>`` (and ``_prev_us``): the series' previous sample by (ts, tie, cols)."""
+    df = samples.withColumn("_us", _micros(ts))
+    out = prefix_scan(df, series, ["_us", *dict.fromkeys((*tie, *cols))], lags=("_us", *cols), ranges=ranges)
+    return out.withColumnRenamed("_prev__us", "_prev_us")
 
 
 def counter_rate(samples: DataFrame, series: str = "user_id", ts: str = "ts", value: str = "value",
-                 window_seconds: int = 300, chunk_seconds: int = 3600, id_col: str = "event_id",
-                 carry: tuple[str, ...] = (), scale: int = 6) -> DataFrame:
+                 window_seconds: int = 300, id_col: str = "event_id", carry: tuple[str, ...] = (), scale: int = 6,
+                 ranges: int | None = None) -> DataFrame:
     """Per-second increase of a counter over the trailing window (ts - window, ts],
     counting only increases between samples that are both inside the window; a drop
     is a reset (the new value is the increase). No extrapolation to window edges.
+    Samples of one time are ordered by id, then value; all of them are inside the window of each.
 
     Returns (id, series, carry.., rate_cents, rate): the summed increase in units of
     10^-scale (millionths by default; scale 2 is cents)
     and rate = increase / window. ``carry`` columns come along.
+
+    An increase counts from its later sample's time on, until its earlier sample
+    leaves the window. So a rate is one running sum over the times at which
+    increases come and go, read where the samples are: no row looks back over its window.
     """
-    base = samples.select(id_col, series, ts, *carry, to_cents(value, scale).alias("cents"))
-    prev = with_previous(base, series, ts, ["cents"], chunk_seconds)
-    inc = F.when(F.col("_prev_cents").isNull(), F.lit(None).cast("bigint")).when(
-        F.col("cents") >= F.col("_prev_cents"), F.col("cents") - F.col("_prev_cents")).otherwise(F.col("cents"))
-    rows = prev.select(id_col, series, *carry, "_us", "_chunk", inc.alias("_inc"))
-    # each row belongs to its chunk; it is also context for every later chunk that its
-    # window reaches, however short the chunks are
+    base = samples.select(*dict.fromkeys((id_col, series, ts, *carry)), to_cents(value, scale).alias("cents"))
+    prev = with_previous(base, series, ts, ["cents"], (id_col,), ranges)
+    inc = F.when(F.col("cents") >= F.col("_prev_cents"), F.col("cents") - F.col("_prev_cents")).otherwise(F.col("cents"))
+    rows = prev.select(id_col, series, *carry, "_us", F.col("_pos").alias("_row"),
+                       F.when(F.col("_prev_cents").isNotNull(), F.struct(inc.alias("inc"), F.col("_prev_us").alias("us"))).alias("_step"))
     win = window_seconds * MICROS
-    spill = F.floor((F.col("_us") + win - 1) / (chunk_seconds * MICROS)).cast("bigint")
-    copies = F.transform(F.sequence(F.col("_chunk"), spill), lambda c: F.struct(c.alias("c"), (c == F.col("_chunk")).alias("own")))
-    allrows = (rows.select(id_col, series, *carry, "_us", "_inc", F.explode(copies).alias("_t"))
-                   .select(id_col, series, *carry, "_us", "_inc", F.col("_t.c").alias("_chunk"), F.col("_t.own").alias("_own")))
-    w = Window.partitionBy(series, "_chunk").orderBy("_us").rangeBetween(-(win - 1), 0)
-    num = F.coalesce(F.sum("_inc").over(w), F.lit(0)) - F.coalesce(F.first("_inc").over(w), F.lit(0))
-    out = allrows.select(id_col, series, *carry, "_us", "_own", num.alias("rate_cents")).filter("_own")
-    return out.select(id_col, series, *carry, "rate_cents", (F.col("rate_cents") / (window_seconds * 10 ** scale)).alias("rate"))
+    # What happens when: an increase comes (0) or goes (0); a sample asks for the sum (1), after all that happens at its time.
+    gone = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in (id_col, *carry)]
+    change = rows.where("_step IS NOT NULL").select(*gone, series, F.inline(F.array(
+        F.struct(F.col("_us").alias("_at"), F.col("_step.inc").alias("_change")),
+        F.struct((F.col("_step.us") + win).alias("_at"), (-F.col("_step.inc")).alias("_change")))))
+    change = change.select(id_col, series, *carry, "_at", "_change", F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("_row"))
+    ask = rows.select(id_col, series, *carry, F.col("_us").alias("_at"), F.lit(0).cast("long").alias("_change"), F.lit(1).alias("_kind"), "_row")
+    told = prefix_scan(change.unionByName(ask), series, ["_at", "_kind", "_row"], sums=("_change",), ranges=ranges).where("_kind = 1")
+    num = F.col("_sum__change")
+    return told.select(id_col, series, *carry, num.alias("rate_cents"), (num / (window_seconds * 10 ** scale)).alias("rate"))
 
 
 def rate_by_label(rates: DataFrame, label: str, window_seconds: int = 300, scale: int = 6) -> DataFrame:
@@ -114,16 +100,6 @@ def usage_ratio(samples: DataFrame, available: str, total: str, series: str = "u
              .select(series, "step_start", ((F.lit(1) - F.col("available") / F.col("total")) * 100).alias("usage_pct")))
 
 
-def _numbered(df: DataFrame, series: str, broken: Column) -> DataFrame:
-    """``_run``: how many breaks the series has had up to and with a row; a chunk's own count plus those of earlier chunks."""
-    df = df.withColumn("_broken", broken.cast("int"))
-    per_chunk = df.groupBy(series, "_chunk").agg(F.sum("_broken").alias("_n"))
-    w_chunks = Window.partitionBy(series).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_chunk.select(series, "_chunk", F.coalesce(F.sum("_n").over(w_chunks), F.lit(0)).alias("_off"))
-    w = Window.partitionBy(series, "_chunk").orderBy("_us").rowsBetween(Window.unboundedPreceding, 0)
-    return df.join(offsets, [series, "_chunk"]).withColumn("_run", F.col("_off") + F.sum("_broken").over(w))
-
-
 def _gap(max_gap_seconds: float | None) -> Column:
     if max_gap_seconds is None:
         return F.lit(False)
@@ -132,52 +108,58 @@ def _gap(max_gap_seconds: float | None) -> Column:
 
 def sustained_threshold(samples: DataFrame, threshold: float, for_seconds: int, severity: str,
                         series: str = "user_id", ts: str = "ts", value: str = "value",
-                        chunk_seconds: int = 3600, max_gap_seconds: float | None = None) -> DataFrame:
+                        max_gap_seconds: float | None = None, ranges: int | None = None) -> DataFrame:
     """Runs of consecutive samples above ``threshold`` lasting at least ``for_seconds``
     (first to last sample of the run): (series, start, end, n, severity).
 
     Two samples more than ``max_gap_seconds`` apart (the source's staleness) are of
-    different runs. A run id is the number of breaks seen so far in the series: a
-    chunk-local running count plus the counts of earlier chunks.
+    different runs. Of samples at one time, those not above the threshold come first. A run is named by the
+    last row that broke one: the value that a scan carries along.
     """
-    base = samples.select(series, ts, value)
-    df = (with_previous(base, series, ts, [value], chunk_seconds) if max_gap_seconds is not None
-          else _prepare(base, series, ts, chunk_seconds))
     ok = F.col(value) <= threshold
-    runs = _numbered(df, series, ok | _gap(max_gap_seconds)).filter(~ok)
-    g = runs.groupBy(series, "_run").agg(F.min(ts).alias("start"), F.max(ts).alias("end"),
-                                         F.count(F.lit(1)).alias("n"), (F.max("_us") - F.min("_us")).alias("_dur"))
+    base = samples.select(series, ts, value)
+    if max_gap_seconds is None:
+        rows = base.withColumn("_us", _micros(ts))
+    else:
+        rows = with_previous(base, series, ts, [value], ranges=ranges).drop("_pos")
+    # The row's place among all rows is not known before the sort, so the name is its time and, among equal times, its value.
+    name = F.when(ok | _gap(max_gap_seconds), F.struct(F.col("_us").alias("us"), F.col(value).alias("v")))
+    marked = prefix_scan(rows.withColumn("_break", name), series, ["_us", value], lasts=("_break",), ranges=ranges).where(~ok)
+    g = marked.groupBy(series, "_last__break").agg(F.min(ts).alias("start"), F.max(ts).alias("end"),
+                                                   F.count(F.lit(1)).alias("n"), (F.max("_us") - F.min("_us")).alias("_dur"))
     return (g.filter(F.col("_dur") >= for_seconds * MICROS)
              .select(series, "start", "end", "n", F.lit(severity).alias("severity")))
 
 
-def threshold_runs(rows: DataFrame, for_seconds: float, max_gap_seconds: float | None = None, chunk_seconds: int = 3600) -> DataFrame:
+def threshold_runs(rows: DataFrame, for_seconds: float, max_gap_seconds: float | None = None, ranges: int | None = None) -> DataFrame:
     """Runs of rows (series, us, above, start_us, n, fired): one row (series, start_us, last_us, n, fired, fired_us, is_open) each.
 
     fired_us is the time of the first sample at which the run has lasted
     ``for_seconds``, null if it has not; is_open tells that no sample of the series
-    follows. A row may stand for an earlier part of a run, which began at its start_us.
+    follows. A row may stand for an earlier part of a run, which began at its start_us. Of rows at one time,
+    those not above come first.
     """
-    timed = rows.withColumn("_ts", F.timestamp_add("MICROSECOND", F.col("us"), F.lit(EPOCH).cast("timestamp_ntz")))
-    df = with_previous(timed, "series", "_ts", ["above"], chunk_seconds)
-    above = _numbered(df, "series", ~F.col("above") | _gap(max_gap_seconds)).filter("above")
-    runs = above.groupBy("series", "_run").agg(F.min("start_us").alias("start_us"), F.max("us").alias("last_us"), F.sum("n").alias("n"),
-                                               F.max("fired").alias("fired"))
-    long = runs.where(F.col("last_us") - F.col("start_us") >= int(for_seconds * MICROS)).select("series", "_run", F.col("start_us").alias("_start"))
-    fired = (above.join(long, ["series", "_run"]).where(F.col("us") - F.col("_start") >= int(for_seconds * MICROS))
-             .groupBy("series", "_run").agg(F.min("us").alias("fired_us")))
+    first = prefix_scan(rows.withColumn("_us", F.col("us")), "series", ["_us", "above", "start_us"], lags=("_us", "above"), ranges=ranges)
+    first = first.withColumnRenamed("_prev__us", "_prev_us")
+    begins = F.col("above") & (~F.coalesce("_prev_above", F.lit(False)) | _gap(max_gap_seconds))
+    marked = first.withColumn("_run", F.when(begins, F.struct("_pos", "start_us"))).drop("_prev_us", "_prev_above")
+    named = prefix_scan(marked.withColumnRenamed("_pos", "_row"), "series", ["_row"], lasts=("_run",), ranges=ranges)
+    lasted = F.col("us") - F.col("_last__run.start_us") >= int(for_seconds * MICROS)
+    runs = named.where("above").groupBy("series", "_last__run").agg(
+        F.min("start_us").alias("start_us"), F.max("us").alias("last_us"), F.sum("n").alias("n"), F.max("fired").alias("fired"),
+        F.min(F.when(lasted, F.col("us"))).alias("fired_us"))
     newest = rows.groupBy("series").agg(F.max("us").alias("_newest"))
-    return (runs.join(fired, ["series", "_run"], "left").join(newest, "series")
+    return (runs.join(newest, "series")
             .select("series", "start_us", "last_us", "n", "fired", "fired_us", (F.col("last_us") == F.col("_newest")).alias("is_open")))
 
 
 def fired_alerts(samples: DataFrame, threshold: float, for_seconds: float, severity: str, series: str = "user_id", ts: str = "ts",
-                 value: str = "value", max_gap_seconds: float | None = None, chunk_seconds: int = 3600) -> DataFrame:
+                 value: str = "value", max_gap_seconds: float | None = None, ranges: int | None = None) -> DataFrame:
     """(series, start, fired_at, severity): when the rule fires, over a table of samples. Series are text."""
     rows = samples.select(F.col(series).cast("string").alias("series"), _micros(ts).alias("us"), F.col(value).cast("double").alias("v")).dropna()
     rows = rows.select("series", "us", (F.col("v") > threshold).alias("above"), F.col("us").alias("start_us"), F.lit(1).cast("long").alias("n"), F.lit(False).alias("fired"))
     epoch = F.lit(EPOCH).cast("timestamp_ntz")
-    return (threshold_runs(rows, for_seconds, max_gap_seconds, chunk_seconds).where("fired_us is not null")
+    return (threshold_runs(rows, for_seconds, max_gap_seconds, ranges).where("fired_us is not null")
             .select("series", F.timestamp_add("MICROSECOND", F.col("start_us"), epoch).alias("start"),
                     F.timestamp_add("MICROSECOND", F.col("fired_us"), epoch).alias("fired_at"), F.lit(severity).alias("severity")))
 
@@ -188,12 +170,12 @@ def busy_percent(rates: DataFrame, rate: str = "rate") -> DataFrame:
 
 
 def delta_percent(samples: DataFrame, series: str = "user_id", ts: str = "ts", value: str = "value",
-                  cpus: Column | None = None, id_col: str = "event_id", chunk_seconds: int = 3600, scale: int = 6) -> DataFrame:
+                  cpus: Column | None = None, id_col: str = "event_id", scale: int = 6, ranges: int | None = None) -> DataFrame:
     """Two-sample CPU %: delta(value) / delta(seconds) * cpus * 100 when both deltas
-    allow it (time advanced, value did not drop), else 0."""
+    allow it (time advanced, value did not drop), else 0. Samples of one time are ordered by id, then value."""
     base = samples.select(id_col, series, ts, to_cents(value, scale).alias("cents"),
                           (cpus if cpus is not None else F.lit(1)).cast("bigint").alias("_cpus"))
-    prev = with_previous(base, series, ts, ["cents"], chunk_seconds)
+    prev = with_previous(base, series, ts, ["cents"], (id_col,), ranges)
     dc = F.col("cents") - F.col("_prev_cents")
     dt = F.col("_us") - F.col("_prev_us")
     pct = F.when(F.col("_prev_us").isNotNull() & (dt > 0) & (dc >= 0),

@@ -78,7 +78,7 @@ def test_stream_alerts_match_batch_rule(spark):
     slices = [df.where(F.col("ts") < cut[0]), df.where((F.col("ts") >= cut[0]) & (F.col("ts") < cut[1])), df.where(F.col("ts") >= cut[1])]
     for gap in (None, 240):
         got = _alerts_over(spark, df, slices, max_gap_seconds=gap)
-        want = sorted((r.series, r.start, r.fired_at) for r in metrics.fired_alerts(df, 25.0, 300, "warning", max_gap_seconds=gap, chunk_seconds=600).collect())
+        want = sorted((r.series, r.start, r.fired_at) for r in metrics.fired_alerts(df, 25.0, 300, "warning", max_gap_seconds=gap, ranges=5).collect())
         assert got == want
         assert ("open", base, base + dt.timedelta(minutes=5)) in got          # fired while the condition held
         assert ("db" in {s for s, _, _ in got}) == (gap is None)              # ten minutes apart is a gap
