@@ -71,17 +71,26 @@ _ANCHORS = f"regexp_extract_all({CLEAN}, '(?is)<a\\s[^>]*href=\"([^\"]*)\"[^>]*>
 _COMPANY = (f"COALESCE({_node_text(f'''regexp_extract(list_filter({_ANCHORS}, lambda a: contains(regexp_extract(a, 'href=\"([^\"]*)\"', 1), {S.q(pages.COMPANY_LINK_FRAGMENT)}))[1], '(?is)^<a[^>]*>(.*)</a>$', 1)''')}, '')")
 
 
-@register("extract_page_fields", f"""
+def _fields(body: str) -> str:
+    return f"""
 SELECT page_id, {_node_text(f"regexp_extract({CLEAN}, '(?is)<h1(?:\\s[^>]*)?>(.*?)</h1>', 1)")} AS title,
        {_COMPANY} AS company,
        COALESCE(NULLIF({_icon('location')}, ''), {_first_match(pages.LOCATION_FALLBACK)}) AS location,
        {_icon('remote')} AS remote, {_first_match(_CONTRACT_SQL)} AS contract_type,
-       {_first_match(pages.SALARY_HINT)} AS salary, url, {_body()} AS description
-FROM pages""")
+       {_first_match(pages.SALARY_HINT)} AS salary, url, {body} AS description
+FROM pages"""
+
+
+@register("extract_page_fields", _fields(_body()))
 def q_extract_page_fields(spark, d):
     return pages.extract_page_fields(fx.load(spark, d, "pages"), max_blocks=pages.REFERENCE_BLOCKS)
 
 
+@register("extract_page_fields_whole", _fields(_body("")))
+def q_extract_page_fields_whole(spark, d):
+    return pages.extract_page_fields(fx.load(spark, d, "pages"))
+
+
 @register("extract_body_text", f"""
 SELECT page_id, {_body()} AS description, CAST(len(list_filter({_blocks()}, lambda t: length(t) > 30)) AS INTEGER) AS n_long_blocks
 FROM pages""")

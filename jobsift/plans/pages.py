@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobsift.functions.htmltree import Page
+from jobsift.functions.htmltree import Page, hrefs
 
 # FIXED VALUES: page markers of the job board's detail pages
 COMPANY_LINK_FRAGMENT = "/organization/"
@@ -29,14 +29,14 @@ _CONTRACT = re.compile(rf"\b(?:{'|'.join(CONTRACT_WORDS)})\b", re.I)
 
 
 def _per_page(pages: DataFrame, cols: dict[str, str], row, schema: str) -> DataFrame:
-    """``row(page, url)`` of each page as columns beside the id."""
+    """``row(html, url)`` of each page as columns beside the id."""
     narrow = pages.select(F.col(cols["id"]).alias("__id"), *([F.col(cols["url"]).alias("__url")] if "url" in cols else [F.lit(None).cast("string").alias("__url")]),
                           F.col(cols["html"]).cast("string").alias("__html"))
     names = [c.strip().split(" ")[0] for c in re.split(r",\s*(?![^<]*>)", schema)]
 
     def run(batches):
         for b in batches:
-            found = [row(Page(h), u or "") for h, u in zip(b.column("__html").to_pylist(), b.column("__url").to_pylist())]
+            found = [row(h, u or "") for h, u in zip(b.column("__html").to_pylist(), b.column("__url").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("__id"), *(pa.array([f[i] for f in found], _TYPES[t]) for i, t in enumerate(types))], names=["__id", *names])
 
     types = [c.strip().split(" ")[1] for c in re.split(r",\s*(?![^<]*>)", schema)]
@@ -47,10 +47,10 @@ def _per_page(pages: DataFrame, cols: dict[str, str], row, schema: str) -> DataF
 _TYPES = {"string": pa.string(), "int": pa.int32(), "array<string>": pa.list_(pa.string())}
 
 
-def _links(page: Page, url: str, fragment: str) -> list[str]:
+def _links(html: str | None, url: str, fragment: str) -> list[str]:
     origin = _ORIGIN.match(url)
     base = origin[0] if origin else ""
-    return list(dict.fromkeys(h if h.startswith("http") else base + h for _, h in page.links(fragment) if h))
+    return list(dict.fromkeys(h if h.startswith("http") else base + h for h in hrefs(html) if h and fragment in h))
 
 
 def body_text(blocks: list[str], max_blocks: int | None) -> str:
@@ -62,7 +62,7 @@ def extract_links(pages: DataFrame, fragment: str = LISTING_LINK_FRAGMENT, html:
                   id_col: str = "page_id") -> DataFrame:
     """(page, position, link): hrefs containing ``fragment``, made absolute against the
     page's origin, first occurrence kept, in page order."""
-    out = _per_page(pages, {"id": id_col, "url": url, "html": html}, lambda p, u: (_links(p, u, fragment),), "links array<string>")
+    out = _per_page(pages, {"id": id_col, "url": url, "html": html}, lambda h, u: (_links(h, u, fragment),), "links array<string>")
     return out.select(id_col, F.posexplode("links").alias("position", "link"))
 
 
@@ -72,7 +72,8 @@ def extract_page_fields(pages: DataFrame, html: str = "html", url: str = "url",
     else the first 'NNNNN ... France' text), remote (text around its icon), contract
     (first text with a contract word directly in a span, div, li, p or a), salary
     (first salary-like text), url and description (body text). Missing fields are ''."""
-    def fields(page: Page, link: str):
+    def fields(source: str | None, link: str):
+        page = Page(source)
         heading, company = next(page.elements("h1"), None), page.links(COMPANY_LINK_FRAGMENT)
         return ("" if heading is None else page.text(heading), page.text(company[0][0]) if company else "",
                 page.beside_image("location") or page.first_text_like(_LOCATION), page.beside_image("remote"),
@@ -85,8 +86,8 @@ def extract_page_fields(pages: DataFrame, html: str = "html", url: str = "url",
 
 def extract_body_text(pages: DataFrame, html: str = "html", id_col: str = "page_id", max_blocks: int | None = None) -> DataFrame:
     """(page, description, n_long_blocks): the body text and how many blocks are long."""
-    def body(page: Page, _):
-        blocks = page.blocks()
+    def body(source: str | None, _):
+        blocks = Page(source).blocks()
         return body_text(blocks, max_blocks), sum(len(t) > MIN_BLOCK_CHARS for t in blocks)
 
     return _per_page(pages, {"id": id_col, "html": html}, body, "description string, n_long_blocks int")
