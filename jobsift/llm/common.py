@@ -15,14 +15,14 @@ from jobsift.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written as Parquet under the shared folder and read back.
 
     It cuts the lineage: a lost executor rereads files instead of recomputing the
     plan. The folder is a scratch folder of the session, for ``clear_scratch``.
     """
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -227,7 +227,7 @@ def marked_pages(pages: DataFrame, id_col: str, uri_col: str, payload_col: str,
     """
     payload = F.coalesce(F.col(payload_col).cast("string").cast("binary"), F.lit(b""))
     rows = stored(pages.select(F.col(id_col).alias("page_id"), F.col(uri_col).cast("string").alias("uri"), payload.alias("payload"))
-                  .withColumn("digest", F.sha1("payload")).withColumn("no", F.monotonically_increasing_id()), "warc-pages")
+                  .withColumn("digest", F.sha1("payload")).withColumn("no", F.monotonically_increasing_id()), "warc-pages", "zstd")
     first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "no")).alias("first")
     groups = stored(rows.groupBy("digest").agg(first, F.count("*").alias("copies")), "warc-groups")
     joined = join_groups(rows, groups, "digest", "copies")
