@@ -93,3 +93,44 @@ def test_queries_on_table(spark):
     assert set(got) == {i for i in rows if i % 100 == 0}
     hits = [len({i for _, i in nearest(rows, q, 10)} & {i for _, i, _ in g}) for q, g in got.items()]
     assert sum(hits) >= 9 * len(hits)
+
+
+@pytest.mark.parametrize("low", [-3, 0])
+def test_many_roots_and_many_ties(spark, low):
+    """Integer vectors of few components: most distances to routing vectors tie, and the zero vector is a query too."""
+    rng = np.random.default_rng(11)
+    rows = {i: (rng.integers(low, 7, 3) / 256).tolist() for i in range(3000)}
+    rows[50], rows[100] = [0.0] * 3, [6 / 256] * 3
+    df = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>").repartition(5)
+    got = by_query(mtree.topk_inner_product(df, "vec_id", "embedding", F.col("id") % 50 == 0, subtree_rows=10, part_rows=7, page_rows=4, block_queries=9))
+    assert set(got) == set(range(0, 3000, 50))
+    assert [q for q, g in got.items() if [(-s, i) for _, i, s in g] != highest(rows, q, 5)] == []
+
+
+def test_tree_nodes_cover_their_rows_and_prune():
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(40, 8)) * 20
+    points = centres[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 8))
+    nodes = mtree.linked(mtree.build_tree(points, points[0], 32, 4))
+    inner = [n for n in nodes if len(n["below"])]
+    assert inner and max(len(n["below"]) for n in inner) <= 4 and sum(len(n["rows"]) for n in nodes) == 4000
+
+    def rows_below(no):
+        return np.concatenate([nodes[no]["rows"], *(rows_below(c) for c in nodes[no]["below"])]).astype(int)
+    for no, n in enumerate(nodes):
+        assert np.linalg.norm(points[rows_below(no)] - n["pivot"], axis=1).max() <= n["radius"] + 1e-9
+        above = nodes[n["up"]]["pivot"] if n["up"] >= 0 else points[0]
+        assert abs(np.linalg.norm(n["pivot"] - above) - n["parent"]) < 1e-9
+    opened = []
+
+    class Counted(dict):
+        def __getitem__(self, key):
+            if key == "pivot":
+                opened.append(self)
+            return dict.__getitem__(self, key)
+    counted = [Counted(n) for n in nodes]
+    for q in points[:50]:
+        idx, dist = mtree.search_tree(counted, points, q, float(np.linalg.norm(q - points[0])), math.inf, 6)
+        want = np.sort(np.linalg.norm(points - q, axis=1))[:6]
+        assert np.allclose(np.sort(dist)[:6], want)
+    assert len(opened) < 50 * len(nodes) / 4                      # most nodes cost no distance
