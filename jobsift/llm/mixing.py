@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobsift.llm.common import WORD, numbered, shuffle_partitions, stored
+from jobsift.operators.scan import prefix_scan
 
 WEIGHTS, MOST_COPIES = (5, 2, 1), 3
 #: Documents of a block, undecided documents that a block leaves, and blocks that meet in a tree node.
@@ -147,11 +148,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     of size 0 take no words and keep the whole part of their rate as copies. A
     source of size 0 has target 0. Repeated rows are documents of their own; null
     ids are allowed; an empty table gives no rows; other columns are not read.
-    Reruns agree: all draws are hashes of id, size and level.
+    Reruns agree: all draws are hashes of id, size and level. Rows equal in id and size are numbered, by text
+    and then by the other keys; the number goes into their hash, so they have draws of their own and
+    spread over the blocks even where one row is a third of the table.
     """
     keys = list(dict.fromkeys([id_col, *(keys or [])]))
-    sized = stored(docs.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)],
-                               F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size")), "sizes")
+    sized = docs.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(source_col).cast("string").alias("source"),
+                        word_count(text_col).alias("size"), F.xxhash64(text_col).alias("__t"), F.lit(1).cast("long").alias("__one"))
+    sized = prefix_scan(sized.withColumn("__h0", F.xxhash64(F.lit(seed), "k0", "size")), "__h0",
+                        ["__t", *(f"k{i}" for i in range(1, len(keys)))], sums=("__one",))
+    no = F.col("_sum___one")
+    sized = sized.withColumn("__h", F.when(no == 1, F.col("__h0")).otherwise(F.xxhash64("__h0", no))).drop("__t", "__one", "__h0", "_pos", "_sum___one")
     targets = stored(source_targets(sized, weights, cap), "targets")
     n_sources, largest = targets.agg(F.count("*"), F.coalesce(F.max("n"), F.lit(0))).head()
     t = targets.select(F.col("source").alias("s"), "source_size", "target", "n")
@@ -159,7 +166,6 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = (sized.join(t, F.col("source").eqNullSafe(F.col("s"))).drop("s")
             .withColumn("whole", F.floor(rate).cast("int")).withColumn("p", rate - F.floor(rate))
-            .withColumn("__h", F.xxhash64(F.lit(seed), "k0", "size"))
             .withColumn("blocks", F.ceil(F.col("n") / block_rows)).withColumn("block", F.pmod(F.xxhash64("__h"), "blocks")))
     out, level, blocks = [], 0, -(-largest // block_rows)
     while True:

@@ -87,3 +87,27 @@ def test_edge_rows(spark):
     copies = Counter((r.doc_id, r.source) for r in many.collect())
     assert copies[(2, "x")] == copies[(3, "empty")] == 1
     assert mixing.mix(df.where("false")).count() == 0 and mixing.mixed_documents(df.where("false")).count() == 0
+
+
+def test_a_repeated_row_spreads_over_blocks(spark):
+    """Null ids and one size: a third of the table per source, split and drawn one by one."""
+    rows = [(None, f"w{'x' * (i % 2)} " * 3, f"s{i % 3}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    seen = []
+
+    def counted(seed, left, node=mixing._node):
+        run = node(seed, left)
+
+        def checked(pdf):
+            assert len(pdf) <= 600, len(pdf)
+            return run(pdf)
+        return checked
+    original, mixing._node = mixing._node, counted
+    try:
+        a = mixing.mix(df, block_rows=200, left=32, fan_in=4).collect()
+        b = mixing.mix(df.repartition(7), block_rows=200, left=32, fan_in=4).collect()
+    finally:
+        mixing._node = original
+    check(a, [(r[2], r[1]) for r in rows])
+    assert Counter((r.mix_source, r.taken) for r in a) == Counter((r.mix_source, r.taken) for r in b)
+    assert len({r.taken for r in a if r.mix_source == "s0"}) == 2 and not seen
