@@ -13,15 +13,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobsift.llm.common import bounded_batches, stored
 
 #: Hash buckets of n-grams.
 BUCKETS = 1 << 14
-#: Aimed-at training documents of a language, and of all (drawn by a hash of the id); the classifier's bounds.
-TRAIN_ROWS_PER_LANGUAGE, TRAIN_ROWS = 800, 8000
+#: Most training documents of a language, and of all (those of the least hashes of id and text), and most languages
+#: that are learned (the most frequent); the classifier's bounds.
+TRAIN_ROWS_PER_LANGUAGE, TRAIN_ROWS, MOST_LANGUAGES = 800, 8000, 400
 EPOCHS, ALPHA, BETA, L1, L2 = 2, 0.5, 1.0, 0.02, 0.01
 UNDETERMINED = "und"
 #: Code points counted at a time.
@@ -162,24 +163,31 @@ def learnable(docs: DataFrame, id_col: str, lang_col: str) -> DataFrame:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        rows_per_language: int = TRAIN_ROWS_PER_LANGUAGE, train_rows: int = TRAIN_ROWS) -> Model:
+        rows_per_language: int = TRAIN_ROWS_PER_LANGUAGE, train_rows: int = TRAIN_ROWS, most_languages: int = MOST_LANGUAGES) -> Model:
     """A model from the documents whose crc32 of the id leaves 0, 1 or 3 modulo 4 and whose language is known.
 
-    Frequencies are counted over all of them. The classifier is fitted on about
-    ``rows_per_language`` of each language, and ``train_rows`` in all, drawn by a
-    hash of the id, of which a fifth only sets the temperature. Without any such
-    document the model knows no language.
+    Frequencies are counted over all of them. The classifier is fitted on at most
+    ``rows_per_language`` of each language and ``train_rows`` in all, of which a fifth only sets
+    the temperature: the different (id, text) pairs with the least hashes, so copies of a row count once
+    and none of these bounds can be passed. Languages beyond the ``most_languages`` most frequent ones
+    are not learned. Without any such document the model knows no language.
     """
     learn = learnable(bounded_batches(docs), id_col, lang_col)
-    sizes = {r[lang_col]: r["count"] for r in learn.groupBy(lang_col).count().collect()}     # one row a language
-    languages = sorted(sizes)
+    most_languages = min(most_languages, train_rows)
+    sizes = learn.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(most_languages).collect()
+    languages = sorted(r[lang_col] for r in sizes)
     if not languages:
         return Model([], np.ones(BUCKETS), np.zeros((BUCKETS, 0)), 1.0)
     n, df = document_frequencies(learn, text_col)
     idf = np.log((1 + n) / (1 + df)) + 1
-    aim = min(rows_per_language, train_rows / len(languages))
-    share = F.element_at(F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, aim / sizes[k]))]), F.col(lang_col))
-    draw = F.pmod(F.xxhash64(F.lit(17), id_col), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    most = min(rows_per_language, train_rows // len(languages))
+    mark = F.xxhash64(F.lit(18), id_col, text_col)
+    marks = learn.select(F.col(lang_col).alias("l"), mark.alias("d")).where(F.col("l").isin(languages)).distinct()
+    ranked = marks.withColumn("rank", F.row_number().over(Window.partitionBy("l").orderBy("d"))).where(F.col("rank") <= most)
+    limit = {r["l"]: r["d"] for r in ranked.groupBy("l").agg(F.max("d").alias("d")).collect()}        # one row a language
+    bound = F.element_at(F.create_map(*[F.lit(x) for k in languages for x in (k, limit[k])]), F.col(lang_col))
+    texts = (learn.where(F.col(lang_col).isin(languages) & (mark <= bound)).groupBy(F.col(lang_col).alias("l"), mark.alias("d"))
+             .agg(F.first(F.col(text_col).cast("string")).alias("t")))
 
     def features(batches):
         for b in batches:
@@ -190,8 +198,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                 pa.array([tf_idf(*found[i], idf).astype("<f4").tobytes() for i in some], pa.binary()),
                 b.column("l").take(pa.array(some, pa.int64())), b.column("d").take(pa.array(some, pa.int64()))], names=["used", "x", "l", "d"])
 
-    drawn = (learn.where(draw < share).select(F.col(text_col).cast("string").alias("t"), F.col(lang_col).alias("l"), F.xxhash64(F.lit(18), id_col, text_col).alias("d"))
-             .mapInArrow(features, "used binary, x binary, l string, d long").collect())
+    drawn = texts.select("t", "l", "d").mapInArrow(features, "used binary, x binary, l string, d long").collect()     # at most train_rows
     number = {k: i for i, k in enumerate(languages)}
     samples = [(np.frombuffer(r["used"], "<u2").astype(np.int64), np.frombuffer(r["x"], "<f4").astype(np.float64), number[r["l"]], r["d"])
                for r in sorted(drawn, key=lambda r: (r["d"], r["l"]))]
@@ -227,7 +234,11 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def keep_identified(docs: DataFrame, model: Model, least_score: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns unchanged, whose language is determined with at least ``least_score``."""
+    """The rows of ``docs``, all columns unchanged, whose language is determined with at least ``least_score``.
+
+    A model without languages (none was known to learn from) rejects only texts
+    without letters. ``rejected_by_language`` counts what goes.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     hidden = "__llm_text"
     rows = bounded_batches(docs).withColumn(hidden, F.col(text_col).cast("string"))
@@ -236,7 +247,17 @@ def keep_identified(docs: DataFrame, model: Model, least_score: float = 0.5, id_
         m = shared.value
         for b in batches:
             found = [m.predict(t) for t in b.column(hidden).to_pylist()]
-            keep = pa.array([p != UNDETERMINED and s >= least_score for p, s in found], pa.bool_())
+            if m.languages:
+                keep = pa.array([p != UNDETERMINED and s >= least_score for p, s in found], pa.bool_())
+            else:
+                keep = pa.array([ngram_counts(t) is not None for t in b.column(hidden).to_pylist()], pa.bool_())
             yield b.drop_columns([hidden]).filter(keep)
 
     return rows.mapInArrow(run, docs.schema)
+
+
+def rejected_by_language(docs: DataFrame, model: Model, least_score: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(lang_pred, documents, rejected): what ``keep_identified`` drops of each predicted language, and of ``und``."""
+    told = identify(docs, model, id_col, text_col)
+    gone = F.col("score") < least_score
+    return told.groupBy("lang_pred").agg(F.count("*").alias("documents"), F.sum(gone.cast("long")).alias("rejected"))

@@ -82,3 +82,25 @@ def test_edge_rows(spark):
     none = langid.fit(df.where("lang = 'zz'"))
     assert {r.lang_pred for r in langid.identify(df, none).collect()} == {"und"}
     assert langid.identify(df.where("false"), model).count() == 0
+
+
+def test_training_sample_is_bounded_whatever_repeats(spark, monkeypatch):
+    """Rows that share one id, and one row repeated, cannot pass the sample's bound; rare languages beyond the bound are not learned."""
+    sizes = []
+    monkeypatch.setattr(langid, "train_ftrl", lambda samples, n, **k: sizes.append(len(samples)) or np.zeros((langid.BUCKETS, n)))
+    rows = [(1, f"text number {i} abc", "en" if i % 2 else "de") for i in range(3000)] + [(1, "one row", "fr")] * 2000
+    rows += [(1, f"word{i}", f"rare{i:03d}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, rows_per_language=100, train_rows=250, most_languages=5)
+    assert len(model.languages) == 5 and {"en", "de", "fr"} <= set(model.languages) and 80 <= sizes[0] <= 5 * 50
+    assert langid.fit(df, rows_per_language=100, train_rows=250, most_languages=1).languages == ["fr"]
+
+
+def test_without_known_languages_lettered_texts_stay(spark):
+    rows = [(i, ["some text", "", None, "12 !", "ñ"][i % 5], None) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert model.languages == []
+    assert langid.keep_identified(df, model).count() == 20
+    told = {r.lang_pred: (r.documents, r.rejected) for r in langid.rejected_by_language(df, model).collect()}
+    assert told == {"und": (50, 50)}
