@@ -6,19 +6,16 @@ record is reported by file, never dropped in silence.
 """
 from __future__ import annotations
 
-import csv
 import logging
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobsift.sources import lenient
+from jobsift.sources import csvsplit, lenient
 
 CORRUPT = "_corrupt"
-_NO_TEXT = "\ufdd0"   # a non-character: with it as the null mark, only an unquoted empty cell reads as null
 log = logging.getLogger("jobsift.sources")
 
 
@@ -86,45 +83,17 @@ def docs_report(spark: SparkSession, path: str | Sequence[str], glob: str | None
             .agg(F.count_if(~bad).alias("n_good"), F.count_if(bad).alias("n_bad")))
 
 
-def _headers(spark: SparkSession, path: str | Sequence[str], glob: str | None, skip_unreadable: bool) -> dict[str, list[str]]:
-    """Files by their header line. Only one line per file comes to the driver, which lists the files anyway."""
-    first = (_text(spark, path, glob, skip_unreadable).withColumn("_at", F.monotonically_increasing_id())
-             .groupBy("_file").agg(F.min_by("value", "_at").alias("head")).orderBy("_file").collect())
-    out: dict[str, list[str]] = {}
-    for r in first:
-        out.setdefault(r["head"].lstrip("\ufeff").rstrip("\r"), []).append(unquote(r["_file"]))
-    return out
-
-
 def scan_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
              glob: str | None = None, skip_unreadable: bool = False) -> DataFrame:
     """Headered UTF-8 CSV, columns by the names of each file's own header.
 
     With a schema its columns are taken by name and cast one by one (a value that
     cannot be cast is null, a column that a file lacks is null); without one, all
-    columns come as text. Quotes are doubled and quoted text may hold line ends,
-    so one file is read by one task: keep the files many. The header is one line.
+    columns come as text. Quotes are doubled and quoted text may hold line ends; a
+    large file is read by several tasks all the same (``sources.csvsplit``). Lines end
+    with ``\\n`` or ``\\r\\n``; blank lines between records are skipped; the header is one line.
     """
-    parts = []
-    for head, files in _headers(spark, path, glob, skip_unreadable).items():
-        names: list[str] = []
-        for i, n in enumerate(next(csv.reader([head]))):
-            names.append(n if n and n not in names else f"_c{i}")
-        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        df = (spark.read.schema(text).option("header", "true").option("enforceSchema", "true").option("encoding", "UTF-8")
-              .option("multiLine", "true").option("nullValue", _NO_TEXT).option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
-              .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").option("maxCharsPerColumn", "-1")
-              .option("ignoreCorruptFiles", str(skip_unreadable).lower()).csv(files))
-        if schema is not None:
-            df = df.select(*[(F.col(f"`{f.name}`") if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`").try_cast(f.dataType)).alias(f.name)
-                             if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-        parts.append(df)
-    if not parts:
-        return spark.createDataFrame([], schema or T.StructType([]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    return csvsplit.read(spark, path, schema, glob, skip_unreadable)
 
 
 def _has_files(spark: SparkSession, path: str, glob: str) -> bool:

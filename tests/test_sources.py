@@ -104,3 +104,79 @@ def test_command_line_settings_win_and_a_shared_folder_is_asked_for():
     env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.sql.shuffle.partitions=77 pyspark-shell", "PYTHONPATH": root}
     out = subprocess.run([sys.executable, "-c", CHILD], env=env, capture_output=True, text=True, timeout=120).stdout
     assert "GOT local[2] 77" in out and "RAISED set spark.checkpoint.dir" in out
+
+
+CELLS = ["", "plain", 'quo"te', "a,b", "line\nend", "cr\r\nlf", '"', '""', "\n", "\n\n,\"", " spaces ", 'x"\n"y', "é\n", "long " * 30, "0"]
+
+
+def small_ranges(spark, size):
+    """Splits of so many bytes; returns what undoes it."""
+    keys = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": 0}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    return lambda: [spark.conf.set(k, v) for k, v in old.items()]
+
+
+@pytest.mark.parametrize("size", [300, 5000])
+def test_csv_inside_a_file_is_read_in_ranges(spark, size):
+    """Cells with line ends, commas and quotes across many ranges, cells longer than a range, no quotes at all: as the csv module."""
+    import csv
+    import random
+    from collections import Counter
+    rnd = random.Random(size)
+    rows = [[str(i), rnd.choice(CELLS), rnd.choice(CELLS)] for i in range(700)] + [["9999", "big\n" * 700, "end"]] + [["x", "y", "z"]]
+    path = scratch_path(spark, "ranges").replace("file:", "")
+    os.makedirs(path)
+    for name, head, some, end in (("a.csv", ["id", "u", "v"], rows, "\r\n"), ("b.csv", ["v", "id"], [[r[2], r[0]] for r in rows], "\n"),
+                                  ("c.csv", ["id", "n"], [[str(i), str(i * 7)] for i in range(2000)], "\n"), ("d.csv", ["id"], [], "\n"), ("e.csv", [], [], "\n\n \n")):
+        with open(f"{path}/{name}", "w", newline="", encoding="utf-8") as f:
+            csv.writer(f, lineterminator=end).writerows([head, *some] if head else [[], []])
+    undo = small_ranges(spark, size)
+    try:
+        df = files.scan_csv(spark, path)
+        assert df.rdd.getNumPartitions() > 10
+        got = Counter(tuple(r[c] for c in ("id", "u", "v", "n")) for r in df.collect())
+    finally:
+        undo()
+    want = Counter((r[0], r[1] or None, r[2] or None, None) for r in rows) + Counter((r[0], None, r[2] or None, None) for r in rows)
+    want += Counter((str(i), None, None, str(i * 7)) for i in range(2000))
+    assert got == want
+
+
+def test_csv_line_functions():
+    """Both regular expressions against a plain state machine, and their composition."""
+    import random
+    import re
+
+    import numpy as np
+
+    from jobsift.sources import csvsplit as cs
+
+    def walk(line, inside):
+        state = "q" if inside else "start"
+        i = 0
+        while i < len(line):
+            c = line[i]
+            if state == "q":
+                if c == '"' and line[i + 1:i + 2] == '"':
+                    i += 1
+                elif c == '"':
+                    state = "text"
+            elif c == ",":
+                state = "start"
+            else:
+                state = "q" if state == "start" and c == '"' else "text"
+            i += 1
+        return state == "q"
+
+    opens, stays = (re.compile(p.replace(r"\z", r"\Z")) for p in (cs._OPENS, cs._STAYS_OPEN))
+    rnd = random.Random(1)
+    lines = ["".join(rnd.choice('",ab"') for _ in range(rnd.randrange(9))) for _ in range(20000)]
+    out, inside = (np.array([f(x) for x in lines]) for f in (lambda x: '"' in x and bool(opens.search(x)), lambda x: '"' not in x or bool(stays.search(x))))
+    assert out.tolist() == [walk(x, False) for x in lines] and inside.tolist() == [walk(x, True) for x in lines]
+    for first in (False, True):
+        want = [first]
+        for x in lines[:500]:
+            want.append(walk(x, want[-1]))
+        assert cs.states(out[:500], inside[:500], first).tolist() == want
