@@ -1,4 +1,5 @@
-"""Data-governance rules: retention window and takedown requests."""
+"""Data-governance rules: retention window and takedown requests, as filters on a
+frame and as commits to a versioned table (``sinks.versioned``)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
@@ -7,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobsift.functions.time import as_of_literal
+from jobsift.sinks.versioned import VersionedTable
 
 
 def retention_filter(df: DataFrame, days: int, as_of, col: str = "collected_at") -> DataFrame:
@@ -18,3 +20,14 @@ def retention_filter(df: DataFrame, days: int, as_of, col: str = "collected_at")
 def takedown(df: DataFrame, requests: DataFrame, keys: Sequence[str] = ("company",)) -> DataFrame:
     """Remove every row matching a request (anti-join on ``keys``)."""
     return df.join(requests.select(*keys).dropDuplicates(), list(keys), "left_anti")
+
+
+def retention_purge(store: VersionedTable, days: int, as_of: str) -> int:
+    """Commit ``store`` without what was collected more than ``days`` days before ``as_of``. Returns the version."""
+    cutoff = store.spark.range(1).select((as_of_literal(as_of) - F.make_interval(days=F.lit(days))).cast("string")).head()[0]
+    return store.purge(cutoff)
+
+
+def takedown_commit(store: VersionedTable, requests: DataFrame, keys: Sequence[str] = ("company",)) -> int:
+    """Commit ``store`` without the rows that match a request. Returns the version."""
+    return store.remove(requests, list(keys))

@@ -9,6 +9,8 @@ from jobsift import functions as J
 from jobsift.operators import clean, filters, governance, lookups, profile
 from jobsift.plans import explore, fixtures as fx, sqltext as S
 from jobsift.plans.registry import SQL, E, P, _e, _p, register
+from jobsift.session import scratch_path
+from jobsift.sinks.versioned import VersionedTable
 
 POSTING_COLS = ["posting_id", "title", "company", "city", "contract_type", "salary_min", "salary_max", "salary_avg",
                 "currency", "description", "category", "published_at", "url", "source", "tech_stack", "collected_at",
@@ -339,6 +341,45 @@ def q_takedown(spark, d):
     return governance.takedown(_p(spark, d), req).select("posting_id", "company")
 
 
+_MONTH = "strftime(collected_at, '%Y-%m')"
+
+
+def _store(spark, d, name) -> VersionedTable:
+    """The postings as a versioned table of months, in a scratch folder: its version 1."""
+    store = VersionedTable(spark, scratch_path(spark, name), "collected_at", "yyyy-MM")
+    store.overwrite(_p(spark, d).select("posting_id", "company", "title", "collected_at").repartition("title"))
+    return store
+
+
+@register("takedown_versions", S.with_(P) + f"""
+, r AS (SELECT *, company IN (SELECT c_name FROM customer WHERE c_acctbal < 0) AS gone FROM postings)
+SELECT 1 AS version, {_MONTH} AS month, COUNT(*) AS n, COUNT(DISTINCT company) AS companies, CAST(SUM(posting_id) AS BIGINT) AS ids FROM r GROUP BY 2
+UNION ALL
+SELECT 2, {_MONTH}, COUNT(*), COUNT(DISTINCT company), CAST(SUM(posting_id) AS BIGINT) FROM r WHERE NOT gone GROUP BY 2""")
+def q_takedown_versions(spark, d):
+    """Remove, commit, and read both versions."""
+    store = _store(spark, d, "takedown")
+    req = fx.load(spark, d, "customer").filter(F.col("c_acctbal") < 0).select(F.col("c_name").alias("company"))
+    governance.takedown_commit(store, req)
+    out = None
+    for version in store.versions():
+        rows = store.read(version)
+        per_company = rows.groupBy(F.date_format("collected_at", "yyyy-MM").alias("month"), "company").agg(F.count("*").alias("n"), F.sum("posting_id").alias("ids"))
+        one = per_company.groupBy("month").agg(F.sum("n").alias("n"), F.count("company").alias("companies"), F.sum("ids").alias("ids"))
+        one = one.select(F.lit(version).alias("version"), "month", "n", "companies", "ids")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("retention_purge", S.with_(P) + f"""
+SELECT posting_id, collected_at FROM postings WHERE collected_at >= TIMESTAMP '{fx.ORDERS_AS_OF}' - INTERVAL 900 DAY""")
+def q_retention_purge(spark, d):
+    """Purge by partition, and read what the new version holds."""
+    store = _store(spark, d, "purge")
+    governance.retention_purge(store, 900, fx.ORDERS_AS_OF)
+    return store.read().select("posting_id", "collected_at")
+
+
 # ---------------------------------------------------------------- sort / limit
 
 
