@@ -226,11 +226,55 @@ g AS (SELECT user_id, run, step_start, MIN(step_start) OVER (PARTITION BY user_i
 SELECT CAST(user_id AS VARCHAR) AS series, start, MIN(step_start) AS fired_at, 'warning' AS severity
 FROM g WHERE epoch_us(step_start) - epoch_us(start) >= 86400000000 GROUP BY user_id, run, start""")
 def q_alert_rule_memory(spark, d):
-    """The memory and disk rules: a usage ratio above its limit for some time (here above half for a day of daily steps)."""
+    """The memory rule: a usage ratio above its limit for some time (here above half for a day of daily steps)."""
     use = metrics.usage_ratio(fx.load(spark, d, "events"), "view", "click", step="day")
     return metrics.fired_alerts(use, 50.0, 86400, "warning", ts="step_start", value="usage_pct")
 
 
+def _fired_sql(rows: str, series: str, at: str, value: str, limit: float, seconds: int, severity: str) -> str:
+    """When a rule fires over the rows of a CTE: at the first row at which a run above the limit has lasted."""
+    return f"""
+r AS (SELECT *, SUM(CAST({value} <= {limit} AS INTEGER)) OVER (PARTITION BY {series} ORDER BY {at} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM {rows}),
+g AS (SELECT {series}, run, {at} AS seen, MIN({at}) OVER (PARTITION BY {series}, run) AS start FROM r WHERE {value} > {limit})
+SELECT CAST({series} AS VARCHAR) AS series, start, MIN(seen) AS fired_at, '{severity}' AS severity
+FROM g WHERE epoch_us(seen) - epoch_us(start) >= {seconds * 1_000_000} GROUP BY {series}, run, start"""
+
+
+AVERAGE_BUSY = 99.9
+
+
+@register("alert_rule_cpu_average", "WITH " + _INC.strip() + f""",
+q AS (SELECT event_type, us, COALESCE(SUM(inc) OVER w, 0) - COALESCE(FIRST_VALUE(inc) OVER w, 0) AS rate_cents FROM i WINDOW w AS {_RATE_WIN}),
+a AS (SELECT event_type, date_trunc('hour', make_timestamp(us)) AS step_start, CAST(SUM(rate_cents) AS DOUBLE) / (COUNT(*) * 30000) AS mean_rate FROM q GROUP BY 1, 2),
+bz AS (SELECT event_type, step_start, 100.0 - mean_rate * 100 AS busy FROM a),""" + _fired_sql("bz", "event_type", "step_start", "busy", AVERAGE_BUSY, 7200, "critical"))
+def q_alert_rule_cpu_average(spark, d):
+    """The CPU rule as written: rates of all idle counters are averaged (here by label and hour) before the limit applies."""
+    ev = fx.load(spark, d, "events")
+    rates = metrics.rate_by_label_over_time(metrics.counter_rate(ev, carry=("event_type", "ts"), scale=2), "event_type", scale=2)
+    return metrics.fired_alerts(metrics.busy_percent(rates, "mean_rate"), AVERAGE_BUSY, 7200, "critical", series="event_type", ts="step_start", value="busy_pct")
+
+
+@register("alert_rule_disk", f"""
+WITH u AS (SELECT user_id, step_start, (1 - available / total) * 100 AS pct FROM (
+  SELECT user_id, date_trunc('day', ts) AS step_start, MAX(CASE WHEN event_type = 'purchase' THEN value END) AS available,
+         MAX(CASE WHEN event_type = 'signup' THEN value END) AS total FROM events GROUP BY 1, 2) WHERE available IS NOT NULL AND total > 0),"""
+          + _fired_sql("u", "user_id", "step_start", "pct", 30.0, 120, "critical"))
+def q_alert_rule_disk(spark, d):
+    """The disk rule: free over whole size, above its limit for two minutes (here of daily steps)."""
+    use = metrics.usage_ratio(fx.load(spark, d, "events"), "purchase", "signup", step="day")
+    return metrics.fired_alerts(use, 30.0, 120, "critical", ts="step_start", value="usage_pct")
+
+
+@register("alert_rule_container", """
+WITH u AS (SELECT user_id, ts, CASE WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) > 0
+             THEN CAST(ROUND(value * 100) AS BIGINT) / CAST(json_extract_string(props, '$.k') AS BIGINT) ELSE 0.0 END AS pct FROM events),"""
+          + _fired_sql("u", "user_id", "ts", "pct", 90.0, 180, "warning"))
+def q_alert_rule_container(spark, d):
+    """The container rule: used over limit, above 90 % for three minutes."""
+    use = metrics.usage_percent(fx.load(spark, d, "events"), "value", F.get_json_object("props", "$.k").cast("bigint"), carry=("user_id", "ts"))
+    return metrics.fired_alerts(use, 90.0, 180, "warning", value="mem_pct")
+
+
 @register("delta_percent", "WITH " + _INC.strip() + """
 SELECT event_id, user_id, CASE WHEN pus IS NOT NULL AND us - pus > 0 AND c - pc >= 0
        THEN ((c - pc) * 1000000 * CAST(json_extract_string(props, '$.k') AS BIGINT)) / (us - pus) ELSE 0.0 END AS cpu_pct

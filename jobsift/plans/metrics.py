@@ -184,10 +184,10 @@ def delta_percent(samples: DataFrame, series: str = "user_id", ts: str = "ts", v
 
 
 def usage_percent(samples: DataFrame, used: str = "value", limit: Column | None = None,
-                  interfaces: Column | None = None, id_col: str = "event_id") -> DataFrame:
-    """used / limit * 100 (0 without a limit), and the sum over interface counters."""
+                  interfaces: Column | None = None, id_col: str = "event_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, carry.., mem_pct, net_total): used / limit * 100 (0 without a limit), and the sum over interface counters."""
     lim = limit if limit is not None else F.lit(None).cast("bigint")
     pct = F.when(lim > 0, to_cents(used) / lim).otherwise(F.lit(0.0))
     total = (F.aggregate(interfaces, F.lit(0).cast("bigint"), lambda a, x: a + x)
              if interfaces is not None else F.lit(None).cast("bigint"))
-    return samples.select(id_col, pct.alias("mem_pct"), total.alias("net_total"))
+    return samples.select(id_col, *carry, pct.alias("mem_pct"), total.alias("net_total"))

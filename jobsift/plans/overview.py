@@ -30,11 +30,9 @@ def overview_kpis(df: DataFrame) -> DataFrame:
 
 
 def header_stats(df: DataFrame) -> DataFrame:
-    """Unfiltered header: rows, companies, cities, mean salary."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.count_distinct("company").alias("n_companies"),
-                  F.count_distinct("city_clean").alias("n_cities"),
-                  money_mean("salary_avg").alias("salary_mean"))
+    """Unfiltered header: rows, companies, cities, mean salary. Distinct counts are aggregations of their own column."""
+    whole = df.agg(F.count(F.lit(1)).alias("n_rows"), money_mean("salary_avg").alias("salary_mean"))
+    return whole.select("n_rows", distinct_scalar(df, "company").alias("n_companies"), distinct_scalar(df, "city_clean").alias("n_cities"), "salary_mean")
 
 
 def salary_histogram(df: DataFrame, bins: int = 25, col: str = "salary_avg") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from jobsift import lexicon
 from jobsift.functions.text import is_filled
-from jobsift.operators.aggs import pct
+from jobsift.operators.aggs import distinct_scalar, pct
 from jobsift.plans.temporal import source_age
 
 
@@ -25,10 +25,10 @@ def quality_kpis(df: DataFrame, fields: Sequence[str] = lexicon.QUALITY_FIELDS,
     present = [c for c in fields if c in df.columns]
     rates = [pct(is_filled(c)) for c in present]
     mean_rate = (sum(rates[1:], rates[0]) / len(rates)) if rates else F.lit(0.0)
-    n_sources = F.count_distinct("source") if "source" in df.columns else F.lit(1).cast("bigint")
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), mean_rate.alias("completeness_mean"),
-                  (F.count(F.lit(1)) - F.count_distinct(quality_key(df, title_chars))).alias("n_duplicates"),
-                  n_sources.alias("n_sources"))
+    n_sources = distinct_scalar(df, "source") if "source" in df.columns else F.lit(1).cast("bigint")
+    n_keys = distinct_scalar(df.select(quality_key(df, title_chars).alias("_key")), "_key")
+    whole = df.agg(F.count(F.lit(1)).alias("n_rows"), mean_rate.alias("completeness_mean"))
+    return whole.select("n_rows", "completeness_mean", (F.col("n_rows") - n_keys).alias("n_duplicates"), n_sources.alias("n_sources"))
 
 
 def _status(p: Column) -> Column:

@@ -3,9 +3,9 @@
 An alert fires as soon as a run of samples above the threshold has lasted D,
 whether or not the run has ended. Every micro-batch goes through the same
 DataFrame rule as a table of samples (``plans.metrics.threshold_runs``), whose
-windows split a series by time, so a hot series is not one task. Between batches
+scans split a series by rows, so a hot series is not one task. Between batches
 the open runs are kept: one row per series, written under the checkpoint by batch
-id, so a replayed batch reads and writes the same state. Samples of a series
+id, so a replayed batch reads and writes the same state; the last two batches' are kept. Samples of a series
 arrive in time order across micro-batches; inside one they may come in any order.
 """
 from __future__ import annotations
@@ -44,6 +44,11 @@ def advance(spark: SparkSession, samples: DataFrame, state: DataFrame, threshold
     return alerts, still
 
 
+def _forget(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def start_threshold_alerts(stream: DataFrame, out_path: str, checkpoint: str, threshold: float, for_seconds: float, severity: str,
                            series: str = "user_id", ts: str = "ts", value: str = "value", max_gap_seconds: float | None = None,
                            stale_seconds: float | None = None, available_now: bool = True, processing_time: str = "60s"):
@@ -62,6 +67,7 @@ def start_threshold_alerts(stream: DataFrame, out_path: str, checkpoint: str, th
         alerts, still = advance(spark, samples, state, threshold, for_seconds, severity, max_gap_seconds, stale_seconds)
         alerts.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
         still.write.mode("overwrite").parquet(f"{root}/{batch_id}")
+        _forget(spark, f"{root}/{batch_id - 2}")        # a replay reads the state of the batch before it, nothing older
 
     w = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)).start()
