@@ -25,6 +25,16 @@ class _Nfa:
         self.edges.append([])
         return len(self.eps) - 1
 
+    def turn(self) -> None:
+        """Every edge the other way round."""
+        eps, edges = [[] for _ in self.eps], [[] for _ in self.edges]
+        for s, (to, by) in enumerate(zip(self.eps, self.edges)):
+            for t in to:
+                eps[t].append(s)
+            for chars, t in by:
+                edges[t].append((chars, s))
+        self.eps, self.edges = eps, edges
+
     def parse(self, text: str) -> tuple[int, int]:
         self.text, self.at, self.fold = text, 0, False
         out = self._choice()
@@ -153,16 +163,20 @@ class Automaton:
         return len(self.accepts)
 
 
-def compile_rules(patterns: list[str], anywhere: bool) -> Automaton:
+def compile_rules(patterns: list[str], anywhere: bool, backwards: bool = False) -> Automaton:
     """One minimal automaton for all rules, which may begin at any byte (``anywhere``) or only at the first.
 
     An anchored automaton has a dead state, from which nothing can match any more.
+    One that is ``backwards`` reads text from its end: where it accepts, a match begins.
     """
     nfa = _Nfa()
     ends: dict[int, int] = {}
     start = nfa.state()
-    for r, p in enumerate(patterns):
-        a, b = nfa.parse(p)
+    parsed = [nfa.parse(p) for p in patterns]
+    if backwards:
+        parsed = [(b, a) for a, b in parsed]
+        nfa.turn()
+    for r, (a, b) in enumerate(parsed):
         nfa.eps[start].append(a)
         ends[b] = r
 
@@ -269,3 +283,13 @@ def longest_match(table: list[int], accepts: list[int], dead: int, data: bytes,
         if accepts[s >> 8]:
             end = i + 1
     return end
+
+
+def match_starts(table: list[int], accepts: list[int], data: bytes) -> list[int]:
+    """Where matches begin, ascending, by one pass of a ``backwards``, ``anywhere`` automaton from the end."""
+    s, out = 0, []
+    for i in range(len(data) - 1, -1, -1):
+        s = table[s + data[i]]
+        if accepts[s >> 8]:
+            out.append(i)
+    return out[::-1]

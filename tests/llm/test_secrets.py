@@ -90,3 +90,26 @@ def test_edge_rows_and_query(spark):
     want = {r.doc_id: digest_of(r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     got = {r.doc_id: ([r.n_assign, r.n_access, r.n_hex], r.base_sha256, r.spans) for r in QUERIES["op6_secret_automaton"](spark, sf).collect()}
     assert got == want and any(sum(n) for n, _, _ in got.values())
+
+
+@pytest.mark.parametrize("piece", ["eyJ", "password", "token=", "ghp_", "-----BEGIN ", "AKIA", "eyJa.", "secret   ", "xoxb-a", "0123456789abcde "])
+def test_long_adversarial_texts_take_linear_time(piece):
+    """Starts that lead nowhere, or far, do not make a stretch be read again: a megabyte takes seconds."""
+    import time
+    for tail in ("", ".beyJa.eyJb.c", " PRIVATE KEY-----"):
+        small = piece * 300 + tail
+        assert SCAN.scan([small.encode()]) == [brute(small)]
+        text = (piece * (1_000_000 // len(piece)) + tail).encode()
+        t0 = time.perf_counter()
+        SCAN.scan([text])
+        assert time.perf_counter() - t0 < 15
+
+
+@pytest.mark.parametrize("pattern", ["ab?c*", "(a|bc)+d", "[a-c]{2,4}x", "a{3}|a{2}b", "x(y|)z", "a[ab]*c"])
+def test_match_starts_equal_re(pattern):
+    rng = random.Random(3)
+    a = automaton.compile_rules([pattern], anywhere=True, backwards=True)
+    table, accepts = a.table.tolist(), a.accepts.tolist()
+    for _ in range(500):
+        t = "".join(rng.choices("abcdxyz", k=rng.randint(0, 12)))
+        assert automaton.match_starts(table, accepts, t.encode()) == [i for i in range(len(t)) if re.compile(pattern).match(t, i)], (pattern, t)
