@@ -1,12 +1,17 @@
 """Personal data by candidate gradient boosting, in DataFrame operations only.
 
-Generators with high recall propose spans that may overlap. Spans that pass the
-check of their own generator are always kept: base kinds as such, the others as
-like_<generator>. Boosted trees, trained here on binned format and context
-features with these checks as labels, score the spans that fail; a threshold
-calibrated on held-out documents selects further ones. Trees are grown from grouped gradient
-sums: the candidates of all documents are first counted by feature vector, so
-training reads a small table, and the trees become one SQL expression.
+Generators with high recall propose spans that may overlap. Checked spans of the
+base kinds are always kept. All others are scored by boosted trees over format, context and check
+features, and a calibrated threshold selects them (as like_<generator>).
+
+The trees learn from planted cases: values of each further generator made by rule,
+right ones and ones that only look alike, behind words that speak for them or not, so
+that no label is made by the rule that selects. The corpus adds what its own candidates look like that fail
+their check, as further negatives. The threshold is the lowest at which, on held-out
+planted cases, the wanted precision holds and, on held-out documents, no more than a small
+share of these natural candidates is selected. Trees are grown from grouped gradient
+sums: candidates are first counted by feature vector, so training reads a small table, and the
+trees become one SQL expression.
 """
 from __future__ import annotations
 
@@ -48,9 +53,11 @@ PHONE_BEFORE = r"(?:^|[^\p{L}])(?:phone|telephone|tel|call|fax|mobile|cell|telef
 BRACKETED = r"^\(0?[1-9][0-9]{1,4}\) ?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}$"
 NOT_NATIONAL = r"^(?:(?:19|20)[0-9]{2}[-. ][01]?[0-9][-. ][0-3]?[0-9]|[0-3]?[0-9][-. ][01]?[0-9][-. ](?:19|20)[0-9]{2}|[0-9]+\.[0-9]+|[0-9]+(?:\.[0-9]+){3})$"
 
-ROUNDS, DEPTH, RATE, RIDGE = 8, 2, 0.4, 1.0
-#: Share of selected candidates, on held-out documents, that must pass a check; and least number of them.
-PRECISION, LEAST_HELD = 0.98, 30
+ROUNDS, DEPTH, RATE, RIDGE = 6, 3, 0.5, 1.0
+#: Share of selected planted cases, held out of training, that must be right; most selected of the corpus's own candidates
+#: that fail their check, as a share of them; planted cases of each generator, a fifth of them held out.
+PRECISION, MOST_NATURAL, PLANTED = 0.98, 0.0005, 1000
+FURTHER_KINDS = ("address", "handle", "iban", "number")
 
 
 def matches(text: Column, pattern: str, gate: Column | None = None) -> Column:
@@ -180,10 +187,74 @@ def features(value: Column, before: Column, after: Column, generator: Column, ge
         "after": F.when(after == "", 0).when(after.rlike(r"^\s"), 1).when(after.rlike(r"^[\p{L}0-9]"), 2).otherwise(3),
         "generator": F.array_position(F.array(*[F.lit(g) for g in generators]), generator).cast("int"),
     }
-    low = F.lower(before)
+    low, check = F.lower(before), F.lit(False)
+    for kind in generators:
+        check = F.when(generator == kind, _own_check(kind, value, before)).otherwise(check)
+    out["checked"] = F.coalesce(check, F.lit(False)).cast("int")
     return out | {k: low.rlike(p).cast("int") for k, p in CONTEXT.items()}
 
 
+def planted_cases(spark, each: int = PLANTED) -> DataFrame:
+    """(kind, value, before, after, right, fold): ``each`` cases of every further generator, half of them right.
+
+    All parts are drawn by hashes of the case's number, so the cases are the same on every run.
+    """
+    def draw(salt: int, n: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(n))
+
+    def one(salt: int, *options) -> Column:
+        return F.element_at(F.array(*[o if isinstance(o, Column) else F.lit(o) for o in options]), (draw(salt, len(options)) + 1).cast("int"))
+
+    def digits(salt: int, n: int) -> Column:
+        return F.lpad(draw(salt, 10 ** n).cast("string"), n, "0")
+
+    def spaced(compact: Column) -> Column:
+        return F.when(draw(90, 2) == 0, compact).otherwise(F.trim(F.regexp_replace(compact, "(.{4})", "$1 ")))
+
+    name = one(1, "jane.doe", "k_müller", "info", "léa", "o'neil", "jo%anna", "m-78", "sales.team", "ñandú")
+    host, end = one(2, "mail", "example", "uni-köln", "société", "my-host", "srv2"), one(3, "com", "de", "fr", "org", "museum", "es")
+    small = (draw(4, 89) + 10).cast("string")
+    address = F.concat(name, F.lit("@"), host, F.lit("."), end)
+    not_address = one(5, F.concat(F.lit("odds@"), small, F.lit(":1")), F.concat(name, F.lit("@"), host), F.concat(F.lit("3@"), small, F.lit(",50")),
+                      F.concat(name, F.lit("@"), small), F.concat(F.lit("$x@{"), host, F.lit("}")))
+    at, dot = one(6, " (at) ", "(at)", " [at] "), one(7, " (dot) ", ".", "[dot]")
+    plain = one(8, "jane.doe", "k_muller", "info", "o.neil99", "sales-team")
+    handle = F.concat(plain, at, one(9, "mail", "example", "my-host"), dot, one(3, "com", "de", "fr", "org", "net", "es"))
+    not_handle = F.concat(one(8, "us", "lunch", "meet.me", "sold", "be"), at, one(10, "noon", "home", "door", "gate"), dot, small)
+    country, bban = one(11, "DE", "FR", "ES", "GB", "NL"), F.concat(digits(12, 9), digits(13, 9))
+    zero = F.concat(country, F.lit("00"), bban)
+    rest = F.aggregate(F.split(F.concat(F.substring(zero, 5, 40), F.substring(zero, 1, 4)), ""), F.lit(0), lambda acc, c: F.when(
+        F.ascii(c) >= 65, (acc * 100 + F.ascii(c) - 55) % 97).otherwise((acc * 10 + F.ascii(c) - 48) % 97))
+    iban = spaced(F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), bban))
+    not_iban = one(14, spaced(F.concat(country, F.lpad(((98 - rest + 1 + draw(15, 80)) % 97).cast("string"), 2, "0"), bban)),
+                   F.concat(F.lit("AB"), digits(16, 2), F.lit(" CDEF "), digits(17, 4), F.lit(" "), digits(18, 4)))
+    four, three, two = digits(20, 4), digits(21, 3), digits(22, 2)
+    number = one(23, F.concat(F.lit("(0"), small, F.lit(") "), four, F.lit(" "), three), F.concat(F.lit("0"), small, F.lit(" "), four, F.lit("-"), three),
+                 F.concat(three, F.lit("-"), digits(24, 3), F.lit("-"), four), F.concat(F.lit("06 "), two, F.lit(" "), digits(25, 2), F.lit(" "), digits(26, 2), F.lit(" "), digits(27, 2)),
+                 F.concat(F.lit("01"), two, F.lit(" "), digits(28, 7)), F.concat(F.lit("("), (draw(29, 800) + 100).cast("string"), F.lit(") "), three, F.lit("-"), four))
+    day, month, year = (draw(30, 28) + 1).cast("string"), (draw(31, 12) + 1).cast("string"), (draw(32, 60) + 1970).cast("string")
+    not_number = one(33, F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")), F.concat_ws(".", day, month, year), F.concat(small, F.lit("."), digits(34, 6)),
+                     F.concat(small, F.lit(" "), three, F.lit(" "), digits(35, 3)), F.concat(four, F.lit(" "), digits(36, 4), F.lit(" "), digits(37, 4)),
+                     F.concat(three, F.lit("-"), digits(38, 3)), F.concat(year, F.lit(" - "), (draw(32, 60) + 1975).cast("string")), digits(39, 9), F.concat(two, F.lit(" "), digits(40, 5)))
+    cue = {"address": one(50, "write by e-mail to ", "mail: ", "contact "), "handle": one(51, "contact ", "mail me: ", "correo "),
+           "iban": one(52, "IBAN ", "to the account ", "Konto "), "number": one(53, "phone ", "call me at ", "tel. ", "Handy: ", "mobile no. ")}
+    other = one(54, "and then ", "it was ", "der Rest ", "on ", "", "siehe ", "(", "le ")
+    against = one(55, "version ", "order no ", "page ", "section ", "total ", "row ")
+    pairs = {"address": (address, not_address), "handle": (handle, not_handle), "iban": (iban, not_iban), "number": (number, not_number)}
+    # A bare number in no context tells nothing: a right one has its cue, or an area code in brackets; others have neither.
+    rows = spark.range(each * len(pairs)).withColumn("right", F.pmod(F.floor(F.col("id") / len(pairs)), F.lit(2)) == 0)
+    kind = F.element_at(F.array(*[F.lit(k) for k in pairs]), (F.pmod("id", F.lit(len(pairs))) + 1).cast("int"))
+    value, before = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for k, (good, bad) in pairs.items():
+        here = F.col("kind") == k
+        value = F.when(here & F.col("right"), good).when(here, bad).otherwise(value)
+        bare = (draw(60, 10) < 4) & ((F.lit(k) != "number") | F.contains(good, F.lit("(")))
+        before = F.when(here & F.col("right"), F.when(bare, other).otherwise(cue[k])).when(here, F.when(draw(61, 2) == 0, other).otherwise(against)).otherwise(before)
+    rows = rows.withColumn("kind", kind).withColumn("value", value).withColumn("before", before)
+    return rows.select("kind", "value", F.concat(one(62, "as we said, ", "", "noch etwas: ", "enfin "), F.col("before")).alias("before"),
+                       one(63, ", please", " today", ".", "", ") or so", "\n").alias("after"), "right", F.pmod(F.xxhash64(F.lit(64), "id"), F.lit(5)).alias("fold"))
+
+
 @dataclass
 class Trees:
     """Boosted trees: each a list of (path, value), a path being (feature, cut, above) tests; and the threshold."""
@@ -265,59 +336,100 @@ def boost(table: DataFrame, names: list[str], rounds: int = ROUNDS, depth: int =
     return model
 
 
-def calibrate(model: Trees, held: DataFrame, precision: float = PRECISION, least: int = LEAST_HELD) -> float:
-    """The lowest margin from which on held-out candidates reach the precision; infinite if there is none.
+def calibrate(model: Trees, planted: DataFrame, natural: DataFrame, precision: float = PRECISION, most: float = MOST_NATURAL) -> float:
+    """The lowest margin from which on, of held-out planted cases, the precision holds, and no more than the share ``most`` of
+    held-out natural candidates is selected; infinite if there is none.
 
-    ``held`` has the same columns as the training table. Margins are grouped by
-    tenths, so few rows come to the driver.
+    Both tables are counts by feature vector (names.., n, positive). Margins are grouped by
+    tenths, so few rows come to the driver. Both conditions are shares, so they mean the same at every size.
     """
-    steps = (held.withColumn("step", F.floor(model.margin() * 10)).groupBy("step").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive"))
-             .orderBy(F.desc("step")).collect())
-    n = positive = 0
+    def by_step(table: DataFrame) -> dict[int, tuple[int, int]]:
+        steps = table.withColumn("step", F.floor(model.margin() * 10)).groupBy("step").agg(F.sum("n").alias("n"), F.sum("positive").alias("p")).collect()
+        return {r["step"]: (r["n"], r["p"]) for r in steps}
+
+    cases, own = by_step(planted), by_step(natural)
+    every = sum(n for n, _ in own.values())
+    n = positive = selected = 0
     threshold = math.inf
-    for r in steps:
-        n, positive = n + r["n"], positive + r["positive"]
-        if n >= least and positive / n >= precision:
-            threshold = r["step"] / 10
+    for step in sorted(cases.keys() | own.keys(), reverse=True):
+        n, positive = n + cases.get(step, (0, 0))[0], positive + cases.get(step, (0, 0))[1]
+        selected += own.get(step, (0, 0))[0]
+        if selected > most * every:
+            break
+        if n and positive >= precision * n:
+            threshold = step / 10
     return threshold
 
 
+def train(natural: DataFrame, names: list[str], generators: list[str], planted: int = PLANTED) -> Trees:
+    """Trees and threshold from planted cases and the corpus's own failing candidates (held, names.., n: counts by feature vector).
+
+    Planted cases weigh as much together as the natural ones that are trained on, whatever the size of the corpus.
+    """
+    spark = natural.sparkSession
+    cases = planted_cases(spark, planted)
+    named = features(F.col("value"), F.col("before"), F.col("after"), F.col("kind"), generators)
+    cases = stored(cases.select((F.col("fold") == 0).alias("held"), F.col("right").cast("long").alias("positive"), *[c.cast("int").alias(k) for k, c in named.items()])
+                   .groupBy("held", *names).agg(F.count("*").alias("n"), F.sum("positive").alias("positive")), "pii-planted")
+    natural = natural.withColumn("positive", F.lit(0).cast("long"))
+    own, made = natural.where("not held").agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0], cases.where("not held").agg(F.sum("n")).head()[0]
+    weight = max(1, own // made)
+    learnt = cases.where("not held").select(*names, (F.col("n") * weight).alias("n"), (F.col("positive") * weight).alias("positive"))
+    model = boost(learnt.unionByName(natural.where("not held").select(*names, "n", "positive")), names)
+    model.threshold = calibrate(model, cases.where("held"), natural.where("held"))
+    return model
+
+
+def planted_recall(spark, model: Trees, generators: list[str], planted: int = PLANTED) -> DataFrame:
+    """(kind, right, cases, found): held-out planted cases by generator, and how many the threshold selects."""
+    cases = planted_cases(spark, planted).where("fold = 0")
+    named = features(F.col("value"), F.col("before"), F.col("after"), F.col("kind"), generators)
+    scored = cases.select("kind", "right", *[c.cast("int").alias(k) for k, c in named.items()])
+    return scored.groupBy("kind", "right").agg(F.count("*").alias("cases"), F.count_if(model.margin() >= model.threshold).alias("found"))
+
+
+GENERATORS = [*BASE_KINDS, *FURTHER_KINDS]
+
+
+def scored_candidates(docs: DataFrame, keys: list[str], text_col: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(spans by row, a row a candidate with its features, the features' names), both stored."""
+    proposed = stored(candidates(docs, keys, text_col).withColumn("row", F.monotonically_increasing_id()), "pii")
+    each = proposed.where(F.size("other") > 0).select("row", "k0", "base", F.explode("other").alias("s"))
+    overlaps = F.exists("base", lambda b: (b["start"] < F.col("s.end")) & (F.col("s.start") < b["end"]))
+    named = features(F.col("s.value"), F.col("s.before"), F.col("s.after"), F.col("s.kind"), GENERATORS)
+    fold = F.pmod(F.xxhash64("k0", "s.value", "s.before"), F.lit(5))            # of the text alone, whatever the splits
+    scored = stored(each.select("row", fold.alias("fold"), F.col("s.kind").alias("kind"), F.col("s.start").alias("start"), F.col("s.end").alias("end"),
+                                overlaps.alias("covered"), *[c.cast("int").alias(k) for k, c in named.items()]), "pii-features")
+    return proposed, scored, sorted(named)
+
+
+def natural_counts(scored: DataFrame, names: list[str]) -> DataFrame:
+    """(held, names.., n) of the corpus's candidates that fail their check and lie on no base span; stored."""
+    own = scored.where(~F.col("covered") & (F.col("checked") == 0))
+    return stored(own.groupBy((F.col("fold") == 0).alias("held"), *names).agg(F.count("*").alias("n")), "pii-vectors")
+
+
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys: list[str] | None = None) -> DataFrame:
     """One row per row of ``docs``: id, keys, base and found (arrays of kind, start, end; found adds the selected spans).
 
     Spans are in code points, ends exclusive, by kind as listed, then start. A null
     or empty text has no spans; null and repeated ids keep their rows; an empty
-    table gives no rows; other columns are not read. A span that passes its
-    generator's check and overlaps no base span is always found, at every size of
-    input; the trees add spans that fail it, if a threshold reaches the precision.
+    table gives no rows; other columns are not read. Spans beyond the base kinds are those that overlap no base span and
+    whose score reaches the calibrated threshold.
     """
     keys = list(dict.fromkeys([id_col, *(keys or [])]))
     own = [f"k{i}" for i in range(len(keys))]
-    proposed = stored(candidates(docs, keys, text_col).withColumn("row", F.monotonically_increasing_id()), "pii")
-    generators = [*BASE_KINDS, "address", "handle", "iban", "number"]
-    each = proposed.where(F.size("other") > 0).select("row", "base", F.pmod(F.xxhash64("k0", "row"), F.lit(5)).alias("fold"), F.explode("other").alias("s"))
-    overlaps = F.exists("base", lambda b: (b["start"] < F.col("s.end")) & (F.col("s.start") < b["end"]))
-    check = F.lit(False)
-    for kind in generators:
-        check = F.when(F.col("s.kind") == kind, _own_check(kind, F.col("s.value"), F.col("s.before"))).otherwise(check)
-    named = features(F.col("s.value"), F.col("s.before"), F.col("s.after"), F.col("s.kind"), generators)
-    names = sorted(named)
-    scored = stored(each.select("row", "fold", F.col("s.kind").alias("kind"), F.col("s.start").alias("start"), F.col("s.end").alias("end"),
-                                overlaps.alias("covered"), F.coalesce(check, F.lit(False)).cast("int").alias("positive"), *[c.cast("int").alias(k) for k, c in named.items()]), "pii-features")
-    table = stored(scored.groupBy((F.col("fold") == 0).alias("held"), *names).agg(F.count("*").alias("n"), F.sum("positive").alias("positive")), "pii-vectors")
-    model = boost(table.where("not held"), names)
-    model.threshold = calibrate(model, table.where("held"))
+    proposed, scored, names = scored_candidates(docs, keys, text_col)
+    model = train(natural_counts(scored, names), names, GENERATORS)
     none = F.array().cast("array<struct<kind:string,start:long,end:long>>")
-    rank = {g: i for i, g in enumerate(generators)}
-    sure = F.col("positive") == 1
-    chosen = sure if math.isinf(model.threshold) else sure | (model.margin() >= model.threshold)
-    extra = (scored.where(~F.col("covered")).where(chosen).withColumn("margin", model.margin())
-             .groupBy("row").agg(F.collect_set(F.struct("positive", "margin", "kind", "start", "end")).alias("more")))
-    # Of overlapping spans a checked one stays, then the one with the best score, then the longest, the first, the first kind.
+    rank = {g: i for i, g in enumerate(GENERATORS)}
+    extra = (scored.where(~F.col("covered")).withColumn("margin", model.margin()).where(F.col("margin") >= model.threshold)
+             .groupBy("row").agg(F.collect_set(F.struct("checked", "margin", "kind", "start", "end")).alias("more")))
+    # Of overlapping spans one that passes its check stays, then the one with the best score, then the longest, the first, the first kind.
     def better(a, b):
         order = F.map_from_arrays(F.array(*[F.lit(k) for k in rank]), F.array(*[F.lit(v) for v in rank.values()]))
-        left = F.struct(a["positive"], a["margin"], a["end"] - a["start"], -a["start"], -order[a["kind"]])
-        right = F.struct(b["positive"], b["margin"], b["end"] - b["start"], -b["start"], -order[b["kind"]])
+        left = F.struct(a["checked"], a["margin"], a["end"] - a["start"], -a["start"], -order[a["kind"]])
+        right = F.struct(b["checked"], b["margin"], b["end"] - b["start"], -b["start"], -order[b["kind"]])
         return left > right
     kept = F.filter("more", lambda s: ~F.exists("more", lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]) & better(o, s)))
     kept = F.transform(kept, lambda s: F.struct(F.concat(F.lit("like_"), s["kind"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
