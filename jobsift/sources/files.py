@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobsift.sources import csvsplit, lenient
+from jobsift.sources import csvsplit, jsonsplit, lenient
 
 CORRUPT = "_corrupt"
+#: Bytes of a JSON document above which it is read in ranges.
+SPLIT_OVER = 64 << 20
 log = logging.getLogger("jobsift.sources")
 
 
@@ -28,7 +30,8 @@ def _text(spark: SparkSession, path: str | Sequence[str], glob: str | None, skip
          .option("ignoreCorruptFiles", str(skip_unreadable).lower()))
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.text(_paths(path), wholetext=whole).select("value", F.col("_metadata.file_path").alias("_file")).where(F.trim("value") != "")
+    return r.text(_paths(path), wholetext=whole).select("value", F.col("_metadata.file_path").alias("_file"),
+                                                      F.col("_metadata.file_size").alias("_size")).where(F.trim("value") != "")
 
 
 def scan_jsonl(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
@@ -41,7 +44,7 @@ def scan_jsonl(spark: SparkSession, path: str | Sequence[str], schema: T.StructT
     ``keep_corrupt`` (then ``_corrupt`` holds the line); ``rejects_report`` counts
     them. ``_file`` is the source file of each row.
     """
-    df = lenient.records(_text(spark, path, glob, skip_unreadable), schema, corrupt=CORRUPT)
+    df = lenient.records(_text(spark, path, glob, skip_unreadable).drop("_size"), schema, corrupt=CORRUPT)
     return df if keep_corrupt else df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
@@ -50,36 +53,43 @@ def rejects_report(spark: SparkSession, path: str | Sequence[str], glob: str | N
 
     A line is rejected exactly when ``scan_jsonl`` drops it: it is no JSON object.
     """
-    lines = lenient.records(_text(spark, path, glob, False), T.StructType([]), corrupt=CORRUPT)
+    lines = lenient.records(_text(spark, path, glob, False).drop("_size"), T.StructType([]), corrupt=CORRUPT)
     bad = F.col(CORRUPT).isNotNull()
     return lines.groupBy("_file").agg(F.count_if(~bad).alias("n_good"), F.count_if(bad).alias("n_bad"))
 
 
 def scan_json_docs(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, glob: str | None = None,
-                   skip_unreadable: bool = False, keep_corrupt: bool = False) -> DataFrame:
+                   skip_unreadable: bool = False, keep_corrupt: bool = False, split_over: int = SPLIT_OVER) -> DataFrame:
     """Whole-file JSON documents: each file is one object or an array of objects, coerced as in ``scan_jsonl``.
 
     A file that is no JSON, or an entry that is no object, is dropped unless
-    ``keep_corrupt``; ``docs_report`` counts them by file. One file is read by one task.
+    ``keep_corrupt``; ``docs_report`` counts them by file. A file over ``split_over`` bytes is read by several
+    tasks (``sources.jsonsplit``); of one that is no JSON, only its beginning is kept as reject.
     """
-    df = _documents(_text(spark, path, glob, skip_unreadable, whole=True), schema)
+    df = _objects(_entries(spark, path, glob, skip_unreadable, split_over), schema)
     return (df if keep_corrupt else df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)).drop("_file")
 
 
-def _documents(files: DataFrame, schema: T.StructType) -> DataFrame:
-    parsed = files.withColumn("__v", F.try_parse_json("value"))
+def _entries(spark: SparkSession, path: str | Sequence[str], glob: str | None, skip_unreadable: bool, split_over: int) -> DataFrame:
+    """(_file, __bad, __v) of all documents: small files whole, large ones in ranges."""
+    text = _text(spark, path, glob, skip_unreadable, whole=True).where(F.col("_size") <= split_over)
+    parsed = lenient.whole_value(text, "value", "__v")
     many = F.try_variant_get("__v", "$", "array<variant>")
-    entries = parsed.select("_file", F.when(F.col("__v").isNull(), F.col("value")).alias("__bad"),
-                            F.explode(F.coalesce(many, F.array("__v"))).alias("__v"))
+    small = parsed.select("_file", F.when(F.col("__v").isNull(), F.col("value")).alias("__bad"), F.explode(F.coalesce(many, F.array("__v"))).alias("__v"))
+    sizes = _listing(spark, path, glob).where(F.col("length") > split_over)
+    return small if sizes.isEmpty() else small.unionByName(jsonsplit.entries(spark, path, glob, skip_unreadable, split_over))
+
+
+def _objects(entries: DataFrame, schema: T.StructType) -> DataFrame:
     bad = F.col("__v").isNull() | ~lenient.is_object(F.col("__v"))
     return entries.select(*[lenient.field(F.col("__v"), f.dataType, "$" + lenient._step(f.name)).alias(f.name) for f in schema.fields],
                           F.when(bad, F.coalesce("__bad", F.to_json("__v"))).alias(CORRUPT), "_file")
 
 
-def docs_report(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
+def docs_report(spark: SparkSession, path: str | Sequence[str], glob: str | None = None, split_over: int = SPLIT_OVER) -> DataFrame:
     """Records and rejected entries per whole-file JSON document."""
     bad = F.col(CORRUPT).isNotNull()
-    return (_documents(_text(spark, path, glob, False, whole=True), T.StructType([])).groupBy("_file")
+    return (_objects(_entries(spark, path, glob, False, split_over), T.StructType([])).groupBy("_file")
             .agg(F.count_if(~bad).alias("n_good"), F.count_if(bad).alias("n_bad")))
 
 
@@ -133,8 +143,8 @@ def files_report(spark: SparkSession, path: str, lines_glob: str = "*.jsonl", do
     for glob, whole in ((lines_glob, False), (doc_glob, True)):
         if not _has_files(spark, path, glob):
             continue
-        text = _text(spark, path, glob, True, whole=whole)
-        rows = _documents(text, T.StructType([])) if whole else lenient.records(text, T.StructType([]), corrupt=CORRUPT)
+        rows = (_objects(_entries(spark, path, glob, True, SPLIT_OVER), T.StructType([])) if whole
+                else lenient.records(_text(spark, path, glob, True).drop("_size"), T.StructType([]), corrupt=CORRUPT))
         bad = F.col(CORRUPT).isNotNull()
         counts = rows.groupBy("_file").agg(F.count_if(~bad).alias("n_good"), F.count_if(bad).alias("n_bad"))
         listed = list_files(spark, path, glob).select(F.col("path").alias("_file"), "length")
@@ -143,14 +153,17 @@ def files_report(spark: SparkSession, path: str, lines_glob: str = "*.jsonl", do
     return found if found is not None else spark.createDataFrame([], "_file string, length long, n_good long, n_bad long")
 
 
-def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Non-empty files under ``path`` with size and modification time, newest first.
-    Only file metadata is read (the content column is pruned)."""
+def _listing(spark: SparkSession, path: str | Sequence[str], glob: str | None) -> DataFrame:
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return (r.load(path).select("path", "modificationTime", "length").filter(F.col("length") > 0)
-             .orderBy(F.desc("modificationTime"), F.asc("path")))
+    return r.load(_paths(path)).select("path", "modificationTime", "length")
+
+
+def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Non-empty files under ``path`` with size and modification time, newest first.
+    Only file metadata is read (the content column is pruned)."""
+    return _listing(spark, path, glob).filter(F.col("length") > 0).orderBy(F.desc("modificationTime"), F.asc("path"))
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -42,9 +42,20 @@ def field(variant: Column, dtype: T.DataType, path: str = "$") -> Column:
     return _get(variant, path, "string").try_cast(dtype)
 
 
+def whole_value(df: DataFrame, text: str, name: str) -> DataFrame:
+    """``df`` with the JSON value of a text as variant ``name``; null if it is none, or if anything but space stands behind it.
+
+    The parser stops behind a value. So the text is put into an object between two keys: whatever follows the value
+    breaks the object, ends it early or adds a key.
+    """
+    parsed = df.withColumn("__w", F.try_parse_json(F.concat(F.lit('{"v":'), F.regexp_replace(text, "^\ufeff", ""), F.lit(',"end":1}'))))
+    alone = F.map_keys(F.try_variant_get("__w", "$", "map<string,variant>")) == F.array(F.lit("end"), F.lit("v"))
+    return parsed.withColumn(name, F.when(alone, F.try_variant_get("__w", "$.v", "variant"))).drop("__w")
+
+
 def records(lines: DataFrame, schema: T.StructType, value: str = "value", corrupt: str = "_corrupt") -> DataFrame:
     """``lines`` with the schema's columns in place of ``value`` and ``corrupt``: the text that is not a JSON object, else null."""
-    parsed = lines.withColumn("__v", F.try_parse_json(value))
+    parsed = whole_value(lines, value, "__v")
     bad = ~is_object(F.col("__v")) | F.col("__v").isNull()
     wanted = [f for f in schema.fields if f.name != corrupt]
     rest = [c for c in lines.columns if c != value]

@@ -180,3 +180,38 @@ def test_csv_line_functions():
         for x in lines[:500]:
             want.append(walk(x, want[-1]))
         assert cs.states(out[:500], inside[:500], first).tolist() == want
+
+
+@pytest.mark.parametrize("size", [400])
+def test_json_documents_in_ranges_equal_whole_files(spark, size):
+    """One array over many ranges, with braces, quotes and escapes in its texts, deep entries and entries that are no objects;
+    and documents that are no JSON, each in its own way."""
+    import json
+    import random
+    rnd = random.Random(size)
+    texts = ["", "}", "{", '"', '\\"', "]}", 'a "quoted}" {text', "\\", "x" * 300, "é}\n", "[[["]
+    array = [{"id": i, "extra": rnd.choice(texts), "area": [rnd.choice(texts)], "company": {"display_name": rnd.choice(texts), "deep": {"a": [{"b": {}}]}}} for i in range(60)]
+    array[40:40] = [3, "te}xt", None, [1, {"x": {}}], []]
+    good = {"a": json.dumps(array), "b": json.dumps(array, indent=1, ensure_ascii=False), "c": json.dumps(array[0]) + "\n ", "d": "[]", "e": " [1, 2 ] ", "f": "﻿[{}]",
+            "g": json.dumps([array[1]] * 3) + "\n", "h": '[{"id":1},2]', "i": '[2,{"id":5}]'}
+    broken = {"m": good["a"][:-1], "n": good["a"][1:], "o": good["a"].replace("}, {", "} {", 1), "p": good["a"].replace(": ", " ", 1), "q": "[{}]]", "r": '{"id":1}{"id":2}',
+              "s": "not json", "t": '[{"id":1},]', "u": '{"id":1', "v": '{"id":1}}', "w": '[,{"id":1}]', "x": '[{"id":1}', "y": '{"id":1}, 2', "z": '[{"id": "}'}
+    path = folder(spark, "ranges_json", **{f"{k}__json": t for k, t in (good | broken).items()})
+    undo = small_ranges(spark, size)
+    try:
+        rows = files.scan_json_docs(spark, path, SCHEMA, split_over=0)
+        got = sorted(map(str, rows.collect()))
+        report = {os.path.basename(r._file): (r.n_good, r.n_bad) for r in files.docs_report(spark, path, split_over=0).collect()}
+    finally:
+        undo()
+    assert got == sorted(map(str, files.scan_json_docs(spark, path, SCHEMA).collect())) and len(got) > 120
+    want = {os.path.basename(r._file): (r.n_good, r.n_bad) for r in files.docs_report(spark, path).collect()}
+    assert report == want and all(want[f"{k}.json"] == (0, 1) for k in broken)
+
+
+def test_lines_with_anything_behind_their_object_are_rejects(spark):
+    lines = ['{"id":1}', '{"id":2} ', '\t{"id":3}\r', '{"id":4} x', '{"id":5}{"id":6}', '{"id":7}}', '{"id":8},"end":2', '{"id":9},"x":1', "﻿{\"id\":10}", '{"v":1,"end":3,"id":11}', "null", "1"]
+    path = folder(spark, "behind", a__jsonl="\n".join(lines))
+    assert sorted(r.id for r in files.scan_jsonl(spark, path, SCHEMA).collect()) == [1, 2, 3, 10, 11]
+    report = files.rejects_report(spark, path).first()
+    assert (report["n_good"], report["n_bad"]) == (5, 7)
