@@ -300,6 +300,28 @@ def q_clean_job(spark, d):
     return _ntz(table)
 
 
+@register("clean_new_files", cc.BUILD_CLEAN_SQL)
+def q_clean_new_files(spark, d):
+    """The raw feeds land in two parts; each time only the new files are cleaned and merged into the versioned store."""
+    from jobsift.plans import job
+    from jobsift.sinks.versioned import VersionedTable
+    slices, root = cc.raw_slices(spark, d), scratch_path(spark, "landed")
+    store = VersionedTable(spark, scratch_path(spark, "clean_store"), "published_at", "yyyy")
+    schemas = {kind: T.StructType([T.StructField("fetched_at", T.StringType()), T.StructField("data", raw.schema)]) for kind, raw in slices.items()}
+    fetched = F.lit(fx.ORDERS_AS_OF[:10] + "T" + fx.ORDERS_AS_OF[11:] + "Z").alias("fetched_at")
+
+    def reader(kind):
+        return lambda paths: job.load_feed(spark, paths, schemas[kind])
+
+    feeds = {kind: (f"{root}/{kind}", reader(kind)) for kind in slices}
+    for part in (0, 1):
+        for kind, raw in slices.items():
+            key = F.pmod(F.xxhash64(F.to_json(F.struct(*raw.columns))), F.lit(2))
+            (raw.where(key == part).select(fetched, F.struct(*raw.columns).alias("data")).write.mode("append").options(**MICROS_JSON).json(f"{root}/{kind}"))
+        job.clean_new_files(store, feeds, as_of=cc.CLEAN_AS_OF)
+    return _ntz(job.cleaned_rows(store, cc.PART_SKILLS))
+
+
 ALERT_THRESHOLD, ALERT_FOR = 25.0, 300
 
 

@@ -8,19 +8,24 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobsift.operators.clean import build_clean, unwrap_envelope
+from jobsift import lexicon
+from jobsift.operators.clean import (build_clean, cast_types, dedup_key_part, dedup_keep_most_complete, enrich, normalize, project_target,
+                                     union_sources, unwrap_envelope)
 from jobsift.sinks import writers
+from jobsift.sinks.versioned import VersionedTable
+from jobsift.session import materialize
 from jobsift.sources import files
 
 log = logging.getLogger("jobsift.job")
 
 
-def load_feed(spark: SparkSession, path: str, schema: T.StructType, kind: str = "lines",
+def load_feed(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, kind: str = "lines",
               csv_schema: T.StructType | None = None) -> DataFrame:
     """One raw feed: JSON lines (envelopes unwrapped) or a mixed folder of JSONL/JSON/CSV."""
     if kind == "lines":
@@ -69,3 +74,40 @@ def run_clean_job(spark: SparkSession, feeds: dict[str, DataFrame], out_dir: str
         except Exception as exc:  # noqa: BLE001  (the files stay the source of truth)
             log.error("JDBC export failed, data kept in %s: %s", out_dir, exc)
     return table
+
+
+LEDGER, LEDGER_SCHEMA = "files", "path string, length long, modificationTime timestamp"
+
+
+def clean_new_files(store: VersionedTable, feeds: dict[str, tuple[str, Callable[[list[str]], DataFrame]]], as_of=None) -> int:
+    """Clean the files that ``store`` has not seen yet and merge them in. Returns the store's latest version.
+
+    ``feeds`` names each kind's folder and a reader of a list of files. The store holds normalised rows, one a (company,
+    title, city) key, the most complete; the ledger of files is a note of its version, so rows and
+    ledger are committed together: a failed run leaves both, and runs again. Only new files are read, and only partitions that hold a key
+    of theirs, or will, are rewritten. The result is that of one run over all files, in any order. Files
+    are told by path, length and time: a changed file is a new one, its old rows stay.
+    """
+    spark, known = store.spark, store.note(LEDGER, LEDGER_SCHEMA)
+    frames, listed = [], None
+    for kind, (path, read) in feeds.items():
+        new = files.list_files(spark, path).select("path", "length", "modificationTime").join(known, ["path", "length", "modificationTime"], "left_anti")
+        names = sorted(r["path"] for r in new.collect())                  # the driver lists these files anyway
+        if names:
+            frames.append(normalize(read(names), kind, as_of))
+            listed = new if listed is None else listed.unionByName(new)
+    if not frames:
+        return (store.versions() or [0])[-1]
+    keys = [dedup_key_part(k).alias(f"_{k}") for k in ("company", "title", "city")]
+    fresh = materialize(dedup_keep_most_complete(union_sources(frames)), "new-postings")
+    touched = store.parts_of(fresh)
+    if store.versions():
+        old = store.read().select(*keys, store.by).join(fresh.select(*keys).distinct(), [f"_{k}" for k in ("company", "title", "city")], "left_semi")
+        touched |= store.parts_of(old)
+    merged = lambda rows: dedup_keep_most_complete(rows.unionByName(fresh.select(*rows.columns)))
+    return store.rewrite(touched, merged, fresh.schema.json(), {LEDGER: known.unionByName(listed)})
+
+
+def cleaned_rows(store: VersionedTable, skills: Sequence[str] = lexicon.TECH_SKILLS, version: int | None = None) -> DataFrame:
+    """The cleaned table of a store of normalised rows: skills added, typed, in the target columns."""
+    return project_target(cast_types(enrich(store.read(version), skills)))

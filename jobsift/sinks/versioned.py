@@ -54,7 +54,7 @@ class VersionedTable:
         return sorted(int(n) for n in names if n.isdigit())
 
     def manifest(self, version: int | None = None) -> dict:
-        """{"schema": .., "parts": {partition: folder}} of a version (default: the latest)."""
+        """{"schema": .., "parts": {partition: folder}, "notes": {name: folder}} of a version (default: the latest)."""
         have = self.versions()
         if not have:
             raise FileNotFoundError(f"no version under {self.root}")
@@ -67,11 +67,11 @@ class VersionedTable:
         finally:
             stream.close()
 
-    def _commit(self, based_on: int, schema: str, parts: dict[str, str]) -> int:
+    def _commit(self, based_on: int, schema: str, parts: dict[str, str], notes: dict[str, str] | None = None) -> int:
         number, aside = based_on + 1, self._path(f"_versions/.{uuid.uuid4().hex}")
         out = self._fs().create(aside, False)
         try:
-            out.write(bytearray(json.dumps({"schema": schema, "parts": parts}, sort_keys=True).encode()))
+            out.write(bytearray(json.dumps({"schema": schema, "parts": parts, "notes": notes or {}}, sort_keys=True).encode()))
         finally:
             out.close()
         files = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(aside.toUri(), self._conf)
@@ -89,7 +89,7 @@ class VersionedTable:
     # ---- rows
 
     def _part(self) -> Column:
-        return F.coalesce(F.date_format(F.col(self.by).cast("timestamp_ntz"), self.unit), F.lit(NO_DATE))
+        return F.coalesce(F.date_format(F.col(self.by).try_cast("timestamp_ntz"), self.unit), F.lit(NO_DATE))
 
     def _write(self, df: DataFrame, prefix: str) -> dict[str, str]:
         """``df``'s rows in new folders, one a partition."""
@@ -115,18 +115,34 @@ class VersionedTable:
 
     def append(self, df: DataFrame) -> int:
         """Commit the rows of ``df`` besides those there are: only partitions that it has rows of are rewritten."""
-        return self._rewrite(self._parts_of(df), lambda old, schema: old.unionByName(df.select(*old.columns)), df)
+        return self.rewrite(self.parts_of(df), lambda old: old.unionByName(df.select(*old.columns)), df.schema.json())
 
-    def _parts_of(self, df: DataFrame) -> set[str]:
+    def parts_of(self, df: DataFrame) -> set[str]:
+        """The partitions that rows of ``df`` belong to."""
         return {r[0] for r in df.select(self._part()).distinct().collect()}              # partitions, not rows
 
-    def _rewrite(self, touched: set[str], change: Callable[[DataFrame, str], DataFrame], new: DataFrame | None = None) -> int:
+    def rewrite(self, touched: set[str], change: Callable[[DataFrame], DataFrame], schema: str | None = None,
+                notes: dict[str, DataFrame] | None = None) -> int:
+        """Commit the table with ``change`` applied to the rows of the partitions ``touched``; the others are taken over.
+
+        ``schema`` (JSON) is that of a table without a version yet. ``notes`` are small tables that belong
+        to the new version, committed with it: they replace those of the same names, other notes stay.
+        """
         have = self.versions()
         base = have[-1] if have else 0
-        m = self.manifest(base) if have else {"schema": new.schema.json(), "parts": {}}
-        rows = change(self._read(m["schema"], [f for p, f in sorted(m["parts"].items()) if p in touched]), m["schema"])
+        m = self.manifest(base) if have else {"schema": schema, "parts": {}, "notes": {}}
+        rows = change(self._read(m["schema"], [f for p, f in sorted(m["parts"].items()) if p in touched]))
         parts = {p: f for p, f in m["parts"].items() if p not in touched} | self._write(rows, f"v{base + 1}")
-        return self._commit(base, m["schema"], parts)
+        kept = dict(m["notes"])
+        for name, note in (notes or {}).items():
+            kept[name] = f"notes/{name}-{uuid.uuid4().hex[:12]}"
+            note.write.parquet(f"{self.root}/{kept[name]}")
+        return self._commit(base, m["schema"], parts, kept)
+
+    def note(self, name: str, schema: str, version: int | None = None) -> DataFrame:
+        """A note of a version (default: the latest); an empty frame of ``schema`` if there is none."""
+        folder = self.manifest(version)["notes"].get(name) if self.versions() else None
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{folder}") if folder else self.spark.createDataFrame([], schema)
 
     def remove(self, requests: DataFrame, keys: list[str]) -> int:
         """Commit the table without the rows that match a request on ``keys`` (null keys match nothing).
@@ -135,10 +151,10 @@ class VersionedTable:
         any, nothing is committed. Returns the latest version's number.
         """
         asked = requests.select(*keys).dropDuplicates()
-        touched = self._parts_of(self.read().select(*dict.fromkeys((*keys, self.by))).join(asked, keys, "left_semi"))
+        touched = self.parts_of(self.read().select(*dict.fromkeys((*keys, self.by))).join(asked, keys, "left_semi"))
         if not touched:
             return self.versions()[-1]
-        return self._rewrite(touched, lambda old, _: old.join(asked, keys, "left_anti").select(*old.columns))
+        return self.rewrite(touched, lambda old: old.join(asked, keys, "left_anti").select(*old.columns))
 
     def purge(self, cutoff: str) -> int:
         """Commit the table without rows dated before ``cutoff`` (a timestamp's text); rows without a date stay.
@@ -154,7 +170,7 @@ class VersionedTable:
             parts |= self._write(self._read(m["schema"], [m["parts"][edge]]).where(F.col(self.by).cast("timestamp_ntz") >= at), f"v{base + 1}")
         if parts == m["parts"]:
             return base
-        return self._commit(base, m["schema"], parts)
+        return self._commit(base, m["schema"], parts, m["notes"])
 
     def vacuum(self, keep: int = 2) -> int:
         """Delete versions but the latest ``keep``, and all data folders that no kept version names. Returns how many folders went.
@@ -164,10 +180,14 @@ class VersionedTable:
         have = self.versions()
         named = set()
         for v in have[-keep:]:
-            named |= set(self.manifest(v)["parts"].values())
+            m = self.manifest(v)
+            named |= {*m["parts"].values(), *m["notes"].values()}
         for v in have[:-keep]:
             self._fs().delete(self._path(f"_versions/{v}"), False)
-        gone, data = 0, self._path("data")
+        gone, data, notes = 0, self._path("data"), self._path("notes")
+        for s in self._fs().listStatus(notes) if self._fs().exists(notes) else ():
+            if f"notes/{s.getPath().getName()}" not in named:
+                self._fs().delete(s.getPath(), True)
         if not self._fs().exists(data):
             return 0
         for s in self._fs().listStatus(data):

@@ -82,3 +82,54 @@ def test_command_line_clean_and_report(spark, capsys):
     assert spark.read.parquet(f"{root}/reports/kpis").count() == 1
     out = capsys.readouterr().out
     assert "cleaned rows: 1" in out and "== kpis" in out
+
+
+def test_only_new_files_are_cleaned_and_merged(spark, monkeypatch):
+    """Three landings, one of them failing half way: the store equals one run over all files; nothing is read twice."""
+    import json
+    import os
+
+    from pyspark.sql import functions as F
+
+    from jobsift.operators import clean
+    from jobsift.plans import job
+    from jobsift.schema import RAW_API
+    from jobsift.session import scratch_path
+    from jobsift.sinks.versioned import VersionedTable
+    landing = scratch_path(spark, "landing").replace("file:", "")
+    os.makedirs(landing)
+
+    def land(name, rows):
+        with open(f"{landing}/{name}.json", "w") as f:
+            for title, company, day, contract in rows:
+                f.write(json.dumps({"fetched_at": f"2026-03-{day:02d}T12:00:00Z", "data": {
+                    "title": title, "company": {"display_name": company}, "location": {"display_name": "Paris"}, "contract_type": contract, "created": "2026-03-01T09:00:00Z"}}) + "\n")
+
+    read = []
+
+    def reader(paths):
+        read.extend(os.path.basename(p) for p in paths)
+        return job.load_feed(spark, paths, RAW_API)
+
+    store = VersionedTable(spark, scratch_path(spark, "store"))
+    feeds = {"api": (landing, reader)}
+    assert job.clean_new_files(store, {"api": (landing, reader)}) == 0 and not read
+    land("a", [("Data Engineer", "Acme", 1, None), ("Analyst", "Acme", 1, "permanent"), ("Chef", "Bistro", 2, None)])
+    assert job.clean_new_files(store, feeds) == 1 and read == ["a.json"]
+    assert job.clean_new_files(store, feeds) == 1 and read == ["a.json"]                     # nothing new: no version, nothing read
+    land("b", [("data engineer ", "ACME", 3, "permanent"), ("New", "Start", 3, None)])       # more complete: moves to another day
+    with monkeypatch.context() as m:
+        m.setattr(VersionedTable, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            job.clean_new_files(store, feeds)
+    assert store.versions() == [1] and store.read().count() == 3
+    before = store.manifest(1)["parts"]
+    assert job.clean_new_files(store, feeds) == 2
+    after = store.manifest(2)["parts"]
+    assert before["2026-03-02"] == after["2026-03-02"] and before["2026-03-01"] != after["2026-03-01"]
+    land("c", [("Analyst", "acme", 1, None)])                                                 # less complete: changes nothing
+    assert job.clean_new_files(store, feeds) == 3
+    whole = clean.dedup_keep_most_complete(clean.normalize(job.load_feed(spark, landing, RAW_API), "api"))
+    assert sorted(map(str, store.read().collect())) == sorted(map(str, whole.collect())) and store.read().count() == 4
+    assert store.note(job.LEDGER, job.LEDGER_SCHEMA).count() == 3
+    assert job.cleaned_rows(store).where(F.col("title").contains("ngineer")).head()["contract_type"] == "CDI"
