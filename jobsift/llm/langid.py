@@ -182,10 +182,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     idf = np.log((1 + n) / (1 + df)) + 1
     most = min(rows_per_language, train_rows // len(languages))
     mark = F.xxhash64(F.lit(18), id_col, text_col)
-    marks = learn.select(F.col(lang_col).alias("l"), mark.alias("d")).where(F.col("l").isin(languages)).distinct()
-    ranked = marks.withColumn("rank", F.row_number().over(Window.partitionBy("l").orderBy("d"))).where(F.col("rank") <= most)
+    marks = stored(learn.select(F.col(lang_col).alias("l"), mark.alias("d")).where(F.col("l").isin(languages)).distinct(), "lang-marks")
+    # Hashes are spread evenly, so about twice the wanted number lies below a share of their range; only those are ranked.
+    different = {r["l"]: r["count"] for r in marks.groupBy("l").count().collect()}                     # one row a language
+    share = F.element_at(F.create_map(*[F.lit(x) for k in languages for x in (k, 2.0 * most / different[k] + 1e-6)]), F.col("l"))
+    low = marks.where(F.col("d").cast("double") / 2.0 ** 64 + 0.5 <= share)
+    ranked = low.withColumn("rank", F.row_number().over(Window.partitionBy("l").orderBy("d"))).where(F.col("rank") <= most)
     limit = {r["l"]: r["d"] for r in ranked.groupBy("l").agg(F.max("d").alias("d")).collect()}        # one row a language
-    bound = F.element_at(F.create_map(*[F.lit(x) for k in languages for x in (k, limit[k])]), F.col(lang_col))
+    bound = F.element_at(F.create_map(*[F.lit(x) for k in languages for x in (k, limit.get(k, -(1 << 63)))]), F.col(lang_col))
     texts = (learn.where(F.col(lang_col).isin(languages) & (mark <= bound)).groupBy(F.col(lang_col).alias("l"), mark.alias("d"))
              .agg(F.first(F.col(text_col).cast("string")).alias("t")))
 
