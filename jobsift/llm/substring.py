@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobsift.llm.common import bounded_batches, buffers, shuffle_partitions, text_bytes
+from jobsift.llm.common import bounded_batches, buffers, shuffle_partitions, stored, text_bytes
 
 WINDOW, PERIOD = 35, 21
 #: Bytes of text after which a block ends.
@@ -168,7 +168,7 @@ def _settle(block: int, index: np.ndarray, high: np.ndarray, low: np.ndarray, bu
     lead = np.concatenate([[True], ~same])[:len(h)]
     shared = np.sort(index[order[again]])
     if len(shared):
-        yield block % buckets, block, 1, _pack(shared), b"", b""
+        yield (block * 0x9E3779B97F4A7C15 >> 32) % buckets, block, 1, _pack(shared), b"", b""
     for kind, chosen in ((0, order[~again]), (2, order[again & lead])):
         chosen = np.sort(chosen)
         bucket = (high[chosen] % np.uint64(buckets)).astype(np.int64)
@@ -241,8 +241,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Windows are judged on the input. A null or empty text, or one shorter than a
     window, keeps all its words. Null and repeated ids keep their rows, and each
     row is a document of its own, so repeated rows repeat each other's windows.
-    An empty table gives no rows; other columns are not read. ``docs`` should be
-    a stored table, whose rows come in the same order when read again. The
+    An empty table gives no rows; other columns are not read. Texts are stored once as numbered,
+    compressed blocks, which all later steps read, so no number is made twice. The
     equality of windows is that of 96-bit hashes.
     """
     if not 1 <= period <= window:
@@ -254,7 +254,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def send_anchors(batches):
         def rows():
-            for block, _, data, offsets in _blocks(batches):
+            for block, _, data, offsets, _ in unpacked(batches):
                 words = Words(data, offsets)
                 at = words.anchors(window, period)
                 h = words.window_hashes(window - period + 1)[at] if len(at) else np.zeros(0, np.uint64)
@@ -275,7 +275,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for i in range(b.num_rows):
                 data = np.frombuffer(zstandard.ZstdDecompressor().decompress(b.column("texts")[i].as_py()), np.uint8)
                 offsets = np.concatenate([[0], np.cumsum(np.frombuffer(b.column("sizes")[i].as_py(), "<i8"))]).astype(np.int64)
-                found = b.column("found")[i].as_py() or []
+                found = (b.column("found")[i].as_py() or []) if "found" in b.schema.names else []
                 places = np.unique(np.concatenate([_unpack(x) for x in found])) if found else np.zeros(0, np.int64)
                 yield b.column("block")[i].as_py(), b.column("ids")[i].values, data, offsets, places
 
@@ -310,8 +310,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         met = sent.repartition(buckets, "bucket").mapInArrow(_meet, "block long, places binary")
         return met.groupBy("block").agg(F.collect_list("places").alias("found"))
 
-    blocks = narrow.mapInArrow(pack_blocks, f"block long, ids array<{kind}>, sizes binary, texts binary")
-    shared = shared_places(narrow.mapInArrow(send_anchors, _SENT))
+    blocks = stored(narrow.mapInArrow(pack_blocks, f"block long, ids array<{kind}>, sizes binary, texts binary"), "passage-blocks", "uncompressed")
+    shared = shared_places(blocks.mapInArrow(send_anchors, _SENT))
     repeated = shared_places(blocks.join(shared, "block").mapInArrow(send_windows, _SENT))
     done = blocks.join(repeated, "block", "left").mapInArrow(
         finish, f"__id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text)
