@@ -32,7 +32,7 @@ def numbered(docs: DataFrame, key: str) -> DataFrame:
     A number that is made again at each read holds only while all reads make the
     same splits, and these follow the cores that are there when a read is planned.
     """
-    return stored(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
+    return stored(docs.withColumn(key, F.monotonically_increasing_id()), "numbered", "zstd")
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
