@@ -262,7 +262,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         yield from _batches(rows(), _NAMES, _TYPES)
 
     def pack_blocks(batches):
-        squeeze = zstandard.ZstdCompressor(level=1).compress
+        squeeze = zstandard.ZstdCompressor(level=6).compress
         for block, ids, data, offsets in _blocks(batches):
             yield pa.RecordBatch.from_arrays([
                 pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
