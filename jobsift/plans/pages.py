@@ -1,7 +1,8 @@
 """Field extraction from a stored table of raw web pages (one row per page).
 
-Pages are parsed where they are read, in Arrow batches; no page is collected and
-nothing is shuffled.
+Pages are dealt out evenly over the shuffle partitions and parsed there, in Arrow
+batches: a file of few row groups is read by as few tasks, and parsing takes far longer
+than moving a page. No page is collected.
 """
 from __future__ import annotations
 
@@ -40,7 +41,9 @@ def _per_page(pages: DataFrame, cols: dict[str, str], row, schema: str) -> DataF
             yield pa.RecordBatch.from_arrays([b.column("__id"), *(pa.array([f[i] for f in found], _TYPES[t]) for i, t in enumerate(types))], names=["__id", *names])
 
     types = [c.strip().split(" ")[1] for c in re.split(r",\s*(?![^<]*>)", schema)]
-    out = narrow.mapInArrow(run, f"__id {pages.schema[cols['id']].dataType.simpleString()}, {schema}")
+    spark = pages.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    out = narrow.repartition(parts).mapInArrow(run, f"__id {pages.schema[cols['id']].dataType.simpleString()}, {schema}")
     return out.withColumnRenamed("__id", cols["id"])
 
 

@@ -50,3 +50,9 @@ def test_delta_and_usage_percent(spark):
         df, "value", F.get_json_object("props", "$.k").cast("bigint"),
         F.map_values(F.from_json("props", "map<string,bigint>"))).collect()}
     assert use == {1: (500.0, 7), 2: (625.0, 9), 3: (0.0, 0)}
+
+
+def test_pages_of_one_row_group_are_parsed_by_many_tasks(spark):
+    df = spark.range(0, 400, 1, 1).select(F.col("id").alias("page_id"), F.lit("https://x.org/a").alias("url"), F.lit(PAGE).alias("html"))
+    tasks = pages.extract_page_fields(df).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 8 and sum(r["count"] for r in tasks) == 400 and max(r["count"] for r in tasks) <= 100
