@@ -142,13 +142,13 @@ def threshold_runs(rows: DataFrame, for_seconds: float, max_gap_seconds: float |
     first = prefix_scan(rows.withColumn("_us", F.col("us")), "series", ["_us", "above", "start_us"], lags=("_us", "above"), ranges=ranges)
     first = first.withColumnRenamed("_prev__us", "_prev_us")
     begins = F.col("above") & (~F.coalesce("_prev_above", F.lit(False)) | _gap(max_gap_seconds))
-    marked = first.withColumn("_run", F.when(begins, F.struct("_pos", "start_us"))).drop("_prev_us", "_prev_above")
+    marked = first.withColumn("_run", F.when(begins, F.struct("_pos", "start_us"))).drop("_prev_us", "_prev_above").where("above")
     named = prefix_scan(marked.withColumnRenamed("_pos", "_row"), "series", ["_row"], lasts=("_run",), ranges=ranges)
     lasted = F.col("us") - F.col("_last__run.start_us") >= int(for_seconds * MICROS)
-    runs = named.where("above").groupBy("series", "_last__run").agg(
+    runs = named.groupBy("series", "_last__run").agg(
         F.min("start_us").alias("start_us"), F.max("us").alias("last_us"), F.sum("n").alias("n"), F.max("fired").alias("fired"),
         F.min(F.when(lasted, F.col("us"))).alias("fired_us"))
-    newest = rows.groupBy("series").agg(F.max("us").alias("_newest"))
+    newest = first.groupBy("series").agg(F.max("us").alias("_newest"))      # from the stored scan: ``rows`` may be dear to make
     return (runs.join(newest, "series")
             .select("series", "start_us", "last_us", "n", "fired", "fired_us", (F.col("last_us") == F.col("_newest")).alias("is_open")))
 

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobsift.functions._let import let
+
 _DIRECT = (T.StringType, T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType, T.BooleanType)
 
 
@@ -23,7 +25,7 @@ def _get(variant: Column, path: str, kind: str) -> Column:
 
 
 def is_object(variant: Column, path: str = "$") -> Column:
-    return F.coalesce(F.startswith(F.schema_of_variant(_get(variant, path, "variant")), F.lit("OBJECT")), F.lit(False))
+    return _get(variant, path, "struct<>").isNotNull()
 
 
 def field(variant: Column, dtype: T.DataType, path: str = "$") -> Column:
@@ -47,10 +49,14 @@ def whole_value(df: DataFrame, text: str, name: str) -> DataFrame:
 
     The parser stops behind a value. So the text is put into an object between two keys: whatever follows the value
     breaks the object, ends it early or adds a key.
+
+    The value comes out of a generator of one row: a filter on it stays above, where Spark would otherwise move it
+    to the scan with a copy of the parser for each time it looks at the value.
     """
-    parsed = df.withColumn("__w", F.try_parse_json(F.concat(F.lit('{"v":'), F.regexp_replace(text, "^\ufeff", ""), F.lit(',"end":1}'))))
-    alone = F.map_keys(F.try_variant_get("__w", "$", "map<string,variant>")) == F.array(F.lit("end"), F.lit("v"))
-    return parsed.withColumn(name, F.when(alone, F.try_variant_get("__w", "$.v", "variant"))).drop("__w")
+    whole = F.try_parse_json(F.concat(F.lit('{"v":'), F.regexp_replace(text, "^\ufeff", ""), F.lit(',"end":1}')))
+    value = let(_get(whole, "$", "map<string,variant>"),
+                lambda m: F.when(F.map_keys(m) == F.array(F.lit("end"), F.lit("v")), F.element_at(m, F.lit("v"))))
+    return df.withColumn(name, F.explode(F.array(value)))
 
 
 def records(lines: DataFrame, schema: T.StructType, value: str = "value", corrupt: str = "_corrupt") -> DataFrame:

@@ -63,10 +63,12 @@ def start_threshold_alerts(stream: DataFrame, out_path: str, checkpoint: str, th
 
     def step(batch: DataFrame, batch_id: int) -> None:
         samples = batch.select(F.col(series).cast("string").alias("series"), _micros(ts).alias("us"), F.col(value).cast("double").alias("value")).dropna()
+        samples.persist()                               # parsed once, though the sort reads them twice
         state = spark.read.schema(STATE_SCHEMA).parquet(f"{root}/{batch_id - 1}") if batch_id else spark.createDataFrame([], STATE_SCHEMA)
         alerts, still = advance(spark, samples, state, threshold, for_seconds, severity, max_gap_seconds, stale_seconds)
         alerts.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={batch_id}")
         still.write.mode("overwrite").parquet(f"{root}/{batch_id}")
+        samples.unpersist()
         _forget(spark, f"{root}/{batch_id - 2}")        # a replay reads the state of the batch before it, nothing older
 
     w = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)

@@ -215,3 +215,28 @@ def test_lines_with_anything_behind_their_object_are_rejects(spark):
     assert sorted(r.id for r in files.scan_jsonl(spark, path, SCHEMA).collect()) == [1, 2, 3, 10, 11]
     report = files.rejects_report(spark, path).first()
     assert (report["n_good"], report["n_bad"]) == (5, 7)
+
+
+def _parsers(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("parseJson")
+
+
+def test_a_line_is_parsed_once(spark):
+    from jobsift.plans import job
+    from jobsift.schema import RAW_API
+    from jobsift.streaming import ingest
+    root = scratch_path(spark, "once")
+    spark.createDataFrame([('{"data":{"title":"T"}}',), ("{broken",)], "value string").write.text(root)
+    assert _parsers(ingest.parsed(spark.read.text(root), RAW_API)) == 1
+    feed = job.load_feed(spark, root, RAW_API)
+    assert _parsers(feed) == 1 and [r["title"] for r in feed.collect()] == ["T"]
+
+
+def test_what_counts_as_an_object(spark):
+    from jobsift.sources import lenient
+    texts = ["{}", " {\"a\":{\"b\":1}} ", "\ufeff{\"a\":{}}", "{\"a\":null}", "{\"a\":[{\"b\":1}]}", "{\"a\":\"x\"}",
+             "null", "[{}]", "\"s\"", "1", "", None, "{} {}", "{},\"v\":{}", "{\"a\":1}, \"x\":1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, value string")
+    got = lenient.records(df, spark.createDataFrame([], "a struct<b int>").schema, corrupt="bad").orderBy("i").collect()
+    assert [r["a"] is None or r["a"]["b"] for r in got] == [True, 1, None, *[True] * 12]
+    assert [r["bad"] for r in got] == [*[None] * 6, *texts[6:]]

@@ -127,3 +127,25 @@ def test_stale_runs_leave_the_state(spark):
     samples = spark.createDataFrame([("other", 1_000_000_000, 99.0)], "series string, us long, value double")
     _, still = advance(spark, samples, state, 25.0, 300, "warning", stale_seconds=600)
     assert sorted((r.series, r.fired) for r in still.collect()) == [("new", True), ("other", False)]
+
+
+def test_alerts_parse_a_batch_once(spark):
+    from jobsift.streaming.alerts import start_threshold_alerts
+    landing, out, ckpt = (scratch_path(spark, x) for x in ("al_once", "al_once_out", "al_once_ck"))
+    df = spark.range(500).select((F.col("id") % 7).cast("string").alias("user_id"), F.timestamp_micros(F.col("id") * 60_000_000).cast("timestamp_ntz").alias("ts"),
+                                 F.when(F.col("id") % 50 == 0, 0.0).otherwise(50.0).alias("value"))
+    df.write.json(landing)
+    q = start_threshold_alerts(ingest.parsed(ingest.scan_landing(spark, landing), df.schema), out, ckpt, 25.0, 300, "warning")
+    q.awaitTermination()
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 500
+
+
+def test_only_rows_above_are_scanned_for_runs(spark, monkeypatch):
+    from jobsift.plans import metrics
+    seen, scan = [], metrics.prefix_scan
+    monkeypatch.setattr(metrics, "prefix_scan", lambda df, *a, **kw: (seen.append(df), scan(df, *a, **kw))[1])
+    rows = spark.createDataFrame([("a", 1, True), ("a", 2, False), ("a", 3, True), ("a", 4, True), ("b", 1, True), ("b", 9, False)], "series string, us long, above boolean")
+    runs = metrics.threshold_runs(rows.selectExpr("*", "us start_us", "1L n", "false fired"), 1e-6)
+    assert sorted((r.series, r.start_us, r.last_us, r.fired_us, r.is_open) for r in runs.collect()) == [
+        ("a", 1, 1, None, False), ("a", 3, 4, 4, True), ("b", 1, 1, None, False)]
+    assert [df.count() for df in seen] == [6, 4]
