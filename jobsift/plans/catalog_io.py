@@ -316,7 +316,7 @@ def q_clean_new_files(spark, d):
     feeds = {kind: (f"{root}/{kind}", reader(kind)) for kind in slices}
     for part in (0, 1):
         for kind, raw in slices.items():
-            key = F.pmod(F.xxhash64(F.to_json(F.struct(*raw.columns))), F.lit(2))
+            key = F.pmod(F.xxhash64(*raw.columns), F.lit(2))
             (raw.where(key == part).select(fetched, F.struct(*raw.columns).alias("data")).write.mode("append").options(**MICROS_JSON).json(f"{root}/{kind}"))
         job.clean_new_files(store, feeds, as_of=cc.CLEAN_AS_OF)
     return _ntz(job.cleaned_rows(store, cc.PART_SKILLS))

@@ -101,10 +101,15 @@ def clean_new_files(store: VersionedTable, feeds: dict[str, tuple[str, Callable[
     keys = [dedup_key_part(k).alias(f"_{k}") for k in ("company", "title", "city")]
     fresh = materialize(dedup_keep_most_complete(union_sources(frames)), "new-postings")
     touched = store.parts_of(fresh)
-    if store.versions():
+    there = set(store.manifest()["parts"]) if store.versions() else set()
+    if not touched >= there:                                              # else nothing more can be touched
         old = store.read().select(*keys, store.by).join(fresh.select(*keys).distinct(), [f"_{k}" for k in ("company", "title", "city")], "left_semi")
         touched |= store.parts_of(old)
-    merged = lambda rows: dedup_keep_most_complete(rows.unionByName(fresh.select(*rows.columns)))
+
+    def merged(rows: DataFrame) -> DataFrame:
+        new = fresh.select(*rows.columns)
+        return dedup_keep_most_complete(rows.unionByName(new)) if touched & there else new        # alone, it is one row a key already
+
     return store.rewrite(touched, merged, fresh.schema.json(), {LEDGER: known.unionByName(listed)})
 
 

@@ -133,3 +133,28 @@ def test_only_new_files_are_cleaned_and_merged(spark, monkeypatch):
     assert sorted(map(str, store.read().collect())) == sorted(map(str, whole.collect())) and store.read().count() == 4
     assert store.note(job.LEDGER, job.LEDGER_SCHEMA).count() == 3
     assert job.cleaned_rows(store).where(F.col("title").contains("ngineer")).head()["contract_type"] == "CDI"
+
+
+def test_a_merge_does_no_step_twice(spark, monkeypatch):
+    """The first load is deduplicated once; where all partitions are rewritten, none is searched for keys."""
+    from jobsift.schema import RAW_API
+    from jobsift.sinks.versioned import VersionedTable
+    landing, calls = scratch_path(spark, "twice"), []
+    store = VersionedTable(spark, scratch_path(spark, "twice_store"), "published_at", "yyyy")
+    dedup, read = job.dedup_keep_most_complete, store.read
+    monkeypatch.setattr(job, "dedup_keep_most_complete", lambda df: (calls.append("dedup"), dedup(df))[1])
+    monkeypatch.setattr(store, "read", lambda *a: (calls.append("read"), read(*a))[1])
+    feeds = {"api": (landing, lambda paths: job.load_feed(spark, paths, RAW_API))}
+
+    def land(kind, rows):
+        _write_lines(f"{landing}/{kind}", [{"fetched_at": "2026-03-01T12:00:00Z", "data": {
+            "title": t, "company": {"display_name": "Acme"}, "contract_type": c, "created": f"{y}-03-01T09:00:00Z"}} for t, c, y in rows])
+
+    land("a", [("A", None, 2024), ("B", None, 2025), ("b", "permanent", 2025)])
+    assert job.clean_new_files(store, feeds) == 1 and calls == ["dedup"]
+    land("b", [("a ", "permanent", 2025), ("C", None, 2024)])
+    assert job.clean_new_files(store, feeds) == 2 and calls == ["dedup"] * 3
+    land("c", [("c", "permanent", 2026)])                                     # its key stands in a partition that the file has no date of
+    assert job.clean_new_files(store, feeds) == 3 and calls == ["dedup"] * 4 + ["read", "dedup"]
+    assert sorted((r["title"].strip().lower(), r["contract_type"], r["published_at"].year) for r in read().collect()) == [
+        ("a", "CDI", 2025), ("b", "CDI", 2025), ("c", "CDI", 2026)]
